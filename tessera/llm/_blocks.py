@@ -102,11 +102,11 @@ class Block:
         for b in range(self.n_buckets):
             at = by[cuts[b] : cuts[b + 1]]
             if len(at):
-                yield number, b, pack_words([words[i] for i in at.tolist()]), pack(flagged[at])
+                yield number, b, pack_words([words[i] for i in at.tolist()]), pack(counts[order[at]].astype(np.uint32), flagged[at])
 
 
 def to_blocks(docs: DataFrame, n_buckets: int, fold: bool, end: bool) -> DataFrame:
-    """docs: columns id, text, flag. Rows of bucket -1 hold a block's documents; the others its words of a bucket, with their counts in flagged documents."""
+    """docs: columns id, text, flag. Rows of bucket -1 hold a block's documents; the others its words of a bucket, with their counts in all and in flagged documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, block = TaskContext.get().partitionId() << 24, Block(n_buckets, fold, end)

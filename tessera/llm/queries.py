@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, word_bpe
+from . import katz, quality_rules, word_bpe
 from ._shared import documents
 
 WORD_BPE = "word_bpe_49k.json"
@@ -29,6 +29,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", *[f"{s}.{x}" for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")])
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(documents(spark, sf_dir))
+
+
 def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     return word_bpe.digests(word_bpe.decode(word_bpe.encode(documents(spark, sf_dir), path), path))
@@ -36,6 +40,7 @@ def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_katz": op2_katz,
     "op6_word_bpe": op6_word_bpe,
 }
 
