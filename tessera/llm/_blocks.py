@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from ._shared import partitions, stored
 
 #: Bytes of text in a block, unless one text is longer.
-BLOCK = 32 << 20
-SCHEMA = "block long, bucket int, words binary, tokens binary"
+BLOCK = 16 << 20
+SCHEMA = "block long, bucket int, stamp long, words binary, tokens binary"
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -82,7 +82,7 @@ class Block:
         self.flags.append(flag)
         self.size += len(text)
 
-    def rows(self, number: int) -> Iterator[tuple[int, int, bytes | None, bytes | None]]:
+    def rows(self, number: int, only: str = "") -> Iterator[tuple[int, int, int, bytes | None, bytes | None]]:
         tokens = np.concatenate(self.tokens) if self.tokens else np.empty(0, np.int32)
         lengths, flags = np.array(self.lengths, np.int32), np.array(self.flags, bool)
         counts = np.bincount(tokens, minlength=len(self.numbers))
@@ -96,24 +96,28 @@ class Block:
         bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(self.n_buckets)
         ids = np.array([0 if x is None else x for x in self.ids], np.int64)
         known = np.array([x is not None for x in self.ids], np.uint8)
-        yield number, -1, None, pack(ids, known, flags.astype(np.uint8), lengths, tokens, bucket)
+        stamp = zlib.crc32(tokens.tobytes()) << 30 | zlib.crc32(ids.tobytes()) >> 2
+        if only != "words":
+            yield number, -1, stamp, None, pack(ids, known, flags.astype(np.uint8), lengths, tokens, bucket)
+        if only == "documents":
+            return
         by = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[by], np.arange(self.n_buckets + 1))
         for b in range(self.n_buckets):
             at = by[cuts[b] : cuts[b + 1]]
             if len(at):
-                yield number, b, pack_words([words[i] for i in at.tolist()]), pack(counts[order[at]].astype(np.uint32), flagged[at])
+                yield number, b, stamp, pack_words([words[i] for i in at.tolist()]), pack(counts[order[at]].astype(np.uint32), flagged[at])
 
 
-def to_blocks(docs: DataFrame, n_buckets: int, fold: bool, end: bool) -> DataFrame:
-    """docs: columns id, text, flag. Rows of bucket -1 hold a block's documents; the others its words of a bucket, with their counts in all and in flagged documents."""
+def to_blocks(docs: DataFrame, n_buckets: int, fold: bool, end: bool, only: str = "") -> DataFrame:
+    """docs: columns id, text, flag. only: "words" or "documents" rows, all if empty. Rows of bucket -1 hold a block's documents; the others its words of a bucket, with their counts in all and in flagged documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, block = TaskContext.get().partitionId() << 24, Block(n_buckets, fold, end)
 
         def out() -> pa.RecordBatch:
-            cols = list(zip(*block.rows(number), strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["block", "bucket", "words", "tokens"])
+            cols = list(zip(*block.rows(number, only), strict=True)) or [()] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["block", "bucket", "stamp", "words", "tokens"])
 
         for batch in batches:
             for doc_id, text, flag in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -141,7 +145,7 @@ def word_requests(blocks: DataFrame) -> DataFrame:
 
 
 def block_documents(blocks: DataFrame) -> DataFrame:
-    return blocks.filter("bucket < 0").select("block", "tokens")
+    return blocks.filter("bucket < 0").select("block", "stamp", "tokens")
 
 
 def with_answers(blocks: DataFrame, answers: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
@@ -149,6 +153,12 @@ def with_answers(blocks: DataFrame, answers: DataFrame, run: Callable[[pa.Table,
     return block_documents(blocks).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
+def same_block(row: pa.Table, found: pa.Table) -> None:
+    """Raises where a block read twice isn't the same: its answers would be those of other words."""
+    if row.num_rows and found.num_rows and {row.column("stamp")[0].as_py()} != set(found.column("stamp").to_pylist()):
+        raise RuntimeError("a partition of the documents was read twice with other rows; store the documents first")
+
+
 def gather(bucket_of: np.ndarray, answers: dict[int, np.ndarray], dtype: np.dtype | str) -> np.ndarray:
     """Answers by bucket, each in the order of the request, as one array in the order of the block's words."""
     out = np.zeros(len(bucket_of), dtype)

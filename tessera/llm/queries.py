@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import katz, quality_rules, word_bpe
+from . import exact_index, katz, mixing, quality_rules, shingle_join, word_bpe
 from ._shared import documents
 
 WORD_BPE = "word_bpe_49k.json"
@@ -35,13 +35,28 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
-    return word_bpe.digests(word_bpe.decode(word_bpe.encode(documents(spark, sf_dir), path), path))
+    return word_bpe.digests(word_bpe.encode(documents(spark, sf_dir), path), path)
+
+
+def op7_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.link_documents(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "set_id")
+
+
+def op3_exact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_index.classes(documents(spark, sf_dir)).drop("bucket")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_katz": op2_katz,
+    "op3_exact_index": op3_exact_index,
     "op6_word_bpe": op6_word_bpe,
+    "op7_shingle_join": op7_shingle_join,
+    "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_exact_index": exact_index.ORACLE}

@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._blocks import gather, pack, stored_blocks, unpack, unpack_words, with_answers, word_requests
-from ._shared import stored
+from ._blocks import gather, n_buckets, pack, same_block, to_blocks, unpack, unpack_words, with_answers, word_requests
 
 #: Ids in a batch of results.
 OUT_IDS = 2_000_000
@@ -40,12 +39,16 @@ def _tokenizer(definition: str):
 
 
 def encode(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row (id, ids array<int>) for each document."""
+    """One row (id, ids array<int>) for each document.
+
+    docs are read twice, for their words and for their positions, and must be the same
+    both times, as files are; other rows the second time raise an error.
+    """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(f.read())  # a file of fixed size
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.lit(False).alias("flag"))
-    blocks = stored_blocks(docs, "bpe-blocks", fold=False, end=False)
+    blocks = lambda only: to_blocks(docs, n_buckets(spark), fold=False, end=False, only=only)
 
     def encode_words(requests: pa.Table) -> pa.Table:
         asked = [unpack_words(x) for x in requests.column("words").to_pylist()]
@@ -66,9 +69,10 @@ def encode(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str =
             at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
             n = lengths[at]
             answers.append(pack(n.astype(np.uint32), ids[_ranges(start[at], n)].astype(np.uint32)))
-        return pa.table({"block": requests.column("block"), "bucket": requests.column("bucket"), "answer": pa.array(answers, pa.binary())})
+        return pa.table({"block": requests.column("block"), "bucket": requests.column("bucket"), "stamp": requests.column("stamp"), "answer": pa.array(answers, pa.binary())})
 
-    answers = stored(word_requests(blocks).select("block", "bucket", "words").groupBy("bucket").applyInArrow(encode_words, "block long, bucket int, answer binary"), "bpe-words")
+    asked = word_requests(blocks("words")).select("block", "bucket", "stamp", "words")
+    answers = asked.groupBy("bucket").applyInArrow(encode_words, "block long, bucket int, stamp long, answer binary")
 
     def join(block: pa.Table, found: pa.Table) -> Iterator[pa.RecordBatch]:
         doc_id, known, _, n_words, tokens, bucket = unpack(block.column("tokens")[0].as_py())
@@ -98,9 +102,10 @@ def encode(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str =
 
     def joined(block: pa.Table, found: pa.Table) -> pa.Table:
         schema = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+        same_block(block, found)
         return pa.Table.from_batches([x.cast(schema) for x in join(block, found)], schema) if block.num_rows else schema.empty_table()
 
-    return with_answers(blocks, answers, joined, "id long, ids array<int>").withColumnRenamed("id", id)
+    return with_answers(blocks("documents"), answers, joined, "id long, ids array<int>").withColumnRenamed("id", id)
 
 
 def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -119,39 +124,47 @@ def pieces(tokenizer_path: str) -> list[str]:
     return [by_id.get(i, "") for i in range(max(by_id, default=-1) + 1)]
 
 
+def _text_of(lists: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    """Each list's pieces, one space between two; an id without a piece is left out."""
+    flat, n = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ids = flat.to_numpy(zero_copy_only=False)
+    good = (ids >= 0) & (ids < len(pieces))
+    if not good.all():
+        kept = np.concatenate([[0], np.cumsum(good)])
+        ends = np.cumsum(n)
+        n, flat = kept[ends] - kept[ends - n], flat.filter(pa.array(good))
+    offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, pieces.take(flat)), " ")
+
+
 def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
-    """encoded with the text of its ids: the pieces, one space between two. Ids out of the vocabulary are left out, as the library does."""
+    """encoded with the text of its ids, joined to the table of pieces."""
     table = encoded.sparkSession.sparkContext.broadcast(pieces(tokenizer_path))  # of fixed size
     schema = T.StructType([*encoded.schema.fields, T.StructField(into, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = pa.array(table.value)
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids))
-            flat, n = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            good = np.logical_and(flat.to_numpy() >= 0, flat.to_numpy() < len(words))
-            if not good.all():
-                n = np.add.reduceat(np.append(good, False).astype(int), np.append(np.cumsum(n) - n, len(good))[:-1]) * (n > 0) if len(n) else n
-                flat = flat.filter(pa.array(good))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
-            text = pc.binary_join(pa.ListArray.from_arrays(offsets, words.take(flat)), " ")
+            text = _text_of(batch.column(batch.schema.get_field_index(ids)), words)
             yield pa.RecordBatch.from_arrays([*batch.columns, text], [*batch.schema.names, into])
 
     return encoded.mapInArrow(run, schema)
 
 
-def digests(decoded: DataFrame, id: str = "doc_id", ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """id, n_tokens, ids_sha256 of the decimal ids with a space between two, decoded_sha256."""
+def digests(encoded: DataFrame, tokenizer_path: str, id: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """id, n_tokens, ids_sha256 of the decimal ids with a space between two, decoded_sha256 of the text that decode() gives."""
+    table = encoded.sparkSession.sparkContext.broadcast(pieces(tokenizer_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.array(table.value)
+        numbers = pa.array([str(i) for i in range(len(words))])
+        sha = lambda column: pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in column], pa.string())
         for batch in batches:
-            lists = batch.column(1)
-            flat = pc.cast(lists.flatten(), pa.string())
-            n = pc.list_value_length(lists)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(n.to_numpy(zero_copy_only=False))]), pa.int32())
-            as_text = pc.binary_join(pa.ListArray.from_arrays(offsets, flat), " ")
-            sha = [pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in column], pa.string()) for column in (as_text, batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pc.cast(n, pa.int64()), *sha], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    out = decoded.select(id, ids, text).mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                lists = part.column(1)
+                n = pc.cast(pc.list_value_length(lists), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), n, sha(_text_of(lists, numbers)), sha(_text_of(lists, words))], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    out = encoded.select(id, ids).mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("id", id)
