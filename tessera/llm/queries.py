@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_index, katz, mixing, quality_rules, shingle_join, word_bpe
+from . import exact_index, katz, line_dedup, mixing, quality_rules, shingle_join, word_bpe
 from ._shared import documents
 
 WORD_BPE = "word_bpe_49k.json"
@@ -35,7 +35,7 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
-    return word_bpe.digests(word_bpe.encode(documents(spark, sf_dir), path), path)
+    return word_bpe.digests(documents(spark, sf_dir), path)
 
 
 def op7_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op3_exact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_index.classes(documents(spark, sf_dir)).drop("bucket")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_index": op3_exact_index,
     "op6_word_bpe": op6_word_bpe,
     "op7_shingle_join": op7_shingle_join,
+    "op8_line_dedup": op8_line_dedup,
     "op10_mixing": op10_mixing,
 }
 

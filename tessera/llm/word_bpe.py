@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,30 @@ def encode(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str =
     docs are read twice, for their words and for their positions, and must be the same
     both times, as files are; other rows the second time raise an error.
     """
+    return _encoded(docs, tokenizer_path, id, text, lambda batch: batch, [("id", pa.int64()), ("ids", pa.list_(pa.int32()))], "id long, ids array<int>")
+
+
+def digests(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """id, n_tokens, ids_sha256 of the decimal ids with a space between two, decoded_sha256 of the decoded text: encode() and decode() in one pass."""
+    table = docs.sparkSession.sparkContext.broadcast(pieces(tokenizer_path))  # of fixed size
+
+    def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = pa.array(table.value)
+        numbers = pa.array([str(i) for i in range(len(words))])
+        sha = lambda column: [hashlib.sha256(x.as_buffer()).hexdigest() for x in column]
+        ids, decoded = [], []
+        for at in range(0, batch.num_rows, 256):
+            lists = batch.column(1).slice(at, 256)
+            ids += sha(_text_of(lists, numbers))
+            decoded += sha(_text_of(lists, words))
+        n = pc.cast(pc.list_value_length(batch.column(1)), pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    fields = [("id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    return _encoded(docs, tokenizer_path, id, text, finish, fields, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def _encoded(docs: DataFrame, tokenizer_path: str, id: str, text: str, finish: Callable[[pa.RecordBatch], pa.RecordBatch], fields: list, schema: str) -> DataFrame:
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(f.read())  # a file of fixed size
@@ -101,11 +125,11 @@ def encode(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str =
             first = last
 
     def joined(block: pa.Table, found: pa.Table) -> pa.Table:
-        schema = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+        out = pa.schema(fields)
         same_block(block, found)
-        return pa.Table.from_batches([x.cast(schema) for x in join(block, found)], schema) if block.num_rows else schema.empty_table()
+        return pa.Table.from_batches([finish(x).cast(out) for x in join(block, found)], out) if block.num_rows else out.empty_table()
 
-    return with_answers(blocks("documents"), answers, joined, "id long, ids array<int>").withColumnRenamed("id", id)
+    return with_answers(blocks("documents"), answers, joined, schema).withColumnRenamed("id", id)
 
 
 def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -149,22 +173,3 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", into: str
             yield pa.RecordBatch.from_arrays([*batch.columns, text], [*batch.schema.names, into])
 
     return encoded.mapInArrow(run, schema)
-
-
-def digests(encoded: DataFrame, tokenizer_path: str, id: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """id, n_tokens, ids_sha256 of the decimal ids with a space between two, decoded_sha256 of the text that decode() gives."""
-    table = encoded.sparkSession.sparkContext.broadcast(pieces(tokenizer_path))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = pa.array(table.value)
-        numbers = pa.array([str(i) for i in range(len(words))])
-        sha = lambda column: pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in column], pa.string())
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                lists = part.column(1)
-                n = pc.cast(pc.list_value_length(lists), pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), n, sha(_text_of(lists, numbers)), sha(_text_of(lists, words))], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    out = encoded.select(id, ids).mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    return out.withColumnRenamed("id", id)
