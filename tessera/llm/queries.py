@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_index, katz, line_dedup, mixing, quality_rules, shingle_join, word_bpe
+from . import exact_index, hyper_lang, katz, line_dedup, mixing, quality_rules, shingle_join, word_bpe
 from ._shared import documents
 
 WORD_BPE = "word_bpe_49k.json"
@@ -33,6 +33,10 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(documents(spark, sf_dir))
 
 
+def op4_hyper_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyper_lang.identify(documents(spark, sf_dir))
+
+
 def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     return word_bpe.digests(documents(spark, sf_dir), path)
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_katz": op2_katz,
     "op3_exact_index": op3_exact_index,
+    "op4_hyper_lang": op4_hyper_lang,
     "op6_word_bpe": op6_word_bpe,
     "op7_shingle_join": op7_shingle_join,
     "op8_line_dedup": op8_line_dedup,
