@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_index, hyper_lang, katz, line_dedup, mixing, quality_rules, shingle_join, word_bpe
+from . import exact_index, hyper_lang, katz, line_dedup, mixing, private_data, quality_rules, shingle_join, word_bpe
 from ._shared import documents
 
 WORD_BPE = "word_bpe_49k.json"
@@ -54,6 +54,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(documents(spark, sf_dir))
 
 
+def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.report(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_word_bpe": op6_word_bpe,
     "op7_shingle_join": op7_shingle_join,
     "op8_line_dedup": op8_line_dedup,
+    "op9_private_data": op9_private_data,
     "op10_mixing": op10_mixing,
 }
 
