@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._shared import partitions, stored
+from ._words import release
 
 #: Bytes of text in a block, unless one text is longer.
 BLOCK = 16 << 20
@@ -124,9 +125,12 @@ def to_blocks(docs: DataFrame, n_buckets: int, fold: bool, end: bool, only: str
                 block.add(doc_id, text or b"", bool(flag))
                 if block.size >= BLOCK:
                     yield out()
+                    release()
                     number, block = number + 1, Block(n_buckets, fold, end)
         if block.ids:
             yield out()
+        del block
+        release()
 
     return docs.select(F.col("id").cast("long"), F.col("text").cast("binary"), F.col("flag")).mapInArrow(run, SCHEMA)
 
@@ -150,7 +154,13 @@ def block_documents(blocks: DataFrame) -> DataFrame:
 
 def with_answers(blocks: DataFrame, answers: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """run(a block's row, its answers) for every block."""
-    return block_documents(blocks).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+
+    def one(row: pa.Table, found: pa.Table) -> pa.Table:
+        out = run(row, found)
+        release()
+        return out
+
+    return block_documents(blocks).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(one, schema)
 
 
 def same_block(row: pa.Table, found: pa.Table) -> None:

@@ -7,6 +7,7 @@ no Python object is made for a word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -130,3 +131,12 @@ def by_column(batches: Iterable[pa.RecordBatch], name: str) -> Iterator[tuple[pa
     for batch in batches:
         if batch.num_rows:
             yield batch, batch.column(batch.schema.get_field_index(name))
+
+
+def release() -> None:
+    """Hand freed memory back: a worker is used again, often for other work, and others wait beside it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -103,3 +103,18 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     over = F.aggregate(F.sequence(F.greatest(first - 1, F.lit(0)), F.greatest(last, F.lit(0))), F.lit(0).cast("double"), lambda a, k: a + part(k) * F.least(whole + chosen(k), F.lit(2)).cast("double"))
     taken = F.when((F.col("size") > 0) & F.col("n").isNotNull(), over).otherwise(0.0)
     return d.select(F.col("id").alias(id), "size", "source_size", "target", F.least(taken, 2.0 * F.col("size")).cast("long").alias("taken"))
+
+
+def sample(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
+    """The mix as rows: each document as often as taken / size rounds to, by a seeded draw for the part over a whole.
+
+    Rows with one id are drawn alike; rows with a null id stay once.
+    """
+    t = mix(docs, id, text, source, seed).filter(F.col(id).isNotNull()).groupBy(F.col(id).alias("_id")).agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+    share = F.col("_taken") / F.col("_size")
+    draw = F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(1 << 20)) / float(1 << 20)
+    times = F.floor(share).cast("int") + (draw < share - F.floor(share)).cast("int")
+    t = stored(t.filter("_size > 0").select("_id", times.alias("_times")), "mixing-times")
+    out = docs.join(t, F.col(id) == F.col("_id"), "left")
+    n = F.when(F.col(id).isNull(), 1).otherwise(F.coalesce("_times", F.lit(0)))
+    return out.filter(n > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), n))).select(*docs.columns)

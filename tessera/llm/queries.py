@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_index, hyper_lang, katz, line_dedup, mixing, private_data, quality_rules, shingle_join, word_bpe
+from . import exact_index, hyper_lang, katz, line_dedup, mixing, private_data, quality_rules, secret_scan, shingle_join, word_bpe
 from ._shared import documents
 
 WORD_BPE = "word_bpe_49k.json"
@@ -37,6 +37,10 @@ def op4_hyper_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyper_lang.identify(documents(spark, sf_dir))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(documents(spark, sf_dir))
+
+
 def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     return word_bpe.digests(documents(spark, sf_dir), path)
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_katz": op2_katz,
     "op3_exact_index": op3_exact_index,
     "op4_hyper_lang": op4_hyper_lang,
+    "op5_secret_scan": op5_secret_scan,
     "op6_word_bpe": op6_word_bpe,
     "op7_shingle_join": op7_shingle_join,
     "op8_line_dedup": op8_line_dedup,

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ._blocks import n_buckets, pack, unpack
 from ._graph import components
 from ._shared import stored
-from ._words import Batch, chunks, mix
+from ._words import Batch, chunks, mix, release
 
 U64 = np.uint64
 #: Documents to a key up to which all their pairs are taken at once.
@@ -44,7 +44,7 @@ FEW = 16
 #: Centres to which the documents of a more frequent key are compared first.
 CENTRES = 6
 #: Bytes and documents in a block.
-BLOCK, BLOCK_DOCS = 16 << 20, 1 << 16
+BLOCK, BLOCK_DOCS = 6 << 20, 1 << 16
 #: Ids that may be broadcast; beyond that, documents are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 
@@ -232,11 +232,14 @@ def index_keys(docs: DataFrame, plan: Plan, width: int, buckets: int) -> DataFra
                     if n and (n + len(some) > BLOCK_DOCS or size >= BLOCK):
                         yield out()
                         hold, n, size, block = [], 0, 0, block + 1
+                        release()
                     lo = first + at
                     hold.append((all_ids[lo : lo + len(some)], all_comps[lo : lo + len(some)], some))
                     n, size = n + len(some), size + sum(map(len, some))
         if hold:
             yield out()
+        hold = []
+        release()
 
     return docs.select("id", "text", "component").mapInArrow(run, _KEYS)
 
