@@ -51,16 +51,18 @@ def occurrences(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def within(a: Column, b: Column, tau: int) -> Column:
-    """True if the edit distance of strings a and b, whose lengths differ by tau at most, is tau or less.
+    """True if the edit distance of a and b is tau or less; arrays of characters whose lengths differ by tau at most.
+
+    They are columns, not expressions: what stands in a lambda is worked out anew at each step.
 
     Bit v of a number stands for row j - tau + v of column j of the matrix; VP and VN have
     the bits whose row is one above or below the row before. The distance is followed along
     the diagonal and, at the last column, up or down to the last row.
     """
-    p, t = F.split(a, ""), F.split(b, "")
+    p, t = a, b
     width = 2 * tau + 1
     mask = (1 << width) - 1
-    m, n = F.length(a), F.length(b)
+    m, n = F.size(a), F.size(b)
     lit = lambda x: F.lit(x).cast("long")
 
     def equal(j: Column) -> Column:
@@ -110,7 +112,7 @@ def near_lines(docs: DataFrame, lines: DataFrame, text: str) -> DataFrame:
     few = wanted.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
     found = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).filter(F.length("line") >= NEAR_FROM).withColumn("h1", F.xxhash64("line"))
     found = found.join(F.broadcast(wanted) if few else wanted, "h1", "left_semi").groupBy("h1").agg(F.max("line").alias("line"))
-    found = stored(found, "line-texts")
+    found = stored(found.select("h1", F.split("line", "").alias("line")), "line-texts")
     both = pairs.join(found.select(F.col("h1").alias("a"), F.col("line").alias("x")), "a").join(found.select(F.col("h1").alias("b"), F.col("line").alias("y")), "b")
     return stored(both.filter(within(F.col("x"), F.col("y"), TAU)).select("a", "b"), "line-links")
 
@@ -142,9 +144,8 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with their dropped lines taken out; a document all of whose lines with words go, goes."""
     v = verdicts(docs, id, text).filter(F.size("dropped") > 0).select(F.col(id).alias("_id"), F.col("dropped").alias("_dropped"), (F.col("n_kept") == 0).alias("_gone"))
     out = docs.join(stored(v, "line-verdicts"), F.col(id) == F.col("_id"), "left").filter(~F.coalesce("_gone", F.lit(False)))
-    parts = F.split(F.col(text), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_dropped"))
-    kept = F.when(F.col("_dropped").isNull(), F.col(text)).otherwise(F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n"))
+    left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_dropped", i))
+    kept = F.when(F.col("_dropped").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     return out.withColumn(text, kept).select(*docs.columns)
 
 
