@@ -29,7 +29,16 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     writer = df.write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that stored() wrote and nothing reads any more."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -24,8 +24,8 @@ _VALUE_FOLDED = _VALUE.copy()
 _VALUE_FOLDED[65:91] = _VALUE[97:123]
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-#: Bytes of text that one call works on, unless a single text is longer.
-CHUNK = 4 << 20
+#: Bytes of text that one call works on, unless a single text is longer; with it, the tables of powers stay small.
+CHUNK = (2 << 20) - (64 << 10)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,15 +39,16 @@ def powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, n or more of each."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
+        size = -(-n // (1 << 18)) << 18
         inverse = pow(base, -1, 1 << 64)
         out = []
         for b in (base, inverse):
             a = np.empty(size, np.uint64)
             a[0], done, step = 1, 1, b
             while done < size:
-                a[done : 2 * done] = a[:done] * U64(step)
-                step, done = step * step & _MASK, 2 * done
+                more = min(done, size - done)
+                a[done : done + more] = a[:more] * U64(step)
+                step, done = step * step & _MASK, done + more
             out.append(a)
         have = _powers[base] = (out[0], out[1])
     return have

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import n_buckets, pack, unpack
 from ._graph import components
-from ._shared import stored
+from ._shared import discard, stored
 from ._words import Batch, chunks, mix, release
 
 U64 = np.uint64
@@ -417,9 +417,11 @@ def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     seen = stored(indexed_documents(rows), "indexed")
     if not seen.filter(_too_weak(plan)).isEmpty():  # no margin suffices for all sets at hand
         plan = Plan.of(num, den, largest, single=True)
+        discard(rows)
         rows = stored(index_keys(distinct.withColumn("component", F.lit(0).cast("long")), plan, width, buckets), "keys")
         seen = stored(indexed_documents(rows), "indexed")
     found = stored(match_keys(rows, between=False), "found")
+    discard(rows)
     pairs = stored(_candidates(found, seen, plan), "pairs")
     links = stored(exact(distinct, pairs, width, num, den), "linked")
 
