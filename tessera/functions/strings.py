@@ -136,7 +136,7 @@ def namespace(url: Column, known: list[str]) -> Column:
     """First path segment that is a known namespace, whatever its case; else Main."""
     lower = F.array(*[F.lit(k.lower()) for k in known])
     at = F.filter(F.transform(F.split(url, "/"), lambda s: F.array_position(lower, F.lower(s))), lambda i: i > 0)
-    return F.coalesce(F.element_at(F.array(*[F.lit(k) for k in known]), F.get(at, F.lit(0)).cast("int")), F.lit("Main"))
+    return F.when(F.size(at) > 0, F.element_at(F.array(*[F.lit(k) for k in known]), F.element_at(at, 1).cast("int"))).otherwise("Main")
 
 
 def category_and_name(c: Column) -> tuple[Column, Column]:
