@@ -20,14 +20,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     """CSV or Excel; headers become column names. Excel needs a reader that may not be installed and is read on the driver."""
     low = path.lower()
     if low.endswith(".csv"):
-        reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", False)
-        df = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+        reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+        df = reader.schema(schema).option("enforceSchema", False).csv(path) if schema else reader.option("inferSchema", True).csv(path)
     elif low.endswith((".xlsx", ".xls")):
         df = spark.createDataFrame(pd.read_excel(path))
     else:
         raise ValueError(f"unsupported file type: {path}")
     if sanitize:
-        df = df.toDF(*S.unique_names(df.columns))
+        names = df.columns
+        if low.endswith(".csv"):  # as written: the reader numbers repeats in its own way
+            written = spark.read.option("multiLine", True).option("escape", '"').csv(path).first()
+            names = [x or f"_c{i}" for i, x in enumerate(written)] if written is not None and len(written) == len(names) else names
+        df = df.toDF(*S.unique_names(names))
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(*NOTHING), F.col(f"`{c}`")) for c in text})
 
