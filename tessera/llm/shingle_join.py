@@ -8,8 +8,9 @@ holds a key for every non-empty part, and for the first few parts also the keys
 their one-deletion neighbourhoods, which are worth two differences each.
 
 Allocation by cost: keys that many documents share get no pairs. They are left out as
-long as a document's other parts still outweigh H; pairs in which both documents lean
-on shared keys are taken up again among those documents alone, between components only.
+long as a document's other parts still outweigh H. Documents that lean on shared keys are
+taken up again among themselves: their rarest keys tie them to communities, in which
+blocks of documents of like size are compared as tables, between components only.
 m is chosen per band so that the non-empty parts outweigh H by a margin; should a set
 ever fall short, the join is made anew with one shingle to a part, which always holds.
 
@@ -30,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._blocks import n_buckets, pack, unpack
@@ -188,7 +189,7 @@ _KEYS = "bucket int, code long, docs binary, keys binary"
 
 
 def index_keys(docs: DataFrame, plan: Plan, width: int, buckets: int) -> DataFrame:
-    """docs: id, text, component. A row for each block and bucket of keys, and rows of bucket -1 with the block's documents."""
+    """docs: id, text. A row for each block and bucket of keys, and rows of bucket -1 with the block's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, block = TaskContext.get().partitionId() << 36, 0
@@ -196,13 +197,12 @@ def index_keys(docs: DataFrame, plan: Plan, width: int, buckets: int) -> DataFra
         n = size = 0
 
         def out() -> pa.RecordBatch:
-            ids, comps, sizes, fulls, worths, keys, entries, own_comp = [], [], [], [], [], [], [], []
+            ids, sizes, fulls, worths, keys, entries = [], [], [], [], [], []
             count = 0
-            for part_ids, part_comps, texts in hold:
+            for part_ids, texts in hold:
                 h, cuts = shingle_sets(texts, width)
                 key, of, own, ws, full, worth = part_keys(h, cuts, plan)
                 ids += part_ids
-                comps += part_comps
                 sizes.append(np.diff(cuts))
                 fulls.append(full)
                 worths.append(worth)
@@ -210,7 +210,6 @@ def index_keys(docs: DataFrame, plan: Plan, width: int, buckets: int) -> DataFra
                 entries.append(((of + count) << 2 | own.astype(np.int64) << 1 | (ws == 2)).astype(np.uint32))
                 count += len(texts)
             key, entry = np.concatenate(keys), np.concatenate(entries)
-            comp = np.array(comps, np.int64)
             full, worth = np.concatenate(fulls), np.concatenate(worths)
             first = base | block << 16
             rows = [(-1, first, pack(np.array(ids, np.int64), np.concatenate(sizes), *full.T.copy(), *worth.T.copy()), None)]
@@ -220,12 +219,12 @@ def index_keys(docs: DataFrame, plan: Plan, width: int, buckets: int) -> DataFra
             cut = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
             for b in np.flatnonzero(np.diff(cut)).tolist():
                 at = order[cut[b] : cut[b + 1]]
-                rows.append((b, first, None, pack(np.diff(short[at], prepend=U64(0)), entry[at], comp[entry[at] >> 2])))
+                rows.append((b, first, None, pack(np.diff(short[at], prepend=U64(0)), entry[at])))
             cols = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["bucket", "code", "docs", "keys"])
 
         for batch in batches:
-            all_ids, all_comps = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            all_ids = batch.column(0).to_pylist()
             for first, texts in chunks(batch.column(1)):
                 for at in range(0, len(texts), BLOCK_DOCS):
                     some = texts[at : at + BLOCK_DOCS]
@@ -234,14 +233,26 @@ def index_keys(docs: DataFrame, plan: Plan, width: int, buckets: int) -> DataFra
                         hold, n, size, block = [], 0, 0, block + 1
                         release()
                     lo = first + at
-                    hold.append((all_ids[lo : lo + len(some)], all_comps[lo : lo + len(some)], some))
+                    hold.append((all_ids[lo : lo + len(some)], some))
                     n, size = n + len(some), size + sum(map(len, some))
         if hold:
             yield out()
         hold = []
         release()
 
-    return docs.select("id", "text", "component").mapInArrow(run, _KEYS)
+    return docs.select("id", "text").mapInArrow(run, _KEYS)
+
+
+def _entries(group: pa.Table, parts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, entries and codes of a bucket, by key and code; a document has a key once."""
+    key = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts])
+    entry = np.concatenate([x[1] for x in parts]).astype(np.int64)
+    code = np.repeat(np.array(group.column("code").to_pylist(), np.int64), [len(x[1]) for x in parts]) | entry >> 2
+    order = np.lexsort((code, key))
+    key, entry, code = key[order], entry[order], code[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (code[1:] != code[:-1])
+    return key[new], entry[new], code[new]
 
 
 def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -257,23 +268,12 @@ def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
 _FOUND = "kind int, a long, b long, n long"
 
 
-def match_keys(rows: DataFrame, between: bool) -> DataFrame:
-    """Documents that share keys. kind 0: a pair and how many keys it shares; 1: the same with a centre of a frequent key; 2: what a document's frequent keys are worth.
-
-    between: all pairs of different components instead, of frequent keys too.
-    """
+def match_keys(rows: DataFrame) -> DataFrame:
+    """Documents that share keys. kind 0: a pair and how many keys it shares; 1: the same with a centre of a frequent key; 2 and 3: what a document's frequent keys are worth, of its own band and of those below."""
 
     def run(group: pa.Table) -> pa.Table:
         parts = [unpack(x) for x in group.column("keys").to_pylist()]
-        key = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts])
-        entry = np.concatenate([x[1] for x in parts]).astype(np.int64)
-        comp = np.concatenate([x[2] for x in parts])
-        code = np.repeat(np.array(group.column("code").to_pylist(), np.int64), [len(x[1]) for x in parts]) | entry >> 2
-        order = np.lexsort((code, key))
-        key, entry, comp, code = key[order], entry[order], comp[order], code[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (code[1:] != code[:-1])
-        key, entry, comp, code = key[new], entry[new], comp[new], code[new]
+        key, entry, code = _entries(group, parts)
         own, two = entry & 2 > 0, entry & 1
         new = np.ones(len(key), bool)
         new[1:] = key[1:] != key[:-1]
@@ -281,18 +281,7 @@ def match_keys(rows: DataFrame, between: bool) -> DataFrame:
         size = np.diff(np.append(start, len(key)))
         group_of = np.cumsum(new) - 1
         found: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-        if between:
-            lists: list[tuple[np.ndarray, np.ndarray]] = []
-            for s, n in zip(start[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-                c = comp[s : s + n]
-                for label in np.unique(c)[:-1].tolist():  # each component with those above it
-                    x, y = s + np.flatnonzero(c == label), s + np.flatnonzero(c > label)
-                    x, y = np.repeat(x, len(y)), np.tile(y, len(x))
-                    ok = own[x] | own[y]
-                    lists.append((code[x[ok]], code[y[ok]]))
-            if lists:
-                found.append((0, *_distinct_pairs(*(np.concatenate(z) for z in zip(*lists, strict=True)))))
-        else:
+        if len(key):
             few = size[group_of] <= FEW
             a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for step in range(1, FEW):
@@ -316,8 +305,9 @@ def match_keys(rows: DataFrame, between: bool) -> DataFrame:
                     a.append(code[centre[ok]])
                     b.append(code[at[by][ok]])
                 found.append((1, *_distinct_pairs(np.concatenate(a), np.concatenate(b))))
-                who, where = np.unique(code[at], return_inverse=True)
-                found.append((2, who, np.full(len(who), -1), np.bincount(where, 1 + two[at]).astype(np.int64)))
+                for kind, mine in ((2, at[own[at]]), (3, at[~own[at]])):
+                    who, where = np.unique(code[mine], return_inverse=True)
+                    found.append((kind, who, np.full(len(who), -1), np.bincount(where, 1 + two[mine], len(who)).astype(np.int64)))
         cols = [np.concatenate([np.full(len(x[1]), x[0], np.int32) for x in found]), *(np.concatenate([x[i] for x in found]) for i in (1, 2, 3))] if found else [np.empty(0, np.int64)] * 4
         return pa.table({"kind": pa.array(cols[0], pa.int32()), "a": pa.array(cols[1], pa.int64()), "b": pa.array(cols[2], pa.int64()), "n": pa.array(cols[3], pa.int64())})
 
@@ -374,33 +364,153 @@ def _candidates(found: DataFrame, documents: DataFrame, plan: Plan, centre_share
     lows = F.array(*[F.lit(int(x)) for x in plan.low])
     d = documents.withColumn("band", F.size(F.filter(lows, lambda x: x <= F.col("n"))))
     shared = found.filter("kind < 2").groupBy("kind", "a", "b").agg(F.sum("n").alias("shared"))
-    frequent = found.filter("kind = 2").groupBy(F.col("a").alias("code")).agg(F.sum("n").alias("lost"))
-    d = d.join(frequent, "code", "left").fillna(0, ["lost"])
+    d = d.join(_frequent(found), "code", "left").fillna(0, ["lost", "lost_below"])
     side = lambda s: d.select(*[F.col(x).alias(s if x == "code" else f"{s}_{x}") for x in d.columns])
     x = shared.join(side("a"), "a").join(side("b"), "b")
     x = x.filter(plan.den * F.least("a_n", "b_n") >= plan.num * F.greatest("a_n", "b_n"))
     least = F.least("a_band", "b_band")
     differ = F.floor((plan.den - plan.num) * (F.col("a_n") + F.col("b_n")) / F.lit(plan.den + plan.num))
     full = lambda s: F.element_at(F.array(*[F.col(f"{s}_f{i}") for i in range(3)]), (F.col(f"{s}_band") - least + 1).cast("int"))
-    need = lambda s: full(s) - differ - F.when(F.col("kind") == 0, F.col(f"{s}_lost")).otherwise(0)
+    lost = lambda s: F.when(F.col(f"{s}_band") == least, F.col(f"{s}_lost")).otherwise(F.col(f"{s}_lost_below"))
+    need = lambda s: full(s) - differ - F.when(F.col("kind") == 0, lost(s)).otherwise(0)
     most = F.greatest(need("a"), need("b"))
     enough = F.when(F.col("kind") == 0, F.col("shared") >= most).otherwise(centre_share * F.col("shared") >= most)
     return x.filter(enough).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).filter("a <> b").distinct()
 
 
+def _frequent(found: DataFrame) -> DataFrame:
+    """code, lost, lost_below: what frequent keys are worth, of the own band and of those below."""
+    part = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0))
+    return found.filter("kind > 1").groupBy(F.col("a").alias("code")).agg(part(2).alias("lost"), part(3).alias("lost_below"))
+
+
+def _differ(plan: Plan):
+    """Most differences between a set of n and any partner: the largest is n * den / num."""
+    n = F.col("n")
+    return F.floor((plan.den - plan.num) * (n + F.floor(n * plan.den / F.lit(plan.num))) / F.lit(plan.den + plan.num))
+
+
+def _bands(plan: Plan):
+    """(band of n from 1, lowest band of its partners)"""
+    lows = F.array(*[F.lit(int(x)) for x in plan.low])
+    return F.size(F.filter(lows, lambda x: x <= F.col("n"))), F.size(F.filter(lows, lambda x: x * plan.den <= F.col("n") * plan.num + plan.den - 1))
+
+
 def _short(documents: DataFrame, found: DataFrame, plan: Plan) -> DataFrame:
     """Ids whose keys, without the frequent ones, are not worth more than the differences in one of their bands."""
-    lows, differ = (F.array(*[F.lit(int(x)) for x in y]) for y in (plan.low, plan.differ))
-    frequent = found.filter("kind = 2").groupBy(F.col("a").alias("code")).agg(F.sum("n").alias("lost"))
-    d = documents.join(frequent, "code").withColumn("band", F.size(F.filter(lows, lambda x: x <= F.col("n"))))
-    lowest = F.size(F.filter(lows, lambda x: x * plan.den <= F.col("n") * plan.num + plan.den - 1))
+    d = documents.join(_frequent(found), "code")
+    band, lowest = _bands(plan)
     bad = F.lit(False)
     for i in range(3):
-        here = (F.col("band") - i >= F.greatest(lowest, F.lit(1)))
-        bad = bad | (here & (F.col(f"w{i}") - F.col("lost") <= F.element_at(differ, F.greatest(F.col("band") - i, F.lit(1)).cast("int"))))
+        bad = bad | ((band - i >= F.greatest(lowest, F.lit(1))) & (F.col(f"w{i}") - F.col("lost" if i == 0 else "lost_below") <= _differ(plan)))
     return d.filter(bad).select("id")
 
 
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """code, below, name (negative, of the key), having: keys that several documents have, and how many."""
+
+    def run(group: pa.Table) -> pa.Table:
+        key, entry, code = _entries(group, [unpack(x) for x in group.column("keys").to_pylist()])
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        size = np.diff(np.append(np.flatnonzero(new), len(key)))[np.cumsum(new) - 1]
+        some = size > 1
+        b = U64(group.column("bucket")[0].as_py())
+        name = -1 - (mix(key[some] ^ (b << U64(48))) >> U64(2)).astype(np.int64)
+        return pa.table({"code": pa.array(code[some]), "below": pa.array((entry[some] & 2) == 0), "name": pa.array(name), "having": pa.array(size[some])})
+
+    return rows.filter("bucket >= 0").select("bucket", "code", "keys").groupBy("bucket").applyInArrow(run, "code long, below boolean, name long, having long")
+
+
+def communities(rows: DataFrame, plan: Plan) -> DataFrame:
+    """id, community: any two linked documents of `rows` that share only such keys as all here have are in one.
+
+    Two linked sets share as many keys as the parts of either outweigh their differences.
+    So of a set's keys, rarest first, one of the first few is shared, and these tie it to its community.
+    """
+    documents = stored(indexed_documents(rows), "short-indexed")
+    k = shared_keys(rows).join(documents, "code")
+    band, lowest = _bands(plan)
+    below = F.least(F.col("f1"), F.when(band - 2 >= F.greatest(lowest, F.lit(1)), F.col("f2")).otherwise(F.col("f1")))
+    least = F.when(F.col("below"), below).otherwise(F.col("f0")) - _differ(plan)
+    mine = Window.partitionBy("code", "below")
+    k = k.withColumn("rank", F.row_number().over(mine.orderBy("having", "name"))).withColumn("all", F.count(F.lit(1)).over(mine))
+    ties = k.filter(F.col("rank") <= F.col("all") - F.greatest(least, F.lit(1)) + 1).select(F.col("code").alias("a"), F.col("name").alias("b"))
+    parts = components(ties).filter("node >= 0").select(F.col("node").alias("code"), F.col("component").alias("community"))
+    return documents.join(parts, "code").select("id", "community", "n")
+
+
+#: Documents in a block of a community.
+TOGETHER = 512
+
+
+def between(docs: DataFrame, members: DataFrame, parts: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) that join different components within a community, in blocks of documents of like size; enough of them to connect what is linked.
+
+    members: id, community, n. parts: id, component. docs: id, text.
+    """
+    m = members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    several = m.groupBy("community").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p < q").select("community")
+    m = m.join(several, "community").withColumn("block", F.floor((F.row_number().over(Window.partitionBy("community").orderBy("n", "id")) - 1) / TOGETHER).cast("int"))
+    m = stored(m, "members")
+    ranges = m.groupBy("community", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    i, j = (ranges.select("community", *[F.col(c).alias(f"{s}_{c}") for c in ("block", "low", "high")]) for s in "ij")
+    meet = i.join(j, "community").filter((F.col("i_block") <= F.col("j_block")) & (F.col("j_low") * num <= F.col("i_high") * den))
+    places = meet.select("community", "i_block", "j_block", F.explode(F.array_distinct(F.array("i_block", "j_block"))).alias("block"))
+    texts = _some(docs, m.select("id"), "left_semi").select("id", "text")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, some in chunks(batch.column(1)):
+                h, cuts = shingle_sets(some, width)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(some)), pa.array([h[cuts[k] : cuts[k + 1]].tobytes() for k in range(len(some))], pa.binary())], ["id", "members"])
+
+    held = texts.mapInArrow(sets, "id long, members binary").join(m.select("id", "community", "block", "component"), "id")
+    dealt = held.join(places, ["community", "block"]).select("community", "i_block", "j_block", "block", "id", "component", "members")
+
+    def compare(group: pa.Table) -> pa.Table:
+        block = np.array(group.column("block").to_pylist())
+        ids, comp = np.array(group.column("id").to_pylist(), np.int64), np.array(group.column("component").to_pylist(), np.int64)
+        parts = [np.frombuffer(x, np.uint64) for x in group.column("members").to_pylist()]
+        size = np.array([len(x) for x in parts])
+        i, j = group.column("i_block")[0].as_py(), group.column("j_block")[0].as_py()
+        x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        token, where, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        of = np.repeat(np.arange(len(parts)), size)
+        often = np.flatnonzero(count > 1)
+        place = np.full(len(token), -1)
+        place[often] = np.arange(len(often))
+        where = place[where]
+        same = np.zeros((len(x), len(y)), np.float32)
+        for first in range(0, len(often), 8192):
+            mine = (where >= first) & (where < first + 8192)
+            table = np.zeros((len(parts), min(8192, len(often) - first)), np.float32)
+            table[of[mine], where[mine] - first] = 1
+            same += table[x] @ table[y].T
+        good = (den * same >= num * (size[x][:, None] + size[y][None, :] - same)) & (comp[x][:, None] != comp[y][None, :])
+        a, b = np.nonzero(good)
+        a, b = x[a], y[b]
+        low, high = np.minimum(comp[a], comp[b]), np.maximum(comp[a], comp[b])
+        _, first = np.unique(np.stack([low, high]), axis=1, return_index=True)
+        parent: dict[int, int] = {}
+        out: list[tuple[int, int]] = []
+
+        def root(v: int) -> int:
+            while parent.setdefault(v, v) != v:
+                parent[v] = parent[parent[v]]
+                v = parent[v]
+            return v
+
+        for k in first.tolist():
+            p, q = root(int(low[k])), root(int(high[k]))
+            if p != q:
+                parent[q] = p
+                out.append((int(ids[a[k]]), int(ids[b[k]])))
+        return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())})
+
+    return dealt.groupBy("community", "i_block", "j_block").applyInArrow(compare, "a long, b long")
+
+
 def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4) -> DataFrame:
     """id, n_shingles, component_id, set_id (smallest id with an equal set) of every row; linked: Jaccard similarity num/den or more."""
     docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
@@ -413,26 +523,23 @@ def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     distinct = _some(docs.filter("id is not null"), stored(copies, "copies"), "left_anti")
 
     plan = Plan.of(num, den, largest)
-    rows = stored(index_keys(distinct.withColumn("component", F.lit(0).cast("long")), plan, width, buckets), "keys")
+    rows = stored(index_keys(distinct, plan, width, buckets), "keys")
     seen = stored(indexed_documents(rows), "indexed")
     if not seen.filter(_too_weak(plan)).isEmpty():  # no margin suffices for all sets at hand
         plan = Plan.of(num, den, largest, single=True)
         discard(rows)
-        rows = stored(index_keys(distinct.withColumn("component", F.lit(0).cast("long")), plan, width, buckets), "keys")
+        rows = stored(index_keys(distinct, plan, width, buckets), "keys")
         seen = stored(indexed_documents(rows), "indexed")
-    found = stored(match_keys(rows, between=False), "found")
+    found = stored(match_keys(rows), "found")
     discard(rows)
     pairs = stored(_candidates(found, seen, plan), "pairs")
     links = stored(exact(distinct, pairs, width, num, den), "linked")
 
     short = stored(_short(seen, found, plan).distinct(), "short")
     if not short.isEmpty():
-        parts = components(links)
-        mine = _some(distinct, short, "left_semi").join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        rows = stored(index_keys(mine, plan, width, buckets), "keys")
-        again = stored(match_keys(rows, between=True), "found")
-        more = _candidates(again, indexed_documents(rows), plan).join(pairs, ["a", "b"], "left_anti")
-        links = links.unionByName(exact(distinct, stored(more, "pairs"), width, num, den))
+        rows = stored(index_keys(_some(distinct, short, "left_semi"), plan, width, buckets), "keys")
+        members = stored(communities(rows, plan), "communities")
+        links = links.unionByName(between(distinct, members, components(links).withColumnRenamed("node", "id"), width, num, den))
 
     same = real.join(classes.filter("rows > 1"), ["n_shingles", "d1", "d2"]).select(F.col("id").alias("a"), F.col("set_id").alias("b"))
     parts = components(links.unionByName(same.filter("a <> b")))
@@ -444,12 +551,10 @@ def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
 
 def _too_weak(plan: Plan):
     """True for a set whose parts can't outweigh the differences in one of its bands."""
-    lows, differ = (F.array(*[F.lit(int(x)) for x in y]) for y in (plan.low, plan.differ))
-    band = F.size(F.filter(lows, lambda x: x <= F.col("n")))
-    lowest = F.size(F.filter(lows, lambda x: x * plan.den <= F.col("n") * plan.num + plan.den - 1))
+    band, lowest = _bands(plan)
     bad = F.lit(False)
     for i in range(3):
-        bad = bad | ((F.col("n") > 0) & (band - i >= F.greatest(lowest, F.lit(1))) & (F.col(f"w{i}") <= F.element_at(differ, F.greatest(band - i, F.lit(1)).cast("int"))))
+        bad = bad | ((F.col("n") > 0) & (band - i >= F.greatest(lowest, F.lit(1))) & (F.col(f"w{i}") <= _differ(plan)))
     return bad
 
 
