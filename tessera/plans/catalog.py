@@ -608,7 +608,7 @@ workbench("agg_gsets", "SELECT o_orderstatus, o_orderpriority, count(*) AS n FRO
 workbench("agg_distinct", "SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers FROM {lineitem} l GROUP BY l_returnflag", "lineitem")
 workbench("agg_q1", "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, round(avg(l_tax), 6) AS avg_tax, count(*) AS n FROM {lineitem} l WHERE l_shipdate <= TIMESTAMP '1998-09-02 00:00:00' GROUP BY l_returnflag, l_linestatus", "lineitem")
 workbench("w_rank", "SELECT o_orderkey, CAST(rank() OVER w AS INT) AS r, CAST(dense_rank() OVER w AS INT) AS d, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INT) AS n, round(percent_rank() OVER w, 6) AS p FROM {orders} o WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC)", "orders")
-workbench("w_frame", "SELECT o_orderkey, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS last3, round(avg(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW), 2) AS days90 FROM {orders} o", "orders")
+workbench("w_frame", "SELECT o_orderkey, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS last3, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW), 2) AS days90 FROM {orders} o", "orders")
 workbench("w_lag", "SELECT o_orderkey, lag(o_totalprice) OVER w AS before, lead(o_totalprice) OVER w AS after, first_value(o_orderkey) OVER w AS first FROM {orders} o WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)", "orders")
 workbench("w_ntile", "SELECT c_custkey, CAST(ntile(4) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) AS INT) AS quarter FROM {customer} c", "customer")
 workbench("set_union", "SELECT c_nationkey AS k FROM {customer} c UNION SELECT s_nationkey FROM {supplier} s", "customer supplier")
