@@ -10,7 +10,7 @@ head is anchored at the start, the tail at the end, the middle may move by one p
 (two edits before it leave the tail whole). Segment lengths follow bands of line length
 and a line near a band's lower edge is put into the band below as well, so that both
 lines of a pair have the same segments. Lines meet that share a segment's hash, are
-close in length and whose word signatures differ in few bits; they are then compared
+close in length and have nearly as many letters of each group; they are then compared
 by edit distance, a diagonal band of the matrix held in the bits of one number.
 
 Rows with a null id stay whole and count for nothing; rows with one id are one document.
@@ -30,12 +30,32 @@ TAU, NEAR_FROM, BAND = 2, 24, 16
 BROADCAST_LINES = 1_000_000
 
 
+#: Letters that are counted together; all other characters are one more group.
+GROUPS = ("[eE]", "[aAoO]", "[tTnN]", "[iIrRsS]", "[hHlLdDuU]")
+
+
+def signature(line: Column) -> Column:
+    """How many characters of each group a line has, 12 bits each: one edit moves one character from a group to another, or in or out."""
+    out = F.lit(0).cast("long")
+    for i, group in enumerate(GROUPS):
+        out = out.bitwiseOR(F.shiftleft((F.regexp_count(line, F.lit(group)) % 4096).cast("long"), 12 * i))
+    return out
+
+
+def moved(a: Column, b: Column, longer: Column) -> Column:
+    """Characters that differ in group between two signatures; longer: by how much a's line is longer. Counts are taken modulo 4096, the nearest way round."""
+    total, rest = F.lit(0).cast("long"), longer.cast("long")
+    for i in range(len(GROUPS)):
+        d = (F.shiftright(a, 12 * i) - F.shiftright(b, 12 * i) + 2048).bitwiseAND(F.lit(4095).cast("long")) - 2048
+        total, rest = total + F.abs(d), rest - d
+    return total + F.abs((rest + 2048).bitwiseAND(F.lit(4095).cast("long")) - 2048)
+
+
 def occurrences(docs: DataFrame, id: str, text: str) -> DataFrame:
     """id, pos, h1, h2 (128 bits of hash), length, signature and segment hashes k0 to k9 of every line with a word."""
     lines = docs.filter(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")).filter(F.col("line").rlike(WORD))
     near = F.length("line") >= NEAR_FROM
-    bits = F.aggregate(F.split("line", " "), F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(w), F.lit(64)).cast("int"))))
-    lines = lines.select("id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), F.length("line").alias("length"), F.when(near, bits).alias("signature"))
+    lines = lines.select("id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), F.length("line").alias("length"), F.when(near, signature(F.col("line"))).alias("signature"))
     n = F.col("length")
     band = F.floor(n / BAND)
     below = F.when(n - TAU < band * BAND, band - 1)  # a partner may be shorter by tau
@@ -105,7 +125,7 @@ def near_lines(docs: DataFrame, lines: DataFrame, text: str) -> DataFrame:
         (F.col("a_h1") < F.col("b_h1"))
         & (F.abs(F.col("a_length") - F.col("b_length")) <= TAU)
         & (F.col("a_moved") + F.col("b_moved") < 2)
-        & (F.bit_count(F.col("a_signature").bitwiseXOR(F.col("b_signature"))) <= 3 * TAU)
+        & (moved(F.col("a_signature"), F.col("b_signature"), F.col("a_length") - F.col("b_length")) <= 2 * TAU)
     )
     pairs = stored(meet.select(F.col("a_h1").alias("a"), F.col("b_h1").alias("b")).distinct(), "line-pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "line-wanted")
