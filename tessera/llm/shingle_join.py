@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import n_buckets, pack, unpack
 from ._graph import components
-from ._shared import discard, stored
+from ._shared import discard, partitions, stored
 from ._words import Batch, chunks, mix, release
 
 U64 = np.uint64
@@ -508,7 +508,9 @@ def between(docs: DataFrame, members: DataFrame, parts: DataFrame, width: int, n
                 out.append((int(ids[a[k]]), int(ids[b[k]])))
         return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())})
 
-    return dealt.groupBy("community", "i_block", "j_block").applyInArrow(compare, "a long, b long")
+    # Much work for each byte: dealt to all tasks, not gathered into few by size.
+    keys = ("community", "i_block", "j_block")
+    return dealt.repartition(partitions(docs.sparkSession), *keys).groupBy(*keys).applyInArrow(compare, "a long, b long")
 
 
 def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4) -> DataFrame:
@@ -539,7 +541,8 @@ def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     if not short.isEmpty():
         rows = stored(index_keys(_some(distinct, short, "left_semi"), plan, width, buckets), "keys")
         members = stored(communities(rows, plan), "communities")
-        links = links.unionByName(between(distinct, members, components(links).withColumnRenamed("node", "id"), width, num, den))
+        more = between(distinct, members, components(links).withColumnRenamed("node", "id"), width, num, den)
+        links = links.unionByName(stored(more, "linked"))
 
     same = real.join(classes.filter("rows > 1"), ["n_shingles", "d1", "d2"]).select(F.col("id").alias("a"), F.col("set_id").alias("b"))
     parts = components(links.unionByName(same.filter("a <> b")))
