@@ -10,7 +10,7 @@ head is anchored at the start, the tail at the end, the middle may move by one p
 (two edits before it leave the tail whole). Segment lengths follow bands of line length
 and a line near a band's lower edge is put into the band below as well, so that both
 lines of a pair have the same segments. Lines meet that share a segment's hash, are
-close in length and have nearly as many letters of each group; they are then compared
+close in length and have nearly as many of each letter; they are then compared
 by edit distance, a diagonal band of the matrix held in the bits of one number.
 
 Rows with a null id stay whole and count for nothing; rows with one id are one document.
@@ -30,25 +30,27 @@ TAU, NEAR_FROM, BAND = 2, 24, 16
 BROADCAST_LINES = 1_000_000
 
 
-#: Letters that are counted together; all other characters are one more group.
-GROUPS = ("[eE]", "[aAoO]", "[tTnN]", "[iIrRsS]", "[hHlLdDuU]")
+#: Letters that are counted; all other characters are one more group.
+LETTERS, BITS = "etnairs", 9
 
 
 def signature(line: Column) -> Column:
-    """How many characters of each group a line has, 12 bits each: one edit moves one character from a group to another, or in or out."""
+    """How often a line has each letter, in 9 bits: one edit moves one character from a group to another, or in or out."""
     out = F.lit(0).cast("long")
-    for i, group in enumerate(GROUPS):
-        out = out.bitwiseOR(F.shiftleft((F.regexp_count(line, F.lit(group)) % 4096).cast("long"), 12 * i))
+    for i, letter in enumerate(LETTERS):
+        n = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+        out = out.bitwiseOR(F.shiftleft((n % (1 << BITS)).cast("long"), BITS * i))
     return out
 
 
 def moved(a: Column, b: Column, longer: Column) -> Column:
-    """Characters that differ in group between two signatures; longer: by how much a's line is longer. Counts are taken modulo 4096, the nearest way round."""
+    """Characters that differ in group between two signatures; longer: by how much a's line is longer. Counts are taken modulo 512, the nearest way round."""
+    half, mask = 1 << BITS - 1, F.lit((1 << BITS) - 1).cast("long")
     total, rest = F.lit(0).cast("long"), longer.cast("long")
-    for i in range(len(GROUPS)):
-        d = (F.shiftright(a, 12 * i) - F.shiftright(b, 12 * i) + 2048).bitwiseAND(F.lit(4095).cast("long")) - 2048
+    for i in range(len(LETTERS)):
+        d = (F.shiftright(a, BITS * i) - F.shiftright(b, BITS * i) + half).bitwiseAND(mask) - half
         total, rest = total + F.abs(d), rest - d
-    return total + F.abs((rest + 2048).bitwiseAND(F.lit(4095).cast("long")) - 2048)
+    return total + F.abs((rest + half).bitwiseAND(mask) - half)
 
 
 def occurrences(docs: DataFrame, id: str, text: str) -> DataFrame:
