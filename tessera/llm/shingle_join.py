@@ -384,10 +384,15 @@ def _frequent(found: DataFrame) -> DataFrame:
     return found.filter("kind > 1").groupBy(F.col("a").alias("code")).agg(part(2).alias("lost"), part(3).alias("lost_below"))
 
 
-def _differ(plan: Plan):
-    """Most differences between a set of n and any partner: the largest is n * den / num."""
+def _differ(plan: Plan, below: int = 0):
+    """Most differences between a set of n and any partner of its own band or above, or of the band so many below."""
     n = F.col("n")
-    return F.floor((plan.den - plan.num) * (n + F.floor(n * plan.den / F.lit(plan.num))) / F.lit(plan.den + plan.num))
+    if below:
+        highs = F.array(*[F.lit(int(x)) for x in plan.high])
+        largest = F.least(n, F.element_at(highs, F.greatest(_bands(plan)[0] - below, F.lit(1)).cast("int")))
+    else:
+        largest = F.floor(n * plan.den / F.lit(plan.num))
+    return F.floor((plan.den - plan.num) * (n + largest) / F.lit(plan.den + plan.num))
 
 
 def _bands(plan: Plan):
@@ -402,7 +407,7 @@ def _short(documents: DataFrame, found: DataFrame, plan: Plan) -> DataFrame:
     band, lowest = _bands(plan)
     bad = F.lit(False)
     for i in range(3):
-        bad = bad | ((band - i >= F.greatest(lowest, F.lit(1))) & (F.col(f"w{i}") - F.col("lost" if i == 0 else "lost_below") <= _differ(plan)))
+        bad = bad | ((band - i >= F.greatest(lowest, F.lit(1))) & (F.col(f"w{i}") - F.col("lost" if i == 0 else "lost_below") <= _differ(plan, i)))
     return d.filter(bad).select("id")
 
 
@@ -432,7 +437,7 @@ def communities(rows: DataFrame, plan: Plan) -> DataFrame:
     k = shared_keys(rows).join(documents, "code")
     band, lowest = _bands(plan)
     below = F.least(F.col("f1"), F.when(band - 2 >= F.greatest(lowest, F.lit(1)), F.col("f2")).otherwise(F.col("f1")))
-    least = F.when(F.col("below"), below).otherwise(F.col("f0")) - _differ(plan)
+    least = F.when(F.col("below"), below - _differ(plan, 1)).otherwise(F.col("f0") - _differ(plan))
     mine = Window.partitionBy("code", "below")
     k = k.withColumn("rank", F.row_number().over(mine.orderBy("having", "name"))).withColumn("all", F.count(F.lit(1)).over(mine))
     ties = k.filter(F.col("rank") <= F.col("all") - F.greatest(least, F.lit(1)) + 1).select(F.col("code").alias("a"), F.col("name").alias("b"))
@@ -557,7 +562,7 @@ def _too_weak(plan: Plan):
     band, lowest = _bands(plan)
     bad = F.lit(False)
     for i in range(3):
-        bad = bad | ((F.col("n") > 0) & (band - i >= F.greatest(lowest, F.lit(1))) & (F.col(f"w{i}") <= _differ(plan)))
+        bad = bad | ((F.col("n") > 0) & (band - i >= F.greatest(lowest, F.lit(1))) & (F.col(f"w{i}") <= _differ(plan, i)))
     return bad
 
 
