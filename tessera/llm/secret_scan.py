@@ -1,14 +1,15 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
 Candidates are values given to a name (`token = "..."`, `api_key: ...`), and unbroken
-runs of 20 to 512 characters of keys and digests, known prefixes among them. The forest
+runs of 20 characters or more of keys and digests, known prefixes among them. The forest
 looks at a candidate's length, changes between kinds of characters, coverage by a
 dictionary, the path or source of the text, and the words before it. It is trained on a
 fixed table of labelled findings made by rule from a seed. What it rates at THRESHOLD or
 above is a secret; of overlapping candidates the first is rated.
 
-Runs longer than 512 characters are proposed in pieces, none is left out. Null text
-counts as empty and a null path as no path; every row is rated by itself.
+A run is proposed whole, however long; a dot ends it and the next begins after it, so a
+token of dotted parts gives one candidate for each part of 20 characters or more. Null
+text counts as empty and a null path as no path; every row is rated by itself.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from ._trees import Node, forest, forest_probability
 THRESHOLD, AROUND = 0.6, 40
 KINDS = ["assigned", "run"]
 PATTERNS = {
-    "assigned": r"""(?i)(?<![a-z0-9_])(?:[a-z0-9]{1,24}[_.-]){0,3}(?:token|secret|passw(?:or)?d|pwd|api_?key|access_?key|private_?key|auth|credential|key)s?["']?\x20{0,2}(?:=|:|:=|=>)\x20{0,2}["']?[^\s"'<>;,]{8,512}""",
-    "run": r"(?<![A-Za-z0-9_+/=.-])[A-Za-z0-9_+/=-]{20,512}",
+    "assigned": r"""(?i)(?<![a-z0-9_])(?:[a-z0-9]{1,24}[_.-]){0,3}(?:token|secret|passw(?:or)?d|pwd|api_?key|access_?key|private_?key|auth|credential|key)s?["']?\x20{0,2}(?:=|:|:=|=>)\x20{0,2}["']?[^\s"'<>;,]{8,}""",
+    "run": r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,}",
 }
 #: Fragments of common words; a value they cover well is prose or an identifier.
 DICTIONARY = "the|and|ing|ion|ent|tion|for|ver|ter|ess|ate|con|com|pro|res|str|name|value|type|data|file|user|test|path|list|code|page|text|time|class|index|config|default|example|change|here|your|ung|der|ein|sch|lich|keit|heit|que|ment|eau|elle|oir|ción|ado|ado|los|est"

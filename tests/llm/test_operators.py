@@ -368,6 +368,21 @@ def test_secret_scan(spark):
     assert secret_scan.report(docs_of(spark, [(1, pieces)])).count() == 1
 
 
+def test_secret_candidates_cover_whole_values(spark):
+    jwt = ["eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", "eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4gRG9lIn0", "SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"]
+    hook, key = "aB3dE5gH7jK9mN1pQ3sT5vW7", "9c8b45435718dcc700c184a7e30f60a7fa07e990"
+    rows = [("x " + "a1B2" * 500, ["a1B2" * 500]), ("Bearer " + ".".join(jwt), jwt), (f"see https://hooks.example.com/services/T0A1B2C3D/B4E5F6G7H/{hook} now", [hook])]
+    rows += [(f"ends here.{key}", [key]), ("token = '" + "a!B2" * 400 + "'", ["a!B2" * 400]), ("é😀 " + "A" * 511 + "." + "b1" * 300, ["A" * 511, "b1" * 300])]
+    df = docs_of(spark, [(i, t) for i, (t, _) in enumerate(rows)])
+    got = {r.doc_id: r.p for r in df.select("doc_id", secret_scan.proposals(F.col("text")).alias("p")).collect()}
+    for i, (text, parts) in enumerate(rows):
+        assert all(text[x.start : x.end] == x.text for x in got[i])
+        for part in parts:
+            at = text.index(part)
+            assert any(x.start <= at and at + len(part) <= x.end for x in got[i]), (i, part)
+    assert all(r.n_candidates >= len(rows[r.doc_id][1]) for r in secret_scan.report(df).collect())
+
+
 def water_level(sizes, weights, share=1.5, cap=2.0):
     target, left = dict.fromkeys(sizes, 0.0), set(sizes)
     rest = share * sum(sizes.values())
