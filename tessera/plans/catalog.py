@@ -236,8 +236,9 @@ def html_parsed_text(t):
 
 @query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) || ' Linked and Plain tail' AS text FROM documents WHERE strpos(text, '<') = 0 AND strpos(text, '[') = 0")
 def clean_wiki_text(t):
-    d = t("documents").filter("locate('<', text) = 0 and locate('[', text) = 0")
-    w = F.concat(F.lit("  <p class='x'>"), "text", F.lit("</p> [[Target|Linked]] and [[Plain]] https://e.example/x?y=1\n tail <br/> "))
+    """Over every document; the SQL follows where a text has no markup of its own."""
+    d = t("documents")
+    w = F.concat(F.lit("  <p class='x'>"), F.coalesce("text", F.lit("")), F.lit("</p> [[Target|Linked]] and [[Plain]] https://e.example/x?y=1\n tail <br/> "))
     return d.select("doc_id", S.clean_wiki(w).alias("text"))
 
 
@@ -333,11 +334,23 @@ def timeline_chunks(t):
     return C.manga_timeline(_scans(t), ["conv_id"], limit=600)
 
 
+def _section(text: Column) -> Column:
+    return F.concat(F.lit("# "), F.lpad(F.col("doc_id").cast("string"), 8, "0"), F.lit("\n"), text)
+
+
 @query("SELECT source AS path, lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.md' AS filename, '---' || chr(10) || 'type: x' || chr(10) || '---' || chr(10) || '# ' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || chr(10) || text AS content FROM documents WHERE strpos(text, '#') = 0")
 def md_sections(t):
+    """Files of many documents, of those without '#'; md_sections_all takes every document."""
     d = t("documents").filter("locate('#', text) = 0")
-    part = F.concat(F.lit("# "), F.lpad(F.col("doc_id").cast("string"), 8, "0"), F.lit("\n"), "text")
-    f = d.groupBy(F.col("source").alias("path")).agg(F.concat(F.lit("---\ntype: x\n---\nlost line\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", part.alias("p")))), lambda x: x["p"]), "\n")).alias("content"))
+    f = d.groupBy(F.col("source").alias("path")).agg(F.concat(F.lit("---\ntype: x\n---\nlost line\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", _section(F.col("text")).alias("p")))), lambda x: x["p"]), "\n")).alias("content"))
+    return C.markdown_sections(f).select("path", "filename", "content")
+
+
+@query()
+def md_sections_all(t):
+    """Every document as a file of its own, those with header lines and null texts too."""
+    path = F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path")
+    f = t("documents").select(path, F.concat(F.lit("---\ntype: x\n---\nlost line\n"), _section(F.coalesce("text", F.lit("")))).alias("content"))
     return C.markdown_sections(f).select("path", "filename", "content")
 
 
