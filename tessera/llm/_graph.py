@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import stored
+from ._shared import discard, named, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -22,6 +22,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         lower = labels.join(around, "u").select("u", "label", F.least("label", "near").alias("next"))
         jump = labels.select(F.col("u").alias("next"), F.col("label").alias("far"))
         after = stored(lower.join(jump, "next", "left").select("u", "label", F.least("next", F.coalesce("far", "next")).alias("next")), "labels")
+        discard(labels)
         if after.filter("next < label").isEmpty():
-            return after.select(F.col("u").alias("node"), F.col("next").alias("component"))
-        labels = after.select("u", F.col("next").alias("label"))
+            discard(both)
+            return named(after.select(F.col("u").alias("node"), F.col("next").alias("component")), after)
+        labels = named(after.select("u", F.col("next").alias("label")), after)

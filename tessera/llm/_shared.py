@@ -34,6 +34,12 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return out
 
 
+def named(df: DataFrame, table: DataFrame) -> DataFrame:
+    """df, which reads `table` alone, as that table for discard()."""
+    df._stored_at = table._stored_at
+    return df
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table that stored() wrote and nothing reads any more."""
     spark = df.sparkSession

@@ -9,17 +9,21 @@ their one-deletion neighbourhoods, which are worth two differences each.
 
 Allocation by cost: keys that many documents share get no pairs. They are left out as
 long as a document's other parts still outweigh H. Documents that lean on shared keys are
-taken up again among themselves: their rarest keys tie them to communities, in which
-blocks of documents of like size are compared as tables, between components only.
+given the finest parts, one shingle each, and joined among themselves (see lean_links):
+first each proposes the nearest leader of another component, then only keys count that
+still lie in several components, and components are compared through their leaders.
 m is chosen per band so that the non-empty parts outweigh H by a margin; should a set
 ever fall short, the join is made anew with one shingle to a part, which always holds.
 
-Pairs that share as many keys as their sizes call for are compared exactly, by set.
+Pairs that share as many keys as their sizes call for are compared exactly, by set. Sets
+are those of 64-bit hashes of shingles; equal sets are told by size and a 128-bit digest.
+The result is classes: of a class, links are found until all of it is connected, no more.
 
 Words are lower-cased (A-Z only). A document with fewer words than a shingle has its
 whole sequence as its one shingle; without words or with null text its set is empty and
 links with nothing. Equal sets link through one table of set digests. Repeated rows
 with one id count as one node; rows with a null id have no component and link nothing.
+Ids are whole numbers; others are cast to long.
 """
 
 from __future__ import annotations
@@ -36,14 +40,16 @@ from pyspark.sql import functions as F
 
 from ._blocks import n_buckets, pack, unpack
 from ._graph import components
-from ._shared import discard, partitions, stored
+from ._shared import discard, stored
 from ._words import Batch, chunks, mix, release
 
 U64 = np.uint64
 #: Documents to a key up to which all their pairs are taken at once.
 FEW = 16
-#: Centres to which the documents of a more frequent key are compared first.
-CENTRES = 6
+#: By so many of its least hashes a document that leans on frequent keys looks for leaders, so many times.
+LEADING, ROUNDS = 16, 4
+#: What can't be in a link is taken out of these before the rest is joined: again while a step takes out so large a part, but not more often than that.
+WORTH, STEPS = 0.02, 12
 #: Bytes and documents in a block.
 BLOCK, BLOCK_DOCS = 6 << 20, 1 << 16
 #: Ids that may be broadcast; beyond that, documents are joined by shuffling.
@@ -269,7 +275,7 @@ _FOUND = "kind int, a long, b long, n long"
 
 
 def match_keys(rows: DataFrame) -> DataFrame:
-    """Documents that share keys. kind 0: a pair and how many keys it shares; 1: the same with a centre of a frequent key; 2 and 3: what a document's frequent keys are worth, of its own band and of those below."""
+    """Documents that share keys. kind 0: a pair and how many keys it shares; 2 and 3: what a document's frequent keys are worth, of its own band and of those below."""
 
     def run(group: pa.Table) -> pa.Table:
         parts = [unpack(x) for x in group.column("keys").to_pylist()]
@@ -294,17 +300,6 @@ def match_keys(rows: DataFrame) -> DataFrame:
             found.append((0, *_distinct_pairs(np.concatenate(a), np.concatenate(b))))
             at = np.flatnonzero(~few)
             if len(at):
-                a, b = [], []
-                for k in range(CENTRES):
-                    rank = mix(code[at].astype(np.uint64) + U64(k * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF))
-                    by = np.lexsort((rank, group_of[at]))
-                    head = np.ones(len(by), bool)
-                    head[1:] = group_of[at][by][1:] != group_of[at][by][:-1]
-                    centre = np.repeat(at[by][head], size[group_of[at[by][head]]])
-                    ok = (centre != at[by]) & (own[centre] | own[at[by]])
-                    a.append(code[centre[ok]])
-                    b.append(code[at[by][ok]])
-                found.append((1, *_distinct_pairs(np.concatenate(a), np.concatenate(b))))
                 for kind, mine in ((2, at[own[at]]), (3, at[~own[at]])):
                     who, where = np.unique(code[mine], return_inverse=True)
                     found.append((kind, who, np.full(len(who), -1), np.bincount(where, 1 + two[mine], len(who)).astype(np.int64)))
@@ -333,18 +328,20 @@ def _some(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, "id", how)
 
 
-def exact(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Of pairs (a, b) of ids, those whose sets have the similarity; docs: id, text, one row an id."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def sets(docs: DataFrame, width: int) -> DataFrame:
+    """id, members (the set as sorted 64-bit hashes, packed) of every row of (id, text)."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in chunks(batch.column(1)):
                 h, cuts = shingle_sets(texts, width)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array([h[cuts[i] : cuts[i + 1]].tobytes() for i in range(len(texts))], pa.binary())], ["id", "members"])
 
-    members = _some(docs, ids, "left_semi").select("id", "text").mapInArrow(sets, "id long, members binary")
-    members = stored(members, "members")
+    return docs.select("id", "text").mapInArrow(run, "id long, members binary")
+
+
+def similar(members: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Of pairs (a, b) of ids, those whose sets have the similarity; members: id, members, one row an id."""
     both = pairs.join(members.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(members.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,11 +356,20 @@ def exact(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) ->
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
-def _candidates(found: DataFrame, documents: DataFrame, plan: Plan, centre_share: int = 3) -> DataFrame:
+def exact(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Of pairs (a, b) of ids, those whose sets have the similarity, as a stored table; docs: id, text, one row an id."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    members = stored(sets(_some(docs, ids, "left_semi"), width), "members")
+    out = stored(similar(members, pairs, num, den), "linked")
+    discard(members)
+    return out
+
+
+def _candidates(found: DataFrame, documents: DataFrame, plan: Plan) -> DataFrame:
     """Pairs of ids that share as many keys as two sets of their sizes must."""
     lows = F.array(*[F.lit(int(x)) for x in plan.low])
     d = documents.withColumn("band", F.size(F.filter(lows, lambda x: x <= F.col("n"))))
-    shared = found.filter("kind < 2").groupBy("kind", "a", "b").agg(F.sum("n").alias("shared"))
+    shared = found.filter("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("shared"))
     d = d.join(_frequent(found), "code", "left").fillna(0, ["lost", "lost_below"])
     side = lambda s: d.select(*[F.col(x).alias(s if x == "code" else f"{s}_{x}") for x in d.columns])
     x = shared.join(side("a"), "a").join(side("b"), "b")
@@ -372,9 +378,8 @@ def _candidates(found: DataFrame, documents: DataFrame, plan: Plan, centre_share
     differ = F.floor((plan.den - plan.num) * (F.col("a_n") + F.col("b_n")) / F.lit(plan.den + plan.num))
     full = lambda s: F.element_at(F.array(*[F.col(f"{s}_f{i}") for i in range(3)]), (F.col(f"{s}_band") - least + 1).cast("int"))
     lost = lambda s: F.when(F.col(f"{s}_band") == least, F.col(f"{s}_lost")).otherwise(F.col(f"{s}_lost_below"))
-    need = lambda s: full(s) - differ - F.when(F.col("kind") == 0, lost(s)).otherwise(0)
-    most = F.greatest(need("a"), need("b"))
-    enough = F.when(F.col("kind") == 0, F.col("shared") >= most).otherwise(centre_share * F.col("shared") >= most)
+    need = lambda s: full(s) - differ - lost(s)
+    enough = F.col("shared") >= F.greatest(need("a"), need("b"))
     return x.filter(enough).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).filter("a <> b").distinct()
 
 
@@ -411,111 +416,162 @@ def _short(documents: DataFrame, found: DataFrame, plan: Plan) -> DataFrame:
     return d.filter(bad).select("id")
 
 
-def shared_keys(rows: DataFrame) -> DataFrame:
-    """code, below, name (negative, of the key), having: keys that several documents have, and how many."""
+def tokens(members: DataFrame) -> DataFrame:
+    """id, n, k (a shingle's hash), lead (one of the LEADING least) for every shingle of sets."""
 
-    def run(group: pa.Table) -> pa.Table:
-        key, entry, code = _entries(group, [unpack(x) for x in group.column("keys").to_pylist()])
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        size = np.diff(np.append(np.flatnonzero(new), len(key)))[np.cumsum(new) - 1]
-        some = size > 1
-        b = U64(group.column("bucket")[0].as_py())
-        name = -1 - (mix(key[some] ^ (b << U64(48))) >> U64(2)).astype(np.int64)
-        return pa.table({"code": pa.array(code[some]), "below": pa.array((entry[some] & 2) == 0), "name": pa.array(name), "having": pa.array(size[some])})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                h = np.frombuffer(x.as_buffer(), np.int64)
+                size = len(h)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(size, i)), pa.array(np.full(size, size)), pa.array(h), pa.array(np.arange(size) < LEADING)], ["id", "n", "k", "lead"])
+
+    return members.mapInArrow(run, "id long, n long, k long, lead boolean")
 
-    return rows.filter("bucket >= 0").select("bucket", "code", "keys").groupBy("bucket").applyInArrow(run, "code long, below boolean, name long, having long")
 
+def _labelled(documents: DataFrame, links: DataFrame) -> DataFrame:
+    """documents with the component that the links give them, their own id if none."""
+    parts = components(links).withColumnRenamed("node", "id")
+    return stored(documents.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")), "lean-labelled")
 
-def communities(rows: DataFrame, plan: Plan) -> DataFrame:
-    """id, community: any two linked documents of `rows` that share only such keys as all here have are in one.
 
-    Two linked sets share as many keys as the parts of either outweigh their differences.
-    So of a set's keys, rarest first, one of the first few is shared, and these tie it to its community.
+def _proposals(leading: DataFrame, documents: DataFrame) -> DataFrame:
+    """Pairs (a, b): each document and the leader of another component that most of its keys name.
+
+    The leader of a key is its document with the most frequent shingles: of near copies, the one nearest to all.
     """
-    documents = stored(indexed_documents(rows), "short-indexed")
-    k = shared_keys(rows).join(documents, "code")
-    band, lowest = _bands(plan)
-    below = F.least(F.col("f1"), F.when(band - 2 >= F.greatest(lowest, F.lit(1)), F.col("f2")).otherwise(F.col("f1")))
-    least = F.when(F.col("below"), below - _differ(plan, 1)).otherwise(F.col("f0") - _differ(plan))
-    mine = Window.partitionBy("code", "below")
-    k = k.withColumn("rank", F.row_number().over(mine.orderBy("having", "name"))).withColumn("all", F.count(F.lit(1)).over(mine))
-    ties = k.filter(F.col("rank") <= F.col("all") - F.greatest(least, F.lit(1)) + 1).select(F.col("code").alias("a"), F.col("name").alias("b"))
-    parts = components(ties).filter("node >= 0").select(F.col("node").alias("code"), F.col("component").alias("community"))
-    return documents.join(parts, "code").select("id", "community", "n")
+    t = leading.join(documents.select("id", (F.col("heat") / F.col("n")).alias("rank"), "component"), "id")
+    t = t.join(t.groupBy("k").agg(F.max(F.struct("rank", "id", "component")).alias("first")), "k")
+    second = t.filter("component <> first.component").groupBy("k").agg(F.max(F.struct("rank", "id", "component")).alias("second"))
+    t = t.join(second, "k")
+    aim = F.when(F.col("component") != F.col("first.component"), F.col("first")).otherwise(F.col("second"))
+    votes = t.select("id", aim.alias("aim")).groupBy("id", F.col("aim.id").alias("b")).agg(F.count("*").alias("votes"), F.max("aim.rank").alias("rank"))
+    best = votes.groupBy("id").agg(F.max(F.struct("votes", "rank", "b")).alias("best"))
+    return best.select(F.least("id", "best.b").alias("a"), F.greatest("id", "best.b").alias("b")).distinct()
 
 
-#: Documents in a block of a community.
-TOGETHER = 512
+def _common(n, m, num: int, den: int):
+    """How many shingles two linked sets of n and m have in common at least."""
+    return F.ceil((n + m) * num / F.lit(num + den))
 
 
-def between(docs: DataFrame, members: DataFrame, parts: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Links (a, b) that join different components within a community, in blocks of documents of like size; enough of them to connect what is linked.
+def _reachable(shared: DataFrame, documents: DataFrame, num: int, den: int, alike: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(documents, shared) without what can't be in a link between two components.
 
-    members: id, community, n. parts: id, component. docs: id, text.
+    documents: id, n, h, component; h shingles at most are shared with any partner in another component, so a
+    partner's size is at most `reach`. A key counts for a document if it lies in several components and its smallest
+    document is within reach; what doesn't count lowers h, and the smallest documents of what counts give `least`,
+    the size that a partner has at least. alike: a partner has num / den of the size or more.
+    Steps repeat while that pays; whatever is left is right to keep.
     """
-    m = members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    several = m.groupBy("community").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p < q").select("community")
-    m = m.join(several, "community").withColumn("block", F.floor((F.row_number().over(Window.partitionBy("community").orderBy("n", "id")) - 1) / TOGETHER).cast("int"))
-    m = stored(m, "members")
-    ranges = m.groupBy("community", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    i, j = (ranges.select("community", *[F.col(c).alias(f"{s}_{c}") for c in ("block", "low", "high")]) for s in "ij")
-    meet = i.join(j, "community").filter((F.col("i_block") <= F.col("j_block")) & (F.col("j_low") * num <= F.col("i_high") * den))
-    places = meet.select("community", "i_block", "j_block", F.explode(F.array_distinct(F.array("i_block", "j_block"))).alias("block"))
-    texts = _some(docs, m.select("id"), "left_semi").select("id", "text")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    before = documents.count()
+    documents = documents.withColumn("least", F.ceil(F.col("n") * num / F.lit(den)) if alike else F.lit(1).cast("long"))
+    for _ in range(STEPS):
+        reach = F.floor(F.col("h") * (num + den) / F.lit(num)) - F.col("n")
+        documents = documents.withColumn("reach", reach).filter((F.col("h") >= _common(F.col("n"), F.col("least"), num, den)) & (F.col("reach") >= F.col("least")))
+        shared = shared.select("id", "k").join(documents.select("id", "n", "component", "reach"), "id")
+        keys = shared.groupBy("k").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.min("n").alias("m"), F.count("*").alias("df")).filter("p < q")
+        shared = stored(shared.join(keys, "k").filter("m <= reach").select("id", "k", "df", "m"), "lean-counting")
+        held = shared.groupBy("id").agg(F.count("*").alias("h"), F.min("m").alias("m"))
+        documents = documents.select("id", "n", "component", "least").join(held, "id")
+        documents = stored(documents.select("id", "n", "component", "h", F.greatest("least", "m").alias("least")), "lean-documents")
+        after = documents.count()
+        if before - after <= WORTH * before:
+            break
+        before = after
+    return documents, shared
+
+
+def _rarest(documents: DataFrame, shared: DataFrame, num: int, den: int, alike: bool = True) -> DataFrame:
+    """Pairs (a, b) of different components that have one of either's rarest keys in common.
+
+    Of a document's h keys a linked one has _common() in common. So one of the first h - _common() + 1 is shared, in
+    any order that is the same for all.
+    """
+    mine = Window.partitionBy("id").orderBy("df", "k")
+    t = shared.select("id", "k", "df").withColumn("place", F.row_number().over(mine)).join(documents, "id").filter(F.col("place") <= F.col("h") - _common(F.col("n"), F.col("least"), num, den) + 1)
+    side = lambda s: t.select("k", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "h", "component")])
+    return side("a").join(side("b"), "k").filter((F.col("a_id") < F.col("b_id")) & _may_link(num, den, alike)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+
+def _may_link(num: int, den: int, alike: bool):
+    """By component, size n and at most h common shingles of two sides."""
+    sizes = (F.col("a_n") + F.col("b_n")) * num <= F.least("a_h", "b_h") * (num + den)
+    sizes = sizes & (F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num) if alike else sizes
+    return (F.col("a_component") != F.col("b_component")) & sizes
+
+
+def common(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """pairs (a, b) with the number of shingles that both have; members: id, members."""
+    both = pairs.join(members.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(members.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, some in chunks(batch.column(1)):
-                h, cuts = shingle_sets(some, width)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(some)), pa.array([h[cuts[k] : cuts[k + 1]].tobytes() for k in range(len(some))], pa.binary())], ["id", "members"])
-
-    held = texts.mapInArrow(sets, "id long, members binary").join(m.select("id", "community", "block", "component"), "id")
-    dealt = held.join(places, ["community", "block"]).select("community", "i_block", "j_block", "block", "id", "component", "members")
-
-    def compare(group: pa.Table) -> pa.Table:
-        block = np.array(group.column("block").to_pylist())
-        ids, comp = np.array(group.column("id").to_pylist(), np.int64), np.array(group.column("component").to_pylist(), np.int64)
-        parts = [np.frombuffer(x, np.uint64) for x in group.column("members").to_pylist()]
-        size = np.array([len(x) for x in parts])
-        i, j = group.column("i_block")[0].as_py(), group.column("j_block")[0].as_py()
-        x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        token, where, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        of = np.repeat(np.arange(len(parts)), size)
-        often = np.flatnonzero(count > 1)
-        place = np.full(len(token), -1)
-        place[often] = np.arange(len(often))
-        where = place[where]
-        same = np.zeros((len(x), len(y)), np.float32)
-        for first in range(0, len(often), 8192):
-            mine = (where >= first) & (where < first + 8192)
-            table = np.zeros((len(parts), min(8192, len(often) - first)), np.float32)
-            table[of[mine], where[mine] - first] = 1
-            same += table[x] @ table[y].T
-        good = (den * same >= num * (size[x][:, None] + size[y][None, :] - same)) & (comp[x][:, None] != comp[y][None, :])
-        a, b = np.nonzero(good)
-        a, b = x[a], y[b]
-        low, high = np.minimum(comp[a], comp[b]), np.maximum(comp[a], comp[b])
-        _, first = np.unique(np.stack([low, high]), axis=1, return_index=True)
-        parent: dict[int, int] = {}
-        out: list[tuple[int, int]] = []
-
-        def root(v: int) -> int:
-            while parent.setdefault(v, v) != v:
-                parent[v] = parent[parent[v]]
-                v = parent[v]
-            return v
-
-        for k in first.tolist():
-            p, q = root(int(low[k])), root(int(high[k]))
-            if p != q:
-                parent[q] = p
-                out.append((int(ids[a[k]]), int(ids[b[k]])))
-        return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())})
-
-    # Much work for each byte: dealt to all tasks, not gathered into few by size.
-    keys = ("community", "i_block", "j_block")
-    return dealt.repartition(partitions(docs.sparkSession), *keys).groupBy(*keys).applyInArrow(compare, "a long, b long")
+            n = [len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True)) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["a", "b", "common"])
+
+    return both.select("a", "b", "x", "y").mapInArrow(count, "a long, b long, common long")
+
+
+def _across(members: DataFrame, shared: DataFrame, labelled: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of documents in different components that may link.
+
+    A component is seen through its leader, the document nearest to all others. What two linked documents have in
+    common either holds a shingle that one of the leaders lacks, and such shingles are rare in a component; or both
+    leaders have all of it, so they have as many in common as two documents of these sizes need. The first are joined by
+    such shingles, the second by pairs of leaders, with the components' smallest sizes for theirs.
+    """
+    left, counting = _reachable(shared, labelled.select("id", "n", "h", "component"), num, den)
+    first = labelled.groupBy("component").agg(F.max(F.struct((F.col("heat") / F.col("n")).alias("rank"), "id")).alias("x")).select("component", F.col("x.id").alias("leader"))
+    leaders = left.groupBy("component").agg(F.min("n").alias("n")).join(first, "component").select(F.col("leader").alias("id"), "n", "component")
+    frame = stored(shared.select("id", "k").join(leaders.select("id", "component"), "id"), "lean-frames")
+
+    t = counting.select("id", "k").join(left.select("id", "n", "h", "component"), "id").join(frame.select("component", "k", F.lit(True).alias("framed")), ["component", "k"], "left")
+    t = stored(t, "lean-framed")
+    side = lambda t, s: t.select("k", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "h", "component")])
+    beyond = side(t.filter("framed is null"), "a").join(side(t, "b"), "k").filter(_may_link(num, den, True)).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
+
+    held = frame.groupBy("id").agg(F.count("*").alias("h"))
+    few, keys = _reachable(frame.select("id", "k"), leaders.join(held, "id"), num, den, alike=False)
+    meet = stored(common(members, _rarest(few, keys, num, den, alike=False)), "lean-leaders")
+    of = lambda s: leaders.select(F.col("id").alias(s), F.col("component").alias(f"{s}_component"))
+    mine = lambda s: left.select(F.col("component").alias(f"{s}_component"), F.col("n").alias(f"{s}_n"), F.col("id").alias(f"{s}_id"))
+    room = F.col("common") * (num + den)
+    sizes = (F.col("a_n") + F.col("b_n")) * num <= room
+    alike = F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num
+    meet = meet.join(of("a"), "a").join(of("b"), "b").select("common", "a_component", "b_component").join(mine("a"), "a_component").filter(F.col("a_n") * num < room).join(mine("b"), "b_component").filter(sizes & alike)
+    within = meet.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
+    return stored(beyond.unionByName(within).distinct(), "lean-pairs")
+
+
+def lean_links(docs: DataFrame, links: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) among docs (id, text; those that lean on frequent keys), enough to connect with `links` what is linked."""
+    members = stored(sets(docs, width), "lean-sets")
+    every = stored(tokens(members), "lean-tokens")
+    often = every.groupBy("k").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = stored(every.join(often, "k"), "lean-shared")
+    discard(every)
+    documents = stored(shared.groupBy("id", "n").agg(F.count("*").alias("h"), F.sum("df").alias("heat")).filter(F.col("h") * den >= F.col("n") * num), "lean-heat")
+    leading = shared.filter("lead").select("id", "k")
+    found, tried = links, None
+    for _ in range(ROUNDS):
+        labelled = _labelled(documents, found)
+        pairs = _proposals(leading, labelled)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "lean-proposed")
+        good = stored(similar(members, pairs, num, den), "lean-linked")
+        discard(labelled)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        if good.isEmpty():
+            break
+        found = found.unionByName(good)
+    labelled = _labelled(documents, found)
+    pairs = _across(members, shared, labelled, num, den)
+    found = stored(found.unionByName(similar(members, pairs, num, den)), "linked")
+    for x in (members, shared, documents, labelled, pairs):
+        discard(x)
+    return found
 
 
 def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4) -> DataFrame:
@@ -540,14 +596,14 @@ def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     found = stored(match_keys(rows), "found")
     discard(rows)
     pairs = stored(_candidates(found, seen, plan), "pairs")
-    links = stored(exact(distinct, pairs, width, num, den), "linked")
-
+    links = exact(distinct, pairs, width, num, den)
+    discard(pairs)
     short = stored(_short(seen, found, plan).distinct(), "short")
+    discard(found)
+    discard(seen)
     if not short.isEmpty():
-        rows = stored(index_keys(_some(distinct, short, "left_semi"), plan, width, buckets), "keys")
-        members = stored(communities(rows, plan), "communities")
-        more = between(distinct, members, components(links).withColumnRenamed("node", "id"), width, num, den)
-        links = links.unionByName(stored(more, "linked"))
+        links = lean_links(_some(distinct, short, "left_semi"), links, width, num, den)
+    discard(short)
 
     same = real.join(classes.filter("rows > 1"), ["n_shingles", "d1", "d2"]).select(F.col("id").alias("a"), F.col("set_id").alias("b"))
     parts = components(links.unionByName(same.filter("a <> b")))

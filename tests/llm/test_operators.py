@@ -198,9 +198,9 @@ def shingles(text):
 
 @pytest.mark.parametrize("few", [2, 16])
 def test_shingle_join(spark, monkeypatch, few):
-    """few = 2 makes nearly every shared key a frequent one, so the pairs come by way of centres and of the second pass."""
+    """few = 2 makes nearly every shared key a frequent one, so the pairs come by way of the second pass; once without leaders."""
     monkeypatch.setattr(shingle_join, "FEW", few)
-    monkeypatch.setattr(shingle_join, "CENTRES", 1 if few == 2 else 6)
+    monkeypatch.setattr(shingle_join, "ROUNDS", 0 if few == 2 else 2)
     monkeypatch.setattr(shingle_join, "BLOCK", 3000)
     r = random.Random(6)
     base = [[f"w{r.randint(0, 400)}" for _ in range(n)] for n in (6, 9, 14, 40, 45, 90, 260)]
