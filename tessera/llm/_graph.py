@@ -5,25 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import discard, named, stored
+from ._shared import discard, named, small, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component: the smallest node reachable, for every node of a link. No row if there is no link.
 
-    Each round, a node takes the smallest label around it, then that label's own label;
+    Each round, a node takes the smallest label around it, then that label's own label, twice;
     each round's labels are a written table. Labels of long chains halve their distance.
+    Labels are broadcast as long as they are few, else joined by shuffling.
     """
-    both = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
-    both = stored(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
-    labels = stored(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")), "labels")
+    pairs = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
+    nodes = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")), F.struct("u", F.col("u").alias("v")), F.struct(F.col("v").alias("u"), "v"))).alias("x")
+    near = stored(pairs.select(nodes).select("x.u", "x.v"), "links")
+    labels = stored(near.groupBy("u").agg(F.min("v").alias("label")), "labels")
+    rows = labels.count()
     while True:
-        around = both.join(labels.select(F.col("u").alias("v"), F.col("label").alias("near")), "v").groupBy("u").agg(F.min("near").alias("near"))
-        lower = labels.join(around, "u").select("u", "label", F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("u").alias("next"), F.col("label").alias("far"))
-        after = stored(lower.join(jump, "next", "left").select("u", "label", F.least("next", F.coalesce("far", "next")).alias("next")), "labels")
+        of = lambda u, label: small(labels.select(F.col("u").alias(u), F.col("label").alias(label)), rows)  # noqa: E731, B023
+        own = F.max(F.when(F.col("u") == F.col("v"), F.col("at")))
+        after = near.join(of("v", "at"), "v").groupBy("u").agg(F.min("at").alias("next"), own.alias("old"))
+        after = after.join(of("next", "far"), "next").join(of("far", "label"), "far")
+        after = stored(after.select("u", "label", "old"), "labels")
         discard(labels)
-        if after.filter("next < label").isEmpty():
-            discard(both)
-            return named(after.select(F.col("u").alias("node"), F.col("next").alias("component")), after)
-        labels = named(after.select("u", F.col("next").alias("label")), after)
+        labels = named(after.select("u", "label"), after)
+        if after.filter("label < old").isEmpty():
+            discard(near)
+            return named(labels.select(F.col("u").alias("node"), F.col("label").alias("component")), after)

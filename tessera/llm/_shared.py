@@ -7,6 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of few numbers that may be broadcast; a longer table is joined by shuffling.
+BROADCAST_ROWS = 500_000
+
 #: The separators of words in every contract of this subpackage.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -47,6 +50,11 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df, which has at most `rows` rows of a few numbers, to be broadcast if these are few."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

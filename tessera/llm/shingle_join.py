@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import n_buckets, pack, unpack
 from ._graph import components
-from ._shared import discard, stored
+from ._shared import discard, small, stored
 from ._words import Batch, chunks, mix, release
 
 U64 = np.uint64
@@ -48,8 +48,10 @@ U64 = np.uint64
 FEW = 16
 #: By so many of its least hashes a document that leans on frequent keys looks for leaders, so many times.
 LEADING, ROUNDS = 16, 4
+#: A round must link this part of what it compares for another to follow.
+PAYS = 0.02
 #: What can't be in a link is taken out of these before the rest is joined: again while a step takes out so large a part, but not more often than that.
-WORTH, STEPS = 0.02, 12
+WORTH, STEPS = 0.1, 6
 #: Bytes and documents in a block.
 BLOCK, BLOCK_DOCS = 6 << 20, 1 << 16
 #: Ids that may be broadcast; beyond that, documents are joined by shuffling.
@@ -340,9 +342,15 @@ def sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, members binary")
 
 
+def _beside(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """pairs (a, b; a stored table) with the sets x and y of either."""
+    side = lambda i, x: members.select(F.col("id").alias(i), F.col("members").alias(x))
+    return side("a", "x").join(small(pairs, pairs.count()), "a").join(side("b", "y"), "b")
+
+
 def similar(members: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
     """Of pairs (a, b) of ids, those whose sets have the similarity; members: id, members, one row an id."""
-    both = pairs.join(members.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(members.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
+    both = _beside(members, pairs)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -429,21 +437,26 @@ def tokens(members: DataFrame) -> DataFrame:
     return members.mapInArrow(run, "id long, n long, k long, lead boolean")
 
 
-def _labelled(documents: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(documents: DataFrame, rows: int, links: DataFrame) -> DataFrame:
     """documents with the component that the links give them, their own id if none."""
-    parts = components(links).withColumnRenamed("node", "id")
-    return stored(documents.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")), "lean-labelled")
+    found = components(links)
+    parts = found.withColumnRenamed("node", "id").join(small(documents.select("id"), rows), "id", "left_semi")
+    out = stored(documents.join(small(parts, rows), "id", "left").withColumn("component", F.coalesce("component", "id")), "lean-labelled")
+    discard(found)
+    return out
 
 
-def _proposals(leading: DataFrame, documents: DataFrame) -> DataFrame:
+def _proposals(leading: DataFrame, documents: DataFrame, rows: int) -> DataFrame:
     """Pairs (a, b): each document and the leader of another component that most of its keys name.
 
     The leader of a key is its document with the most frequent shingles: of near copies, the one nearest to all.
     """
-    t = leading.join(documents.select("id", (F.col("heat") / F.col("n")).alias("rank"), "component"), "id")
-    t = t.join(t.groupBy("k").agg(F.max(F.struct("rank", "id", "component")).alias("first")), "k")
-    second = t.filter("component <> first.component").groupBy("k").agg(F.max(F.struct("rank", "id", "component")).alias("second"))
-    t = t.join(second, "k")
+    t = leading.join(small(documents.select("id", (F.col("heat") / F.col("n")).alias("rank"), "component"), rows), "id")
+    # Of each component of a key the best one, then the best two of these.
+    best = t.groupBy("k", "component").agg(F.max(F.struct("rank", "id")).alias("x")).select("k", F.struct("x.rank", "x.id", "component").alias("x"))
+    first = best.groupBy("k").agg(F.max("x").alias("first"), F.count("*").alias("several")).filter("several > 1")
+    second = best.join(small(first, LEADING * rows), "k").filter("x.component <> first.component").groupBy("k").agg(F.first("first").alias("first"), F.max("x").alias("second"))
+    t = t.join(small(second, LEADING * rows), "k")
     aim = F.when(F.col("component") != F.col("first.component"), F.col("first")).otherwise(F.col("second"))
     votes = t.select("id", aim.alias("aim")).groupBy("id", F.col("aim.id").alias("b")).agg(F.count("*").alias("votes"), F.max("aim.rank").alias("rank"))
     best = votes.groupBy("id").agg(F.max(F.struct("votes", "rank", "b")).alias("best"))
@@ -455,7 +468,7 @@ def _common(n, m, num: int, den: int):
     return F.ceil((n + m) * num / F.lit(num + den))
 
 
-def _reachable(shared: DataFrame, documents: DataFrame, num: int, den: int, alike: bool = True) -> tuple[DataFrame, DataFrame]:
+def _reachable(shared: DataFrame, documents: DataFrame, rows: int, num: int, den: int, alike: bool = True) -> tuple[DataFrame, DataFrame]:
     """(documents, shared) without what can't be in a link between two components.
 
     documents: id, n, h, component; h shingles at most are shared with any partner in another component, so a
@@ -464,16 +477,16 @@ def _reachable(shared: DataFrame, documents: DataFrame, num: int, den: int, alik
     the size that a partner has at least. alike: a partner has num / den of the size or more.
     Steps repeat while that pays; whatever is left is right to keep.
     """
-    before = documents.count()
+    before = rows
     documents = documents.withColumn("least", F.ceil(F.col("n") * num / F.lit(den)) if alike else F.lit(1).cast("long"))
     for _ in range(STEPS):
         reach = F.floor(F.col("h") * (num + den) / F.lit(num)) - F.col("n")
         documents = documents.withColumn("reach", reach).filter((F.col("h") >= _common(F.col("n"), F.col("least"), num, den)) & (F.col("reach") >= F.col("least")))
-        shared = shared.select("id", "k").join(documents.select("id", "n", "component", "reach"), "id")
+        shared = shared.select("id", "k").join(small(documents.select("id", "n", "component", "reach"), before), "id")
         keys = shared.groupBy("k").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.min("n").alias("m"), F.count("*").alias("df")).filter("p < q")
         shared = stored(shared.join(keys, "k").filter("m <= reach").select("id", "k", "df", "m"), "lean-counting")
         held = shared.groupBy("id").agg(F.count("*").alias("h"), F.min("m").alias("m"))
-        documents = documents.select("id", "n", "component", "least").join(held, "id")
+        documents = held.join(small(documents.select("id", "n", "component", "least"), before), "id")
         documents = stored(documents.select("id", "n", "component", "h", F.greatest("least", "m").alias("least")), "lean-documents")
         after = documents.count()
         if before - after <= WORTH * before:
@@ -482,14 +495,14 @@ def _reachable(shared: DataFrame, documents: DataFrame, num: int, den: int, alik
     return documents, shared
 
 
-def _rarest(documents: DataFrame, shared: DataFrame, num: int, den: int, alike: bool = True) -> DataFrame:
+def _rarest(documents: DataFrame, shared: DataFrame, rows: int, num: int, den: int, alike: bool = True) -> DataFrame:
     """Pairs (a, b) of different components that have one of either's rarest keys in common.
 
     Of a document's h keys a linked one has _common() in common. So one of the first h - _common() + 1 is shared, in
     any order that is the same for all.
     """
     mine = Window.partitionBy("id").orderBy("df", "k")
-    t = shared.select("id", "k", "df").withColumn("place", F.row_number().over(mine)).join(documents, "id").filter(F.col("place") <= F.col("h") - _common(F.col("n"), F.col("least"), num, den) + 1)
+    t = shared.select("id", "k", "df").withColumn("place", F.row_number().over(mine)).join(small(documents, rows), "id").filter(F.col("place") <= F.col("h") - _common(F.col("n"), F.col("least"), num, den) + 1)
     side = lambda s: t.select("k", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "h", "component")])
     return side("a").join(side("b"), "k").filter((F.col("a_id") < F.col("b_id")) & _may_link(num, den, alike)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
@@ -503,7 +516,7 @@ def _may_link(num: int, den: int, alike: bool):
 
 def common(members: DataFrame, pairs: DataFrame) -> DataFrame:
     """pairs (a, b) with the number of shingles that both have; members: id, members."""
-    both = pairs.join(members.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(members.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
+    both = _beside(members, pairs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -513,7 +526,7 @@ def common(members: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(count, "a long, b long, common long")
 
 
-def _across(members: DataFrame, shared: DataFrame, labelled: DataFrame, num: int, den: int) -> DataFrame:
+def _across(members: DataFrame, shared: DataFrame, labelled: DataFrame, rows: int, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of documents in different components that may link.
 
     A component is seen through its leader, the document nearest to all others. What two linked documents have in
@@ -521,20 +534,21 @@ def _across(members: DataFrame, shared: DataFrame, labelled: DataFrame, num: int
     leaders have all of it, so they have as many in common as two documents of these sizes need. The first are joined by
     such shingles, the second by pairs of leaders, with the components' smallest sizes for theirs.
     """
-    left, counting = _reachable(shared, labelled.select("id", "n", "h", "component"), num, den)
+    left, counting = _reachable(shared, labelled.select("id", "n", "h", "component"), rows, num, den)
     first = labelled.groupBy("component").agg(F.max(F.struct((F.col("heat") / F.col("n")).alias("rank"), "id")).alias("x")).select("component", F.col("x.id").alias("leader"))
-    leaders = left.groupBy("component").agg(F.min("n").alias("n")).join(first, "component").select(F.col("leader").alias("id"), "n", "component")
-    frame = stored(shared.select("id", "k").join(leaders.select("id", "component"), "id"), "lean-frames")
+    leaders = stored(first.join(small(left.groupBy("component").agg(F.min("n").alias("n")), rows), "component").select(F.col("leader").alias("id"), "n", "component"), "lean-leaders")
+    frame = stored(shared.select("id", "k").join(small(leaders.select("id", "component"), rows), "id"), "lean-frames")
 
-    t = counting.select("id", "k").join(left.select("id", "n", "h", "component"), "id").join(frame.select("component", "k", F.lit(True).alias("framed")), ["component", "k"], "left")
+    t = counting.select("id", "k").join(small(left.select("id", "n", "h", "component"), rows), "id").join(frame.select("component", "k", F.lit(True).alias("framed")), ["component", "k"], "left")
     t = stored(t, "lean-framed")
     side = lambda t, s: t.select("k", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "h", "component")])
     beyond = side(t.filter("framed is null"), "a").join(side(t, "b"), "k").filter(_may_link(num, den, True)).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
 
     held = frame.groupBy("id").agg(F.count("*").alias("h"))
-    few, keys = _reachable(frame.select("id", "k"), leaders.join(held, "id"), num, den, alike=False)
-    meet = stored(common(members, _rarest(few, keys, num, den, alike=False)), "lean-leaders")
-    of = lambda s: leaders.select(F.col("id").alias(s), F.col("component").alias(f"{s}_component"))
+    few, keys = _reachable(frame.select("id", "k"), held.join(small(leaders, rows), "id"), rows, num, den, alike=False)
+    meet = stored(_rarest(few, keys, rows, num, den, alike=False), "lean-meet")
+    meet = stored(common(members, meet), "lean-common")
+    of = lambda s: small(leaders.select(F.col("id").alias(s), F.col("component").alias(f"{s}_component")), rows)
     mine = lambda s: left.select(F.col("component").alias(f"{s}_component"), F.col("n").alias(f"{s}_n"), F.col("id").alias(f"{s}_id"))
     room = F.col("common") * (num + den)
     sizes = (F.col("a_n") + F.col("b_n")) * num <= room
@@ -552,22 +566,25 @@ def lean_links(docs: DataFrame, links: DataFrame, width: int, num: int, den: int
     shared = stored(every.join(often, "k"), "lean-shared")
     discard(every)
     documents = stored(shared.groupBy("id", "n").agg(F.count("*").alias("h"), F.sum("df").alias("heat")).filter(F.col("h") * den >= F.col("n") * num), "lean-heat")
+    rows = documents.count()
     leading = shared.filter("lead").select("id", "k")
     found, tried = links, None
+    labelled = _labelled(documents, rows, found)
     for _ in range(ROUNDS):
-        labelled = _labelled(documents, found)
-        pairs = _proposals(leading, labelled)
+        pairs = _proposals(leading, labelled, rows)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "lean-proposed")
         good = stored(similar(members, pairs, num, den), "lean-linked")
-        discard(labelled)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        if good.isEmpty():
+        some, of = good.count(), pairs.count()
+        if some:
+            discard(labelled)
+            found = found.unionByName(good)
+            labelled = _labelled(documents, rows, found)
+        if some <= PAYS * of:
             break
-        found = found.unionByName(good)
-    labelled = _labelled(documents, found)
-    pairs = _across(members, shared, labelled, num, den)
+    pairs = _across(members, shared, labelled, rows, num, den)
     found = stored(found.unionByName(similar(members, pairs, num, den)), "linked")
     for x in (members, shared, documents, labelled, pairs):
         discard(x)
