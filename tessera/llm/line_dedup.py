@@ -1,20 +1,27 @@
 """Line deduplication by a segment-partition edit join.
 
-Lines are the \\n-split parts of a text that hold a word. Equal lines, and lines of
-NEAR_FROM characters or more within `tau` edits (insert, delete, replace one character)
-of each other, are linked; a class is what links connect. Of a class the occurrence in
-the document with the smallest id, at its smallest position, stays.
-
-tau is 2: a line is cut into three disjoint segments, so two edits leave one whole. The
-head is anchored at the start, the tail at the end, the middle may move by one place
-(two edits before it leave the tail whole). Segment lengths follow bands of line length
-and a line near a band's lower edge is put into the band below as well, so that both
-lines of a pair have the same segments. Lines meet that share a segment's hash, are
-close in length and have nearly as many of each letter; they are then compared
-by edit distance, a diagonal band of the matrix held in the bits of one number.
-
-Rows with a null id stay whole and count for nothing; rows with one id are one document.
-Null and empty texts have no lines. Lines without a word always stay.
+Lines are the \\n-split parts of a text that hold a word. Equal lines are linked, and lines
+within tau edits (insert, delete, replace one character) of each other; a class is what
+links connect. tau follows the shorter line: 2 from TWO characters on, 1 from ONE on, below
+that none, as one edit in a few characters makes another word or number. Of a class the
+occurrence in the document with the smallest id, at its smallest position, stays.
+
+tau 2: a line is cut into three disjoint segments, so two edits leave one whole. The head
+is anchored at the start, the tail at the end, the middle may move by one place (two edits
+before it leave the tail whole). tau 1: into two, anchored at start and end. Segment lengths
+follow bands of line length, and a line near a band's lower edge is put into the band
+below as well, so that both lines of a pair have the same segments. Lines meet that share
+a segment's hash, are close in length and have nearly as many of each letter; they are
+then compared by edit distance, a diagonal band of the matrix held in the bits of a number.
+
+A segment that more than FEW lines share makes no pairs. Its lines are compared with the one
+of them that occurs most. Where that doesn't bring all of them into one class, they are cut
+into four, of which two edits leave two: lines of different classes that share two of
+four segments are compared, again with the most frequent one first.
+
+Lines are told apart by 128 bits of hash. Rows with a null id stay whole and count for
+nothing; rows with one id are one document. Null and empty texts have no lines. Lines
+without a word always stay.
 """
 
 from __future__ import annotations
@@ -23,11 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._shared import WORD, stored
+from ._shared import WORD, discard, small, stored
 
-TAU, NEAR_FROM, BAND = 2, 24, 16
-#: Line hashes that may be broadcast; beyond that, lines are joined by shuffling.
-BROADCAST_LINES = 1_000_000
+TAU, TWO, ONE, BAND, NARROW = 2, 24, 12, 16, 4
+#: Lines to a segment up to which all their pairs are taken at once.
+FEW = 32
 
 
 #: Letters that are counted; all other characters are one more group.
@@ -53,23 +60,50 @@ def moved(a: Column, b: Column, longer: Column) -> Column:
     return total + F.abs((rest + half).bitwiseAND(mask) - half)
 
 
+#: Names of the segment hashes, and whether a segment is one that moved.
+KEYS = [f"k{i}" for i in range(14)]
+MOVED = [int(i < 10 and i % 5 > 2) for i in range(14)]
+
+
+def bands(n: Column) -> list[tuple[str, Column, Column]]:
+    """(name, lower edge of a band of lengths, whether a line of n characters is in it): its own and the one below, for tau 2 and tau 1."""
+    wide, thin = F.floor(n / BAND) * BAND, F.floor(n / NARROW) * NARROW
+    two, one = n >= TWO, (n >= ONE) & (n <= TWO)
+    return [("2", wide, two), ("2", wide - BAND, two & (n - TAU < wide) & (wide > BAND)), ("1", thin, one), ("1", thin - NARROW, one & (n - 1 < thin) & (thin > ONE))]
+
+
 def occurrences(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """id, pos, h1, h2 (128 bits of hash), length, signature and segment hashes k0 to k9 of every line with a word."""
+    """id, pos, h1, h2 (128 bits of hash), length, signature and segment hashes KEYS of every line with a word."""
     lines = docs.filter(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")).filter(F.col("line").rlike(WORD))
-    near = F.length("line") >= NEAR_FROM
-    lines = lines.select("id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), F.length("line").alias("length"), F.when(near, signature(F.col("line"))).alias("signature"))
+    lines = lines.select("id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), F.length("line").alias("length"), F.when(F.length("line") >= ONE, signature(F.col("line"))).alias("signature"))
     n = F.col("length")
-    band = F.floor(n / BAND)
-    below = F.when(n - TAU < band * BAND, band - 1)  # a partner may be shorter by tau
-    keys = []
-    for k, b in enumerate((band, below)):
-        base = b * BAND
-        p = F.floor(base / 3).cast("int")
-        size = (base - 2 * p).cast("int")
-        cut = lambda at, long, name, b=b, base=base: F.when(F.col("signature").isNotNull() & (base >= BAND), F.xxhash64(F.lit(name), b, F.substring("line", at, long)))
-        for i, x in enumerate((cut(F.lit(1), p, "head"), cut(n - p + 1, p, "tail"), cut(p + 1, size, "middle"), cut(p, size, "middle"), cut(p + 2, size, "middle"))):
-            keys.append(x.alias(f"k{5 * k + i}"))
-    return lines.select("id", "pos", "h1", "h2", "length", "signature", *keys)
+    keys: list[Column] = []
+    for name, base, here in bands(n):
+        cut = lambda at, long, part, name=name, base=base, here=here: F.when(here, F.xxhash64(F.lit(part + name), base, F.substring("line", at, long)))
+        p = F.floor(base / (3 if name == "2" else 2)).cast("int")
+        keys += [cut(F.lit(1), p, "head"), cut(n - p + 1, p, "tail")]
+        if name == "2":
+            size = (base - 2 * p).cast("int")
+            keys += [cut(p + 1, size, "middle"), cut(p, size, "middle"), cut(p + 2, size, "middle")]
+    return lines.select("id", "pos", "h1", "h2", "length", "signature", *[k.alias(x) for k, x in zip(keys, KEYS, strict=True)])
+
+
+def fine_keys(line: Column) -> Column:
+    """Array of (key, moved): hashes of two of a line's four segments, two from its start and two from its end.
+
+    Where neither the first two nor the last two are whole, each half has one edit, so the others moved by one place at most.
+    """
+    n = F.length(line)
+    out: list[Column] = []
+    for name, base, here in bands(n):
+        q = F.floor(base / 4).cast("int")
+        part = lambda i, s=0, q=q: F.substring(line, (F.lit(1), q + 1, n - 2 * q + 1, n - q + 1)[i] + s, q)
+        near = (0, -1, 1)
+        pairs = [("12", part(0), part(1), 0), ("34", part(2), part(3), 0), ("14", part(0), part(3), 0)]
+        pairs += [("13", part(0), part(2, s), s) for s in near] + [("24", part(1, s), part(3), s) for s in near]
+        pairs += [("23", part(1, s), part(2, t), s or t) for s in near for t in near]
+        out += [F.when(here, F.struct(F.xxhash64(F.lit(kind + name), base, x, F.lit("|"), y).alias("key"), F.lit(int(bool(s))).alias("moved"))) for kind, x, y, s in pairs]
+    return F.filter(F.array(*out), lambda x: x.isNotNull())
 
 
 def within(a: Column, b: Column, tau: int) -> Column:
@@ -118,63 +152,139 @@ def within(a: Column, b: Column, tau: int) -> Column:
     return F.when(n == 0, m <= tau).otherwise(F.aggregate(columns, start, step, last) <= tau)
 
 
+def _close(a: str, b: str) -> Column:
+    """Whether two lines may be within tau edits, by length and letters."""
+    of = lambda s, c: F.col(f"{s}_{c}")
+    tau = F.when(F.least(of(a, "length"), of(b, "length")) >= TWO, TAU).otherwise(1)
+    letters = moved(of(a, "signature"), of(b, "signature"), of(a, "length") - of(b, "length"))
+    return (F.abs(of(a, "length") - of(b, "length")) <= tau) & (letters <= 2 * tau)
+
+
+def _side(t: DataFrame, s: str, *more: str) -> DataFrame:
+    return t.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("line", "length", "signature", "moved", *more)])
+
+
+def _pair() -> list[Column]:
+    return [F.least("a_line", "b_line").alias("a"), F.greatest("a_line", "b_line").alias("b")]
+
+
+def _with_first(t: DataFrame) -> DataFrame:
+    """Pairs (a, b): each line of a key and the one that occurs most."""
+    first = t.groupBy("key").agg(F.max(F.struct("n", "line", "length", "signature", "moved")).alias("x")).select("key", "x.*")
+    return _side(t, "a").join(_side(first, "b"), "key").filter((F.col("a_line") != F.col("b_line")) & _close("a", "b")).select(*_pair())
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of pairs (a, b) those within tau edits, as a stored table; texts: line, chars."""
+    side = lambda i, x: texts.select(F.col("line").alias(i), F.col("chars").alias(x))
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    near = F.when(F.least(F.size("x"), F.size("y")) >= TWO, within(F.col("x"), F.col("y"), TAU)).otherwise(within(F.col("x"), F.col("y"), 1))
+    return stored(both.filter(near).select("a", "b"), "line-links")
+
+
+def _with_classes(t: DataFrame, links: DataFrame) -> DataFrame:
+    """t with the class that links give a line, the line itself if none; only of keys that have several classes."""
+    found = components(links)
+    t = t.join(small(found.withColumnRenamed("node", "line"), found.count()), "line", "left").withColumn("class", F.coalesce("component", "line")).drop("component")
+    several = t.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q")).filter("p < q").select("key")
+    out = stored(t.join(several, "key"), "line-open")
+    discard(found)
+    return out
+
+
 def near_lines(docs: DataFrame, lines: DataFrame, text: str) -> DataFrame:
-    """a, b: the h1 of different lines within TAU edits. lines: one row for each distinct line, with its keys."""
-    kinds = F.array(*[F.struct(F.col(f"k{i}").alias("key"), F.lit(int(i % 5 > 2)).alias("moved")) for i in range(10)])
-    keys = lines.filter("signature is not null").select("h1", "length", "signature", F.explode(kinds).alias("k")).select("h1", "length", "signature", "k.key", "k.moved").filter("key is not null")
-    a, b = (keys.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("h1", "length", "signature", "moved")]) for s in "ab")
-    meet = a.join(b, "key").filter(
-        (F.col("a_h1") < F.col("b_h1"))
-        & (F.abs(F.col("a_length") - F.col("b_length")) <= TAU)
-        & (F.col("a_moved") + F.col("b_moved") < 2)
-        & (moved(F.col("a_signature"), F.col("b_signature"), F.col("a_length") - F.col("b_length")) <= 2 * TAU)
-    )
-    pairs = stored(meet.select(F.col("a_h1").alias("a"), F.col("b_h1").alias("b")).distinct(), "line-pairs")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "line-wanted")
-    few = wanted.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
-    found = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).filter(F.length("line") >= NEAR_FROM).withColumn("h1", F.xxhash64("line"))
-    found = found.join(F.broadcast(wanted) if few else wanted, "h1", "left_semi").groupBy("h1").agg(F.max("line").alias("line"))
-    found = stored(found.select("h1", F.split("line", "").alias("line")), "line-texts")
-    both = pairs.join(found.select(F.col("h1").alias("a"), F.col("line").alias("x")), "a").join(found.select(F.col("h1").alias("b"), F.col("line").alias("y")), "b")
-    return stored(both.filter(within(F.col("x"), F.col("y"), TAU)).select("a", "b"), "line-links")
+    """a, b: links between near lines, enough to connect each class. lines: a row for each distinct line: line (a number), h1, h2, n (occurrences), length, signature, KEYS."""
+    kinds = F.array(*[F.when(F.col(k).isNotNull(), F.struct(F.col(k).alias("key"), F.lit(m).alias("moved"))) for k, m in zip(KEYS, MOVED, strict=True)])
+    every = lines.filter("signature is not null").select("line", "h1", "h2", "n", "length", "signature", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("k")).select("line", "h1", "h2", "n", "length", "signature", "k.*")
+    shared = stored(every.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "line-keys")
+    held = stored(every.join(small(shared, shared.count()), "key"), "line-held")
+    discard(shared)
+    usual, hot = held.filter(F.col("m") <= FEW), held.filter(F.col("m") > FEW)
+    meet = _side(usual, "a").join(_side(usual, "b"), "key").filter((F.col("a_line") < F.col("b_line")) & (F.col("a_moved") + F.col("b_moved") < 2) & _close("a", "b")).select(*_pair())
+    pairs = stored(meet.unionByName(_with_first(hot)).distinct(), "line-pairs")
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).unionByName(hot.select("line")).distinct()
+    wanted = stored(held.select("line", "h1", "h2").distinct().join(wanted, "line", "left_semi"), "line-wanted")
+    rows = wanted.count()
+    found = docs.select(F.explode(F.split(F.col(text), "\n")).alias("t")).filter(F.length("t") >= ONE).withColumn("h1", F.xxhash64("t"))
+    found = found.join(small(wanted.select("h1").distinct(), rows), "h1", "left_semi").groupBy("h1", F.xxhash64(F.lit("second"), "t").alias("h2")).agg(F.max("t").alias("t"))
+    texts = stored(found.join(small(wanted, rows), ["h1", "h2"]).select("line", "t", F.split("t", "").alias("chars")), "line-texts")
+    discard(wanted)
+
+    links = _verified(pairs, texts)
+    discard(pairs)
+    if not hot.isEmpty():
+        links = _among(hot, texts, links)
+    discard(held)
+    discard(texts)
+    return links
+
+
+def _among(hot: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
+    """links, and what they lack among lines that share a frequent segment."""
+    opened = _with_classes(hot.select("line", "key"), links)
+    rest = hot.select("line", "n", "length", "signature").distinct().join(opened.select("line").distinct(), "line", "left_semi")
+    fine = rest.join(texts.select("line", F.explode(F.array_distinct(fine_keys(F.col("t")))).alias("k")), "line").select("line", "n", "length", "signature", "k.*")
+    fine = stored(fine, "line-fine")
+    discard(opened)
+    mine = _with_classes(fine, links)
+    pairs = stored(_with_first(mine).distinct(), "line-pairs")
+    more = stored(links.unionByName(_verified(pairs, texts)), "line-links")
+    discard(mine)
+    mine = _with_classes(fine, more)
+    discard(fine)
+    discard(pairs)
+    across = (F.col("a_line") < F.col("b_line")) & (F.col("a_class") != F.col("b_class")) & (F.col("a_moved") + F.col("b_moved") < 2) & _close("a", "b")
+    pairs = stored(_side(mine, "a", "class").join(_side(mine, "b", "class"), "key").filter(across).select(*_pair()).distinct(), "line-pairs")
+    out = stored(more.unionByName(_verified(pairs, texts)), "line-links")
+    for x in (mine, pairs, more):
+        discard(x)
+    return out
 
 
 def verdicts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_lines, n_links (links of its lines to different ones), n_kept, dropped (positions) of every id that has a line with a word."""
+    """id, n_lines, n_near (lines in a class with a different line), n_kept, dropped (positions) of every id that has a line with a word."""
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     at = stored(occurrences(docs, "id", "text"), "line-occurrences")
-    facts = [F.min("id").alias("first_id"), F.max("length").alias("length"), F.max("signature").alias("signature"), *[F.max(f"k{i}").alias(f"k{i}") for i in range(10)]]
-    lines = stored(at.groupBy("h1", "h2").agg(*facts), "lines")
+    facts = [F.min("id").alias("first_id"), F.count("*").alias("n"), F.max("length").alias("length"), F.max("signature").alias("signature"), *[F.max(k).alias(k) for k in KEYS]]
+    lines = stored(at.groupBy("h1", "h2").agg(*facts).withColumn("line", F.monotonically_increasing_id()), "lines")
     links = near_lines(docs, lines, "text")
     parts = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    parts = parts.join(degree, "node")
-    named = lines.select("h1", "h2", "first_id").join(parts.withColumnRenamed("node", "h1"), "h1", "left")
-    linked = named.filter("component is not null").groupBy("component").agg(F.min("first_id").alias("class_first"))
-    named = named.join(linked, "component", "left")
-    named = named.select("h1", "h2", F.coalesce("class_first", "first_id").alias("first_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "h1").alias("class"), F.when(F.col("component").isNull(), F.col("h2")).alias("class2"))
-    here = at.select("id", "pos", "h1", "h2").join(named, ["h1", "h2"])
-    by_class = here.groupBy("id", "class", "class2").agg(F.min("pos").alias("p"), F.count("*").alias("n"), F.sum("links").alias("links"), F.first("first_id").alias("first_id"), F.collect_list("pos").alias("all"))
-    mine = F.col("id") == F.col("first_id")
-    gone = F.when(mine, F.filter("all", lambda x: x != F.col("p"))).otherwise(F.col("all"))
-    by_class = by_class.select("id", "n", "links", gone.alias("gone"))
-    out = by_class.groupBy("id").agg(F.sum("n").alias("n_lines"), F.sum("links").alias("n_links"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("dropped"), F.sum(F.size("gone")).alias("n_gone"))
-    return out.select(F.col("id").alias(id), "n_lines", "n_links", (F.col("n_lines") - F.col("n_gone")).alias("n_kept"), "dropped")
+    # Only lines that are repeated or near others matter; all others stay.
+    known = lines.select("h1", "h2", "line", "first_id", "n").join(small(parts.withColumnRenamed("node", "line"), parts.count()), "line", "left").filter("n > 1 or component is not null")
+    known = known.select("h1", "h2", "first_id", F.coalesce("component", "line").alias("class"), F.col("component").isNotNull().alias("near"))
+    known = stored(known, "line-classes")
+    discard(lines)
+    first = known.groupBy("class").agg(F.min("first_id").alias("class_first"))
+    marked = stored(known.join(small(first, known.count()), "class").select("h1", "h2", "class", "near", "class_first"), "line-marked")
+    discard(known)
+    here = at.select("id", "pos", "h1", "h2").join(small(marked, marked.count()), ["h1", "h2"])
+    by_class = here.groupBy("id", "class").agg(F.min("pos").alias("p"), F.sum(F.col("near").cast("long")).alias("n_near"), F.first("class_first").alias("first_id"), F.collect_list("pos").alias("all"))
+    gone = F.when(F.col("id") == F.col("first_id"), F.filter("all", lambda x: x != F.col("p"))).otherwise(F.col("all"))
+    # Of rows with one id a place may be named twice; it is one line then.
+    by_id = by_class.select("id", "n_near", gone.alias("gone")).groupBy("id").agg(F.sum("n_near").alias("n_near"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("dropped"), F.sum(F.size("gone")).alias("n_gone"))
+    out = at.groupBy("id").agg(F.count("*").alias("n_lines")).join(by_id, "id", "left")
+    zero = F.lit(0).cast("long")
+    out = out.select(F.col("id").alias(id), "n_lines", F.coalesce("n_near", zero).alias("n_near"), (F.col("n_lines") - F.coalesce("n_gone", zero)).alias("n_kept"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    out = stored(out, "line-verdicts")
+    for x in (at, marked, parts, links):
+        discard(x)
+    return out
 
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with their dropped lines taken out; a document all of whose lines with words go, goes."""
     v = verdicts(docs, id, text).filter(F.size("dropped") > 0).select(F.col(id).alias("_id"), F.col("dropped").alias("_dropped"), (F.col("n_kept") == 0).alias("_gone"))
-    out = docs.join(stored(v, "line-verdicts"), F.col(id) == F.col("_id"), "left").filter(~F.coalesce("_gone", F.lit(False)))
+    out = docs.join(v, F.col(id) == F.col("_id"), "left").filter(~F.coalesce("_gone", F.lit(False)))
     left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_dropped", i))
     kept = F.when(F.col("_dropped").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     return out.withColumn(text, kept).select(*docs.columns)
 
 
 def report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each document: id, n_lines, n_links, n_kept, dropped_sha256 (of the dropped positions, comma-joined)."""
+    """One row for each document: id, n_lines, n_near, n_kept, dropped_sha256 (of the dropped positions, comma-joined)."""
     v = verdicts(docs, id, text)
-    v = v.select(F.col(id).alias("_id"), "n_lines", "n_links", "n_kept", F.sha2(F.array_join(F.col("dropped").cast("array<string>"), ","), 256).alias("dropped_sha256"))
+    v = v.select(F.col(id).alias("_id"), "n_lines", "n_near", "n_kept", F.sha2(F.array_join(F.col("dropped").cast("array<string>"), ","), 256).alias("dropped_sha256"))
     zero = F.lit(0).cast("long")
-    rows = docs.select(F.col(id).alias(id)).join(stored(v, "line-report"), F.col(id) == F.col("_id"), "left")
-    return rows.select(id, *[F.coalesce(c, zero).alias(c) for c in ("n_lines", "n_links", "n_kept")], F.coalesce("dropped_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("dropped_sha256"))
+    rows = docs.select(F.col(id).alias(id)).join(v, F.col(id) == F.col("_id"), "left")
+    return rows.select(id, *[F.coalesce(c, zero).alias(c) for c in ("n_lines", "n_near", "n_kept")], F.coalesce("dropped_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("dropped_sha256"))

@@ -276,9 +276,26 @@ def changed(r, s, k):
     return "".join(s)
 
 
-def test_line_dedup(spark):
+def test_fine_keys_hold(spark):
+    """Lines within two edits share two of four segments, at least one of them unmoved."""
+    r = random.Random(18)
+    rows = []
+    for k in range(600):
+        x = "".join(r.choice("abcdefgh é") for _ in range(r.randint(12, 60)))
+        y = changed(r, x, 2 if min(len(x), 26) >= 26 else 1)
+        if edits(x, y) <= (2 if min(len(x), len(y)) >= 24 else 1) and min(len(x), len(y)) >= 12:
+            rows.append((k, x, y))
+    df = spark.createDataFrame(rows, "k int, x string, y string").select("x", "y", line_dedup.fine_keys(F.col("x")).alias("a"), line_dedup.fine_keys(F.col("y")).alias("b"))
+    for q in df.collect():
+        assert {i.key for i in q.a if not i.moved} & {i.key for i in q.b} or {i.key for i in q.b if not i.moved} & {i.key for i in q.a}, (q.x, q.y)
+
+
+@pytest.mark.parametrize("few", [1, 32])
+def test_line_dedup(spark, monkeypatch, few):
+    """few = 1 makes every shared segment a frequent one."""
+    monkeypatch.setattr(line_dedup, "FEW", few)
     r = random.Random(8)
-    base = ["".join(r.choice("abcé d") for _ in range(r.randint(20, 70))) for _ in range(40)]
+    base = ["".join(r.choice("abcé d") for _ in range(r.randint(1 + 20 * (k % 4 > 0), 25 + 45 * (k % 4 > 0)))) for k in range(40)]
     pairs = [(changed(r, b, r.randint(0, 3)), b) for b in base * 6]
     pairs = spark.createDataFrame([(x, y, list(x), list(y)) for x, y in pairs if abs(len(x) - len(y)) <= 2], "x string, y string, a array<string>, b array<string>")
     for q in pairs.select("x", "y", line_dedup.within(F.col("a"), F.col("b"), 2).alias("near")).collect():
@@ -300,7 +317,8 @@ def test_line_dedup(spark):
 
     for i, x in enumerate(lines):
         for y in lines[:i]:
-            if min(len(x), len(y)) >= 24 and abs(len(x) - len(y)) <= 2 and edits(x, y) <= 2:
+            tau = 2 if min(len(x), len(y)) >= 24 else int(min(len(x), len(y)) >= 12)
+            if tau and abs(len(x) - len(y)) <= tau and edits(x, y) <= tau:
                 links.update([x, y])
                 parent[root(x)] = root(y)
     first = {}
@@ -317,7 +335,7 @@ def test_line_dedup(spark):
         ls = (s or "").split("\n")
         held = [(p, x) for p, x in enumerate(ls) if words(x)]
         gone = [p for p, x in held if first[root(x)] != (i, p)]
-        assert (got[i].n_lines, got[i].n_kept, got[i].n_links) == (len(held), len(held) - len(gone), sum(links[x] for _, x in held))
+        assert (got[i].n_lines, got[i].n_kept, got[i].n_near) == (len(held), len(held) - len(gone), sum(links[x] > 0 for _, x in held))
         if held and len(gone) == len(held):
             assert i not in text
         else:
