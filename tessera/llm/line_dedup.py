@@ -17,7 +17,8 @@ then compared by edit distance, a diagonal band of the matrix held in the bits o
 A segment that more than FEW lines share makes no pairs. Its lines are compared with the one
 of them that occurs most. Where that doesn't bring all of them into one class, they are cut
 into four, of which two edits leave two: lines of different classes that share two of
-four segments are compared, again with the most frequent one first.
+four segments and nearly all pairs of neighbouring characters are compared, again with
+the most frequent one first.
 
 Lines are told apart by 128 bits of hash. Rows with a null id stay whole and count for
 nothing; rows with one id are one document. Null and empty texts have no lines. Lines
@@ -35,6 +36,10 @@ from ._shared import WORD, discard, small, stored
 TAU, TWO, ONE, BAND, NARROW = 2, 24, 12, 16, 4
 #: Lines to a segment up to which all their pairs are taken at once.
 FEW = 32
+#: Columns of a sketch.
+SKETCH = ["w0", "w1", "w2", "w3"]
+#: Columns of a fine key besides.
+KIND = ["kind", "x1", "x2", "x3"]
 
 
 #: Letters that are counted; all other characters are one more group.
@@ -88,22 +93,31 @@ def occurrences(docs: DataFrame, id: str, text: str) -> DataFrame:
     return lines.select("id", "pos", "h1", "h2", "length", "signature", *[k.alias(x) for k, x in zip(keys, KEYS, strict=True)])
 
 
-def fine_keys(line: Column) -> Column:
-    """Array of (key, moved): hashes of two of a line's four segments, two from its start and two from its end.
+def fine_keys(line: Column, band: int) -> Column:
+    """Array of (key, moved, kind, and the keys of the kinds 1 to 3) in one of the bands: hashes of two of a line's four segments, two from its start and two from its end.
 
     Where neither the first two nor the last two are whole, each half has one edit, so the others moved by one place at most.
     """
     n = F.length(line)
-    out: list[Column] = []
-    for name, base, here in bands(n):
-        q = F.floor(base / 4).cast("int")
-        part = lambda i, s=0, q=q: F.substring(line, (F.lit(1), q + 1, n - 2 * q + 1, n - q + 1)[i] + s, q)
-        near = (0, -1, 1)
-        pairs = [("12", part(0), part(1), 0), ("34", part(2), part(3), 0), ("14", part(0), part(3), 0)]
-        pairs += [("13", part(0), part(2, s), s) for s in near] + [("24", part(1, s), part(3), s) for s in near]
-        pairs += [("23", part(1, s), part(2, t), s or t) for s in near for t in near]
-        out += [F.when(here, F.struct(F.xxhash64(F.lit(kind + name), base, x, F.lit("|"), y).alias("key"), F.lit(int(bool(s))).alias("moved"))) for kind, x, y, s in pairs]
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
+    name, base, _ = bands(n)[band]
+    q = F.floor(base / 4).cast("int")
+    part = lambda i, s=0: F.substring(line, (F.lit(1), q + 1, n - 2 * q + 1, n - q + 1)[i] + s, q)
+    near = (0, -1, 1)
+    hashed = lambda kind, x, y: F.xxhash64(F.lit(kind + name), base, x, F.lit("|"), y)
+    whole = [hashed("12", part(0), part(1)), hashed("34", part(2), part(3)), hashed("14", part(0), part(3))]
+    pairs = [(x, 0, kind) for kind, x in enumerate(whole, 1)]
+    pairs += [(hashed("13", part(0), part(2, s)), s, 4) for s in near] + [(hashed("24", part(1, s), part(3)), s, 4) for s in near]
+    pairs += [(hashed("23", part(1, s), part(2, t)), s or t, 4) for s in near for t in near]
+    first = [x.alias(f"x{k}") for k, x in enumerate(whole, 1)]
+    return F.array(*[F.struct(x.alias("key"), F.lit(int(bool(s))).alias("moved"), F.lit(kind).alias("kind"), *first) for x, s, kind in pairs])
+
+
+def _first_kind() -> Column:
+    """Whether two lines that meet by a fine key have none of an earlier kind in common; so they meet about once."""
+    out = F.lit(True)
+    for k in (1, 2, 3):
+        out = out & ((F.col("a_kind") <= k) | (F.col(f"a_x{k}") != F.col(f"b_x{k}")))
+    return out
 
 
 def within(a: Column, b: Column, tau: int) -> Column:
@@ -152,6 +166,26 @@ def within(a: Column, b: Column, tau: int) -> Column:
     return F.when(n == 0, m <= tau).otherwise(F.aggregate(columns, start, step, last) <= tau)
 
 
+def sketch(chars: Column) -> Column:
+    """Struct of four numbers, 256 bits: each pair of neighbouring characters turns one of them over, so one edit turns four at most."""
+    start = F.struct(*[F.lit(0).cast("long").alias(w) for w in SKETCH])
+    grams = F.transform(F.slice(chars, 1, F.greatest(F.size(chars) - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(chars, i + 1)).bitwiseAND(F.lit(255).cast("long")).cast("int"))
+
+    def add(s: Column, g: Column) -> Column:
+        bit = F.call_function("shiftleft", F.expr("1L"), g % 64)
+        return F.struct(*[s[w].bitwiseXOR(F.when(F.floor(g / 64) == j, bit).otherwise(F.expr("0L"))).alias(w) for j, w in enumerate(SKETCH)])
+
+    return F.aggregate(grams, start, add)
+
+
+def _alike(a: str, b: str) -> Column:
+    """Whether no more bits of two sketches differ than tau edits turn over."""
+    changed = F.lit(0)
+    for w in SKETCH:
+        changed = changed + F.bit_count(F.col(f"{a}_{w}").bitwiseXOR(F.col(f"{b}_{w}")))
+    return changed <= 4 * F.when(F.least(F.col(f"{a}_length"), F.col(f"{b}_length")) >= TWO, TAU).otherwise(1)
+
+
 def _close(a: str, b: str) -> Column:
     """Whether two lines may be within tau edits, by length and letters."""
     of = lambda s, c: F.col(f"{s}_{c}")
@@ -168,10 +202,11 @@ def _pair() -> list[Column]:
     return [F.least("a_line", "b_line").alias("a"), F.greatest("a_line", "b_line").alias("b")]
 
 
-def _with_first(t: DataFrame) -> DataFrame:
-    """Pairs (a, b): each line of a key and the one that occurs most."""
-    first = t.groupBy("key").agg(F.max(F.struct("n", "line", "length", "signature", "moved")).alias("x")).select("key", "x.*")
-    return _side(t, "a").join(_side(first, "b"), "key").filter((F.col("a_line") != F.col("b_line")) & _close("a", "b")).select(*_pair())
+def _with_first(t: DataFrame, *more: str) -> DataFrame:
+    """Pairs (a, b): each line of a key and the one that occurs most. more: SKETCH where t has it."""
+    first = t.groupBy("key").agg(F.max(F.struct("n", "line", "length", "signature", "moved", *more)).alias("x")).select("key", "x.*")
+    near = _close("a", "b") & _alike("a", "b") if more else _close("a", "b")
+    return _side(t, "a", *more).join(_side(first, "b", *more), "key").filter((F.col("a_line") != F.col("b_line")) & near).select(*_pair())
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -224,18 +259,23 @@ def _among(hot: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
     """links, and what they lack among lines that share a frequent segment."""
     opened = _with_classes(hot.select("line", "key"), links)
     rest = hot.select("line", "n", "length", "signature").distinct().join(opened.select("line").distinct(), "line", "left_semi")
-    fine = rest.join(texts.select("line", F.explode(F.array_distinct(fine_keys(F.col("t")))).alias("k")), "line").select("line", "n", "length", "signature", "k.*")
-    fine = stored(fine, "line-fine")
+    cut = stored(rest.join(texts.select("line", "t", sketch(F.col("chars")).alias("sketch")), "line"), "line-cut")
+    fine = None
+    for k, (_, _, here) in enumerate(bands(F.length("t"))):
+        some = cut.filter(here).select("line", "n", "length", "signature", "sketch.*", F.explode(F.array_distinct(fine_keys(F.col("t"), k))).alias("k"))
+        fine = some if fine is None else fine.unionByName(some)
+    fine = stored(fine.select("line", "n", "length", "signature", *SKETCH, "k.*"), "line-fine")
     discard(opened)
+    discard(cut)
     mine = _with_classes(fine, links)
-    pairs = stored(_with_first(mine).distinct(), "line-pairs")
+    pairs = stored(_with_first(mine, *SKETCH).distinct(), "line-pairs")
     more = stored(links.unionByName(_verified(pairs, texts)), "line-links")
     discard(mine)
     mine = _with_classes(fine, more)
     discard(fine)
     discard(pairs)
-    across = (F.col("a_line") < F.col("b_line")) & (F.col("a_class") != F.col("b_class")) & (F.col("a_moved") + F.col("b_moved") < 2) & _close("a", "b")
-    pairs = stored(_side(mine, "a", "class").join(_side(mine, "b", "class"), "key").filter(across).select(*_pair()).distinct(), "line-pairs")
+    across = (F.col("a_line") < F.col("b_line")) & (F.col("a_class") != F.col("b_class")) & (F.col("a_moved") + F.col("b_moved") < 2) & _first_kind() & _close("a", "b") & _alike("a", "b")
+    pairs = stored(_side(mine, "a", "class", *SKETCH, *KIND).join(_side(mine, "b", "class", *SKETCH, *KIND), "key").filter(across).select(*_pair()).distinct(), "line-pairs")
     out = stored(more.unionByName(_verified(pairs, texts)), "line-links")
     for x in (mine, pairs, more):
         discard(x)

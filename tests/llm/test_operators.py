@@ -285,8 +285,13 @@ def test_fine_keys_hold(spark):
         y = changed(r, x, 2 if min(len(x), 26) >= 26 else 1)
         if edits(x, y) <= (2 if min(len(x), len(y)) >= 24 else 1) and min(len(x), len(y)) >= 12:
             rows.append((k, x, y))
-    df = spark.createDataFrame(rows, "k int, x string, y string").select("x", "y", line_dedup.fine_keys(F.col("x")).alias("a"), line_dedup.fine_keys(F.col("y")).alias("b"))
+    def keys(c):
+        return F.concat(*[F.when(here, line_dedup.fine_keys(F.col(c), k)).otherwise(F.array().cast("array<struct<key:bigint,moved:int,kind:int,x1:bigint,x2:bigint,x3:bigint>>")) for k, (_, _, here) in enumerate(line_dedup.bands(F.length(c)))])
+
+    chars = lambda c: line_dedup.sketch(F.split(c, ""))
+    df = spark.createDataFrame(rows, "k int, x string, y string").select("x", "y", keys("x").alias("a"), keys("y").alias("b"), chars("x").alias("u"), chars("y").alias("v"))
     for q in df.collect():
+        assert sum(((i ^ j) & (1 << 64) - 1).bit_count() for i, j in zip(q.u, q.v)) <= (8 if min(len(q.x), len(q.y)) >= 24 else 4)
         assert {i.key for i in q.a if not i.moved} & {i.key for i in q.b} or {i.key for i in q.b if not i.moved} & {i.key for i in q.a}, (q.x, q.y)
 
 
