@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spans import SPAN, by_place, digits, listed, luhn, matches, small_table, without_overlaps
+from ._spans import SPAN, by_place, digits, fold, listed, luhn, matches, small_table, without_overlaps
 from ._trees import Boosted, boost, threshold
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
@@ -32,7 +32,7 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "written": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\]|\{at\}|\x20at\x20)\x20?[a-z0-9-]{1,64}+(?:\x20?(?:\(dot\)|\[dot\]|\{dot\}|\x20dot\x20)\x20?[a-z0-9-]{2,64}+)+",
+    "written": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\]|\{at\}|\x20at\x20)\x20?[a-z0-9-]{1,64}+(?:\x20?(?:\(dot\)|\[dot\]|\{dot\}|\x20dot\x20)\x20?[a-z0-9-]{2,64}+)++",
     "local": r"(?<![0-9+.-])(?:\([0-9]{2,5}\)|0[0-9]{1,4}|[0-9]{3})[\x20./-][0-9]{2,4}(?:[\x20.-][0-9]{2,5}){1,3}(?![0-9])",
     "number": r"(?<![0-9A-Za-z.-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\x20?[0-9A-Z]{4}){3,7}|[A-Z]{1,2}[0-9]{6,9})(?![0-9A-Za-z-])",
 }
@@ -63,14 +63,14 @@ def base_spans(text: Column) -> Column:
 
 
 def proposals(text: Column) -> Column:
-    """Spans of all generators, with AROUND characters before and 8 after."""
+    """Spans of all generators, with up to AROUND characters before and 8 after."""
     none = F.array().cast(SPAN)
     low_dot = text.rlike(r"(?i)[(\[{ ]dot[)\]} ]")
     has_digit = text.rlike("[0-9]")
     found = F.concat(
-        F.when(low_dot, matches(text, PATTERNS["written"], "written")).otherwise(none),
-        F.when(has_digit, matches(text, PATTERNS["local"], "local")).otherwise(none),
-        F.when(has_digit, matches(text, PATTERNS["number"], "number")).otherwise(none),
+        F.when(low_dot, matches(text, PATTERNS["written"], "written", AROUND, 8)).otherwise(none),
+        F.when(has_digit, matches(text, PATTERNS["local"], "local", AROUND, 8)).otherwise(none),
+        F.when(has_digit, matches(text, PATTERNS["number"], "number", AROUND, 8)).otherwise(none),
     )
     return by_place(found, ADDED_KINDS)
 
@@ -153,13 +153,11 @@ def train(spark: SparkSession) -> Model:
     return Model(model, least)
 
 
-def selected(text: Column, found: Column, model: Model) -> Column:
+def selected(found: Column, model: Model) -> Column:
     """Of proposed spans, those that the trees rate at their kind's threshold or above."""
-    before = lambda x: F.substring(text, F.greatest(x["start"] - AROUND + 1, F.lit(1)), F.least(x["start"], F.lit(AROUND)))
-    after = lambda x: F.substring(text, x["end"] + 1, F.lit(8))
     least = lambda x: F.coalesce(*[F.when(x["kind"] == k, F.lit(v)) for k, v in model.least.items()])
     # First what a candidate looks like, as one struct, then the trees over it.
-    faced = F.transform(found, lambda x: F.struct(x.alias("x"), *[c.alias(k) for k, c in features(x["kind"], x["text"], before(x), after(x)).items()]))
+    faced = F.transform(found, lambda x: F.struct(x.alias("x"), *[c.alias(k) for k, c in features(x["kind"], x["text"], x["before"], x["after"]).items()]))
     good = F.filter(faced, lambda y: model.trees.probability({k: y[k] for k in FEATURES}) >= least(y["x"]))
     return F.transform(good, lambda y: y["x"])
 
@@ -170,7 +168,7 @@ def find(docs: DataFrame, text: str = "text", into: str = "_private") -> DataFra
     whole = F.coalesce(F.col(text), F.lit(""))
     base, extra = base_spans(whole), proposals(whole)
     out = docs.withColumn(into, F.struct(base.alias("base"), extra.alias("extra")))
-    extra = F.when(F.size(f"{into}.extra") > 0, without_overlaps(selected(whole, F.col(f"{into}.extra"), model), F.col(f"{into}.base"))).otherwise(F.array().cast(SPAN))
+    extra = F.when(F.size(f"{into}.extra") > 0, without_overlaps(selected(F.col(f"{into}.extra"), model), F.col(f"{into}.base"), ADDED_KINDS)).otherwise(F.array().cast(SPAN))
     out = out.withColumn(into, F.struct(f"{into}.base", extra.alias("added")))
     return out.withColumn(into, F.struct(f"{into}.base", by_place(F.concat(f"{into}.base", f"{into}.added"), BASE_KINDS + ADDED_KINDS).alias("spans")))
 
@@ -178,20 +176,22 @@ def find(docs: DataFrame, text: str = "text", into: str = "_private") -> DataFra
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with every span replaced by [KIND]; of overlapping spans the first is replaced."""
     found = find(docs, text)
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     whole = F.coalesce(F.col(text), F.lit(""))
+    none = F.array().cast("array<string>")
 
-    def step(s: Column, x: Column) -> Column:
-        kept = F.substring(whole, s["at"] + 1, x["start"] - s["at"])
-        return F.when(x["start"] < s["at"], s).otherwise(F.struct(x["end"].alias("at"), F.concat(s["out"], kept, F.lit("["), F.upper(x["kind"]), F.lit("]")).alias("out")))
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        inside = x["start"] < at
+        kept = F.substring(whole, at + 1, x["start"] - at)
+        return F.when(inside, at).otherwise(x["end"]), F.when(inside, none).otherwise(F.array(kept, F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))))
 
-    clean = F.aggregate("_private.spans", begin, step, lambda s: F.concat(s["out"], F.substring(whole, s["at"] + 1, F.length(whole) - s["at"])))
+    rest = F.substring(whole, F.array_max(F.transform("_private.spans", lambda x: x["end"])) + 1, F.length(whole))
+    clean = F.concat(F.array_join(fold(F.col("_private.spans"), F.lit(0), "array<string>", step), ""), rest)
     return found.withColumn(text, F.when(F.size("_private.spans") > 0, clean).otherwise(F.col(text))).select(*docs.columns)
 
 
 def report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_email, n_ip, n_card, n_phone (base), base_sha256, spans, n_added of every row."""
+    """id, n_email, n_ip, n_card, n_phone (base), base_sha256, spans, n_added, n_spans of every row."""
     p = find(docs.select(F.col(id).alias(id), F.col(text).alias(text)), text)
     count = lambda k: F.size(F.filter("_private.base", lambda x: x["kind"] == k)).cast("long")
     added = (F.size("_private.spans") - F.size("_private.base")).cast("long")
-    return p.select(id, *[count(k).alias(f"n_{k}") for k in BASE_KINDS], F.sha2(listed(F.col("_private.base")), 256).alias("base_sha256"), listed(F.col("_private.spans")).alias("spans"), added.alias("n_added"))
+    return p.select(id, *[count(k).alias(f"n_{k}") for k in BASE_KINDS], F.sha2(listed(F.col("_private.base")), 256).alias("base_sha256"), listed(F.col("_private.spans")).alias("spans"), added.alias("n_added"), F.size("_private.spans").cast("long").alias("n_spans"))

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spans import SPAN, by_place, listed, matches, small_table
+from ._spans import SPAN, by_place, first_ones, listed, matches, small_table
 from ._trees import Node, forest, forest_probability
 
 THRESHOLD, AROUND = 0.6, 40
@@ -35,8 +35,8 @@ FEATURES = ["length", "changes", "hex", "digit_share", "upper_share", "lower_sha
 def proposals(text: Column) -> Column:
     """Candidates by start. A cheap look comes first: most texts have neither a long run nor an assignment."""
     none = F.array().cast(SPAN)
-    runs = F.when(text.rlike("[A-Za-z0-9_+/=-]{20}"), matches(text, PATTERNS["run"], "run")).otherwise(none)
-    names = F.when(text.rlike("[=:][=>]? {0,2}[\"']?[^\\s\"'<>;,]{8}"), matches(text, PATTERNS["assigned"], "assigned")).otherwise(none)
+    runs = F.when(text.rlike("[A-Za-z0-9_+/=-]{20}"), matches(text, PATTERNS["run"], "run", AROUND)).otherwise(none)
+    names = F.when(text.rlike("[=:][=>]? {0,2}[\"']?[^\\s\"'<>;,]{8}"), matches(text, PATTERNS["assigned"], "assigned", AROUND)).otherwise(none)
     return by_place(F.concat(names, runs), KINDS)
 
 
@@ -116,12 +116,9 @@ def find(docs: DataFrame, text: str = "text", path: str | None = "source", into:
     whole = F.coalesce(F.col(text), F.lit(""))
     where = F.col(path).cast("string") if path else F.lit("")
     out = docs.withColumn(into, proposals(whole))
-    before = lambda x: F.substring(whole, F.greatest(x["start"] - AROUND + 1, F.lit(1)), F.least(x["start"], F.lit(AROUND)))
-    faced = F.transform(into, lambda x: F.struct(x.alias("x"), *[c.alias(k) for k, c in features(x["kind"], x["text"], before(x), where).items()]))
-    good = F.filter(faced, lambda y: forest_probability(trees, {k: y[k] for k in FEATURES}) >= THRESHOLD)
-    begin = F.struct(F.lit(0).alias("end"), F.array().cast(SPAN).alias("out"))
-    first = lambda s, y: F.when(y["x"]["start"] < s["end"], s).otherwise(F.struct(y["x"]["end"].alias("end"), F.concat(s["out"], F.array(y["x"])).alias("out")))
-    spans = F.when(F.size(into) > 0, F.aggregate(good, begin, first, lambda s: s["out"])).otherwise(F.array().cast(SPAN))
+    faced = F.transform(into, lambda x: F.struct(x.alias("x"), *[c.alias(k) for k, c in features(x["kind"], x["text"], x["before"], where).items()]))
+    good = F.transform(F.filter(faced, lambda y: forest_probability(trees, {k: y[k] for k in FEATURES}) >= THRESHOLD), lambda y: y["x"])
+    spans = F.when(F.size(into) > 0, first_ones(good)).otherwise(F.array().cast(SPAN))
     return out.withColumn(into, F.struct(F.size(into).cast("long").alias("candidates"), spans.alias("spans")))
 
 

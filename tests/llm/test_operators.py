@@ -376,6 +376,11 @@ def test_private_data(spark):
         assert set(filter(None, want.split(","))) <= set(q.spans.split(","))
     clean = {q.doc_id: q.text for q in private_data.redact(df).collect()}
     assert clean[len(texts) - 2] == "mail [WRITTEN] or phone [LOCAL]" and clean[len(texts) - 6] is None
+    many = "a@b.cd, 10.0.0.7; " * 2000
+    rows = [(1, "bob at site" + " dot abc" * 3000), (2, many), (3, "call 555-123-4567 or " * 1500)]
+    got = {q.doc_id: q for q in private_data.report(docs_of(spark, rows)).collect()}
+    assert got[1].n_spans <= 1 and (got[2].n_email, got[2].n_ip) == (2000, 2000) and got[3].n_spans > 0
+    assert got[2].base_sha256 == hashlib.sha256(base_spans(many).encode()).hexdigest()
     long = docs_of(spark, [(1, "9" * 30_000 + " " + "a" * 30_000 + "@x " + "1." * 5_000)])
     assert private_data.report(long).first().n_card == 0
 
