@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +16,20 @@ BROADCAST_ROWS = 500_000
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+#: Tables written since gather() was called, if it was.
+_gathered: list[DataFrame] | None = None
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one below the working folder where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local session takes one of its machine's; a cluster has none, which is an error."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = current.get() if current.isDefined() else None
     if not found:
-        found = "/tmp/checkpoints/tessera"
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
+        found = f"{tempfile.gettempdir()}/checkpoints/tessera"
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
@@ -34,9 +42,17 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
+    if _gathered is not None:
+        _gathered.append(out)
     return out
 
 
+def gather(into: list[DataFrame] | None) -> None:
+    """From now on stored() notes its tables in `into`; None: no more."""
+    global _gathered
+    _gathered = into
+
+
 def named(df: DataFrame, table: DataFrame) -> DataFrame:
     """df, which reads `table` alone, as that table for discard()."""
     df._stored_at = table._stored_at
