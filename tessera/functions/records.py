@@ -51,14 +51,14 @@ def lorebook_entry(raw: Column, number: Column) -> Column:
     """id, name, keys, content, insertion_order, priority of one entry; numbers that can't be read are 50."""
     f = F.from_json(raw, "map<string,string>")
     first = lambda *names: F.coalesce(*[string_or_null(f[n]) for n in names])
-    whole = lambda *names: F.coalesce(*[f[n].try_cast("int") for n in names], F.lit(50))
-    keys = F.array_sort(F.array_distinct(F.concat(*[parse_keys(f[k]) for k in ("key", "keys", "keysecondary")])))
+    whole = lambda name: F.coalesce(f[name].try_cast("int"), F.lit(50))
+    keys = F.array_sort(F.array_distinct(F.concat(*[parse_keys(f[k]) for k in ("key", "keysecondary")])))
     return F.struct(
         number.cast("bigint").alias("id"),
-        F.coalesce(first("name", "title", "comment"), F.concat(F.lit("Entry_"), F.coalesce(f["uid"], number.cast("string")))).alias("name"),
+        F.coalesce(first("name", "title"), F.concat(F.lit("Entry_"), number.cast("string"))).alias("name"),
         keys.alias("keys"),
         F.coalesce(first("content", "description"), F.lit("")).alias("content"),
-        whole("insertion_order", "order").alias("insertion_order"),
+        whole("insertion_order").alias("insertion_order"),
         whole("priority").alias("priority"),
     )
 

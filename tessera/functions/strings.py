@@ -167,7 +167,7 @@ def lineage(title: Column, space: Column, segment: Column) -> Column:
     return F.concat(F.lit("[Trope: "), title, F.lit(" | Namespace: "), space, F.lit("] "), segment)
 
 
-def system_name(first_dir: Column, file: Column, active: str = "BFRPG") -> Column:
+def system_name(first_dir: Column, file: Column, active: str) -> Column:
     """The first folder; else the active system for chunk files; else the file's own name without its usual parts."""
     own = file
     for part in ("main_", "_world_info", ".json"):
@@ -184,7 +184,10 @@ def input_kind(c: Column, is_ocr_dir: Column | None = None) -> Column:
 
 
 #: Words in the message of an error that is worth another try.
-RETRY_WORDS = ["timeout", "timed out", "connection", "rate limit", "429", "503", "502", "temporarily"]
+RETRY_WORDS = ["rate limit", "throttled", "429", "503", "500", "timeout", "connection", "http"]
+
+#: Phrases of a page that was served instead of its content.
+BLOCKED_PHRASES = ["Enable JavaScript and cookies to continue", "429 Too Many Requests", "AuthenticationRequiredError", "bad network reputation"]
 
 
 def retryable(message: Column) -> Column:
@@ -192,8 +195,11 @@ def retryable(message: Column) -> Column:
 
 
 def blocked_page(text: Column) -> Column:
-    """Pages that ask for scripts, cookies, a login or patience instead of showing content."""
-    return text.rlike(r"(?i)enable (?:javascript|js)|cookies|too many requests|\b429\b|unauthori[sz]ed|authentication required")
+    """Pages that ask for scripts, patience or an account instead of showing content."""
+    out = F.lit(False)
+    for phrase in BLOCKED_PHRASES:
+        out = out | F.contains(text, F.lit(phrase))
+    return out
 
 
 def stamp(at: Column, style: str = "iso") -> Column:

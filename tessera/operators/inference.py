@@ -8,6 +8,7 @@ import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
+from urllib.error import URLError
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -51,7 +52,7 @@ class Retry:
     tries: int = 5
     least: float = 2.0
     most: float = 30.0
-    again: Callable[[Exception], bool] = lambda e: any(w in str(e).lower() for w in S.RETRY_WORDS)
+    again: Callable[[Exception], bool] = lambda e: isinstance(e, (ConnectionError, TimeoutError, URLError)) or any(w in str(e).lower() for w in S.RETRY_WORDS)
     sleep: Callable[[float], None] = time.sleep
 
     def call(self, f: Callable[[], str]) -> str:

@@ -338,10 +338,10 @@ def _section(text: Column) -> Column:
     return F.concat(F.lit("# "), F.lpad(F.col("doc_id").cast("string"), 8, "0"), F.lit("\n"), text)
 
 
-@query("SELECT source AS path, lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.md' AS filename, '---' || chr(10) || 'type: x' || chr(10) || '---' || chr(10) || '# ' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || chr(10) || text AS content FROM documents WHERE strpos(text, '#') = 0")
+@query("SELECT source AS path, lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.md' AS filename, '---' || chr(10) || 'type: x' || chr(10) || '---' || chr(10) || '# ' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || chr(10) || replace(coalesce(text, ''), '#', '+') AS content FROM documents")
 def md_sections(t):
-    """Files of many documents, of those without '#'; md_sections_all takes every document."""
-    d = t("documents").filter("locate('#', text) = 0")
+    """Files of many documents, with + for their own #; md_sections_all takes them as they are."""
+    d = t("documents").withColumn("text", F.replace(F.coalesce("text", F.lit("")), F.lit("#"), F.lit("+")))
     f = d.groupBy(F.col("source").alias("path")).agg(F.concat(F.lit("---\ntype: x\n---\nlost line\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", _section(F.col("text")).alias("p")))), lambda x: x["p"]), "\n")).alias("content"))
     return C.markdown_sections(f).select("path", "filename", "content")
 
@@ -406,7 +406,7 @@ def _books(t) -> DataFrame:
     return g.select(F.lit("Sys").alias("system"), F.col("p_brand").alias("path"), raw.alias("raw"))
 
 
-@query("SELECT p_brand AS path, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS id, CASE WHEN p_partkey % 2 = 0 AND p_name <> '' THEN p_name ELSE 'Entry_' || p_partkey END AS name, array_to_string(list_sort(list_distinct(['a', 'b', p_brand, p_type])), '|') AS keys, p_type AS content, 50 AS insertion_order, CASE WHEN p_partkey % 3 = 0 THEN 7 ELSE 50 END AS priority FROM part")
+@query("SELECT p_brand AS path, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS id, CASE WHEN p_partkey % 2 = 0 AND p_name <> '' THEN p_name ELSE 'Entry_' || row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) END AS name, array_to_string(list_sort(list_distinct(['a', 'b', p_brand, p_type])), '|') AS keys, p_type AS content, 50 AS insertion_order, CASE WHEN p_partkey % 3 = 0 THEN 7 ELSE 50 END AS priority FROM part")
 def lorebook_normalize(t):
     e = _books(t).select("path", F.posexplode(R.entries_of(F.col("raw"))).alias("pos", "entry"))
     e = e.filter(R.is_object(F.col("entry"))).select("path", R.lorebook_entry(F.col("entry"), F.col("pos") + 1).alias("e")).select("path", "e.*")
@@ -636,7 +636,7 @@ def ev_dedup(t):
 
 workbench("j_inner", "SELECT o_orderkey, c_name, n_name FROM {orders} o JOIN {customer} c ON o_custkey = c_custkey JOIN {nation} n ON c_nationkey = n_nationkey WHERE o_totalprice > 1000", "orders customer nation")
 workbench("j_left", "SELECT c_custkey, count(o_orderkey) AS n FROM {customer} c LEFT JOIN {orders} o ON o_custkey = c_custkey GROUP BY c_custkey", "customer orders")
-workbench("j_full", "SELECT coalesce(s_nationkey, c_nationkey) AS nationkey, s_suppkey, c_custkey FROM (SELECT * FROM {supplier} WHERE s_suppkey % 2 = 0) s FULL JOIN (SELECT * FROM {customer} WHERE c_custkey % 50 = 0) c ON s_suppkey = c_custkey", "supplier customer")
+workbench("j_full", "SELECT coalesce(s_nationkey, c_nationkey) AS nationkey, s_suppkey, c_custkey FROM {supplier} s FULL JOIN {customer} c ON s_suppkey = c_custkey AND s_nationkey = c_nationkey", "supplier customer")
 workbench("j_semi", "SELECT c_custkey FROM {customer} c WHERE EXISTS (SELECT 1 FROM {orders} o WHERE o_custkey = c_custkey AND o_orderpriority LIKE '1%')", "customer orders")
 workbench("j_anti", "SELECT c_custkey FROM {customer} c WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o_custkey = c_custkey AND o_orderstatus = 'F')", "customer orders")
 workbench("agg_rollup", "SELECT l_returnflag, l_linestatus, grouping(l_returnflag) + grouping(l_linestatus) AS level, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM {lineitem} l GROUP BY ROLLUP (l_returnflag, l_linestatus)", "lineitem", "SELECT l_returnflag, l_linestatus, CAST(grouping(l_returnflag) + grouping(l_linestatus) AS TINYINT) AS level, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
@@ -650,7 +650,7 @@ workbench("w_lag", "SELECT o_orderkey, lag(o_totalprice) OVER w AS before, lead(
 workbench("w_ntile", "SELECT c_custkey, CAST(ntile(4) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) AS INT) AS quarter FROM {customer} c", "customer")
 workbench("set_union", "SELECT c_nationkey AS k FROM {customer} c UNION SELECT s_nationkey FROM {supplier} s", "customer supplier")
 workbench("set_intersect", "SELECT c_nationkey AS k FROM {customer} c INTERSECT SELECT s_nationkey FROM {supplier} s", "customer supplier")
-workbench("set_except", "SELECT n_nationkey AS k FROM {nation} n EXCEPT SELECT s_nationkey FROM {supplier} s WHERE s_suppkey % 3 = 0", "nation supplier")
+workbench("set_except", "SELECT n_nationkey AS k FROM {nation} n EXCEPT SELECT s_nationkey FROM {supplier} s WHERE s_acctbal < 5000", "nation supplier")
 workbench("sub_corr", "SELECT p_partkey, p_retailprice FROM {part} p WHERE p_retailprice > (SELECT avg(q.p_retailprice) FROM {part} q WHERE q.p_brand = p.p_brand)", "part")
 workbench("sub_exists", "SELECT p_partkey FROM {part} p WHERE p_partkey IN (SELECT l_partkey FROM {lineitem} l WHERE l_quantity > 49) AND NOT EXISTS (SELECT 1 FROM {lineitem} m WHERE m.l_partkey = p_partkey AND m.l_returnflag = 'R' AND m.l_quantity < 3)", "part lineitem")
 workbench("cte_recursive", "WITH RECURSIVE c(n, total) AS (SELECT 1, 1 UNION ALL SELECT n + 1, total + n + 1 FROM c WHERE n < 20) SELECT r_name, n, total FROM c, {region} r WHERE r_regionkey = n % 5", "region")

@@ -89,14 +89,14 @@ def test_notes(spark):
     title, folder, text = N.note_of({"name": "A/B", "keys": "k1, é", "content": "c [Type: core-rule] d [Cost: 3]"}, "Sys")
     assert (title, folder) == ("A-B", "Core-Rule") and 'aliases: ["k1", "\\u00e9"]' in text and "cost: 3" in text and text.endswith("# A/B\n\nc  d\n")
     assert N.note_of({"Speaker": "", "Dialogue": "hi"}, "S")[0] == "System-Environment"
-    notes = ["---\na: 1\n---\nx", "x", "---\na: 1", "---\nabc\n---", "---\n: v\n---", "---\nk: [a]\n---", '---\nk: "x\n---', '---\n# c\nk: ["x"]\n---', "", None]
-    want = [N.check_front_matter(t)[0] for t in notes]
-    assert want == [True, False, False, False, False, False, False, True, False, False]
+    notes = ["---\nk: the boys'\n---", '---\nk: 5"\n---', "---\nk: 'x\"\n---", "---\na: 1\n---\nx", "x", "---\na: 1", "---\nabc\n---", "---\n: v\n---", "---\nk: [a]\n---", '---\nk: "x\n---', '---\n# c\nk: ["x"]\n---', "", None]
+    want = [True, True, False, True, False, False, False, False, False, False, True, False, False]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(notes)], "i int, t string")
     got = df.select("i", N.well_formed(F.col("t")).alias("a"), N.checked(F.col("t")).alias("b")).orderBy("i").collect()
     assert [bool(r.a) for r in got] == want and [r.b.ok for r in got] == want
     titles = {"fire": "Fire", "fire storm": "Fire Storm", "ab": "Ab"}
-    link = lambda t, own="": N.link_text(t, N.link_pattern(list(titles)), titles, own)
+    link = lambda t, own="": N.link_text(t, N.terms_by_first(titles), own)
+    assert link("a `b\nfire\n` fire, bonfire fires [x] [fire](u\nfire) ``` fire") == "a `b\nfire\n` [[Fire]], bonfire fires [x] [fire](u\nfire) ``` [[Fire]]"
     assert link("---\nfire\n---\nfire storm, FIRE `fire` [[fire]] [fire](x) ab") == "---\nfire\n---\n[[Fire Storm]], [[Fire]] `fire` [[fire]] [fire](x) ab"
     assert link("Fire storm", "fire storm") == "Fire storm"
     idx = spark.createDataFrame([("fire", "Fire"), ("the sun", "Sol")], "term string, title string")

@@ -41,6 +41,8 @@ def test_routes(spark):
     texts = ["https://a/b.pdf", "x.PDF", "a.JPEG", "m/_ocr", "l.lorebook.json", "u.xyz"]
     assert values(spark, texts, S.input_kind(F.col("x"))) == ["web", "pdf", "image", "manga", "json", "unrecognized"]
     assert values(spark, ["Connection reset", "bad value"], S.retryable(F.col("x"))) == [True, False]
+    assert values(spark, ["Throttled", "HTTP 500", "502 bad gateway", "temporarily away"], S.retryable(F.col("x"))) == [True, True, False, False]
+    assert values(spark, ["about cookies", "x AuthenticationRequiredError", "bad network reputation", "429 Too Many Requests"], S.blocked_page(F.col("x"))) == [False, True, True, True]
     assert values(spark, ["http://h/x/main/y", "http://h/es/"], S.namespace(F.col("x"), ["Main2", "MAIN"])) == ["MAIN", "Main"]
 
 
@@ -51,7 +53,7 @@ def test_records(spark):
     assert got[3] == ['{"a":1}', '{"b":2}']
     assert values(spark, ['["a"," b ",""]', "a,b ,", "a;b", "7", None, "null"], R.parse_keys(F.col("x"))) == [["a", "b"], ["a", "b"], ["a", "b"], ["7"], [], []]
     e = values(spark, ['{"key":["k"],"keysecondary":["a","k"],"comment":"","uid":"9","priority":"7","order":"x"}'], R.lorebook_entry(F.col("x"), F.lit(1)))[0]
-    assert (e["name"], e["keys"], e["priority"], e["insertion_order"], e["content"]) == ("Entry_9", ["a", "k"], 7, 50, "")
+    assert (e["name"], e["keys"], e["priority"], e["insertion_order"], e["content"]) == ("Entry_1", ["a", "k"], 7, 50, "")
     good = '{"Speaker":"A","Dialogue":"hi","Scene Description":"cafe"}'
     assert values(spark, [good, good.replace(" D", "_D"), "{", None], R.valid(F.col("x"), "narrative")) == [True, False, False, False]
     ghosts = values(spark, [None, " \t", "hi"], *R.ghost_rewrite(F.lit("S"), F.col("x")))
