@@ -17,8 +17,7 @@ then compared by edit distance, a diagonal band of the matrix held in the bits o
 A segment that more than FEW lines share makes no pairs. Its lines are compared with the one
 of them that occurs most. Where that doesn't bring all of them into one class, they are cut
 into four, of which two edits leave two: lines of different classes that share two of
-four segments and nearly all pairs of neighbouring characters are compared, again with
-the most frequent one first.
+four segments and nearly all pairs of neighbouring characters are compared.
 
 Lines are told apart by 128 bits of hash. Rows with a null id stay whole and count for
 nothing; rows with one id are one document. Null and empty texts have no lines. Lines
@@ -32,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ._graph import components
 from ._shared import WORD, discard, small, stored
+from ._spans import let
 
 TAU, TWO, ONE, BAND, NARROW = 2, 24, 12, 16, 4
 #: Lines to a segment up to which all their pairs are taken at once.
@@ -169,7 +169,7 @@ def within(a: Column, b: Column, tau: int) -> Column:
 def sketch(chars: Column) -> Column:
     """Struct of four numbers, 256 bits: each pair of neighbouring characters turns one of them over, so one edit turns four at most."""
     start = F.struct(*[F.lit(0).cast("long").alias(w) for w in SKETCH])
-    grams = F.transform(F.slice(chars, 1, F.greatest(F.size(chars) - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(chars, i + 1)).bitwiseAND(F.lit(255).cast("long")).cast("int"))
+    grams = let(chars, lambda c: F.transform(F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(c, i + 1)).bitwiseAND(F.lit(255).cast("long")).cast("int")))
 
     def add(s: Column, g: Column) -> Column:
         bit = F.call_function("shiftleft", F.expr("1L"), g % 64)
@@ -202,29 +202,25 @@ def _pair() -> list[Column]:
     return [F.least("a_line", "b_line").alias("a"), F.greatest("a_line", "b_line").alias("b")]
 
 
-def _with_first(t: DataFrame, *more: str) -> DataFrame:
-    """Pairs (a, b): each line of a key and the one that occurs most. more: SKETCH where t has it."""
-    first = t.groupBy("key").agg(F.max(F.struct("n", "line", "length", "signature", "moved", *more)).alias("x")).select("key", "x.*")
-    near = _close("a", "b") & _alike("a", "b") if more else _close("a", "b")
-    return _side(t, "a", *more).join(_side(first, "b", *more), "key").filter((F.col("a_line") != F.col("b_line")) & near).select(*_pair())
+def _with_first(t: DataFrame) -> DataFrame:
+    """Pairs (a, b): each line of a key and the one that occurs most."""
+    first = t.groupBy("key").agg(F.max(F.struct("n", "line", "length", "signature", "moved")).alias("x")).select("key", "x.*")
+    return _side(t, "a").join(_side(first, "b"), "key").filter((F.col("a_line") != F.col("b_line")) & _close("a", "b")).select(*_pair())
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of pairs (a, b) those within tau edits, as a stored table; texts: line, chars."""
-    side = lambda i, x: texts.select(F.col("line").alias(i), F.col("chars").alias(x))
-    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    """Of pairs (a, b) those within tau edits, as a stored table; texts: line, chars, sketch."""
+    side = lambda i, x: texts.select(F.col("line").alias(i), F.col("chars").alias(x), F.size("chars").alias(f"{x}_length"), *[F.col(f"sketch.{w}").alias(f"{x}_{w}") for w in SKETCH])
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").filter(_alike("x", "y"))
     near = F.when(F.least(F.size("x"), F.size("y")) >= TWO, within(F.col("x"), F.col("y"), TAU)).otherwise(within(F.col("x"), F.col("y"), 1))
     return stored(both.filter(near).select("a", "b"), "line-links")
 
 
-def _with_classes(t: DataFrame, links: DataFrame) -> DataFrame:
-    """t with the class that links give a line, the line itself if none; only of keys that have several classes."""
-    found = components(links)
-    t = t.join(small(found.withColumnRenamed("node", "line"), found.count()), "line", "left").withColumn("class", F.coalesce("component", "line")).drop("component")
+def _with_classes(t: DataFrame, classes: DataFrame, rows: int) -> DataFrame:
+    """t with the class (node, component) of a line, the line itself if none; only of keys that have several classes."""
+    t = t.join(small(classes.withColumnRenamed("node", "line"), rows), "line", "left").withColumn("class", F.coalesce("component", "line")).drop("component")
     several = t.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q")).filter("p < q").select("key")
-    out = stored(t.join(several, "key"), "line-open")
-    discard(found)
-    return out
+    return stored(t.join(several, "key"), "line-open")
 
 
 def near_lines(docs: DataFrame, lines: DataFrame, text: str) -> DataFrame:
@@ -243,7 +239,7 @@ def near_lines(docs: DataFrame, lines: DataFrame, text: str) -> DataFrame:
     rows = wanted.count()
     found = docs.select(F.explode(F.split(F.col(text), "\n")).alias("t")).filter(F.length("t") >= ONE).withColumn("h1", F.xxhash64("t"))
     found = found.join(small(wanted.select("h1").distinct(), rows), "h1", "left_semi").groupBy("h1", F.xxhash64(F.lit("second"), "t").alias("h2")).agg(F.max("t").alias("t"))
-    texts = stored(found.join(small(wanted, rows), ["h1", "h2"]).select("line", "t", F.split("t", "").alias("chars")), "line-texts")
+    texts = stored(found.join(small(wanted, rows), ["h1", "h2"]).select("line", "t", F.split("t", "").alias("chars")).withColumn("sketch", sketch(F.col("chars"))), "line-texts")
     discard(wanted)
 
     links = _verified(pairs, texts)
@@ -257,27 +253,20 @@ def near_lines(docs: DataFrame, lines: DataFrame, text: str) -> DataFrame:
 
 def _among(hot: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
     """links, and what they lack among lines that share a frequent segment."""
-    opened = _with_classes(hot.select("line", "key"), links)
+    classes = components(links)
+    rows = classes.count()
+    opened = _with_classes(hot.select("line", "key"), classes, rows)
     rest = hot.select("line", "n", "length", "signature").distinct().join(opened.select("line").distinct(), "line", "left_semi")
-    cut = stored(rest.join(texts.select("line", "t", sketch(F.col("chars")).alias("sketch")), "line"), "line-cut")
+    cut = rest.join(texts.select("line", "t", "sketch"), "line")
     fine = None
     for k, (_, _, here) in enumerate(bands(F.length("t"))):
-        some = cut.filter(here).select("line", "n", "length", "signature", "sketch.*", F.explode(F.array_distinct(fine_keys(F.col("t"), k))).alias("k"))
+        some = cut.filter(here).select("line", "length", "signature", "sketch.*", F.explode(F.array_distinct(fine_keys(F.col("t"), k))).alias("k"))
         fine = some if fine is None else fine.unionByName(some)
-    fine = stored(fine.select("line", "n", "length", "signature", *SKETCH, "k.*"), "line-fine")
-    discard(opened)
-    discard(cut)
-    mine = _with_classes(fine, links)
-    pairs = stored(_with_first(mine, *SKETCH).distinct(), "line-pairs")
-    more = stored(links.unionByName(_verified(pairs, texts)), "line-links")
-    discard(mine)
-    mine = _with_classes(fine, more)
-    discard(fine)
-    discard(pairs)
+    mine = _with_classes(fine.select("line", "length", "signature", *SKETCH, "k.*"), classes, rows)
     across = (F.col("a_line") < F.col("b_line")) & (F.col("a_class") != F.col("b_class")) & (F.col("a_moved") + F.col("b_moved") < 2) & _first_kind() & _close("a", "b") & _alike("a", "b")
     pairs = stored(_side(mine, "a", "class", *SKETCH, *KIND).join(_side(mine, "b", "class", *SKETCH, *KIND), "key").filter(across).select(*_pair()).distinct(), "line-pairs")
-    out = stored(more.unionByName(_verified(pairs, texts)), "line-links")
-    for x in (mine, pairs, more):
+    out = links.unionByName(_verified(pairs, texts))
+    for x in (opened, mine, pairs, classes):
         discard(x)
     return out
 
@@ -307,7 +296,7 @@ def verdicts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     zero = F.lit(0).cast("long")
     out = out.select(F.col("id").alias(id), "n_lines", F.coalesce("n_near", zero).alias("n_near"), (F.col("n_lines") - F.coalesce("n_gone", zero)).alias("n_kept"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
     out = stored(out, "line-verdicts")
-    for x in (at, marked, parts, links):
+    for x in (at, marked, parts):
         discard(x)
     return out
 
