@@ -51,7 +51,7 @@ LEADING, ROUNDS = 16, 4
 #: A round must link this part of what it compares for another to follow.
 PAYS = 0.02
 #: What can't be in a link is taken out of these before the rest is joined: again while a step takes out so large a part, but not more often than that.
-WORTH, STEPS = 0.1, 6
+WORTH, STEPS = 0.1, 3
 #: Bytes and documents in a block.
 BLOCK, BLOCK_DOCS = 6 << 20, 1 << 16
 #: Ids that may be broadcast; beyond that, documents are joined by shuffling.
@@ -578,12 +578,11 @@ def lean_links(docs: DataFrame, links: DataFrame, width: int, num: int, den: int
         good = stored(similar(members, pairs, num, den), "lean-linked")
         tried = pairs if tried is None else tried.unionByName(pairs)
         some, of = good.count(), pairs.count()
-        if some:
-            discard(labelled)
-            found = found.unionByName(good)
-            labelled = _labelled(documents, rows, found)
+        found = found.unionByName(good) if some else found
         if some <= PAYS * of:
-            break
+            break  # labels that lack the last few links are right too: they leave more to compare
+        discard(labelled)
+        labelled = _labelled(documents, rows, found)
     pairs = _across(members, shared, labelled, rows, num, den)
     found = stored(found.unionByName(similar(members, pairs, num, den)), "linked")
     for x in (members, shared, documents, labelled, pairs):
