@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import itertools
 import re
 import tempfile
 import uuid
@@ -16,6 +18,10 @@ BROADCAST_ROWS = 500_000
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+#: Discarded tables after which the driver's memory is cleared up.
+RECLAIM = 5
+_discarded = itertools.count()
+
 #: Tables written since gather() was called, if it was.
 _gathered: list[DataFrame] | None = None
 
@@ -60,10 +66,16 @@ def named(df: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def discard(df: DataFrame) -> None:
-    """Delete a table that stored() wrote and nothing reads any more."""
+    """Delete a table that stored() wrote and nothing reads any more.
+
+    After some of these the driver drops plans that nothing holds: Spark deletes shuffle files and broadcasts only then.
+    """
     spark = df.sparkSession
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_at)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    if next(_discarded) % RECLAIM == RECLAIM - 1:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
