@@ -26,6 +26,8 @@ without a word always stay.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,23 +95,55 @@ def occurrences(docs: DataFrame, id: str, text: str) -> DataFrame:
     return lines.select("id", "pos", "h1", "h2", "length", "signature", *[k.alias(x) for k, x in zip(keys, KEYS, strict=True)])
 
 
+def band_of(line: Column) -> Column:
+    """Array of (name, base) of the bands that a line is in."""
+    every = [F.struct(F.lit(name).alias("name"), base.alias("base"), here.alias("here")) for name, base, here in bands(F.length(line))]
+    return F.transform(F.filter(F.array(*every), lambda x: x["here"]), lambda x: F.struct(x["name"].alias("name"), x["base"].alias("base")))
+
+
+#: A line's four segments and where they stand: the middle ones also one place to either side.
+PLACES = {"s1": (0, 0), "s2": (1, 0), "s2l": (1, -1), "s2r": (1, 1), "s3": (2, 0), "s3l": (2, -1), "s3r": (2, 1), "s4": (3, 0)}
+
+
+def _segments(line: Column, band: Column) -> list[Column]:
+    """Columns name and base of a band, and PLACES."""
+    n, q = F.length(line), F.floor(band["base"] / 4).cast("int")
+    start = (F.lit(1), q + 1, n - 2 * q + 1, n - q + 1)
+    return [band["name"].alias("name"), band["base"].alias("base"), *[F.substring(line, start[i] + s, q).alias(c) for c, (i, s) in PLACES.items()]]
+
+
+def _hashed(of: Callable[[str], Column], kind: str, x: str, y: str) -> Column:
+    return F.xxhash64(F.lit(kind), of("name"), of("base"), of(x), F.lit("|"), of(y))
+
+
+def _first_keys(of: Callable[[str], Column]) -> list[Column]:
+    """Keys of the kinds 1 to 3, of segments that didn't move."""
+    return [_hashed(of, x + y, f"s{x}", f"s{y}").alias(f"x{k}") for k, (x, y) in enumerate(("12", "34", "14"), 1)]
+
+
+def _all_keys(of: Callable[[str], Column]) -> Column:
+    pairs = [(of(f"x{k}"), 0, k) for k in (1, 2, 3)]
+    for x, y, xs, ys in (("1", "3", ("",), ("", "l", "r")), ("2", "4", ("", "l", "r"), ("",)), ("2", "3", ("", "l", "r"), ("", "l", "r"))):
+        pairs += [(_hashed(of, x + y, f"s{x}{i}", f"s{y}{j}"), int(bool(i or j)), 4) for i in xs for j in ys]
+    return F.array_distinct(F.array(*[F.struct(x.alias("key"), F.lit(moved).alias("moved"), F.lit(kind).alias("kind"), *[of(f"x{k}").alias(f"x{k}") for k in (1, 2, 3)]) for x, moved, kind in pairs]))
+
+
 def fine_keys(line: Column, band: int) -> Column:
     """Array of (key, moved, kind, and the keys of the kinds 1 to 3) in one of the bands: hashes of two of a line's four segments, two from its start and two from its end.
 
     Where neither the first two nor the last two are whole, each half has one edit, so the others moved by one place at most.
     """
-    n = F.length(line)
-    name, base, _ = bands(n)[band]
-    q = F.floor(base / 4).cast("int")
-    part = lambda i, s=0: F.substring(line, (F.lit(1), q + 1, n - 2 * q + 1, n - q + 1)[i] + s, q)
-    near = (0, -1, 1)
-    hashed = lambda kind, x, y: F.xxhash64(F.lit(kind + name), base, x, F.lit("|"), y)
-    whole = [hashed("12", part(0), part(1)), hashed("34", part(2), part(3)), hashed("14", part(0), part(3))]
-    pairs = [(x, 0, kind) for kind, x in enumerate(whole, 1)]
-    pairs += [(hashed("13", part(0), part(2, s)), s, 4) for s in near] + [(hashed("24", part(1, s), part(3)), s, 4) for s in near]
-    pairs += [(hashed("23", part(1, s), part(2, t)), s or t, 4) for s in near for t in near]
-    first = [x.alias(f"x{k}") for k, x in enumerate(whole, 1)]
-    return F.array(*[F.struct(x.alias("key"), F.lit(int(bool(s))).alias("moved"), F.lit(kind).alias("kind"), *first) for x, s, kind in pairs])
+    name, base, _ = bands(F.length(line))[band]
+    parts = F.struct(*_segments(line, F.struct(F.lit(name).alias("name"), base.alias("base"))))
+    return let(parts, lambda s: let(F.struct(*_first_keys(lambda c: s[c])), lambda x: _all_keys(lambda c: x[c] if c[0] == "x" else s[c])))
+
+
+def with_fine_keys(t: DataFrame, line: str, *keep: str) -> DataFrame:
+    """The columns `keep` and those of fine_keys, for each band and key of a line. Step by step, so that plans and the code made of them stay short."""
+    t = t.select(*keep, line, F.explode(band_of(F.col(line))).alias("band"))
+    t = t.select(*keep, *_segments(F.col(line), F.col("band")))
+    t = t.select(*keep, "name", "base", *PLACES, *_first_keys(F.col))
+    return t.select(*keep, F.explode(_all_keys(F.col)).alias("k")).select(*keep, "k.*")
 
 
 def _first_kind() -> Column:
@@ -257,12 +291,9 @@ def _among(hot: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
     rows = classes.count()
     opened = _with_classes(hot.select("line", "key"), classes, rows)
     rest = hot.select("line", "n", "length", "signature").distinct().join(opened.select("line").distinct(), "line", "left_semi")
-    cut = rest.join(texts.select("line", "t", "sketch"), "line")
-    fine = None
-    for k, (_, _, here) in enumerate(bands(F.length("t"))):
-        some = cut.filter(here).select("line", "length", "signature", "sketch.*", F.explode(F.array_distinct(fine_keys(F.col("t"), k))).alias("k"))
-        fine = some if fine is None else fine.unionByName(some)
-    mine = _with_classes(fine.select("line", "length", "signature", *SKETCH, "k.*"), classes, rows)
+    cut = rest.join(texts.select("line", "t", "sketch.*"), "line")
+    fine = with_fine_keys(cut, "t", "line", "length", "signature", *SKETCH)
+    mine = _with_classes(fine, classes, rows)
     across = (F.col("a_line") < F.col("b_line")) & (F.col("a_class") != F.col("b_class")) & (F.col("a_moved") + F.col("b_moved") < 2) & _first_kind() & _close("a", "b") & _alike("a", "b")
     pairs = stored(_side(mine, "a", "class", *SKETCH, *KIND).join(_side(mine, "b", "class", *SKETCH, *KIND), "key").filter(across).select(*_pair()).distinct(), "line-pairs")
     out = links.unionByName(_verified(pairs, texts))
