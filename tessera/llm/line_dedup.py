@@ -52,7 +52,7 @@ def signature(line: Column) -> Column:
     """How often a line has each letter, in 9 bits: one edit moves one character from a group to another, or in or out."""
     out = F.lit(0).cast("long")
     for i, letter in enumerate(LETTERS):
-        n = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
         out = out.bitwiseOR(F.shiftleft((n % (1 << BITS)).cast("long"), BITS * i))
     return out
 
@@ -72,27 +72,38 @@ KEYS = [f"k{i}" for i in range(14)]
 MOVED = [int(i < 10 and i % 5 > 2) for i in range(14)]
 
 
-def bands(n: Column) -> list[tuple[str, Column, Column]]:
-    """(name, lower edge of a band of lengths, whether a line of n characters is in it): its own and the one below, for tau 2 and tau 1."""
-    wide, thin = F.floor(n / BAND) * BAND, F.floor(n / NARROW) * NARROW
+def edges(n: Column) -> tuple[Column, Column]:
+    """Lower edges of the bands that n characters are in, for tau 2 and tau 1."""
+    return n - n % BAND, n - n % NARROW
+
+
+def bands(n: Column, wide: Column | None = None, thin: Column | None = None) -> list[tuple[str, Column, Column]]:
+    """(name, lower edge of a band of lengths, whether a line of n characters is in it): its own and the one below, for tau 2 and tau 1. wide, thin: edges(n), if they are columns already."""
+    if wide is None or thin is None:
+        wide, thin = edges(n)
     two, one = n >= TWO, (n >= ONE) & (n <= TWO)
     return [("2", wide, two), ("2", wide - BAND, two & (n - TAU < wide) & (wide > BAND)), ("1", thin, one), ("1", thin - NARROW, one & (n - 1 < thin) & (thin > ONE))]
 
 
 def occurrences(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """id, pos, h1, h2 (128 bits of hash), length, signature and segment hashes KEYS of every line with a word."""
-    lines = docs.filter(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")).filter(F.col("line").rlike(WORD))
-    lines = lines.select("id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), F.length("line").alias("length"), F.when(F.length("line") >= ONE, signature(F.col("line"))).alias("signature"))
+    """id, pos, h1, h2 (128 bits of hash), length and segment hashes KEYS of every line with a word."""
+    lines = docs.filter(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")).filter((F.ascii("line") > 32) | F.col("line").rlike(WORD))
+    lines = lines.select("id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), F.length("line").alias("length"))
     n = F.col("length")
+    # Steps of their own: the code for the keys stays below the size from which the JVM doesn't compile it.
+    wide, thin = edges(n)
+    lines = lines.select("*", wide.alias("wide"), thin.alias("thin"))
     keys: list[Column] = []
-    for name, base, here in bands(n):
-        cut = lambda at, long, part, name=name, base=base, here=here: F.when(here, F.xxhash64(F.lit(part + name), base, F.substring("line", at, long)))
-        p = F.floor(base / (3 if name == "2" else 2)).cast("int")
-        keys += [cut(F.lit(1), p, "head"), cut(n - p + 1, p, "tail")]
+    for name, base, here in bands(n, F.col("wide"), F.col("thin")):
+        # What a segment is stands in one number with its band.
+        cut = lambda kind, at, long, base=base, here=here: F.when(here, F.xxhash64(base * 8 + kind, F.substring("line", at, long)))
+        p = F.call_function("div", base, F.lit(3 if name == "2" else 2)).cast("int")
+        first = 0 if name == "2" else 3
+        keys += [cut(first, F.lit(1), p), cut(first + 1, n - p + 1, p)]
         if name == "2":
-            size = (base - 2 * p).cast("int")
-            keys += [cut(p + 1, size, "middle"), cut(p, size, "middle"), cut(p + 2, size, "middle")]
-    return lines.select("id", "pos", "h1", "h2", "length", "signature", *[k.alias(x) for k, x in zip(keys, KEYS, strict=True)])
+            size = base - 2 * p
+            keys += [cut(2, p + at, size) for at in (1, 0, 2)]
+    return lines.select("id", "pos", "h1", "h2", "length", *[k.alias(x) for k, x in zip(keys, KEYS, strict=True)])
 
 
 def band_of(line: Column) -> Column:
@@ -258,23 +269,27 @@ def _with_classes(t: DataFrame, classes: DataFrame, rows: int) -> DataFrame:
 
 
 def near_lines(docs: DataFrame, lines: DataFrame, text: str) -> DataFrame:
-    """a, b: links between near lines, enough to connect each class. lines: a row for each distinct line: line (a number), h1, h2, n (occurrences), length, signature, KEYS."""
+    """a, b: links between near lines, enough to connect each class. lines: a row for each distinct line: line (a number), h1, h2, n (occurrences), length, KEYS. Letters are counted in lines that share a segment."""
     kinds = F.array(*[F.when(F.col(k).isNotNull(), F.struct(F.col(k).alias("key"), F.lit(m).alias("moved"))) for k, m in zip(KEYS, MOVED, strict=True)])
-    every = lines.filter("signature is not null").select("line", "h1", "h2", "n", "length", "signature", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("k")).select("line", "h1", "h2", "n", "length", "signature", "k.*")
+    every = lines.filter(F.col("length") >= ONE).select("line", "h1", "h2", "n", "length", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("k")).select("line", "h1", "h2", "n", "length", "k.*")
     shared = stored(every.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "line-keys")
-    held = stored(every.join(small(shared, shared.count()), "key"), "line-held")
+    met = stored(every.join(small(shared, shared.count()), "key"), "line-met")
     discard(shared)
-    usual, hot = held.filter(F.col("m") <= FEW), held.filter(F.col("m") > FEW)
-    meet = _side(usual, "a").join(_side(usual, "b"), "key").filter((F.col("a_line") < F.col("b_line")) & (F.col("a_moved") + F.col("b_moved") < 2) & _close("a", "b")).select(*_pair())
-    pairs = stored(meet.unionByName(_with_first(hot)).distinct(), "line-pairs")
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).unionByName(hot.select("line")).distinct()
-    wanted = stored(held.select("line", "h1", "h2").distinct().join(wanted, "line", "left_semi"), "line-wanted")
+    wanted = stored(met.select("line", "h1", "h2").distinct(), "line-wanted")
     rows = wanted.count()
     found = docs.select(F.explode(F.split(F.col(text), "\n")).alias("t")).filter(F.length("t") >= ONE).withColumn("h1", F.xxhash64("t"))
     found = found.join(small(wanted.select("h1").distinct(), rows), "h1", "left_semi").groupBy("h1", F.xxhash64(F.lit("second"), "t").alias("h2")).agg(F.max("t").alias("t"))
-    texts = stored(found.join(small(wanted, rows), ["h1", "h2"]).select("line", "t", F.split("t", "").alias("chars")).withColumn("sketch", sketch(F.col("chars"))), "line-texts")
+    found = stored(found.join(small(wanted, rows), ["h1", "h2"]).select("line", "t", signature(F.col("t")).alias("signature")), "line-found")
     discard(wanted)
+    held = stored(met.join(small(found.select("line", "signature"), rows), "line").drop("h1", "h2"), "line-held")
+    discard(met)
+    usual, hot = held.filter(F.col("m") <= FEW), held.filter(F.col("m") > FEW)
+    meet = _side(usual, "a").join(_side(usual, "b"), "key").filter((F.col("a_line") < F.col("b_line")) & (F.col("a_moved") + F.col("b_moved") < 2) & _close("a", "b")).select(*_pair())
+    pairs = stored(meet.unionByName(_with_first(hot)).distinct(), "line-pairs")
+
+    compared = pairs.select(F.explode(F.array("a", "b")).alias("line")).unionByName(hot.select("line")).distinct()
+    texts = stored(found.join(compared, "line", "left_semi").select("line", "t", F.split("t", "").alias("chars")).withColumn("sketch", sketch(F.col("chars"))), "line-texts")
+    discard(found)
 
     links = _verified(pairs, texts)
     discard(pairs)
@@ -306,7 +321,7 @@ def verdicts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     """id, n_lines, n_near (lines in a class with a different line), n_kept, dropped (positions) of every id that has a line with a word."""
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     at = stored(occurrences(docs, "id", "text"), "line-occurrences")
-    facts = [F.min("id").alias("first_id"), F.count("*").alias("n"), F.max("length").alias("length"), F.max("signature").alias("signature"), *[F.max(k).alias(k) for k in KEYS]]
+    facts = [F.min("id").alias("first_id"), F.count("*").alias("n"), F.max("length").alias("length"), *[F.max(k).alias(k) for k in KEYS]]
     lines = stored(at.groupBy("h1", "h2").agg(*facts).withColumn("line", F.monotonically_increasing_id()), "lines")
     links = near_lines(docs, lines, "text")
     parts = components(links)
