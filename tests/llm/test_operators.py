@@ -147,6 +147,18 @@ def test_exact_index(spark):
     assert exact_index.classes(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_chains_of_equal_hashes(spark, monkeypatch):
+    """Different texts with one hash: in a bucket's chain, and among those collapsed before."""
+    monkeypatch.setattr(exact_index, "key_hash", lambda t: F.length(t).cast("long"))
+    rows = [(i, "abcd"[i % 4] * (1 + i % 5)) for i in range(60)]
+    for capacity in (3, 1000):
+        got = exact_index.classes(docs_of(spark, rows), capacity=capacity).collect()
+        assert len(got) == 60
+        for q in got:
+            same = [i for i, s in rows if hashlib.sha256(s.encode()).hexdigest() == q.text_sha256]
+            assert q.doc_id in same and (q.keep_id, q.group_size, q.kept) == (max(same), len(same), q.doc_id == max(same))
+
+
 def test_split_directory():
     d = exact_index.split_directory({0: 10, 1: 1, 2: 1, 3: 1}, 2, 5)
     assert d == [(2, 0), (2, 1), (1, 1)]
