@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import discard, named, small, stored
+from ._shared import discard, few, named, small, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,12 +18,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
     nodes = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")), F.struct("u", F.col("u").alias("v")), F.struct(F.col("v").alias("u"), "v"))).alias("x")
     near = stored(pairs.select(nodes).select("x.u", "x.v"), "links")
-    labels = stored(near.groupBy("u").agg(F.min("v").alias("label")), "labels")
+    links = near.count()
+    labels = stored(few(near.groupBy("u").agg(F.min("v").alias("label")), links), "labels")
     rows = labels.count()
     while True:
         of = lambda u, label: small(labels.select(F.col("u").alias(u), F.col("label").alias(label)), rows)  # noqa: E731, B023
         own = F.max(F.when(F.col("u") == F.col("v"), F.col("at")))
-        after = near.join(of("v", "at"), "v").groupBy("u").agg(F.min("at").alias("next"), own.alias("old"))
+        after = few(near.join(of("v", "at"), "v").groupBy("u").agg(F.min("at").alias("next"), own.alias("old")), links)
         after = after.join(of("next", "far"), "next").join(of("far", "label"), "far")
         after = stored(after.select("u", "label", "old"), "labels")
         discard(labels)

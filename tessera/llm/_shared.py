@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: Rows of few numbers that may be broadcast; a longer table is joined by shuffling.
 BROADCAST_ROWS = 500_000
 
+#: Rows of few numbers that are worth a task; few() makes no more tasks than that.
+TASK_ROWS = 20_000
+
 #: The separators of words in every contract of this subpackage.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -71,6 +74,11 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """df, which ends in a shuffle and has at most `rows` rows of a few numbers, in as many tasks and files as these need."""
+    return df.coalesce(max(1, min(partitions(df.sparkSession), -(-rows // TASK_ROWS))))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

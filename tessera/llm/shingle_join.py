@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import n_buckets, pack, unpack
 from ._graph import components
-from ._shared import discard, small, stored
+from ._shared import discard, few, small, stored
 from ._words import Batch, chunks, mix, release
 
 U64 = np.uint64
@@ -454,13 +454,15 @@ def _proposals(leading: DataFrame, documents: DataFrame, rows: int) -> DataFrame
     t = leading.join(small(documents.select("id", (F.col("heat") / F.col("n")).alias("rank"), "component"), rows), "id")
     # Of each component of a key the best one, then the best two of these.
     best = t.groupBy("k", "component").agg(F.max(F.struct("rank", "id")).alias("x")).select("k", F.struct("x.rank", "x.id", "component").alias("x"))
-    first = best.groupBy("k").agg(F.max("x").alias("first"), F.count("*").alias("several")).filter("several > 1")
+    best = few(best, LEADING * rows)
+    first = few(best.groupBy("k").agg(F.max("x").alias("first"), F.count("*").alias("several")).filter("several > 1"), LEADING * rows)
     second = best.join(small(first, LEADING * rows), "k").filter("x.component <> first.component").groupBy("k").agg(F.first("first").alias("first"), F.max("x").alias("second"))
+    second = few(second, LEADING * rows)
     t = t.join(small(second, LEADING * rows), "k")
     aim = F.when(F.col("component") != F.col("first.component"), F.col("first")).otherwise(F.col("second"))
     votes = t.select("id", aim.alias("aim")).groupBy("id", F.col("aim.id").alias("b")).agg(F.count("*").alias("votes"), F.max("aim.rank").alias("rank"))
-    best = votes.groupBy("id").agg(F.max(F.struct("votes", "rank", "b")).alias("best"))
-    return best.select(F.least("id", "best.b").alias("a"), F.greatest("id", "best.b").alias("b")).distinct()
+    best = few(few(votes, LEADING * rows).groupBy("id").agg(F.max(F.struct("votes", "rank", "b")).alias("best")), rows)
+    return few(best.select(F.least("id", "best.b").alias("a"), F.greatest("id", "best.b").alias("b")).distinct(), rows)
 
 
 def _common(n, m, num: int, den: int):
@@ -477,15 +479,17 @@ def _reachable(shared: DataFrame, documents: DataFrame, rows: int, num: int, den
     the size that a partner has at least. alike: a partner has num / den of the size or more.
     Steps repeat while that pays; whatever is left is right to keep.
     """
-    before = rows
+    before, keys_before = rows, shared.count()
     documents = documents.withColumn("least", F.ceil(F.col("n") * num / F.lit(den)) if alike else F.lit(1).cast("long"))
     for _ in range(STEPS):
         reach = F.floor(F.col("h") * (num + den) / F.lit(num)) - F.col("n")
         documents = documents.withColumn("reach", reach).filter((F.col("h") >= _common(F.col("n"), F.col("least"), num, den)) & (F.col("reach") >= F.col("least")))
         shared = shared.select("id", "k").join(small(documents.select("id", "n", "component", "reach"), before), "id")
         keys = shared.groupBy("k").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.min("n").alias("m"), F.count("*").alias("df")).filter("p < q")
+        keys = small(few(keys, keys_before), keys_before)
         shared = stored(shared.join(keys, "k").filter("m <= reach").select("id", "k", "df", "m"), "lean-counting")
-        held = shared.groupBy("id").agg(F.count("*").alias("h"), F.min("m").alias("m"))
+        keys_before = shared.count()
+        held = few(shared.groupBy("id").agg(F.count("*").alias("h"), F.min("m").alias("m")), keys_before)
         documents = held.join(small(documents.select("id", "n", "component", "least"), before), "id")
         documents = stored(documents.select("id", "n", "component", "h", F.greatest("least", "m").alias("least")), "lean-documents")
         after = documents.count()
@@ -502,7 +506,8 @@ def _rarest(documents: DataFrame, shared: DataFrame, rows: int, num: int, den: i
     any order that is the same for all.
     """
     mine = Window.partitionBy("id").orderBy("df", "k")
-    t = shared.select("id", "k", "df").withColumn("place", F.row_number().over(mine)).join(small(documents, rows), "id").filter(F.col("place") <= F.col("h") - _common(F.col("n"), F.col("least"), num, den) + 1)
+    t = shared.select("id", "k", "df").withColumn("place", F.row_number().over(mine))
+    t = few(t, shared.count()).join(small(documents, rows), "id").filter(F.col("place") <= F.col("h") - _common(F.col("n"), F.col("least"), num, den) + 1)
     side = lambda s: t.select("k", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "h", "component")])
     return side("a").join(side("b"), "k").filter((F.col("a_id") < F.col("b_id")) & _may_link(num, den, alike)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
@@ -536,7 +541,7 @@ def _across(members: DataFrame, shared: DataFrame, labelled: DataFrame, rows: in
     """
     left, counting = _reachable(shared, labelled.select("id", "n", "h", "component"), rows, num, den)
     first = labelled.groupBy("component").agg(F.max(F.struct((F.col("heat") / F.col("n")).alias("rank"), "id")).alias("x")).select("component", F.col("x.id").alias("leader"))
-    leaders = stored(first.join(small(left.groupBy("component").agg(F.min("n").alias("n")), rows), "component").select(F.col("leader").alias("id"), "n", "component"), "lean-leaders")
+    leaders = stored(few(first, rows).join(small(few(left.groupBy("component").agg(F.min("n").alias("n")), rows), rows), "component").select(F.col("leader").alias("id"), "n", "component"), "lean-leaders")
     frame = stored(shared.select("id", "k").join(small(leaders.select("id", "component"), rows), "id"), "lean-frames")
 
     t = counting.select("id", "k").join(small(left.select("id", "n", "h", "component"), rows), "id").join(frame.select("component", "k", F.lit(True).alias("framed")), ["component", "k"], "left")
@@ -544,9 +549,9 @@ def _across(members: DataFrame, shared: DataFrame, labelled: DataFrame, rows: in
     side = lambda t, s: t.select("k", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "h", "component")])
     beyond = side(t.filter("framed is null"), "a").join(side(t, "b"), "k").filter(_may_link(num, den, True)).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
 
-    held = frame.groupBy("id").agg(F.count("*").alias("h"))
-    few, keys = _reachable(frame.select("id", "k"), held.join(small(leaders, rows), "id"), rows, num, den, alike=False)
-    meet = stored(_rarest(few, keys, rows, num, den, alike=False), "lean-meet")
+    held = few(frame.groupBy("id").agg(F.count("*").alias("h")), rows)
+    some, keys = _reachable(frame.select("id", "k"), held.join(small(leaders, rows), "id"), rows, num, den, alike=False)
+    meet = stored(_rarest(some, keys, rows, num, den, alike=False), "lean-meet")
     meet = stored(common(members, meet), "lean-common")
     of = lambda s: small(leaders.select(F.col("id").alias(s), F.col("component").alias(f"{s}_component")), rows)
     mine = lambda s: left.select(F.col("component").alias(f"{s}_component"), F.col("n").alias(f"{s}_n"), F.col("id").alias(f"{s}_id"))
@@ -562,10 +567,13 @@ def lean_links(docs: DataFrame, links: DataFrame, width: int, num: int, den: int
     """Links (a, b) among docs (id, text; those that lean on frequent keys), enough to connect with `links` what is linked."""
     members = stored(sets(docs, width), "lean-sets")
     every = stored(tokens(members), "lean-tokens")
-    often = every.groupBy("k").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = stored(every.join(often, "k"), "lean-shared")
+    held = every.count()
+    often = stored(few(every.groupBy("k").agg(F.count("*").alias("df")).filter("df > 1"), held), "lean-often")
+    shared = stored(every.join(small(often, often.count()), "k"), "lean-shared")
     discard(every)
-    documents = stored(shared.groupBy("id", "n").agg(F.count("*").alias("h"), F.sum("df").alias("heat")).filter(F.col("h") * den >= F.col("n") * num), "lean-heat")
+    discard(often)
+    documents = few(shared.groupBy("id", "n").agg(F.count("*").alias("h"), F.sum("df").alias("heat")), shared.count())
+    documents = stored(documents.filter(F.col("h") * den >= F.col("n") * num), "lean-heat")
     rows = documents.count()
     leading = shared.filter("lead").select("id", "k")
     found, tried = links, None
@@ -596,10 +604,13 @@ def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     buckets = n_buckets(docs.sparkSession)
     signed = stored(signatures(docs, width), "signatures")
     real = signed.filter("n_shingles > 0 and id is not null")
-    classes = stored(real.groupBy("n_shingles", "d1", "d2").agg(F.min("id").alias("set_id"), F.count("*").alias("rows")), "sets")
-    largest = classes.agg(F.max("n_shingles")).first()[0] or 0
-    copies = real.join(classes.filter("rows > 1"), ["n_shingles", "d1", "d2"]).filter("id <> set_id").select("id").distinct()
-    distinct = _some(docs.filter("id is not null"), stored(copies, "copies"), "left_anti")
+    every = signed.count()
+    classes = stored(few(real.groupBy("n_shingles", "d1", "d2").agg(F.min("id").alias("set_id"), F.count("*").alias("rows")), every), "sets")
+    largest, repeated = classes.agg(F.max("n_shingles"), F.count_if(F.col("rows") > 1)).first()
+    largest = largest or 0
+    several = small(classes.filter("rows > 1"), repeated)
+    copies = stored(real.join(several, ["n_shingles", "d1", "d2"]).filter("id <> set_id").select("id"), "copies")
+    distinct = _some(docs.filter("id is not null"), copies, "left_anti")
 
     plan = Plan.of(num, den, largest)
     rows = stored(index_keys(distinct, plan, width, buckets), "keys")
@@ -611,17 +622,18 @@ def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
         seen = stored(indexed_documents(rows), "indexed")
     found = stored(match_keys(rows), "found")
     discard(rows)
-    pairs = stored(_candidates(found, seen, plan), "pairs")
+    matched = found.count()
+    pairs = stored(few(_candidates(found, seen, plan), matched), "pairs")
     links = exact(distinct, pairs, width, num, den)
     discard(pairs)
-    short = stored(_short(seen, found, plan).distinct(), "short")
+    short = stored(few(_short(seen, found, plan).distinct(), every), "short")
     discard(found)
     discard(seen)
     if not short.isEmpty():
         links = lean_links(_some(distinct, short, "left_semi"), links, width, num, den)
     discard(short)
 
-    same = real.join(classes.filter("rows > 1"), ["n_shingles", "d1", "d2"]).select(F.col("id").alias("a"), F.col("set_id").alias("b"))
+    same = real.join(several, ["n_shingles", "d1", "d2"]).select(F.col("id").alias("a"), F.col("set_id").alias("b"))
     parts = components(links.unionByName(same.filter("a <> b")))
     out = signed.join(classes.select("n_shingles", "d1", "d2", "set_id"), ["n_shingles", "d1", "d2"], "left")
     out = out.join(parts.withColumnRenamed("node", "id"), "id", "left")
