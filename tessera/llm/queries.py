@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_index, hyper_lang, katz, line_dedup, mixing, private_data, quality_rules, secret_scan, shingle_join, word_bpe
+from . import exact_index, filter_audit, hyper_lang, katz, line_dedup, main_text, merkle, mixing, private_data, quality_rules, secret_scan, shingle_join, word_bpe
 from ._shared import documents
 
 WORD_BPE = "word_bpe_49k.json"
@@ -66,6 +66,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_katz": op2_katz,
@@ -77,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_private_data": op9_private_data,
     "op10_mixing": op10_mixing,
+    "op11_main_text": op11_main_text,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_merkle": op13_merkle,
 }
 
-ORACLES: dict[str, str] = {"op3_exact_index": exact_index.ORACLE}
+ORACLES: dict[str, str] = {"op3_exact_index": exact_index.ORACLE, "op12_filter_audit": filter_audit.ORACLE, "op13_merkle": merkle.ORACLE}
