@@ -17,6 +17,7 @@ from tessera.operators import segment as C
 from tessera.operators import vectors as V
 from tessera.sinks import files as K
 from tessera.sinks import tables as T
+from tessera.sinks.shared import scratch
 from tessera.sources import files as X
 from tessera.streaming import hopper as H
 
@@ -162,6 +163,48 @@ def append_fail_replace(t):
     return first.unionByName(r.withColumn("r_regionkey", F.col("r_regionkey") + 100), allowMissingColumns=True)
 
 
+def _step(work: Callable[[], str]) -> str:
+    try:
+        return work()
+    except T.TableExists:
+        return "fail"
+
+
+_STORED = "SELECT doc_id, source, n_chars, CAST(NULL AS VARCHAR) AS note FROM documents"
+
+
+@query(
+    f"""
+WITH first AS ({_STORED}),
+new AS (SELECT doc_id, n_chars + 2 AS n_chars FROM documents WHERE n_chars > 400 OR lang <> 'en'),
+up AS (SELECT doc_id, source, coalesce(new.n_chars, first.n_chars) AS n_chars, note FROM first LEFT JOIN new USING (doc_id)),
+more AS (SELECT -1 - doc_id, source, n_chars, 'appended' FROM documents WHERE n_chars <= 400)
+SELECT 'keyed' AS tbl, 'create fail upsert append' AS did, * FROM (SELECT * FROM up UNION ALL SELECT * FROM more)
+UNION ALL SELECT 'plain', 'create fail append replace create', * FROM (SELECT doc_id, source, n_chars, note FROM (SELECT * FROM up UNION ALL SELECT * FROM more) WHERE n_chars > 100)
+UNION ALL SELECT 'restored', 'create', * FROM first
+"""
+)
+def store_modes(t):
+    """The modes of writing through a stored table with a key and one without: create, fail, upsert (each key twice, without two of the columns), append, replace; and a pinned version after vacuum."""
+    d = t("documents")
+    store = T.TableStore(d.sparkSession, scratch(d.sparkSession, "store-modes"), buckets=16)
+    first = d.select("doc_id", "source", "n_chars", F.lit(None).cast("string").alias("note"))
+    did = [store.write(first, "keyed", key="doc_id")]
+    store.snapshot("keyed", "first")
+    did.append(_step(lambda: store.write(first, "keyed")))
+    new = d.filter("n_chars > 400 OR lang <> 'en'").select("doc_id", F.explode(F.array(F.lit(2), F.lit(1))).alias("version"), "n_chars").withColumn("n_chars", F.col("n_chars") + F.col("version"))
+    did.append(store.write(new, "keyed", key="doc_id", order=["version"]))
+    more = d.filter("n_chars <= 400").select((-1 - F.col("doc_id")).alias("doc_id"), "source", "n_chars", F.lit("appended").alias("note"))
+    did.append(store.write(more, "keyed", "append"))
+    store.vacuum("keyed", keep=1)
+
+    keyed = store.read("keyed")
+    done = [store.write(first.limit(0), "plain"), _step(lambda: store.write(first, "plain")), store.write(first, "plain", "append"), store.write(keyed.filter("n_chars > 100"), "plain", "replace")]
+    done.append(store.write(store.read("keyed", "first"), "restored"))
+    say = lambda df, name, words: df.select(F.lit(name).alias("tbl"), F.lit(" ".join(words)).alias("did"), "*")
+    return say(keyed, "keyed", did).unionByName(say(store.read("plain"), "plain", done)).unionByName(say(store.read("restored"), "restored", done[-1:]))
+
+
 _FINGER = "replace(lower(source), ' ', '_') || '_' || substr(md5(text), 1, 12)"
 
 

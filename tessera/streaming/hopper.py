@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tessera.sinks.tables import TableStore, last_of_each
+from tessera.sinks.tables import TableStore
 
 
 def hopper(spark: SparkSession, path: str, archive: str | None = None, glob: str = "*") -> DataFrame:
@@ -27,11 +27,11 @@ def sweep(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint:
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def upsert_into(store: TableStore, table: str, key: str) -> Callable[[DataFrame, int], None]:
-    """A batch writer that repeats harmlessly: rows go in by key."""
+def upsert_into(store: TableStore, table: str, key: str, order: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """A batch writer that repeats harmlessly: rows go in by key, of equal keys the last by `order`; only the buckets of the batch's keys are rewritten."""
 
     def each(batch: DataFrame, number: int) -> None:
-        store.write(last_of_each(batch, [key], [F.monotonically_increasing_id()]), table, key=key)
+        store.write(batch, table, key=key, order=order)
 
     return each
 

@@ -42,6 +42,69 @@ def test_table_store(spark, tmp_path):
     assert s.write(one.limit(1), "My-T", "replace") == "replace" and s.read("My-T").count() == 1
 
 
+def test_merge_rewrites_only_the_buckets_of_the_batch(spark, tmp_path):
+    s = T.TableStore(spark, str(tmp_path), buckets=8)
+    old = [(i, f"v{i}", float(i)) for i in range(200)] + [(None, "none", 0.0)]
+    s.write(spark.createDataFrame(old, "id long, val string, x double"), "t", key="id")
+    before = dict(s.version("t").parts)
+    batch = spark.createDataFrame([(5, "a", 1), (5, "b", 3), (5, "c", 2), (1000, "new", 1), (None, "p", 1), (None, "q", 1)], "id int, val string, seq int")
+    assert s.write(batch, "t", key="id", order=["seq"]) == "upsert"
+    after = dict(s.version("t").parts)
+    touched = {r.b for r in batch.select(T.bucket_of(F.col("id"), 8).alias("b")).collect()}
+    assert 0 < len(touched) < 8 and {b for b in after if after[b] != before.get(b)} == touched
+    # What the batch lacks stays where the key was known; null keys meet nothing.
+    want = [(i, "b" if i == 5 else v, x) for i, v, x in old] + [(1000, "new", None), (None, "p", None), (None, "q", None)]
+    assert sorted(map(tuple, s.read("t").collect()), key=repr) == sorted(want, key=repr)
+    s.resize("t", 3)
+    assert {b for b, _ in s.version("t").parts} <= {0, 1, 2} and sorted(map(tuple, s.read("t").collect()), key=repr) == sorted(want, key=repr)
+    with pytest.raises(ValueError, match="would repeat"):
+        s.write(spark.createDataFrame([(5, "z")], "id long, val string"), "t", "append")
+    assert s.write(spark.createDataFrame([], batch.schema), "t", key="id", order=["seq"]) == "upsert" and s.read("t").count() == len(want)
+
+
+def test_keys_for_tables_without_and_order_of_writers(spark, tmp_path):
+    s = T.TableStore(spark, str(tmp_path), buckets=4)
+    plain = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    s.write(plain, "t")
+    s.write(plain.limit(1), "t", "append")
+    with pytest.raises(ValueError, match="can't be its key"):
+        s.write(plain, "t", key="id")
+    s.write(plain, "t", "replace")
+    assert s.write(spark.createDataFrame([(2, "B")], "id int, v string"), "t", key="id") == "upsert"
+    assert rows(s.read("t"), "id") == [(1, "a"), (2, "B")]
+    assert s.write(spark.createDataFrame([(2,), (7,)], "id int"), "t", key="id") == "upsert"  # a key alone changes nothing known
+    assert rows(s.read("t"), "id") == [(1, "a"), (2, "B"), (7, None)]
+
+    class Second(T.TableStore):
+        """Another writer commits in the middle of the first's merge."""
+
+        def _commit(self, name, v):
+            if not getattr(self, "met", False):
+                self.met = True
+                T.TableStore(spark, str(tmp_path), buckets=4).write(spark.createDataFrame([(8, "other")], "id int, v string"), name, key="id")
+            super()._commit(name, v)
+
+    assert Second(spark, str(tmp_path), buckets=4).write(spark.createDataFrame([(9, "mine")], "id int, v string"), "t", key="id") == "upsert"
+    assert rows(s.read("t"), "id")[-2:] == [(8, "other"), (9, "mine")]
+
+
+def test_vacuum_honours_pins(spark, tmp_path):
+    s = T.TableStore(spark, str(tmp_path), buckets=2)
+    for k in range(5):
+        s.write(spark.createDataFrame([(0, k)], "id int, v int"), "t", key="id")
+        if k == 1:
+            s.snapshot("t", "Good one")
+    os.makedirs(tmp_path / "t/data/unfinished")
+    s.vacuum("t", keep=1)
+    assert s.versions("t") == [2, 5] and (tmp_path / "t/data/unfinished").exists()
+    assert s.read("t", "Good one").first().v == 1
+    s.restore("t", "Good one")
+    assert s.read("t").first().v == 1 and s.versions("t") == [2, 5, 6]
+    s.unpin("t", "Good one")
+    s.vacuum("t", keep=1, grace=-1)
+    assert s.versions("t") == [6] and s.read("t").first().v == 1 and len(os.listdir(tmp_path / "t/data")) == 1
+
+
 def test_csv_profile_scrub(spark, tmp_path):
     (tmp_path / "a.csv").write_text('Game Name,MIX-%,MIX-%,Empty\n"a, b",1,x,\n"c\nd",NA,y,\n,,,\n')
     df = X.read_table(spark, str(tmp_path / "a.csv"))
