@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import strings as S
+from tessera.operators.neighbours import nearest_to_each  # noqa: F401
 
 
 def squared_distance(a: Column, b: Column) -> Column:
@@ -27,21 +28,6 @@ def nearest(store: DataFrame, query: list[float], k: int = 3, vector: str = "emb
     return store.withColumn("distance", d).orderBy("distance", id).limit(k)
 
 
-def nearest_to_each(store: DataFrame, queries: DataFrame, k: int = 3, vector: str = "embedding", id: str = "id", query_id: str = "query_id", blocks: int = 64) -> DataFrame:
-    """query_id, id, distance, rank: the k nearest rows of the store for each stated query, exactly.
-
-    queries is a stated set and goes to every task in blocks; the store is read once.
-    Each store row meets every query, but a task keeps only its best k of each.
-    """
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("q"))
-    s = store.select(F.col(id).alias("id"), F.col(vector).alias("v")).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    pairs = s.crossJoin(F.broadcast(q)).withColumn("distance", squared_distance(F.col("v"), F.col("q")))
-    local = Window.partitionBy("query_id", "block").orderBy("distance", "id")
-    best = pairs.select("query_id", "block", "id", "distance").withColumn("r", F.row_number().over(local)).filter(F.col("r") <= k)
-    whole = Window.partitionBy("query_id").orderBy("distance", "id")
-    return best.withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= k).select("query_id", "id", "distance", "rank")
-
-
 def vault_rows(tropes: DataFrame, title: str = "title", content: str = "content") -> DataFrame:
     """Rows with a title and content, by fingerprint; one row for each."""
     t = tropes.filter(~S.blank(F.col(title)) & ~S.blank(F.col(content))).withColumn("id", S.fingerprint(F.col(title), F.col(content)))

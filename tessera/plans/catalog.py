@@ -11,6 +11,7 @@ from tessera.functions import markup as M
 from tessera.functions import records as R
 from tessera.functions import strings as S
 from tessera.operators import layout as L
+from tessera.operators import neighbours as A
 from tessera.operators import notes as N
 from tessera.operators import profile as P
 from tessera.operators import segment as C
@@ -591,8 +592,28 @@ def similarity_score(t):
 
 
 def _stated(e: DataFrame) -> DataFrame:
-    """The queries of searches: every row whose id is divisible by 50."""
-    return F.broadcast(e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")))
+    """The queries of searches: every row whose id is divisible by 50. They are sent to all tasks if they were counted to be few."""
+    q = e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    return F.broadcast(q) if q.count() <= 100_000 else q
+
+
+@query()
+def vector_index_topk(t):
+    """vector_topk through inverted lists; as many lists are probed as hold 0.97 of the neighbours of trial queries."""
+    e = t("embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    centres = A.centres_of(e)
+    if not len(centres):
+        return A.nearest_to_each(e, e.withColumnRenamed("id", "query_id"), 5)
+    index = A.build(e, centres)
+    q = e.filter("id % 50 = 0").withColumnRenamed("id", "query_id")
+    return A.search(index, centres, q, 5, A.probes_for(index, centres, 5))
+
+
+@query()
+def vector_index_recall(t):
+    """Share of the exact neighbours of every stated query that vector_index_topk finds."""
+    e = t("embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return A.recall(vector_index_topk(t), A.nearest_to_each(e, e.filter("id % 50 = 0").withColumnRenamed("id", "query_id"), 5))
 
 
 @query(f"SELECT query_id, label, id, round(d, 6) AS distance FROM (SELECT n.*, e.label, row_number() OVER (PARTITION BY query_id, e.label ORDER BY d, id) AS r FROM ({_NEAR}) n JOIN embeddings e ON e.vec_id = n.id) WHERE r <= 3")
