@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from tessera.functions import records as R
 from tessera.functions import strings as S
 
-from . import notes as N
 from . import segment as C
 
 
@@ -134,16 +133,6 @@ def trope_chunks(tropes: DataFrame, stamp: Column, limit: int = 800, provider: P
     return c.select("Trope_Title", "Namespace", (F.col("p") + 1).alias("chunk_no"), S.lineage(F.col("Trope_Title"), F.col("Namespace"), F.col("segment")).alias("Clean_Content"), "Source_URL", stamp.alias("Generation_Timestamp"))
 
 
-def compile_notes(entries: DataFrame, ledger: DataFrame, provider: Provider, prompt: str) -> DataFrame:
-    """Records to checked and linked notes. entries: system, raw, ord. Notes whose text the ledger (path, sha256) has are skipped."""
-    built = N.build_notes(entries)
-    built = built.withColumn("path", F.concat_ws("/", "system", "subfolder", "title")).withColumn("sha256", S.content_hash(F.col("markdown")))
-    todo = built.join(ledger.select("path", "sha256").distinct(), ["path", "sha256"], "left_anti")
-    made = generate(todo, provider, prompt, "markdown", Retry(3, 2.0, 9.0))
-    made = made.withColumn("markdown", S.from_front_matter(F.coalesce("answer", F.lit(""))))
-    return made.withColumn("ok", N.well_formed(F.col("markdown")) & F.col("answer").isNotNull()).drop("answer")
-
-
 def audit(results: DataFrame, status: str = "status") -> DataFrame:
     """status, n: how a run went."""
     return results.groupBy(status).agg(F.count(F.lit(1)).alias("n"))

@@ -457,13 +457,22 @@ def lorebook_normalize(t):
     return e.withColumn("keys", F.array_join("keys", "|"))
 
 
-@query("SELECT 'Sys' AS system, row_number() OVER (ORDER BY p_brand, p_partkey) - 1 AS uid, p_partkey FROM part")
+@query("SELECT 'Sys' AS system, row_number() OVER (ORDER BY p_brand, p_partkey) AS uid, p_partkey FROM part")
 def lorebook_union_ids(t):
     u = N.lorebook_union(_books(t))
     return u.select("system", big(F.col("uid")).alias("uid"), F.get_json_object("entry", "$.uid").cast("bigint").alias("p_partkey"))
 
 
-@query()
+_ENTRY = """'{"constant":false,"description":"' || p_type || '","disable":false,"id":' || uid || ',"key":"b, ' || p_type || ' ,b","keys":"b, ' || p_type || ' ,b","keysecondary":["' || p_brand || '"," a "],"name":"' || CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE '' END || '","order":100,"position":1,"priority":"' || CASE WHEN p_partkey % 3 = 0 THEN '7' ELSE 'x' END || '","selective":false,"uid":' || uid || '}'"""
+_ENTRIES = f"SELECT 'Sys' AS system, uid, {_ENTRY} AS entry FROM (SELECT *, row_number() OVER (ORDER BY p_brand, p_partkey) AS uid FROM part)"
+
+
+@query(_ENTRIES)
+def lorebook_entries(t):
+    return N.lorebook_entries(N.lorebook_union(_books(t))).withColumn("uid", big(F.col("uid")))
+
+
+@query(f"""SELECT system, '{{"name":"Sys Core Rules","description":"Auto-generated by Python ETL Pipeline","is_creation":false,"scan_depth":50,"token_budget":1500,"recursive_scanning":true,"extensions":{{}},"entries":{{' || string_agg('"' || uid || '":' || entry, ',' ORDER BY uid) || '}}}}' AS lorebook FROM ({_ENTRIES}) GROUP BY 1""")
 def lorebook_v3(t):
     return N.lorebook_v3(N.lorebook_union(_books(t)))
 
@@ -473,11 +482,55 @@ def name_title_index(t):
     return N.title_index(t("part").select(F.lit("Sys").alias("system"), F.col("p_name").alias("name"), F.array("p_brand").alias("keys"), F.col("p_partkey").alias("ord")))
 
 
-@query()
+_NAMED = "'Doc ' || doc_id AS title, n_chars % (SELECT count(*) FROM documents) AS other"
+_SEEN = "CASE WHEN other = doc_id THEN 'doc ' || other ELSE '[[Doc ' || other || ']]' END"
+
+
+def _doc_notes(t) -> DataFrame:
+    """A note for each document, which names another one by its size, in and outside of what is protected, and holds a text of its own."""
+    n = t("documents").count()
+    d = t("documents").select("doc_id", F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("title"), (F.col("n_chars") % n).cast("string").alias("other"), "lang")
+    text = F.concat(F.lit("---\na: Doc "), "other", F.lit("\n---\nSee doc "), "other", F.lit(", `Doc "), "other", F.lit("`, [x](Doc "), "other", F.lit("), xDoc "), "other", F.lit(" and Doc "), "other", F.lit("x."))
+    return d.select("doc_id", "title", text.alias("markdown"), "other", "lang")
+
+
+@query(f"SELECT title, '---' || chr(10) || 'a: Doc ' || other || chr(10) || '---' || chr(10) || 'See ' || {_SEEN} || ', `Doc ' || other || '`, [x](Doc ' || other || '), xDoc ' || other || ' and Doc ' || other || 'x.' AS markdown FROM (SELECT doc_id, {_NAMED} FROM documents)")
 def autolink(t):
-    index = t("region").select(F.lower("r_name").alias("term"), F.col("r_name").alias("title"))
-    text = F.concat(F.lit("---\na: "), "n_name", F.lit("\n---\n"), "n_name", F.lit(" lies in asia or Europe, `asia`, [[AFRICA]] or america."))
-    return N.autolink(t("nation").select(F.col("n_name").alias("title"), text.alias("markdown")), index)
+    """A title for each document, all of two words with the same first one."""
+    notes = _doc_notes(t)
+    return N.autolink(notes.select("title", "markdown"), notes.select(F.lower("title").alias("term"), "title"))
+
+
+@query(f"SELECT title FROM (SELECT {_NAMED} FROM documents) WHERE other IN (SELECT doc_id FROM documents WHERE lang <> 'en')")
+def relink_touched(t):
+    """Notes to link again when the titles of documents in other languages than English join those of English ones."""
+    notes = _doc_notes(t)
+    index = lambda d: d.select(F.lower("title").alias("term"), "title")
+    new = N.changed_terms(index(notes.filter("lang = 'en'")), index(notes))
+    return N.holding(N.postings_of(notes, "markdown", ("title",)), new, id="title")
+
+
+@query("SELECT doc_id::VARCHAR AS path, sha256(coalesce(text, '')) AS sha256 FROM documents WHERE NOT (lang <> 'fr' AND n_chars > 300)")
+def compile_pending(t):
+    """Notes to make: those changed since (short ones) and those whose output isn't there (French ones)."""
+    d = t("documents").select(F.col("doc_id").cast("string").alias("path"), S.content_hash(F.coalesce("text", F.lit(""))).alias("sha256"), "lang", "n_chars")
+    ledger = d.select("path", F.when(F.col("n_chars") > 300, F.col("sha256")).otherwise("old").alias("sha256"))
+    return T.uncompiled(d.select("path", "sha256"), ledger, d.filter("lang <> 'fr'").select("path"))
+
+
+@query(
+    """
+SELECT doc_id::VARCHAR AS path, CASE WHEN lang = 'de' THEN CASE WHEN n_chars > 2000 THEN 'gone' WHEN n_chars > 300 THEN 'delete' ELSE 'edited' END
+  WHEN n_chars > 2000 THEN 'create' WHEN lang = 'fr' OR n_chars <= 300 THEN 'replace' ELSE 'same' END AS action FROM documents
+"""
+)
+def file_actions(t):
+    """What makes files of documents current: long ones are not there yet, French ones have another text, German ones are not wanted any more, and short ones were edited by somebody."""
+    d = t("documents").select(F.col("doc_id").cast("string").alias("path"), F.col("lang"), "n_chars")
+    wanted = d.filter("lang <> 'de'").select("path", F.lit("new").alias("sha256"))
+    ledger = d.select("path", F.when(F.col("lang") == "fr", "old").otherwise("new").alias("sha256"), F.col("n_chars").alias("size"), F.lit(1).cast("long").alias("modified"))
+    found = d.filter("n_chars <= 2000").select("path", F.col("n_chars").alias("size"), F.when(F.col("n_chars") <= 300, 2).otherwise(1).cast("long").alias("modified"))
+    return K.file_plan(wanted, ledger, found).select("path", "action")
 
 
 @query("SELECT p_partkey, p_partkey % 5 = 0 AS ok FROM part")

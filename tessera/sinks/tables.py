@@ -299,6 +299,12 @@ def changed(items: DataFrame, ledger: DataFrame, path: str = "path", text: str =
     return items.withColumn("sha256", S.content_hash(F.col(text))).join(ledger.select(path, "sha256").distinct(), [path, "sha256"], "left_anti")
 
 
+def uncompiled(items: DataFrame, ledger: DataFrame, found: DataFrame) -> DataFrame:
+    """Items (path, sha256, ...) to be made: those whose content the ledger (path, sha256) doesn't have, or whose output isn't among the files found (path)."""
+    done = ledger.select("path", "sha256").distinct().join(found.select("path").distinct(), "path", "left_semi")
+    return items.join(done, ["path", "sha256"], "left_anti")
+
+
 def dual_commit(records: DataFrame, store: TableStore, table: str, vectors: str) -> bool:
     """Dialogue records into the relational and the vector table; true if both were written. The second is tried only after the first."""
     store.write(relational_rows(records), table, key="composite_key")

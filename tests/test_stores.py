@@ -10,6 +10,7 @@ from tessera.operators import joins as J
 from tessera.operators import layout as L
 from tessera.operators import notes as N
 from tessera.operators import profile as P
+from tessera.operators import vault as V2
 from tessera.operators import vectors as V
 from tessera.plans.workbench import SqlWorkbench
 from tessera.sinks import files as K
@@ -164,16 +165,33 @@ def test_notes(spark):
     assert link("Fire storm", "fire storm") == "Fire storm"
     idx = spark.createDataFrame([("fire", "Fire"), ("the sun", "Sol")], "term string, title string")
     n = spark.createDataFrame([("x", "Fire and the Sun"), ("y", "none")], "title string, markdown string")
-    small, large = rows(N.autolink(n, idx), "title"), rows(N._autolink_joined(n, idx, "title", "markdown"), "title")
-    assert small == large == [("x", "[[Fire]] and [[Sol|the Sun]]"), ("y", "none")]
+    assert rows(N.autolink(n, idx), "title") == [("x", "[[Fire]] and [[Sol|the Sun]]"), ("y", "none")]
+
+
+def test_autolink_by_keys_equals_all_terms(spark, monkeypatch):
+    """Terms without words, of one word and of many with the same first one; null texts and titles; systems apart."""
+    terms = {"fire": "Fire", "fire storm": "Fire Storm", "the sun": "Sol", "the moon": "Luna", "the sun-dial": "Dial", "???": "What", "élan vital": "É", "ab": "Ab", "x_1": "Under", "#tag": "Tag", "the": "Article"}
+    texts = ["Fire and the Sun. THE MOON; the  moon", "the sun-dial a???b fire storm", "Élan vital x_1 #tag a#tag the", None, "", "ab the\nsun", "`fire` [[the sun]] [x](fire) the sun"]
+    index = spark.createDataFrame([("s", k, v) for k, v in terms.items()] + [("r", "fire", "Other")], "system string, term string, title string")
+    n = [("s", f"T{i}", x) for i, x in enumerate(texts)] + [("s", "Fire", "fire the fire"), ("s", None, "fire"), ("r", "T0", "Fire, the sun"), (None, "T", "fire"), ("s", "T0", "fire again")]
+    df = spark.createDataFrame(n, "system string, title string, markdown string")
+    want = sorted(((s, t, None if x is None else N.link_text(x, N.terms_by_first({"fire": "Other"} if s == "r" else terms if s else {}), t or "")) for s, t, x in n), key=repr)
+    for few in (64, 1, 0):
+        monkeypatch.setattr(N, "FEW_TERMS", few)
+        assert sorted(map(tuple, N.autolink(df, index, within=("system",)).collect()), key=repr) == want
+    assert N.autolink(df.limit(0), index, within=("system",)).count() == 0
 
 
 def test_lorebook(spark):
     f = spark.createDataFrame([("S", "b", '[{"name":"3"}]'), ("S", "a", '{"entries":{"x":{"name":"1","key":["k"]},"y":5,"z":{"name":"2"}}}')], "system string, path string, raw string")
     u = N.lorebook_union(f)
-    assert [(r.uid, json.loads(r.entry)["name"]) for r in u.orderBy("uid").collect()] == [(0, "1"), (1, "2"), (2, "3")]
+    assert [(r.uid, json.loads(r.entry)["name"]) for r in u.orderBy("uid").collect()] == [(1, "1"), (2, "2"), (3, "3")]
     book = json.loads(N.lorebook_v3(u).first().lorebook)
-    assert book["scan_depth"] == 50 and book["entries"]["0"]["key"] == ["k"] and book["entries"]["2"]["order"] == 100
+    first = {"id": 1, "uid": 1, "name": "1", "key": ["k"], "keys": ["k"], "constant": False, "selective": False, "order": 100, "position": 1, "disable": False}
+    assert book["name"] == "S Core Rules" and book["scan_depth"] == 50 and book["recursive_scanning"] is True and book["entries"]["1"] == first
+    odd = spark.createDataFrame([("S", "a", '[{"uid":9,"or\\"der é":{"a":[1.50,null,"x\\ny"]},"order":"7","keys":null,"key":["k"]}]')], "system string, path string, raw string")
+    got = json.loads(N.lorebook_entries(N.lorebook_union(odd)).first().entry)
+    assert got == {"id": 1, "uid": 1, 'or"der é': {"a": [1.5, None, "x\ny"]}, "order": "7", "keys": None, "key": ["k"], "constant": False, "selective": False, "position": 1, "disable": False}
 
 
 def test_layout(spark):
@@ -209,10 +227,91 @@ def test_inference(spark):
     assert [(r.ok, r.error) for r in b.collect()] == [(False, "no")] * 2
     t = spark.createDataFrame([("T", "Main", "<b>def</b>", ["[[e]]"], "u")], "Trope_Title string, Namespace string, Definition string, Examples array<string>, Source_URL string")
     assert [r.Clean_Content for r in I.trope_chunks(t, F.lit("now")).orderBy("chunk_no").collect()] == ["[Trope: T | Namespace: Main] Definition: def", "[Trope: T | Namespace: Main] Examples:\n- e"]
-    e = spark.createDataFrame([("S", '{"name":"N","content":"c"}')], "system string, raw string")
-    out = I.compile_notes(e, spark.createDataFrame([], "path string, sha256 string"), I.RuleProvider("echo"), "p")
-    assert out.first().ok
-    assert I.compile_notes(e, out.select("path", "sha256"), I.RuleProvider("echo"), "p").count() == 0
+
+
+def entry(name, content, keys=()):
+    return json.dumps({"name": name, "keys": list(keys), "content": content})
+
+
+def test_vault_links_new_titles_only_where_they_are(spark, tmp_path):
+    """First run, nothing new, ten new titles, a lost file, a bad answer: files against linking everything at once."""
+    store, vault = T.TableStore(spark, str(tmp_path / "store"), buckets=4), tmp_path / "vault"
+    said = tmp_path / "said"
+    said.mkdir()
+
+    class Echo:
+        def generate(self, system, user, response_format=None):
+            with open(said / f"{os.getpid()}", "a") as f:
+                f.write(user.split("# ")[1].split("\n")[0] + "\n")
+            if "# Bad" in user:
+                raise ValueError("no")
+            return "Sure!\n" + user
+
+    def compile_all(entries):
+        for f in said.iterdir():
+            f.unlink()
+        df = spark.createDataFrame([("Sys", raw, i) for i, raw in enumerate(entries)], "system string, raw string, ord int")
+        run = V2.compile_vault(df, store, str(vault), Echo(), retry=I.Retry(1))
+        calls = sorted(x for f in said.iterdir() for x in f.read_text().splitlines())
+        titles = {}
+        for raw in entries:
+            e = json.loads(raw)
+            titles |= {k.lower(): e["name"] for k in [e["name"], *e["keys"]]}
+        want = {}
+        for raw in entries:
+            e = json.loads(raw)
+            if e["name"] != "Bad":
+                want[f"Sys/General_Rules/{e['name']}.md"] = N.link_text(N.note_of(e, "Sys")[2], N.terms_by_first(titles), e["name"])
+        assert {str(f.relative_to(vault)): f.read_text() for f in vault.rglob("*.md")} == want
+        return run, calls
+
+    old = [entry(f"Note {i}", f"about item {i}, Note {i + 1} and star {i}", [f"alias{i}"]) for i in range(30)] + [entry("Bad", "never")]
+    run, calls = compile_all(old)
+    assert len(calls) == 31 and run.files == {"create": 30} and [tuple(r) for r in run.failed.collect()] == [("Sys/General_Rules/Bad.md", "no")]
+    run, calls = compile_all(old)
+    assert calls == ["Bad"] and run.relinked.count() == 0 and run.files == {}
+    more = old + [entry(f"Star {i}", "shines on alias3") for i in range(10)]
+    run, calls = compile_all(more)
+    assert len(calls) == 11 and sorted(r.path for r in run.relinked.collect()) == sorted(f"Sys/General_Rules/Note {i}.md" for i in range(10))
+    assert run.files == {"create": 10, "replace": 10}
+    (vault / "Sys/General_Rules/Note 7.md").unlink()
+    run, calls = compile_all(more)
+    assert calls == ["Bad", "Note 7"] and run.files == {"create": 1}
+    changed = [entry("Note 0", "now of star 5", ["alias3"]), *more[1:3], entry("Note 3", "plain"), *more[4:]]
+    run, calls = compile_all(changed)
+    assert calls == ["Bad", "Note 0", "Note 3"] and run.relinked.count() == 10  # the stars hold alias3, which leads elsewhere
+
+
+def test_files_are_reconciled(spark, tmp_path):
+    store, root = T.TableStore(spark, str(tmp_path / "store")), tmp_path / "out"
+    tropes = lambda definition: spark.createDataFrame([("A b", "Main", definition, ["e"], "u"), ("C", "Main", "d", [], "u")], "Trope_Title string, Namespace string, Definition string, Examples array<string>, Source_URL string")
+    sync = lambda definition, stamp: K.sync_files(K.trope_files(I.trope_chunks(tropes(definition), F.lit(stamp))), str(root), store, "tropes")
+    long = " ".join(f"Sentence {i} is here." for i in range(80))
+    assert sync(long, "t1") == {"create": 5}
+    files = sorted(f.name for f in root.iterdir())
+    assert files == ["A_b_chunk_001.json", "A_b_chunk_002.json", "A_b_chunk_003.json", "A_b_chunk_004.json", "C_chunk_001.json"]
+    (root / "mine.txt").write_text("not the sink's")
+    version = store.snapshot("tropes")
+    assert sync(long, "t2") == {"same": 5} and store.snapshot("tropes") == version  # a second run writes nothing
+    (root / "A_b_chunk_004.json").write_text("edited")
+    # A shorter definition: higher chunks go, but for the one that somebody edited.
+    assert sync("short", "t3") == {"replace": 2, "delete": 1, "edited": 1, "same": 1}
+    assert sorted(f.name for f in root.iterdir()) == ["A_b_chunk_001.json", "A_b_chunk_002.json", "A_b_chunk_004.json", "C_chunk_001.json", "mine.txt"]
+    (root / "C_chunk_001.json").unlink()
+    assert sync("short", "t4") == {"create": 1, "same": 2}
+    assert json.loads((root / "C_chunk_001.json").read_text())["Clean_Content"] == "[Trope: C | Namespace: Main] Definition: d"
+
+
+def test_names_of_files(spark):
+    c = spark.createDataFrame([("S", "a/b c", 7, True, "{}", None), ("S", "x", 1234, False, "raw", "bad")], "system string, source string, chunk_no int, ok boolean, json string, error string")
+    assert rows(K.chunk_files(c, "web"), "path") == [("S/web_chunk_a_b_c_007.json", "{}"), ("S/web_chunk_x_1234_ERROR.txt", "ERROR: bad\n\nraw")]
+    assert [r[0] for r in rows(K.chunk_files(c), "path")] == ["S/chunk_007.json", "S/chunk_1234_ERROR.txt"]
+    s = spark.createDataFrame([("d/rules.md", "Poison.md", "# Poison")], "path string, filename string, content string")
+    assert rows(K.slice_files(s), "path") == [("d/rules/Poison.md", "# Poison")]
+    b = spark.createDataFrame([("My Sys", "{}")], "system string, lorebook string")
+    assert rows(K.lorebook_files(b), "path") == [("My_Sys_Master_Lorebook.json", "{}")]
+    n = spark.createDataFrame([("S", "f", "t", "x")], "system string, subfolder string, title string, markdown string")
+    assert rows(K.note_files(n), "path") == [("S/f/t.md", "x")]
 
 
 def test_joins(spark):
