@@ -6,6 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import graph as G
+from tessera.sinks.shared import stored
+
 LEAST_CONFIDENCE, LEAST_SIDE, MARGIN = 0.35, 5, 0.02
 
 
@@ -25,17 +28,57 @@ def kept_boxes(b: DataFrame, width: str | Column = "width", height: str | Column
     return b.filter((F.col("conf") >= LEAST_CONFIDENCE) & large & ~(margin & furniture))
 
 
+def _gap(k: str) -> Column:
+    return F.greatest(F.lit(0.0), F.greatest(f"a_{k}_min", f"b_{k}_min") - F.least(f"a_{k}_max", f"b_{k}_max"))
+
+
+#: Gaps that near boxes may have, in line heights, by axis; cells are as large.
+GAPS = {"x": 3, "y": 2}
+
+
+def _cell(at: Column, axis: str) -> Column:
+    """Number of the cell that a place on an axis is in. Pages whose boxes have no height (h = 0) have cells of one unit."""
+    return F.floor(at / F.when(F.col("h") > 0, GAPS[axis] * F.col("h")).otherwise(1.0)).cast("long")
+
+
+def _placed(b: DataFrame, image: str, reach: float) -> DataFrame:
+    """b (with h, its page's line height) and cx, cy: a row for each cell that the box touches when `reach` of the allowed gap is added around it."""
+    # A little more at the far end: rounding must not part boxes whose gap is just the allowed one.
+    edge = lambda axis, end, by: _cell(F.col(f"{axis}_{end}") + by * GAPS[axis] * F.col("h"), axis)
+    span = lambda axis: F.explode(F.sequence(edge(axis, "min", -reach), edge(axis, "max", reach + (1e-6 if reach else 0.0))))
+    return b.withColumn("cx", span("x")).withColumn("cy", span("y"))
+
+
+def _with_height(b: DataFrame, image: str) -> DataFrame:
+    """Boxes with all bounds, and h; others are near nothing."""
+    b = b.dropna(subset=[f"{k}_{e}" for k in GAPS for e in ("min", "max")])
+    return b.join(b.groupBy(image).agg(F.avg(F.col("y_max") - F.col("y_min")).alias("h")), image)
+
+
+def _met(b: DataFrame, image: str, box: str) -> DataFrame:
+    """Near pairs with their bounds, each once. b has h."""
+    side = lambda s: _placed(b, image, 0.5).select(image, "h", "cx", "cy", F.col(box).alias(s), *[F.col(f"{k}_{e}").alias(f"{s}_{k}_{e}") for k in GAPS for e in ("min", "max")])
+    p = side("a").join(side("b").drop("h"), [image, "cx", "cy"]).filter("a < b")
+    first = lambda axis: _cell(F.greatest(f"a_{axis}_min", f"b_{axis}_min") - 0.5 * GAPS[axis] * F.col("h"), axis)
+    return p.filter((first("x") == F.col("cx")) & (first("y") == F.col("cy")) & (_gap("y") <= GAPS["y"] * F.col("h")) & (_gap("x") <= GAPS["x"] * F.col("h")))
+
+
 def near_pairs(b: DataFrame, image: str = "image_id", box: str = "box_id") -> DataFrame:
-    """image, a, b (a < b): boxes whose gaps are at most two line heights down and three across."""
-    high = b.groupBy(image).agg(F.avg(F.col("y_max") - F.col("y_min")).alias("line_height"))
-    side = lambda s: b.select(image, F.col(box).alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("x_min", "x_max", "y_min", "y_max")])
-    gap = lambda k: F.greatest(F.lit(0.0), F.greatest(f"a_{k}_min", f"b_{k}_min") - F.least(f"a_{k}_max", f"b_{k}_max"))
-    p = side("a").join(side("b"), image).filter("a < b").join(high, image)
-    return p.filter((gap("y") <= 2 * F.col("line_height")) & (gap("x") <= 3 * F.col("line_height"))).select(image, "a", "b")
+    """image, a, b (a < b): boxes whose gaps are at most two line heights down and three across.
+
+    Boxes meet in the cells that they touch when half of the gap is added around them, and
+    each pair counts in one cell, where its common ground begins: a page costs what its boxes
+    have near them, not their square.
+    """
+    return _met(_with_height(b, image), image, box).select(image, "a", "b")
+
+
+#: Links of a page that one task joins; a page with more is worked on by all.
+PAGE_LINKS = 500_000
 
 
 def components(nodes: DataFrame, edges: DataFrame, image: str = "image_id", box: str = "box_id") -> DataFrame:
-    """image, box, component (its smallest box). A group is one page's links, as many as a page has boxes near each other."""
+    """image, box, component (its smallest box). Links of one page are joined in one task, unless they are more than PAGE_LINKS."""
 
     def run(page: pd.DataFrame) -> pd.DataFrame:
         parent: dict = {}
@@ -52,7 +95,13 @@ def components(nodes: DataFrame, edges: DataFrame, image: str = "image_id", box:
         return pd.DataFrame({image: page[image].iloc[0], box: list(parent), "component": [root(x) for x in list(parent)]})
 
     kinds = dict(nodes.dtypes)
-    linked = edges.groupBy(image).applyInPandas(run, f"{image} {kinds[image]}, {box} {kinds[box]}, component {kinds[box]}")
+    edges = stored(edges, "page-links")
+    large = [r[image] for r in edges.groupBy(image).count().filter(F.col("count") > PAGE_LINKS).limit(10_001).collect()]
+    of_large = F.col(image).isin(large) if len(large) <= 10_000 else F.lit(True)  # with very many large pages, all of them
+    linked = edges.filter(~of_large).groupBy(image).applyInPandas(run, f"{image} {kinds[image]}, {box} {kinds[box]}, component {kinds[box]}")
+    if large:
+        whole = G.components(edges.filter(of_large).select(F.col(image).alias("g"), "a", "b"))
+        linked = linked.unionByName(whole.select(F.col("g").alias(image), F.col("node").alias(box), "component"))
     return nodes.select(image, box).join(linked, [image, box], "left").withColumn("component", F.coalesce("component", box))
 
 
