@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .strings import blank, strip
@@ -93,3 +93,31 @@ def valid(raw: Column, schema: str) -> Column:
             good = got == kind
         out = out & F.coalesce(good, F.lit(False))
     return out
+
+
+def shape_of(first: Column) -> Column:
+    """What a file's first entry says of all of its entries: lorebook, narrative or generic."""
+    keys = F.coalesce(F.json_object_keys(F.when(is_object(first), first)), F.array().cast(TEXTS))
+    has = lambda *names: F.arrays_overlap(keys, F.array(*map(F.lit, names)))
+    return F.when(has("content", "keys", "name"), "lorebook").when(has("Dialogue", "Scene Description", "Speaker"), "narrative").otherwise("generic")
+
+
+def entries_by_shape(files: DataFrame, path: str = "path", raw: str = "raw") -> DataFrame:
+    """path, shape, ok, place (from 1), name, entry of every entry of files, in the shape that the file's first entry decides.
+
+    Lorebook entries are brought to one form, those that are no objects left out with their
+    places kept; narrative entries keep the three fields of their form. ok is false for all
+    entries of a file of which one doesn't fit the shape: such a file isn't taken. A generic
+    file's entries stay as they are, without a name. A file without entries gives no rows.
+    """
+    entries = F.col("_entries")
+    f = files.withColumn("_entries", entries_of(F.col(raw))).withColumn("_shape", shape_of(F.get(entries, F.lit(0))))
+    fits = F.when(F.col("_shape") == "narrative", F.forall(entries, lambda e: valid(e, "narrative"))).otherwise(F.lit(True))
+    e = f.select(F.col(path).alias("path"), F.col("_shape").alias("shape"), fits.alias("ok"), F.posexplode("_entries").alias("_at", "entry")).withColumn("place", F.col("_at") + 1)
+    e = e.filter((F.col("shape") != "lorebook") | is_object(F.col("entry")))
+    book = lorebook_entry(F.col("entry"), F.col("place"))
+    turn = F.from_json("entry", "struct<Speaker:string,Dialogue:string,`Scene Description`:string>")
+    told = F.to_json(turn)
+    name = F.when(F.col("shape") == "lorebook", book["name"]).when((F.col("shape") == "narrative") & F.col("ok"), turn["Speaker"])
+    entry = F.when(F.col("shape") == "lorebook", F.to_json(book)).when((F.col("shape") == "narrative") & F.col("ok"), told).otherwise(F.col("entry"))
+    return e.select("path", "shape", "ok", "place", name.alias("name"), entry.alias("entry"))

@@ -7,7 +7,7 @@ import random
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from typing import Protocol
+from typing import Any, Protocol
 from urllib.error import URLError
 
 import pandas as pd
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import records as R
 from tessera.functions import strings as S
+from tessera.sinks.shared import stored
 
 from . import segment as C
 
@@ -74,12 +75,9 @@ def generate(df: DataFrame, provider: Provider, system: str, user: str, retry: R
         for f in frames:
             answers, errors = [], []
             for text in f[user]:
-                try:
-                    answers.append(policy.call(lambda text=text: provider.generate(system, text)))
-                    errors.append(None)
-                except Exception as e:
-                    answers.append(None)
-                    errors.append(str(e))
+                answer, error = _answer(policy, provider, system, text)
+                answers.append(answer)
+                errors.append(error)
                 if delay:
                     time.sleep(delay)
             f[into], f["error"] = answers, errors
@@ -88,6 +86,80 @@ def generate(df: DataFrame, provider: Provider, system: str, user: str, retry: R
     return df.mapInPandas(run, schema)
 
 
+def paced(df: DataFrame, provider: Provider, system: str, user: str, delay: float, lanes: int, retry: Retry | None = None, into: str = "answer") -> DataFrame:
+    """generate() at no more than one row each `delay` seconds in all, without a lock: rows are dealt to `lanes` tasks, the k-th of which waits k delays before its first row and lanes * delay from one row to the next. A row that is tried again counts as one."""
+    dealt = df.repartition(lanes)
+    schema = T.StructType([*df.schema.fields, T.StructField(into, T.StringType()), T.StructField("error", T.StringType())])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        policy, due = retry or Retry(), time.monotonic() + (TaskContext.get().partitionId() % lanes) * delay
+        for f in frames:
+            out = []
+            for text in f[user]:
+                time.sleep(max(0.0, due - time.monotonic()))
+                due = time.monotonic() + lanes * delay
+                out.append(_answer(policy, provider, system, text))
+            f[into], f["error"] = [a for a, _ in out], [e for _, e in out]
+            yield f
+
+    return dealt.mapInPandas(run, schema)
+
+
+def _answer(policy: Retry, provider: Provider, system: str, text: str) -> tuple[str | None, str | None]:
+    try:
+        return policy.call(lambda: provider.generate(system, text)), None
+    except Exception as e:
+        return None, str(e)
+
+
+def in_rounds(df: DataFrame, call: Callable[[DataFrame], DataFrame], again: Callable[[Column], Column], tries: int = 4, wait: Callable[[int], float] = lambda n: min(30.0, 2.0**n), sleep: Callable[[float], None] = time.sleep, into: str = "answer") -> DataFrame:
+    """df with the answers of `call`, its error and `attempts`: rows whose error `again` accepts are the input of the next round.
+
+    A round is one pass over what is left, at most `tries` of them; no task sleeps, the driver
+    waits wait(n) seconds after round n, so that a service gets its pause. Each round is a
+    written table: a lost executor repeats a part of one round only. Rows that fail for good,
+    or still after the last round, end with a null answer and their last error.
+    call: adds `into` and error to its frame, and tries each row once.
+    """
+    left, done = stored(df, "round-0"), []
+    for n in range(1, tries + 1):
+        out = stored(call(left).withColumn("attempts", F.lit(n)), f"round-{n}")
+        retry = F.lit(False) if n == tries else F.col(into).isNull() & F.coalesce(again(F.col("error")), F.lit(False))
+        done.append(out.filter(~retry))
+        left = out.filter(retry).select(*df.columns)
+        if n == tries or left.isEmpty():
+            break
+        sleep(wait(n))
+    whole = done[0]
+    for more in done[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+def fetched(targets: DataFrame, fetch: Callable[[str], str], url: str = "url", **rounds: Any) -> DataFrame:
+    """targets with page, error and attempts: pages by `fetch`, which raises where there is none; what may be tried again is, in rounds. fetch is sent to the tasks."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            pages, errors = [], []
+            for u in f[url]:
+                try:
+                    pages.append(fetch(u))
+                    errors.append(None)
+                except Exception as e:
+                    pages.append(None)
+                    errors.append(str(e))
+            f["page"], f["error"] = pages, errors
+            yield f
+
+    def call(df: DataFrame) -> DataFrame:
+        return df.mapInPandas(run, T.StructType([*df.schema.fields, T.StructField("page", T.StringType()), T.StructField("error", T.StringType())]))
+
+    return in_rounds(targets, call, S.retryable, into="page", **rounds)
+
+
 def validated(df: DataFrame, schema: str, answer: str = "answer", thoughts: bool = True) -> DataFrame:
     """df with `json` (the answer's JSON part), its entries, and ok: all entries fit the schema."""
     part = S.reasoning_cleaned(F.col(answer)) if thoughts else S.strip(F.col(answer))

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import records as R
 from tessera.functions import strings as S
 from tessera.operators import inference as I
 from tessera.operators import notes as N
@@ -41,6 +42,12 @@ class Run:
     files: dict[str, int]
 
 
+def entries_of_files(files: DataFrame) -> DataFrame:
+    """system, raw, ord of the entries of JSON files (system, path, raw), each read in the shape that its file's first entry decides; files that don't fit it give none."""
+    shaped = R.entries_by_shape(files.withColumn("_at", F.struct("path", "system")), "_at").filter("ok")
+    return shaped.select("path.system", F.col("entry").alias("raw"), F.struct("path.path", "place").alias("ord"))
+
+
 def raw_notes(entries: DataFrame) -> DataFrame:
     """system, subfolder, title, markdown, path, sha256 of entries (system, raw, ord): of entries with one path the last by ord counts."""
     built = N.build_notes(entries, keep=("ord",))

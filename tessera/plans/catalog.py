@@ -15,6 +15,7 @@ from tessera.operators import neighbours as A
 from tessera.operators import notes as N
 from tessera.operators import profile as P
 from tessera.operators import segment as C
+from tessera.operators import sketches as Z
 from tessera.operators import vectors as V
 from tessera.sinks import files as K
 from tessera.sinks import tables as T
@@ -82,6 +83,33 @@ def group_distribution_box(t):
     return d.select("o_orderpriority", *[F.round(c, 4).alias(c) for c in ("low", "q1", "median", "q3", "high")], "n")
 
 
+@query(
+    """
+SELECT d.source, count(*) AS rows, count(*) - count(n_chars) AS nulls, min(n_chars)::DOUBLE AS low, max(n_chars)::DOUBLE AS high, round(avg(n_chars), 4) AS mean, true AS quantiles_near, true AS unique_near
+FROM (SELECT coalesce(source, '') AS source, n_chars FROM documents) d GROUP BY 1
+"""
+)
+def sketch_profile(t):
+    """Profile of n_chars by source from stored sketches of three parts, the last two appended later; whether quartiles' ranks and the number of distinct values lie within the stated errors."""
+    d = t("documents").select(F.coalesce("source", F.lit("")).alias("source"), "n_chars", "lang")
+    store = T.TableStore(d.sparkSession, scratch(d.sparkSession, "profiles"))
+    part = F.when(F.col("lang") == "en", 0).when(F.col("lang") == "fr", 1).otherwise(2)
+    for k in range(3):
+        store.write(Z.sketched(d.filter(part == k).drop("lang"), ["source"]), "documents", "append")
+    found = Z.profile(Z.merged(store.read("documents"), ["source"]), (0.25, 0.5, 0.75))
+    below = [F.sum((F.col("n_chars") < F.col(q)).cast("long")).alias(f"{q}_below") for q in ("q25", "q50", "q75")]
+    upto = [F.sum((F.col("n_chars") <= F.col(q)).cast("long")).alias(f"{q}_upto") for q in ("q25", "q50", "q75")]
+    ranks = d.join(found.select("source", "q25", "q50", "q75"), "source").groupBy("source").agg(*below, *upto, F.count_distinct("n_chars").alias("exact"))
+    # Where the asked rank lies outside of the value's ranks, it is off by that much; a row more for parts of very few rows.
+    slack = Z.RANK_ERROR * (F.col("rows") - F.col("nulls")) + 1
+    near = F.lit(True)
+    for q, share in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        rank = share * (F.col("rows") - F.col("nulls"))
+        near = near & F.coalesce((rank >= F.col(f"{q}_below") - slack) & (rank <= F.col(f"{q}_upto") + slack), F.lit(True))
+    unique = F.abs(F.col("n_unique") - F.col("exact")) <= 5 * Z.DISTINCT_ERROR * F.col("exact") + 1
+    return found.join(ranks, "source").select("source", "rows", "nulls", "low", "high", F.round("mean", 4).alias("mean"), near.alias("quantiles_near"), unique.alias("unique_near"))
+
+
 _ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
@@ -477,6 +505,28 @@ def lorebook_v3(t):
     return N.lorebook_v3(N.lorebook_union(_books(t)))
 
 
+@query(
+    """
+WITH f AS (SELECT p_partkey, k, r_name AS name FROM (SELECT p_partkey, p_partkey % 5 AS k FROM part) JOIN region ON r_regionkey = k),
+n AS (SELECT p_partkey, k, name, unnest(CASE k WHEN 0 THEN [1, 2] WHEN 1 THEN [1, 2] WHEN 2 THEN [1] WHEN 3 THEN [1, 2] ELSE [1] END) AS place FROM f)
+SELECT p_partkey AS path, CASE k WHEN 0 THEN 'lorebook' WHEN 1 THEN 'narrative' WHEN 2 THEN 'narrative' WHEN 3 THEN 'generic' ELSE 'lorebook' END AS shape, k <> 2 AS ok, CAST(place AS INT) AS place,
+  CASE WHEN k = 0 THEN CASE place WHEN 1 THEN name ELSE 'Entry_2' END WHEN k = 1 THEN name WHEN k = 2 THEN NULL WHEN k = 3 THEN NULL ELSE 'Entry_1' END AS name
+FROM n
+"""
+)
+def file_shapes(t):
+    """Files whose first entry decides how all of theirs are read: lorebook, narrative or neither; an entry that doesn't fit spoils its file."""
+    k = F.col("p_partkey") % 5
+    say = lambda who, what: F.concat(F.lit('{"Speaker":"'), who, F.lit(f'","Dialogue":"{what}","Scene Description":"s"}}'))
+    name = F.col("r_name")
+    raw = F.when(k == 0, F.concat(F.lit('[{"name":"'), name, F.lit('","content":"c"},'), say(name, "x"), F.lit("]")))
+    raw = raw.when(k == 1, F.concat(F.lit('{"entries":['), say(name, "x"), F.lit(","), say(name, " "), F.lit("]}")))
+    raw = raw.when(k == 2, F.concat(F.lit('[{"Speaker":"'), name, F.lit('","Dialogue":5}]')))
+    raw = raw.when(k == 3, '[{"other":1},{"name":"n"}]').otherwise('{"entries":{"0":{"content":"only"}}}')
+    files = t("part").join(F.broadcast(t("region")), F.col("r_regionkey") == k).select(F.col("p_partkey").alias("path"), raw.alias("raw"))
+    return R.entries_by_shape(files).select("path", "shape", "ok", "place", "name")
+
+
 @query("SELECT 'Sys' AS system, term, arg_max(title, p_partkey) AS title FROM (SELECT p_partkey, trim(p_name) AS title, unnest(list_distinct([lower(p_name), lower(p_brand)])) AS term FROM part) WHERE term <> '' GROUP BY 2")
 def name_title_index(t):
     return N.title_index(t("part").select(F.lit("Sys").alias("system"), F.col("p_name").alias("name"), F.array("p_brand").alias("keys"), F.col("p_partkey").alias("ord")))
@@ -743,6 +793,41 @@ def ev_session(t):
     return H.sessions(t("events")).withColumn("total", F.round("total", 4))
 
 
+_SLICE = "date_diff('day', DATE '1970-01-01', ts::DATE) // 10"
+
+
+@query(
+    f"""
+WITH e AS (SELECT *, {_SLICE} AS slice FROM events),
+known AS (SELECT * FROM e WHERE NOT (event_type = 'click' AND slice < (SELECT max(slice) - 1 FROM e))),
+a AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM known WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM a)
+SELECT user_id, min(ts) AS session_start, max(ts) AS last_event, count(*) AS n, round(sum(value), 4) AS total, (SELECT count(*) FROM e) - (SELECT count(*) FROM known) AS dropped FROM s GROUP BY user_id, k
+"""
+)
+def stream_visits(t):
+    """Visits as a stream gives them: events arrive in slices of ten days, each a run that goes on where the one before ended; clicks older than the last two slices arrive with the last one, too late, and are counted."""
+    e = t("events")
+    spark, kind = e.sparkSession, e.schema["ts"].dataType
+    top = scratch(spark, "stream-visits")
+    e = e.select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value", "event_type", F.floor(F.datediff(F.col("ts"), F.lit("1970-01-01")) / 10).alias("slice"))
+    slices = [r[0] for r in e.select("slice").distinct().orderBy("slice").collect()]  # one for each ten days that the table spans
+    late = (F.col("event_type") == "click") & (F.col("slice") < slices[-1] - 1) if slices else F.lit(False)
+    dropped = 0
+    for k in slices:
+        rows = e.filter((F.col("slice") == k) & ~late if k < slices[-1] else (F.col("slice") == k) | late).select("user_id", "ts", "value")
+        if k == slices[-1]:  # an event of nobody, by which all visits have ended
+            rows = rows.unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("user_id"), F.lit("2100-01-01").cast("timestamp").alias("ts"), F.lit(0.0).alias("value")))
+        rows.write.mode("append").parquet(f"{top}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{top}/in")
+        run = H.visits(stream).writeStream.format("parquet").option("path", f"{top}/out").option("checkpointLocation", f"{top}/state").outputMode("append").trigger(availableNow=True).start()
+        run.awaitTermination()
+        dropped += H.dropped_late(run)
+    out = "user_id long, session_start timestamp, last_event timestamp, n long, total double"
+    found = spark.read.schema(out).parquet(f"{top}/out") if slices else spark.createDataFrame([], out)
+    return found.select("user_id", F.col("session_start").cast(kind).alias("session_start"), F.col("last_event").cast(kind).alias("last_event"), "n", F.round("total", 4).alias("total"), F.lit(dropped).cast("long").alias("dropped"))
+
+
 @query("SELECT DISTINCT event_type, user_id FROM events")
 def ev_dedup(t):
     e = t("events").select("event_type", "user_id", F.concat_ws("|", "event_type", "user_id").alias("id"))

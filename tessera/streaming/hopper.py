@@ -77,3 +77,47 @@ def running_totals(events: DataFrame) -> DataFrame:
         yield pd.DataFrame({"user_id": [key[0]], "n": [n], "total": [total]})
 
     return events.select("user_id", "value").groupBy("user_id").applyInPandasWithState(step, "user_id long, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout)
+
+
+def visits(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
+    """user_id, session_start, last_event, n, total of each visit of a user, given out once event time has passed its end; events later than `late` don't count.
+
+    Visits end when a user's events pause for `gap`. State is the user's open visits, each of
+    which merges with another when an event closes the gap between them, so events within
+    `late` may come in any order.
+    """
+    width = int(pd.Timedelta(gap).total_seconds() * 1_000_000)
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        open_visits = [list(x) for x in zip(*state.get, strict=True)] if state.exists else []
+        for f in frames:
+            open_visits += [[t, t, 1, v] for t, v in zip(f["at"].tolist(), f["value"].tolist(), strict=True)]
+        open_visits.sort()
+        merged: list[list] = []
+        for first, last, n, total in open_visits:
+            if merged and first < merged[-1][1] + width:
+                merged[-1] = [merged[-1][0], max(last, merged[-1][1]), merged[-1][2] + n, merged[-1][3] + total]
+            else:
+                merged.append([first, last, n, total])
+        past = state.getCurrentWatermarkMs() * 1000
+        ended = [v for v in merged if v[1] + width <= past]
+        still = [v for v in merged if v[1] + width > past]
+        if still:
+            state.update(tuple(list(x) for x in zip(*still, strict=True)))
+            state.setTimeoutTimestamp(-(-(min(v[1] for v in still) + width) // 1000))
+        elif state.exists:
+            state.remove()
+        if ended:
+            first, last, n, total = zip(*ended, strict=True)
+            yield pd.DataFrame({"user_id": key[0], "first": list(first), "last": list(last), "n": list(n), "total": list(total)})
+
+    out = "user_id long, first long, last long, n long, total double"
+    held = "first array<long>, last array<long>, n array<long>, total array<double>"
+    rows = events.select("user_id", "ts", F.unix_micros("ts").alias("at"), "value").withWatermark("ts", late)
+    done = rows.groupBy("user_id").applyInPandasWithState(step, out, held, "append", GroupStateTimeout.EventTimeTimeout)
+    return done.select("user_id", F.timestamp_micros("first").alias("session_start"), F.timestamp_micros("last").alias("last_event"), "n", "total")
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that a finished query left out because the watermark had passed them."""
+    return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)

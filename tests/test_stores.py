@@ -314,6 +314,82 @@ def test_names_of_files(spark):
     assert rows(K.note_files(n), "path") == [("S/f/t.md", "x")]
 
 
+def test_rounds_of_calls(spark, tmp_path):
+    """Counts of attempts and dead letters for a provider and a page fetcher; no task waits."""
+    seen, waits = str(tmp_path), []
+
+    def count(name):
+        with open(f"{seen}/{name}", "a") as f:
+            f.write("x")
+        return os.path.getsize(f"{seen}/{name}")
+
+    def fetch(url):
+        n = count(url)
+        if url == "gone" or (url == "slow" and n < 3) or url == "never":
+            raise OSError({"gone": "404 not found", "slow": "503 busy", "never": "Connection reset"}[url])
+        return f"page {url}"
+
+    targets = spark.createDataFrame([("a",), ("slow",), ("gone",), ("never",)], "url string").repartition(3)
+    got = I.fetched(targets, fetch, tries=4, wait=lambda n: 2.0**n, sleep=waits.append)
+    assert sorted(map(tuple, got.select("url", "page", "error", "attempts").collect())) == [("a", "page a", None, 1), ("gone", None, "404 not found", 1), ("never", None, "Connection reset", 4), ("slow", "page slow", None, 3)]
+    assert waits == [2.0, 4.0, 8.0] and {u: os.path.getsize(f"{seen}/{u}") for u in ("a", "slow", "gone", "never")} == {"a": 1, "slow": 3, "gone": 1, "never": 4}
+
+    class Moody:
+        def generate(self, system, user, response_format=None):
+            if count(user) < int(user[1]):
+                raise TimeoutError("timeout")
+            return user.upper()
+
+    d = spark.createDataFrame([("p1",), ("p2",), ("p9",)], "t string")
+    got = I.in_rounds(d, lambda x: I.generate(x, Moody(), "", "t", I.Retry(1)), I.S.retryable, tries=3, sleep=waits.append)
+    assert sorted(map(tuple, got.select("t", "answer", "error", "attempts").collect())) == [("p1", "P1", None, 1), ("p2", "P2", None, 2), ("p9", None, "timeout", 3)]
+    assert I.in_rounds(d.limit(0), lambda x: I.generate(x, Moody(), "", "t"), I.S.retryable).count() == 0
+
+
+def test_rate_of_all_tasks_together(spark, tmp_path):
+    class Clock:
+        def generate(self, system, user, response_format=None):
+            import time
+
+            (tmp_path / user).write_text(str(time.time()))
+            return user
+
+    d = spark.range(24).select(F.col("id").cast("string").alias("t"))
+    assert I.paced(d, Clock(), "", "t", 0.1, 4).filter("answer = t").count() == 24
+    at = sorted(float((tmp_path / str(i)).read_text()) for i in range(24))
+    for window in (0.5, 1.0):
+        assert max(sum(a <= x < a + window for x in at) for a in at) <= window / 0.1 + 4  # tasks don't begin at one moment
+
+
+def test_entries_take_the_shape_of_the_first(spark):
+    files = [("a", '[{"name":"N","keys":"k"},5,{"Speaker":"S"}]'), ("b", '[{"Dialogue":"d","Speaker":"S","Scene Description":"x","more":1}]'), ("c", '[{"Speaker":"S"},{"name":"n"}]'), ("d", "[5,{\"name\":\"n\"}]"), ("e", "[]"), ("f", None), ("g", "{bad")]
+    df = spark.createDataFrame([("Sys", p, r) for p, r in files], "system string, path string, raw string")
+    got = {(r.path, r.place): (r.shape, r.ok, r["name"]) for r in N.R.entries_by_shape(df).collect()}
+    assert got == {("a", 1): ("lorebook", True, "N"), ("a", 3): ("lorebook", True, "Entry_3"), ("b", 1): ("narrative", True, "S"), ("c", 1): ("narrative", False, None), ("c", 2): ("narrative", False, None), ("d", 1): ("generic", True, None), ("d", 2): ("generic", True, None)}
+    e = V2.entries_of_files(df).orderBy("ord").collect()
+    assert [(r.system, r.ord.path, r.ord.place) for r in e] == [("Sys", "a", 1), ("Sys", "a", 3), ("Sys", "b", 1), ("Sys", "d", 1), ("Sys", "d", 2)]
+    assert json.loads(e[2].raw) == {"Speaker": "S", "Dialogue": "d", "Scene Description": "x"}
+
+
+def test_sketches_of_parts_are_those_of_the_whole(spark):
+    from tessera.operators import sketches as Z
+
+    whole = spark.range(20_000).selectExpr("id % 3 AS g", "CASE WHEN id % 10 > 0 THEN (id * 7919) % 10007 END AS x", "concat('s', id % 500) AS s")
+    parts = [Z.sketched(whole.filter(f"x % 4 = {k}" if k < 4 else "x is null"), ["g"]) for k in range(5)]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    got = {(r.g, r.column_name): r for r in Z.profile(Z.merged(both, ["g"])).collect()}
+    for g in range(3):
+        known = sorted(r.x for r in whole.filter(f"g = {g} and x is not null").collect())
+        r, n = got[g, "x"], whole.filter(f"g = {g}").count()
+        assert (r["rows"], r.nulls, r.low, r.high) == (n, n - len(known), known[0], known[-1]) and abs(r["mean"] - sum(known) / len(known)) < 1e-6
+        for q, v in ((0.25, r.q25), (0.5, r.q50), (0.75, r.q75)):
+            assert abs(sum(x <= v for x in known) / len(known) - q) <= Z.RANK_ERROR
+        assert abs(r.n_unique - len(set(known))) <= 5 * Z.DISTINCT_ERROR * len(set(known)) and abs(got[g, "s"].n_unique - 500) <= 17 and got[g, "s"].q50 is None
+    assert Z.sketched(whole.limit(0)).count() == 0
+
+
 def test_joins(spark):
     l = spark.createDataFrame([(1, "a", 5), (2, "a", 1), (3, "b", 9)], "id int, k string, at int")
     r = spark.createDataFrame([("a", 2, "x"), ("a", 5, "y")], "k string, at int, v string")
