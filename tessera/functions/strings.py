@@ -154,7 +154,8 @@ def page_number(name: Column) -> Column:
 
 
 def page_label(number: Column, lines: Column) -> Column:
-    return F.concat(F.lit("--- Page "), number.cast("string"), F.lit(" ---\n"), F.array_join(lines, "\n"))
+    head = F.concat(F.lit("--- Page "), number.cast("string"), F.lit(" ---"))
+    return F.when(F.size(lines) > 0, F.concat(head, F.lit("\n"), F.array_join(lines, "\n"))).otherwise(head)
 
 
 def numbered(lines: Column, context: Column | None = None) -> Column:

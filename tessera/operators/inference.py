@@ -189,18 +189,46 @@ def vision(segments: DataFrame, provider: Provider, prompt: str, context: Column
     return narrative_entries(validated(generate(g, provider, prompt, "chunk"), "narrative"))
 
 
+def scripts(pages: DataFrame, provider: Provider, prompt: str, limit: int = 10_000) -> DataFrame:
+    """path, content, ok: one JSON file of entries for each title, or part of one, of OCR pages (artist, title, part, file, blocks): <artist>/manga_chunk_<title>[_<part>].json.
+
+    All of a title's answers must be good: otherwise ok is false and content null, and no
+    file should be written. Parts of one title have files of their own.
+    """
+    by = ["artist", "title", "part"]
+    answers = validated(generate(C.manga_timeline(pages, by, limit=limit), provider, prompt, "chunk"), "narrative")
+    turns = narrative_entries(answers).withColumn("_e", F.struct("chunk_no", "entry_no", F.to_json(F.struct("Speaker", "Dialogue", "Scene Description")).alias("j")))
+    said = turns.groupBy(*by).agg(F.array_sort(F.collect_list("_e")).alias("_es"))
+    whole = answers.groupBy(*by).agg(F.bool_and("ok").alias("ok"))
+    same = F.lit(True)
+    w, t = whole.alias("w"), said.alias("t")
+    for c in by:
+        same = same & F.col(f"w.{c}").eqNullSafe(F.col(f"t.{c}"))
+    both = w.join(t, same, "left").select("w.*", "_es")
+    name = F.concat_ws("_", F.lit("manga_chunk"), "title", "part")
+    content = F.concat(F.lit('{"entries":['), F.array_join(F.transform(F.coalesce("_es", F.array().cast("array<struct<chunk_no:int,entry_no:int,j:string>>")), lambda e: e["j"]), ","), F.lit("]}"))
+    return both.select(F.concat("artist", F.lit("/"), name, F.lit(".json")).alias("path"), F.when(F.col("ok"), content).alias("content"), "ok")
+
+
+def compile_markdown(files: DataFrame, found: DataFrame, provider: Provider, prompt: str, retry: Retry | None = None) -> DataFrame:
+    """path, content, error of raw notes (path, content) whose output isn't found (path) yet: answers from their front matter on, under the same path. A failure has null content and its error."""
+    todo = files.join(found.select("path").distinct(), "path", "left_anti")
+    made = generate(todo, provider, prompt, "content", retry or Retry(3, 2.0, 9.0))
+    return made.select("path", S.from_front_matter(F.col("answer")).alias("content"), "error")
+
+
 def manga(pages: DataFrame, provider: Provider, prompt: str, by: list[str], limit: int = 10_000) -> DataFrame:
     return narrative_entries(validated(generate(C.manga_timeline(pages, by, limit=limit), provider, prompt, "chunk"), "narrative"))
 
 
 def trope_chunks(tropes: DataFrame, stamp: Column, limit: int = 800, provider: Provider | None = None) -> DataFrame:
-    """Definitions and examples to snippets with their lineage. Without a provider text is cleaned by rule."""
-    t = tropes.filter(~S.blank(F.col("Trope_Title")))
+    """Definitions and examples to snippets with their lineage; a trope without title or definition has none. Without a provider definitions are cleaned by rule; examples stay as they are."""
+    t = tropes.filter((F.coalesce("Trope_Title", F.lit("")) != "") & (F.coalesce("Definition", F.lit("")) != ""))
     if provider is None:
         t = t.withColumn("Definition", S.clean_wiki(F.col("Definition")))
     else:
         t = generate(t, provider, "Clean this definition.", "Definition").withColumn("Definition", F.coalesce(S.fences_stripped(F.col("answer")), S.clean_wiki(F.col("Definition"))))
-    t = t.withColumn("Examples", F.filter(F.transform("Examples", S.clean_wiki), lambda x: x != "")).filter((F.col("Definition") != "") | (F.size("Examples") > 0))
+    t = t.withColumn("Examples", F.coalesce("Examples", F.array().cast("array<string>")))
     c = t.select("Trope_Title", "Namespace", "Source_URL", F.posexplode(C.snippet_chunks(F.col("Definition"), F.col("Examples"), limit)).alias("p", "segment"))
     return c.select("Trope_Title", "Namespace", (F.col("p") + 1).alias("chunk_no"), S.lineage(F.col("Trope_Title"), F.col("Namespace"), F.col("segment")).alias("Clean_Content"), "Source_URL", stamp.alias("Generation_Timestamp"))
 

@@ -85,8 +85,9 @@ def timeline_chunks(parts: Column, limit: int = 10_000) -> Column:
 
 
 def manga_timeline(pages: DataFrame, by: list[str], file: str = "file", blocks: str = "blocks", limit: int = 10_000) -> DataFrame:
-    """by, chunk_no, chunk: pages (blocks: array of struct lines array) in the order of their number, labelled and packed."""
-    label = S.page_label(F.col("_n"), F.transform(F.col(blocks), lambda b: F.array_join(b["lines"], " ")))
+    """by, chunk_no, chunk: pages (blocks: array of struct lines array) in the order of their number, labelled and packed; blocks without words are left out, a page without any is its label."""
+    said = F.filter(F.transform(F.col(blocks), lambda b: S.strip(F.array_join(b["lines"], " "))), lambda x: x != "")
+    label = S.page_label(F.col("_n"), F.coalesce(said, F.array().cast(TEXTS)))
     p = pages.withColumn("_n", S.page_number(F.col(file))).withColumn("_page", label)
     grouped = p.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_n", F.col(file).alias("f"), "_page"))).alias("_pages"))
     return grouped.select(*by, F.posexplode(timeline_chunks(F.transform("_pages", lambda x: x["_page"]), limit)).alias("p", "chunk")).select(*by, (F.col("p") + 1).alias("chunk_no"), "chunk")

@@ -753,22 +753,62 @@ def run_audit(t):
     return audit(frontmatter_validate(t).select(F.when(F.col("ok"), "ok").otherwise("failed").alias("status")))
 
 
-@query()
+@query("SELECT doc_id, 1 AS chunk_no, 0 AS entry_no, 'Narrator' AS Speaker, regexp_replace(substr(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), 1, 8000), '\\s+$', '') AS Dialogue, 'narrate' AS \"Scene Description\" FROM documents WHERE text <> '' AND strpos(text, chr(10) || chr(10)) = 0")
 def harvest_narratives(t):
-    """Documents through a provider that answers by rule, validated."""
+    """Documents through a provider that answers by rule, validated; the SQL follows where a text has no blank lines."""
     from tessera.operators.inference import RuleProvider, harvest, narrative_entries
 
     return narrative_entries(harvest(t("documents").select("doc_id", "text"), RuleProvider(), "narrate", "narrative"))
 
 
-@query()
+_NO_SPACE = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
+
+
+@query(
+    f"""
+WITH RECURSIVE c AS (SELECT doc_id, source, {_NO_SPACE} AS text FROM documents WHERE text <> '' AND strpos(text, '<') = 0 AND strpos(text, '[[') = 0),
+p AS (SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS l FROM c WHERE length(text) > 800)),
+r AS (
+  SELECT doc_id, i, 1 AS chunk_no, s AS cur, length(s) + (CASE WHEN length(s) + 1 > 800 THEN 0 ELSE 1 END) AS n FROM p WHERE i = 1
+  UNION ALL
+  SELECT p.doc_id, p.i, CASE WHEN r.n + length(p.s) + 1 > 800 THEN r.chunk_no + 1 ELSE r.chunk_no END,
+    CASE WHEN r.n + length(p.s) + 1 > 800 THEN p.s ELSE r.cur || ' ' || p.s END,
+    CASE WHEN r.n + length(p.s) + 1 > 800 THEN length(p.s) ELSE r.n + length(p.s) + 1 END
+  FROM r JOIN p ON p.doc_id = r.doc_id AND p.i = r.i + 1),
+d AS (SELECT doc_id, chunk_no, 'Definition: ' || arg_max(cur, i) AS chunk FROM r GROUP BY 1, 2 UNION ALL SELECT doc_id, 1, 'Definition: ' || text FROM c WHERE length(text) <= 800),
+a AS (SELECT * FROM d UNION ALL SELECT doc_id, (SELECT max(chunk_no) + 1 FROM d WHERE d.doc_id = c.doc_id), 'Examples:' || chr(10) || '- ' || source FROM c)
+SELECT 'T' || doc_id AS Trope_Title, 'Main' AS Namespace, chunk_no, '[Trope: T' || doc_id || ' | Namespace: Main] ' || chunk AS Clean_Content, '' AS Source_URL, '2024-01-01T00:00:00' AS Generation_Timestamp FROM a
+"""
+)
 def trope_snippets(t):
+    """Every document as a trope; the SQL follows where a text has no markup of its own."""
     from tessera.operators.inference import trope_chunks
 
     d = t("documents").select(F.concat(F.lit("T"), F.col("doc_id").cast("string")).alias("Trope_Title"), F.lit("Main").alias("Namespace"), F.col("text").alias("Definition"), F.array("source").alias("Examples"), F.lit("").alias("Source_URL"))
     return trope_chunks(d, F.lit("2024-01-01T00:00:00"))
 
 
+@query(
+    """
+SELECT 'A' || (conv_id % 7) || '/manga_chunk_T' || conv_id || CASE WHEN conv_id % 2 = 1 THEN '_v1' ELSE '' END || '.json' AS path, true AS ok, count(*) AS pages, max(length(text)) AS longest
+FROM conversations WHERE conv_id % 2 = 0 OR turn > 0 GROUP BY conv_id
+"""
+)
+def manga_scripts(t):
+    """Conversations as OCR pages of titles: odd ones have a part, and their first page beside it, which is none; each becomes one file of entries. pages and longest are read back from its entries."""
+    from tessera.operators.inference import RuleProvider, scripts
+
+    place = F.when(F.col("conv_id") % 2 == 0, "_ocr/").when(F.col("turn") > 0, "_ocr/v1/").otherwise("_ocr/")
+    path = F.concat(F.lit("in/A"), (F.col("conv_id") % 7).cast("string"), F.lit("/T"), F.col("conv_id").cast("string"), F.lit("/"), place, F.lit("p_"), F.lpad(F.col("turn").cast("string"), 4, "0"), F.lit(".json"))
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), "\\s", "_")
+    pages = t("conversations").select(path.alias("path"), F.array(F.struct(F.array(F.lit(" "), text).alias("lines")), F.struct(F.array(F.lit(" ")).alias("lines"))).alias("blocks"))
+    made = scripts(X.titled_pages(pages), RuleProvider(), "narrate")
+    said = F.from_json("content", "struct<entries:array<struct<Dialogue:string>>>")["entries"]
+    lines = F.flatten(F.transform(said, lambda e: F.split(e["Dialogue"], "\n")))
+    spoken = F.filter(lines, lambda x: (x != "") & ~x.startswith("--- Page "))
+    return made.select("path", "ok", F.size(F.filter(lines, lambda x: x.startswith("--- Page "))).cast("long").alias("pages"), F.array_max(F.transform(spoken, F.length)).cast("long").alias("longest"))
+
+
 # --- events: what the streams compute, over a finished table ------------------------------------
 
 

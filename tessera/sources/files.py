@@ -64,6 +64,20 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return df.filter(F.col("blocks").isNotNull()).select(F.regexp_extract(p, r"^(.*)/[^/]*$", 1).alias("title_dir"), F.regexp_extract(p, r"([^/]*)$", 1).alias("file"), "blocks")
 
 
+def titled_pages(pages: DataFrame, path: str = "path") -> DataFrame:
+    """pages with artist, title, part and file, from paths <artist>/<title>/_ocr/<file> and <artist>/<title>/_ocr/<part>/<file>.
+
+    Where a title's _ocr folder has parts, files beside them aren't pages; deeper files never
+    are. part is null for a title without. What has no such path is left out.
+    """
+    p = F.col(path)
+    at = r"(?:^|/)([^/]+)/([^/]+)/_ocr/(?:([^/]+)/)?([^/]+)$"
+    bit = lambda k: F.regexp_extract(p, at, k)
+    rows = pages.filter(p.rlike(at)).withColumns({"artist": bit(1), "title": bit(2), "part": F.nullif(bit(3), F.lit("")), "file": bit(4), "_top": F.regexp_extract(p, r"^(.*/_ocr)/", 1)})
+    parted = rows.filter("part is not null").select("_top").distinct().withColumn("_parted", F.lit(True))
+    return rows.join(parted, "_top", "left").filter(F.col("part").isNotNull() | F.col("_parted").isNull()).drop("_top", "_parted")
+
+
 def read_tropes(spark: SparkSession, path: str) -> DataFrame:
     schema = "Trope_Title string, Namespace string, Definition string, Examples array<string>, Scrape_Timestamp string, Source_URL string"
     df = spark.read.schema(schema).option("multiLine", True).json(path)

@@ -226,7 +226,7 @@ def test_inference(spark):
     b = I.validated(I.generate(d, Bad(), "p", "text", I.Retry(2, again=lambda e: True, sleep=lambda s: None)), "narrative")
     assert [(r.ok, r.error) for r in b.collect()] == [(False, "no")] * 2
     t = spark.createDataFrame([("T", "Main", "<b>def</b>", ["[[e]]"], "u")], "Trope_Title string, Namespace string, Definition string, Examples array<string>, Source_URL string")
-    assert [r.Clean_Content for r in I.trope_chunks(t, F.lit("now")).orderBy("chunk_no").collect()] == ["[Trope: T | Namespace: Main] Definition: def", "[Trope: T | Namespace: Main] Examples:\n- e"]
+    assert [r.Clean_Content for r in I.trope_chunks(t, F.lit("now")).orderBy("chunk_no").collect()] == ["[Trope: T | Namespace: Main] Definition: def", "[Trope: T | Namespace: Main] Examples:\n- [[e]]"]
 
 
 def entry(name, content, keys=()):
@@ -390,6 +390,33 @@ def test_sketches_of_parts_are_those_of_the_whole(spark):
     assert Z.sketched(whole.limit(0)).count() == 0
 
 
+def test_raw_notes_and_titles_with_parts(spark):
+    files = spark.createDataFrame([("a/x.md", "raw"), ("a/y.md", "raw two"), ("z.md", "bad")], "path string, content string")
+
+    class Maker:
+        def generate(self, system, user, response_format=None):
+            if user == "bad":
+                raise ValueError("no")
+            return f"Here: ---\nk: v\n---\n{user}"
+
+    found = spark.createDataFrame([("a/y.md",)], "path string")
+    assert rows(I.compile_markdown(files, found, Maker(), "p", I.Retry(1)), "path") == [("a/x.md", "---\nk: v\n---\nraw", None), ("z.md", None, "no")]
+    paths = ["i/A/T/_ocr/p_1.json", "i/A/U/_ocr/p_1.json", "i/A/U/_ocr/v2/p_2.json", "i/A/U/_ocr/v2/deep/p_3.json", "i/A/U/p_4.json", "A/V/_ocr/x/9.json"]
+    got = X.titled_pages(spark.createDataFrame([(p,) for p in paths], "path string"))
+    assert sorted(map(tuple, got.select("artist", "title", "part", "file").collect()), key=repr) == [("A", "T", None, "p_1.json"), ("A", "U", "v2", "p_2.json"), ("A", "V", "x", "9.json")]
+    blocks = lambda *x: [(list(lines),) for lines in x]
+    pages = [("A", "T", None, "p_10.json", blocks([" b "])), ("A", "T", None, "p_2.json", blocks(["a", "c"], [" "], [])), ("A", "T", None, "p_3.json", None), ("A", "U", "v", "p_1.json", blocks(["no"]))]
+    df = spark.createDataFrame(pages, "artist string, title string, part string, file string, blocks array<struct<lines:array<string>>>")
+
+    class Strict(I.RuleProvider):
+        def generate(self, system, user, response_format=None):
+            return "nothing" if "no" in user else super().generate(system, user, response_format)
+
+    got = {r.path: (r.ok, r.content) for r in I.scripts(df, Strict(), "s").collect()}
+    assert got["A/manga_chunk_U_v.json"] == (False, None)
+    assert json.loads(got["A/manga_chunk_T.json"][1]) == {"entries": [{"Speaker": "Narrator", "Dialogue": "--- Page 2 ---\na c\n\n--- Page 3 ---\n\n--- Page 10 ---\nb", "Scene Description": "s"}]}
+
+
 def test_joins(spark):
     l = spark.createDataFrame([(1, "a", 5), (2, "a", 1), (3, "b", 9)], "id int, k string, at int")
     r = spark.createDataFrame([("a", 2, "x"), ("a", 5, "y")], "k string, at int, v string")
