@@ -17,7 +17,9 @@ then compared by edit distance, a diagonal band of the matrix held in the bits o
 A segment that more than FEW lines share makes no pairs. Its lines are compared with the one
 of them that occurs most. Where that doesn't bring all of them into one class, they are cut
 into four, of which two edits leave two: lines of different classes that share two of
-four segments and nearly all pairs of neighbouring characters are compared.
+four segments and nearly all pairs of neighbouring characters are compared. Two of four
+that more than MOST lines share, as lines of one template do, make no pairs either: such
+lines are told apart by what is left of them without what they share (see _cores).
 
 Lines are told apart by 128 bits of hash. Rows with a null id stay whole and count for
 nothing; rows with one id are one document. Null and empty texts have no lines. Lines
@@ -31,6 +33,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._cores import meetings
 from ._graph import components
 from ._shared import WORD, discard, small, stored
 from ._spans import let
@@ -38,6 +41,8 @@ from ._spans import let
 TAU, TWO, ONE, BAND, NARROW = 2, 24, 12, 16, 4
 #: Lines to a segment up to which all their pairs are taken at once.
 FEW = 32
+#: The same for two of four segments, and for what follows.
+MOST = 128
 #: Columns of a sketch.
 SKETCH = ["w0", "w1", "w2", "w3"]
 #: Columns of a fine key besides.
@@ -154,7 +159,8 @@ def with_fine_keys(t: DataFrame, line: str, *keep: str) -> DataFrame:
     t = t.select(*keep, line, F.explode(band_of(F.col(line))).alias("band"))
     t = t.select(*keep, *_segments(F.col(line), F.col("band")))
     t = t.select(*keep, "name", "base", *PLACES, *_first_keys(F.col))
-    return t.select(*keep, F.explode(_all_keys(F.col)).alias("k")).select(*keep, "k.*")
+    tau = F.when(F.col("name") == "2", TAU).otherwise(1).alias("tau")
+    return t.select(*keep, tau, F.explode(_all_keys(F.col)).alias("k")).select(*keep, "tau", "k.*")
 
 
 def _first_kind() -> Column:
@@ -309,10 +315,23 @@ def _among(hot: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
     cut = rest.join(texts.select("line", "t", "sketch.*"), "line")
     fine = with_fine_keys(cut, "t", "line", "length", "signature", *SKETCH)
     mine = _with_classes(fine, classes, rows)
-    across = (F.col("a_line") < F.col("b_line")) & (F.col("a_class") != F.col("b_class")) & (F.col("a_moved") + F.col("b_moved") < 2) & _first_kind() & _close("a", "b") & _alike("a", "b")
-    pairs = stored(_side(mine, "a", "class", *SKETCH, *KIND).join(_side(mine, "b", "class", *SKETCH, *KIND), "key").filter(across).select(*_pair()).distinct(), "line-pairs")
-    out = links.unionByName(_verified(pairs, texts))
-    for x in (opened, mine, pairs, classes):
+    often = stored(mine.groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > MOST).select("key"), "line-often")
+    frequent = often.count()
+    across = (F.col("a_line") < F.col("b_line")) & (F.col("a_class") != F.col("b_class")) & _close("a", "b") & _alike("a", "b")
+    by_fine = across & (F.col("a_moved") + F.col("b_moved") < 2) & _first_kind()
+    usual = mine.join(small(often, frequent), "key", "left_anti") if frequent else mine
+    pairs = [stored(_side(usual, "a", "class", *SKETCH, *KIND).join(_side(usual, "b", "class", *SKETCH, *KIND), "key").filter(by_fine).select(*_pair()).distinct(), "line-pairs")]
+    if frequent:
+        told = ["key", "tau", "line", "class", "length", "signature", *SKETCH]
+        rows = mine.join(small(often, frequent), "key").select(*told).dropDuplicates(["key", "line"])
+        rows = stored(rows.join(texts.select("line", F.col("t").alias("r")), "line"), "line-cores")
+        side = lambda t, s: t.select("key", *[F.col(c).alias(f"{s}_{c}") for c in told[2:]])
+        pairs += meetings(rows, MOST, lambda t: side(t, "a").join(side(t, "b"), "key").filter(across).select(*_pair()))
+    every = pairs[0]
+    for x in pairs[1:]:
+        every = every.unionByName(x)
+    out = links.unionByName(_verified(every.distinct(), texts))
+    for x in (opened, mine, often, classes, *pairs):
         discard(x)
     return out
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import _blocks, exact_index, hyper_lang, katz, line_dedup, mixing, private_data, quality_rules, secret_scan, shingle_join, word_bpe
+from tessera.llm._cores import stars
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, n_words long, a long"
 
@@ -363,6 +365,61 @@ def test_line_dedup(spark, monkeypatch, few):
 PATTERNS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
 
 
+def template_lines(seed):
+    """Lines of one head and tail: of few letters, of two fields, of one long field, and with repeats inside; long and short ones."""
+    r = random.Random(seed)
+    head, tail = "the header of every page of this report says ", " and it ends with the same remark"
+    out = [head + "".join(r.choice("ab") for _ in range(r.choice((11, 12, 12, 13)))) + tail for _ in range(60)]
+    out += [f"{head}{r.choice(('north', 'south', 'eastern'))} has {r.randint(0, 9)}{r.randint(0, 9)} rows of {r.choice('xyz')}{r.randint(0, 99)} seen {tail}" for _ in range(80)]
+    out += [head + "".join(r.choice("aé ") for _ in range(r.randint(2, 6))) + tail for _ in range(60)]
+    out += ["line no. " + "".join(r.choice("0123") for _ in range(r.randint(4, 6))) for _ in range(60)]
+    # Substrings of one text, so that segments stand at several places.
+    return sorted({*out, *[head + "abab" * r.randint(3, 6) + r.choice(("", "x", "ba")) + "abab" * r.randint(0, 3) + tail for _ in range(40)]})
+
+
+@pytest.mark.parametrize("most", [2, 20, 128])
+def test_lines_of_templates(spark, monkeypatch, most):
+    """Two of four segments that many lines share: classes as by brute force, whatever the bound on pairs."""
+    monkeypatch.setattr(line_dedup, "FEW", 2)
+    monkeypatch.setattr(line_dedup, "MOST", most)
+    lines = template_lines(21)
+    parent = list(range(len(lines)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, x in enumerate(lines):
+        for j, y in enumerate(lines[:i]):
+            tau = 2 if min(len(x), len(y)) >= 24 else 1
+            if abs(len(x) - len(y)) <= tau and edits(x, y) <= tau:
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    got = {q.doc_id: q.n_kept for q in line_dedup.report(docs_of(spark, list(enumerate(lines)))).collect()}
+    assert got == {i: int(root(i) == i) for i in range(len(lines))}
+    assert 20 < sum(got.values()) < len(lines) - 20
+
+
+def test_stars_connect(spark):
+    """Short cores: stars alone give the components that all pairs within tau give."""
+    cores = ["".join(x) for n in range(4) for x in itertools.product("ab", repeat=n)][1:] + ["\n", "a\n", "b\na", "\nccdd", "ccdde", "ffccdde", "ghiccdd"]
+    for tau in (1, 2):
+        rows = [(1, tau, i, i, c) for i, c in enumerate(cores)]
+        pairs = {(q.a, q.b) for q in stars(spark.createDataFrame(rows, "key long, tau int, line long, class long, r string")).collect()}
+
+        def joined(links):
+            label = list(range(len(cores)))
+            for a, b in sorted(links):
+                low, high = sorted((label[a], label[b]))
+                label = [low if k == high else k for k in label]
+            return label
+
+        # A mark counts as a character that no edit touches.
+        near = {(i, j) for j, y in enumerate(cores) for i, x in enumerate(cores[:j]) if x.count("\n") == y.count("\n") and sum(edits(p, q) for p, q in zip(x.split("\n"), y.split("\n"), strict=True)) <= tau}
+        assert joined({p for p in pairs if p in near}) == joined(near)
+        assert pairs <= near
+
+
 def base_spans(text):
     out = []
     for k, (kind, pattern) in enumerate(PATTERNS):
