@@ -74,6 +74,14 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until df has no such column; case doesn't tell columns apart."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def few(df: DataFrame, rows: int) -> DataFrame:
     """df, which ends in a shuffle and has at most `rows` rows of a few numbers, in as many tasks and files as these need."""
     return df.coalesce(max(1, min(partitions(df.sparkSession), -(-rows // TASK_ROWS))))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ._cores import meetings
 from ._graph import components
-from ._shared import WORD, discard, small, stored
+from ._shared import WORD, discard, fresh, small, stored
 from ._spans import let
 
 TAU, TWO, ONE, BAND, NARROW = 2, 24, 12, 16, 4
@@ -368,10 +368,11 @@ def verdicts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with their dropped lines taken out; a document all of whose lines with words go, goes."""
-    v = verdicts(docs, id, text).filter(F.size("dropped") > 0).select(F.col(id).alias("_id"), F.col("dropped").alias("_dropped"), (F.col("n_kept") == 0).alias("_gone"))
-    out = docs.join(v, F.col(id) == F.col("_id"), "left").filter(~F.coalesce("_gone", F.lit(False)))
-    left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_dropped", i))
-    kept = F.when(F.col("_dropped").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    own, dropped, gone = (fresh(docs, c) for c in ("_id", "_dropped", "_gone"))
+    v = verdicts(docs, id, text).filter(F.size("dropped") > 0).select(F.col(id).alias(own), F.col("dropped").alias(dropped), (F.col("n_kept") == 0).alias(gone))
+    out = docs.join(v, F.col(id) == F.col(own), "left").filter(~F.coalesce(gone, F.lit(False)))
+    left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains(dropped, i))
+    kept = F.when(F.col(dropped).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     return out.withColumn(text, kept).select(*docs.columns)
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import WORD, stored
+from ._shared import WORD, fresh, stored
 
 WEIGHTS, SHARE, CAP, SEED = (5, 2, 1), 1.5, 2.0, 20240229
 #: Words in a block, and in a shard about.
@@ -115,6 +115,7 @@ def sample(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str
     draw = F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(1 << 20)) / float(1 << 20)
     times = F.floor(share).cast("int") + (draw < share - F.floor(share)).cast("int")
     t = stored(t.filter("_size > 0").select("_id", times.alias("_times")), "mixing-times")
-    out = docs.join(t, F.col(id) == F.col("_id"), "left")
-    n = F.when(F.col(id).isNull(), 1).otherwise(F.coalesce("_times", F.lit(0)))
-    return out.filter(n > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), n))).select(*docs.columns)
+    own, often, copy = (fresh(docs, c) for c in ("_id", "_times", "_copy"))
+    out = docs.join(t.toDF(own, often), F.col(id) == F.col(own), "left")
+    n = F.when(F.col(id).isNull(), 1).otherwise(F.coalesce(often, F.lit(0)))
+    return out.filter(n > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), n))).select(*docs.columns)

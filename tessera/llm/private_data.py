@@ -21,6 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._shared import fresh
 from ._spans import SPAN, by_place, digits, fold, listed, luhn, matches, small_table, without_overlaps
 from ._trees import Boosted, boost, threshold
 
@@ -175,7 +176,8 @@ def find(docs: DataFrame, text: str = "text", into: str = "_private") -> DataFra
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with every span replaced by [KIND]; of overlapping spans the first is replaced."""
-    found = find(docs, text)
+    into = fresh(docs, "_private")
+    found = find(docs, text, into)
     whole = F.coalesce(F.col(text), F.lit(""))
     none = F.array().cast("array<string>")
 
@@ -184,9 +186,9 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         kept = F.substring(whole, at + 1, x["start"] - at)
         return F.when(inside, at).otherwise(x["end"]), F.when(inside, none).otherwise(F.array(kept, F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))))
 
-    rest = F.substring(whole, F.array_max(F.transform("_private.spans", lambda x: x["end"])) + 1, F.length(whole))
-    clean = F.concat(F.array_join(fold(F.col("_private.spans"), F.lit(0), "array<string>", step), ""), rest)
-    return found.withColumn(text, F.when(F.size("_private.spans") > 0, clean).otherwise(F.col(text))).select(*docs.columns)
+    rest = F.substring(whole, F.array_max(F.transform(f"{into}.spans", lambda x: x["end"])) + 1, F.length(whole))
+    clean = F.concat(F.array_join(fold(F.col(f"{into}.spans"), F.lit(0), "array<string>", step), ""), rest)
+    return found.withColumn(text, F.when(F.size(f"{into}.spans") > 0, clean).otherwise(F.col(text))).select(*docs.columns)
 
 
 def report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

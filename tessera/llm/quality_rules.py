@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._shared import fresh
 from ._words import Batch, chunks, per_doc
 
 #: At most so many labelled rows are used to learn from, by the order of their id's hash.
@@ -219,4 +220,5 @@ def rate(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "te
 
 def keep(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that the base rule and the learned list keep, with the columns they had."""
-    return rate(docs, labels, id, text).filter("_statistics.kept").select(*docs.columns)
+    into = fresh(docs, "_statistics")
+    return rate(docs, labels, id, text, into).filter(f"{into}.kept").select(*docs.columns)

@@ -365,6 +365,22 @@ def test_line_dedup(spark, monkeypatch, few):
 PATTERNS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
 
 
+def test_clashing_names(spark):
+    """Columns named as inner ones, in any case, stay as they were; so do rows with null ids and repeated rows."""
+    extra = ["_id", "_DROPPED", "_gone", "_times", "_Copy", "_statistics", "_private", "_secrets"]
+    line = "the same line of more than twenty characters"
+    rows = [(1, f"{line}\nanother one"), (2, line), (3, "call me at a@b.example today"), (3, "call me at a@b.example today"), (None, line), (4, None)]
+    df = docs_of(spark, rows).select("doc_id", "text", F.lit("s").alias("source"), *[F.lit(c).alias(c) for c in extra])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    outs = {"lines": line_dedup.dedup(df), "mix": mixing.sample(df), "rules": quality_rules.keep(df, labels), "private": private_data.redact(df)}
+    for name, out in outs.items():
+        got = out.collect()
+        assert out.columns == df.columns, name
+        assert all(q[c] == c for q in got for c in extra), name
+    assert sorted((q.doc_id or 0, q.text or "") for q in outs["lines"].collect()) == [(0, line), (1, f"{line}\nanother one"), *[(3, "call me at a@b.example today")] * 2, (4, "")]
+    assert [q.text for q in outs["private"].filter("doc_id = 3").collect()] == ["call me at [EMAIL] today"] * 2
+
+
 def template_lines(seed):
     """Lines of one head and tail: of few letters, of two fields, of one long field, and with repeats inside; long and short ones."""
     r = random.Random(seed)
