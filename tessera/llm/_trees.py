@@ -82,10 +82,10 @@ class Boosted:
         return 1.0 / (1.0 + F.exp(-(F.lit(self.a) + F.lit(self.b) * total)))
 
 
-def boost(x: dict[str, np.ndarray], y: np.ndarray, rounds: int = 24, depth: int = 3, rate: float = 0.3, least: int = 8) -> Boosted:
-    """Gradient boosting on the logistic loss with Newton leaves; the last fifth of the rows calibrates the odds."""
+def boost(x: dict[str, np.ndarray], y: np.ndarray, rounds: int = 24, depth: int = 3, rate: float = 0.3, least: int = 8, calibrate: tuple[dict[str, np.ndarray], np.ndarray] | None = None) -> Boosted:
+    """Gradient boosting on the logistic loss with Newton leaves; the rows of `calibrate`, or else every fifth of x, calibrate the odds."""
     n = len(y)
-    held = np.arange(n) % 5 == 4
+    held = np.zeros(n, bool) if calibrate else np.arange(n) % 5 == 4
     fit = {k: v[~held] for k, v in x.items()}
     t = y[~held].astype(float)
     p = np.clip(t.mean(), 1e-3, 1 - 1e-3)
@@ -96,7 +96,8 @@ def boost(x: dict[str, np.ndarray], y: np.ndarray, rounds: int = 24, depth: int
         trees.append(tree)
         odds = odds + rate * tree.predict(fit, len(t))
     model = Boosted(start, tuple(trees), rate)
-    z, c = model.odds({k: v[held] for k, v in x.items()}, int(held.sum())), y[held].astype(float)
+    apart, c = calibrate if calibrate else ({k: v[held] for k, v in x.items()}, y[held])
+    z, c = model.odds(apart, len(c)), c.astype(float)
     a, b = 0.0, 1.0
     for _ in range(50):  # Platt's calibration by Newton steps, kept near the identity
         q = 1 / (1 + np.exp(-(a + b * z)))
@@ -127,8 +128,12 @@ def forest_probability(trees: list[Node], x: dict[str, Column]) -> Column:
 
 
 def threshold(score: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The lowest score from which on the share of true rows is `precision` or more."""
+    """The lowest threshold from which on the share of true rows is `precision` or more: half way to the next lower score; above all scores if there is none."""
     order = np.argsort(-score, kind="stable")
-    share = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-    good = np.flatnonzero(share >= precision)
-    return float(score[order][good[-1]]) if len(good) else 1.0
+    s, share = score[order], np.cumsum(y[order]) / np.arange(1, len(y) + 1)
+    last = np.append(s[1:] < s[:-1], True)  # rows of one score are in together
+    good = np.flatnonzero(last & (share >= precision))
+    if not len(good):
+        return 1.0
+    k = int(good[-1])
+    return float((s[k] + s[k + 1]) / 2) if k + 1 < len(s) else float(s[k] / 2)

@@ -2,13 +2,15 @@
 
 Base kinds are email, ip, card and phone by pattern, then by value (parts up to 255,
 check sum, number of digits). Generators with high recall propose further spans, which
-may overlap: numbers written as phone numbers or as ids, and addresses written out.
-Trees rate each by its format and by the words around it; odds are calibrated, and each
-kind has the threshold that gave PRECISION on labelled rows. Base spans always stay;
-of the others those are kept that overlap nothing kept before.
-
-The trees learn from a fixed table of labelled findings, made by rule from a seed.
-Patterns don't look back over characters twice, so long texts take linear time.
+may overlap: numbers written as phone numbers or as ids, long numbers as accounts and
+cards have them (their check sum is one feature among others), and addresses written out.
+Trees rate each by its format and by the words around it. Base spans always stay; of the
+others those are kept that overlap nothing kept before.
+
+Trees are fitted to one table of labelled findings. Another, of other phrases, is for
+odds and thresholds: on half of it the odds are calibrated, on the other half each kind
+gets the lowest threshold that gives PRECISION. Both tables are made by rule from a seed
+and of fixed size (see _findings). Patterns don't look back over characters twice, so long texts take linear time.
 Null text counts as empty: no spans. Every row is rated by itself, so null ids and
 repeated rows need no rule.
 """
@@ -21,12 +23,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._findings import AROUND, CALIBRATE, FIT, labelled
 from ._shared import fresh
 from ._spans import SPAN, by_place, digits, fold, listed, luhn, matches, small_table, without_overlaps
 from ._trees import Boosted, boost, threshold
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
-ADDED_KINDS = ["written", "local", "number"]
+ADDED_KINDS = ["written", "local", "number", "account"]
 #: A start is the end of the match before, or a place not inside a run: elsewhere nothing new can match.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -36,14 +39,16 @@ PATTERNS = {
     "written": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\]|\{at\}|\x20at\x20)\x20?[a-z0-9-]{1,64}+(?:\x20?(?:\(dot\)|\[dot\]|\{dot\}|\x20dot\x20)\x20?[a-z0-9-]{2,64}+)++",
     "local": r"(?<![0-9+.-])(?:\([0-9]{2,5}\)|0[0-9]{1,4}|[0-9]{3})[\x20./-][0-9]{2,4}(?:[\x20.-][0-9]{2,5}){1,3}(?![0-9])",
     "number": r"(?<![0-9A-Za-z.-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\x20?[0-9A-Z]{4}){3,7}|[A-Z]{1,2}[0-9]{6,9})(?![0-9A-Za-z-])",
+    "account": r"(?<![0-9A-Za-z.+-])[0-9](?:[\x20-]?[0-9]){11,18}(?![0-9A-Za-z-])",
 }
-PRECISION, AROUND = 0.97, 32
-FEATURES = ["length", "n_digits", "n_separators", "n_letters", "groups", "opens_round", "zero_first", "says_phone", "says_mail", "says_id", "says_other", "currency", "glued", "is_written", "is_local", "is_number", "distinct_digits"]
+PRECISION, FIT_ROWS, CALIBRATE_ROWS = 0.97, 2400, 1600
+FEATURES = ["length", "n_digits", "n_separators", "n_letters", "groups", "opens_round", "zero_first", "says_phone", "says_mail", "says_id", "says_other", "currency", "glued", "is_written", "is_local", "is_number", "is_account", "distinct_digits", "says_account", "domain", "check_sum", "fours", "date_like", "book_like", "card_start"]
 _SAYS = {
-    "says_phone": r"(?i)\b(?:phone|tel|call|mobile|cell|fax|whatsapp|telefon|anruf|numéro|teléfono)\b",
-    "says_mail": r"(?i)\b(?:mail|e-mail|email|contact|write|reach|adresse|correo)\b",
-    "says_id": r"(?i)\b(?:ssn|social|passport|iban|account|licen[cs]e|tax|identity|patient|konto|compte|cuenta)\b",
-    "says_other": r"(?i)\b(?:order|invoice|version|isbn|page|part|model|serial|build|ticket|chapter|score|date|lot|item|ratio|article|section)\b",
+    "says_phone": r"(?i)\b(?:phone|tel|call|mobile|cell|fax|whatsapp|telefon|anruf|numéro|teléfono|ring)\b",
+    "says_mail": r"(?i)\b(?:mail|e-mail|email|contact|write|reach|adresse|correo|kontakt|send)\b",
+    "says_id": r"(?i)\b(?:ssn|social|passport|iban|account|licen[cs]e|tax|identity|patient|konto|compte|cuenta|licence)\b",
+    "says_account": r"(?i)\b(?:card|visa|mastercard|account|paid|charge|debit(?:ed)?|konto|karte|carte|compte|cuenta|tarjeta|iban)\b",
+    "says_other": r"(?i)\b(?:order|invoice|version|isbn|page|part|model|serial|build|ticket|chapter|score|date|lot|item|ratio|article|section|tracking|timestamp|barcode|ean|sku|pedido|commande|facture|rechnung|seite)\b",
 }
 
 
@@ -72,6 +77,7 @@ def proposals(text: Column) -> Column:
         F.when(low_dot, matches(text, PATTERNS["written"], "written", AROUND, 8)).otherwise(none),
         F.when(has_digit, matches(text, PATTERNS["local"], "local", AROUND, 8)).otherwise(none),
         F.when(has_digit, matches(text, PATTERNS["number"], "number", AROUND, 8)).otherwise(none),
+        F.when(has_digit, matches(text, PATTERNS["account"], "account", AROUND, 8)).otherwise(none),
     )
     return by_place(found, ADDED_KINDS)
 
@@ -91,67 +97,40 @@ def features(kind: Column, match: Column, before: Column, after: Column) -> dict
         "currency": real(before.rlike(r"[$€£#§=xX*]\s*$") | after.rlike(r"^\s*(?:%|€|\$|kg|mm|cm|ms|GB|px)")),
         "glued": real(before.rlike(r"[A-Za-z0-9_]$") | after.rlike(r"^[A-Za-z0-9_]")),
         "distinct_digits": real(F.size(F.array_distinct(F.split(d, "")))),
+        "domain": real(match.rlike(r"(?i)\b(?:com|org|net|edu|gov|info|io|eu|uk|de|fr|es|it|nl|at|ch)$")),
+        "check_sum": real(F.when(kind == "account", luhn(d)).otherwise(False)),
+        "fours": real(match.rlike(r"^(?:[0-9]{4}[ -]?){3}[0-9]{4}$")),
+        "date_like": real(d.rlike("^(?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01])")),
+        "book_like": real(d.rlike("^97[89][0-9]{10}$")),
+        "card_start": real(d.rlike("^[3-6]")),
     }
     out |= {k: real(before.rlike(p)) for k, p in _SAYS.items()}
     return out | {f"is_{k}": real(kind == k) for k in ADDED_KINDS}
 
 
-def labelled_findings(n: int = 3000, seed: int = 20240229) -> list[dict]:
-    """A table of candidates with their class, made by rule: contacts and ids, and numbers of other kinds."""
-    r = np.random.Generator(np.random.PCG64(seed))
-    one = lambda *x: x[int(r.integers(len(x)))]
-    num = lambda k: "".join(str(int(c)) for c in r.integers(0, 10, k))
-    word = lambda: "".join(one(*"abcdefghilmnoprstu") for _ in range(int(r.integers(3, 9))))
-    rows = []
-    for _ in range(n):
-        good = bool(r.random() < 0.5)
-        kind = one(*ADDED_KINDS)
-        filler = " ".join(word() for _ in range(3))
-        if kind == "written":
-            at, dot = (one("(at)", "[at]", " (at) ", " [at] "), one("(dot)", "[dot]", " [dot] ")) if good else (" at ", " dot ")
-            match = f"{word()}{one('', '.' + word(), num(2))}{at}{word()}{dot}{one('com', 'org', 'net', 'de')}" if good else f"{word()}{at}{word()}{dot}{word()}"
-            before = one("mail me: ", "contact ", "write to ", filler + " ", "e-mail ") if good else one(filler + " ", "see " + filler + " ", filler + ", ")
-        elif kind == "local":
-            sep = one(" ", "-", ".")
-            if good:
-                match = one(f"({num(3)}) {num(3)}-{num(4)}", f"0{num(3)}{sep}{num(3)}{sep}{num(4)}", f"{num(3)}{sep}{num(3)}{sep}{num(4)}")
-                before = one("call ", "phone: ", "tel. ", "mobile ", "fax ", f"{word()} phone ")
-            else:
-                match = one(f"{num(3)}{sep}{num(3)}{sep}{num(3)}", f"0{num(1)}/{num(2)}{sep}{num(4)}", f"{num(3)}.{num(2)}.{num(2)}", f"{num(3)} {num(4)} {num(4)} {num(4)}", f"{num(3)}-{num(4)}-{num(4)}")
-                before = one(filler + " ", "order ", "version ", "isbn ", "part ", "$", "date ", "serial ", f"{word()} = ")
-        else:
-            if good:
-                match = one(f"{num(3)}-{num(2)}-{num(4)}", f"{one('DE', 'FR', 'ES', 'GB')}{num(2)} " + " ".join(num(4) for _ in range(4)), f"{one('C', 'P', 'X')}{num(8)}")
-                before = one("ssn ", "SSN: ", "iban ", "IBAN: ", "passport ", "account ", "tax id ")
-            else:
-                match = one(f"{num(3)}-{num(2)}-{num(4)}", f"{one('AB', 'ZX', 'PN')}{num(2)}{num(4)}{num(4)}{num(4)}", f"{one('A', 'M', 'PR')}{num(7)}")
-                before = one("part ", "model ", filler + " ", "serial ", "item ", "build ", "ticket ", f"{word()} = ")
-        rows.append({"kind": kind, "text": match, "before": (filler + ". " + before)[-AROUND:], "after": one(" ", ".", ", ", " " + word()), "good": int(good)})
-    return rows
-
-
 @dataclass(frozen=True)
 class Model:
     trees: Boosted
     least: dict[str, float]
 
 
-def train(spark: SparkSession) -> Model:
-    """Trees and, from the calibration fifth, each kind's threshold; from the fixed table."""
-    rows = small_table(spark, labelled_findings(), "kind:string,text:string,before:string,after:string,good:int")
+def rated_rows(spark: SparkSession, rows: list[dict]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Features and classes of a table of labelled rows, which is of fixed size."""
     f = features(F.col("kind"), F.col("text"), F.col("before"), F.col("after"))
-    table = rows.select("good", *[f[k].alias(k) for k in FEATURES]).collect()
-    x = {k: np.array([r[k] for r in table], float) for k in FEATURES}
-    y = np.array([r["good"] for r in table])
-    model = boost(x, y)
-    odds = model.odds(x, len(y))
-    p = 1 / (1 + np.exp(-(model.a + model.b * odds)))
-    held = np.arange(len(y)) % 5 == 4
-    least = {}
-    for k in ADDED_KINDS:
-        mine = held & (x[f"is_{k}"] == 1)
-        least[k] = max(0.5, threshold(p[mine], y[mine], PRECISION))
-    return Model(model, least)
+    given = small_table(spark, rows, "kind:string,text:string,before:string,after:string,good:int")
+    table = given.select("good", *[f[k].alias(k) for k in FEATURES]).collect()
+    return {k: np.array([r[k] for r in table], float) for k in FEATURES}, np.array([r["good"] for r in table])
+
+
+def train(spark: SparkSession) -> Model:
+    """Trees from the fitting rows; from the two halves of the calibrating rows the odds and each kind's threshold."""
+    x, y = rated_rows(spark, labelled(FIT, FIT_ROWS, 20240229))
+    cx, cy = rated_rows(spark, labelled(CALIBRATE, CALIBRATE_ROWS, 20240307))
+    half = np.arange(len(cy)) % 2 == 0
+    model = boost(x, y, calibrate=({k: v[half] for k, v in cx.items()}, cy[half]))
+    p = 1 / (1 + np.exp(-(model.a + model.b * model.odds(cx, len(cy)))))
+    mine = lambda k: ~half & (cx[f"is_{k}"] == 1)
+    return Model(model, {k: threshold(p[mine(k)], cy[mine(k)], PRECISION) for k in ADDED_KINDS})
 
 
 def selected(found: Column, model: Model) -> Column:
