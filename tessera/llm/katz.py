@@ -1,32 +1,36 @@
-"""Scoring texts by a Katz backoff model of word pairs.
-
-Counts are Good-Turing discounted for up to K occurrences. What the discounts free for
-a history goes to the words never seen after it, in proportion to their own
-probability, by a backoff weight that makes the sum exactly one; unseen words share
-one class that holds what the discounts free among single words. A token is scored
-recursively: pair if seen, else the history's weight times the word's probability,
-else the class of unseen words.
-
-Counts live in tables partitioned by the hash of the history. Blocks of documents ask
-these tables for their own distinct words and pairs (see _blocks). Histories that are
-frequent are spread over more buckets, in proportion.
-
-A text is its words and one end; the history of the first word is an end. Null text
-counts as empty: one token. A null id counts as a training text. With no training
-texts every token has the probability of the unseen class, one.
+"""Scoring texts by a Katz backoff model of word n-grams.
+
+Counts are Good-Turing discounted for up to K occurrences, for each order by itself. What
+the discounts free for a history goes to the words never seen after it, in proportion to
+their probability after the history without its first word, by a backoff weight that
+makes the sum exactly one; unseen words share one class that holds what the discounts free
+among single words. A token is scored recursively: its longest n-gram if seen, else the
+history's weight times the n-gram without its first word, down to the class of unseen words.
+
+fit() makes a Model. It holds a table for each order, partitioned by the hash of the
+history (a word's own hash for single words), of each n-gram seen in training texts with
+its count and of what the weights are made of: the count of the n-gram without its first
+word, and that history's total. Model.score() scores any texts by these tables, fit_score()
+fits and scores in one go. Blocks of documents ask the tables' buckets for their own
+distinct words and n-grams (see _blocks), order after order. Frequent histories are spread
+over more buckets, in proportion to their count; parts of a history are added up by who asks.
+
+A text is its words and one end; ends stand before the first word. Null text counts as
+empty: one token. A null id counts as a training text. With no training texts every token
+has the probability of the unseen class, one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._blocks import gather, n_buckets, pack, stored_blocks, unpack, unpack_words, with_answers, word_requests
+from ._blocks import gather, n_buckets, pack, pack_words, stored_blocks, to_blocks, unpack, unpack_words, with_answers, word_requests
 from ._shared import stored
 from ._words import mix
 
@@ -86,174 +90,329 @@ class Unigrams:
         return np.where(count > 0, seen, self.unseen)
 
 
-class Pairs:
-    """The distinct pairs of a block's tokens, by (history, word), and where each goes."""
+@dataclass(frozen=True)
+class Level:
+    """What a block knows about its distinct n-grams of one order; histories are n-grams of the order below, the last one being ends alone.
+
+    words: columns of each n-gram's words. where: each token's n-gram. history, suffix: of
+    each n-gram, without its last and first word. count: in training texts. For each
+    history: total, weight, and the least that words unseen after it share.
+    """
 
-    def __init__(self, row: pa.Table, counts: np.ndarray, gid: np.ndarray, total: int, buckets: int):
-        self.id, self.known, self.held, self.n_words, tokens, self.bucket = unpack(row.column("tokens")[0].as_py())
-        self.tokens = tokens.astype(np.int64)
-        ends = np.cumsum(self.n_words.astype(np.int64))
-        self.firsts = ends - self.n_words
+    words: np.ndarray
+    where: np.ndarray
+    history: np.ndarray
+    suffix: np.ndarray
+    count: np.ndarray
+    total: np.ndarray
+    weight: np.ndarray
+    least: np.ndarray
+
+
+class Grams:
+    """A block's n-grams, order after order, and where each is counted."""
+
+    def __init__(self, row: pa.Table, found: pa.Table, model: Model):
+        self.id, self.known, self.held, self.n_words, tokens, bucket = unpack(row.column("tokens")[0].as_py())
+        self.tokens, self.model = tokens.astype(np.int64), model
+        self.ends = np.cumsum(self.n_words.astype(np.int64))
+        self.firsts = self.ends - self.n_words
+        self.end = int(self.tokens[-1])
+        self.answers: dict[int, dict[int, list[np.ndarray]]] = {}
+        for b, order, x in zip(*(found.column(c).to_pylist() for c in ("bucket", "kind", "answer")), strict=True):
+            self.answers.setdefault(order, {})[b] = unpack(x)
+        words = self.answers[1]
+        self.counts = gather(bucket, {b: x[0] for b, x in words.items()}, np.int64)
+        self.gid = gather(bucket, {b: x[1] for b, x in words.items()}, np.uint64)
+        n = len(self.counts)
+        none = np.empty(0)
+        self.levels = [Level(np.arange(n)[:, None], self.tokens, none, none, self.counts, none, none, np.full(1, model.unigrams.unseen))]
+        for order in range(2, len(model.discounts) + 2):
+            self._learn(order, model.discounts[order - 2])
+
+    def lay(self, order: int) -> None:
+        """The distinct n-grams of an order, and the buckets of those that may have been seen."""
+        low, n = self.levels[-1], len(self.counts)
         history = np.empty(len(self.tokens), np.int64)
-        history[1:] = self.tokens[:-1]
-        history[self.firsts] = self.tokens[ends - 1]  # an end stands before the first word
-        n = len(counts)
-        self.key, self.where = np.unique(history * n + self.tokens, return_inverse=True)
-        self.h, self.w = self.key // n, self.key % n
-        self.asked = np.flatnonzero((counts[self.h] > 0) & (counts[self.w] > 0))
+        history[1:] = low.where[:-1]
+        history[self.firsts] = len(low.words)  # ends alone
+        key, self.where = np.unique(history * n + self.tokens, return_inverse=True)
+        self.h, self.w = key // n, key % n
+        self.suffix = np.empty(len(key), np.int64)
+        self.suffix[self.where] = low.where
+        self.h_words = np.vstack([low.words, np.full((1, order - 1), self.end)])
+        self.h_count = np.append(low.count, self.counts[self.end])
+        if order == 2:
+            self.h_low = np.zeros(n + 1, np.int64)
+        else:
+            self.h_low = np.append(low.suffix, len(self.levels[-2].words))
+        gid, model = self.gid, self.model
+        hashed = np.zeros(len(self.h_words), np.uint64)
+        for column in self.h_words.T:
+            hashed = mix(hashed * np.uint64(0x9E3779B97F4A7C15) + gid[column])
+        spread = np.minimum(1 + self.h_count * model.buckets // max(model.unigrams.tokens, 1), model.buckets)
+        self.asked = np.flatnonzero((self.h_count[self.h] > 0) & (low.count[self.suffix] > 0))
         h, w = self.h[self.asked], self.w[self.asked]
-        spread = np.minimum(1 + counts.astype(np.int64) * buckets // max(total, 1), buckets)
-        self.to = (mix(gid[h]) + mix(gid[w]) % spread[h].astype(np.uint64)) % np.uint64(buckets)
-        self.histories = np.unique(self.h[counts[self.h] > 0])  # those before unknown words too
-        s = spread[self.histories]
-        self.h_all = np.repeat(self.histories, s)
+        self.to = (hashed[h] + mix(gid[w]) % spread[h].astype(np.uint64)) % np.uint64(model.buckets)
+        histories = np.unique(self.h[self.h_count[self.h] > 0])  # those before unknown words too
+        s = spread[histories]
+        self.h_all = np.repeat(histories, s)
         step = np.arange(len(self.h_all)) - np.repeat(np.cumsum(s) - s, s)
-        self.h_to = (mix(gid[self.h_all]) + step.astype(np.uint64)) % np.uint64(buckets)
+        self.h_to = (hashed[self.h_all] + step.astype(np.uint64)) % np.uint64(model.buckets)
+
+    def requests(self, order: int) -> Iterator[tuple[int, bytes]]:
+        """(bucket, request): the history's words, how many n-grams are asked for, the total of the history below; of each n-gram its word, the count of its suffix, its count here."""
+        self.lay(order)
+        low = self.levels[-1]
+        trained = np.bincount(self.where[np.repeat(self.held == 0, self.n_words)], minlength=len(self.h))[self.asked]
+        h, w, suffix = self.h[self.asked], self.w[self.asked], self.suffix[self.asked]
+        for b, at, h_at in _by_bucket(self.to, self.h_to, self.model.buckets):
+            mine = self.h_all[h_at]
+            n = np.bincount(np.searchsorted(mine, h[at]), minlength=len(mine))
+            total = low.total[self.h_low[mine]] if order > 2 else np.zeros(len(mine), np.int64)
+            yield b, pack(*self.gid[self.h_words[mine]].T, n.astype(np.uint32), total, self.gid[w[at]], low.count[suffix[at]], trained[at].astype(np.uint32))
+
+    def _learn(self, order: int, d: np.ndarray) -> None:
+        """The next level, from the answers of its buckets."""
+        self.lay(order)
+        low, answers = self.levels[-1], self.answers.get(order, {})
+        count = np.zeros(len(self.h), np.int64)
+        m = len(self.h_words)
+        mass, used, seen = np.zeros(m), np.zeros(m), np.zeros(m, np.int64)
+        for b, at, h_at in _by_bucket(self.to, self.h_to, self.model.buckets):
+            c, s, *many = answers[b]
+            count[self.asked[at]] = c
+            mine = self.h_all[h_at]  # each once in a bucket
+            mass[mine] += s
+            used[mine] += sum(d[r] * r * many[r - 1].astype(float) for r in range(1, K + 1)) + many[K].astype(float)
+            seen[mine] += sum(r * many[r - 1].astype(np.int64) for r in range(1, K + 1)) + many[K].astype(np.int64)
+        total = _total(seen, used)
+        least = low.least[self.h_low]
+        weight = np.where(seen > 0, (1 - used / np.maximum(total, 1)) / np.maximum(1 - mass, least), 1.0)
+        words = np.column_stack([self.h_words[self.h], self.w])
+        self.levels.append(Level(words, self.where, self.h, self.suffix, count, total, weight, weight * least))
 
+    def log_p(self) -> np.ndarray:
+        """log10 probability of each token, by recursion from single words up."""
+        p = self.model.unigrams.probability(self.counts)
+        for level, d in zip(self.levels[1:], self.model.discounts, strict=True):
+            p = np.where(level.count > 0, _direct(level.count, level.total[level.history], d), level.weight[level.history] * p[level.suffix])
+        return np.log10(p)[self.levels[-1].where]
 
-def _words_of(row: pa.Table, found: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts and global numbers of a block's words, and the pairs' answers (if there are any) by bucket."""
-    bucket = unpack(row.column("tokens")[0].as_py())[5]
-    counts, gids, pairs = {}, {}, {}
-    for b, kind, x in zip(*(found.column(c).to_pylist() for c in ("bucket", "kind", "answer")), strict=True):
-        if kind == 0:
-            counts[b], gids[b] = unpack(x)
-        else:
-            pairs[b] = unpack(x)
-    return gather(bucket, counts, np.int64), gather(bucket, gids, np.uint64), pairs
+
+def _total(seen: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Counts of a history; where its words are all frequent and free nothing, one count is set aside."""
+    return seen + (used >= seen - 1e-9)
+
+
+def _direct(count: np.ndarray, total: np.ndarray, d: np.ndarray) -> np.ndarray:
+    return np.where(count <= K, d[np.minimum(count, K)], 1.0) * count / np.maximum(total, 1)
 
 
 def _table(columns: dict[str, list], schema: list[tuple[str, pa.DataType]]) -> pa.Table:
     return pa.table({k: pa.array(columns[k], t) for k, t in schema})
 
 
+#: Answers to blocks; those to block MODEL are a model's table. kind: the order.
 ANSWERS = "block long, bucket int, kind int, answer binary, sums array<long>"
 _ANSWER_TYPES = [("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("answer", pa.binary()), ("sums", pa.list_(pa.int64()))]
+_REQUEST_TYPES = [("bucket", pa.int32()), ("block", pa.int64()), ("grams", pa.binary())]
+_SCORE_TYPES = [("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
+MODEL = -1
+#: The longest n-grams of the production query.
+ORDER = 3
 
 
-def score(docs: DataFrame, held: Column | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document; `held` is true where a text is not learned from."""
-    spark = docs.sparkSession
-    buckets = n_buckets(spark)
-    held = held_out(id) if held is None else held
-    blocks = stored_blocks(docs.select(F.col(id).alias("id"), F.col(text).alias("text"), held.alias("flag")), "katz-blocks", fold=True, end=True)
+def _answers(requests: pa.Table, order: int, blocks: list[int], answers: list[bytes], table: bytes, sums: list[int], fitted: bool) -> pa.Table:
+    """Rows for all blocks that asked, and while fitting one for the model."""
+    b = requests.column("bucket")[0].as_py()
+    rows = [(x, b, order, a, None) for x, a in zip(blocks, answers, strict=True)] + ([] if fitted else [(MODEL, b, order, table, sums)])
+    return _table(dict(zip((k for k, _ in _ANSWER_TYPES), zip(*rows, strict=True) if rows else [[]] * 5, strict=True)), _ANSWER_TYPES)
+
+
+def _tally(count: np.ndarray) -> list[int]:
+    """How many types were seen 1 to K + 1 times."""
+    return np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1 : K + 2].tolist()
+
+
+def _parts(requests: pa.Table, column: str) -> list[tuple[int, dict]]:
+    """(block, request) by block: the model's table, if any, comes first."""
+    return sorted(zip(requests.column("block").to_pylist(), requests.select([column] if column == "grams" else ["words", "tokens"]).to_pylist(), strict=True), key=lambda x: x[0])
+
 
-    def count_words(requests: pa.Table) -> pa.Table:
-        number: dict[bytes, int] = {}
-        asked = []
-        for x in requests.column("words").to_pylist():
-            words = unpack_words(x)
-            for w in words:
-                number.setdefault(w, len(number))
-            asked.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-        counts = np.zeros(len(number), np.int64)
-        for at, x in zip(asked, requests.column("tokens").to_pylist(), strict=True):
-            all_of, held_of = unpack(x)
+def count_words(requests: pa.Table, buckets: int, fitted: bool) -> pa.Table:
+    """Counts and global numbers of the words of a bucket. Where a model is given, only its table is counted."""
+    number: dict[bytes, int] = {}
+    asked, parts = [], _parts(requests, "words")
+    for _, x in parts:
+        words = unpack_words(x["words"])
+        for w in words:
+            number.setdefault(w, len(number))
+        asked.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+    counts = np.zeros(len(number), np.int64)
+    for at, (block, x) in zip(asked, parts, strict=True):
+        if not fitted or block == MODEL:
+            all_of, held_of = unpack(x["tokens"])
             np.add.at(counts, at, all_of.astype(np.int64) - held_of)
-        order = np.lexsort((np.arange(len(counts)), -counts))
-        place = np.empty(len(order), np.uint64)
-        place[order] = np.arange(len(order), dtype=np.uint64)
-        b = requests.column("bucket")[0].as_py()
-        gid = place * np.uint64(buckets) + np.uint64(b)
-        sums = [int(counts.sum()), int((counts > 0).sum()), *np.bincount(np.minimum(counts, K + 2), minlength=K + 3)[1 : K + 2].tolist()]
-        out = {"block": requests.column("block").to_pylist(), "bucket": [b] * len(asked), "kind": [0] * len(asked), "answer": [pack(counts[at].astype(np.uint32) if counts.max(initial=0) < 1 << 32 else counts[at], gid[at]) for at in asked], "sums": [None] * len(asked)}
-        out["sums"][0] = sums
-        return _table(out, _ANSWER_TYPES)
-
-    words = stored(word_requests(blocks).groupBy("bucket").applyInArrow(count_words, ANSWERS), "katz-words")
-    total = _sums(words, K + 3)
-    unigrams = Unigrams.of(total[0], total[1], [0, *total[2:]])
+    order = np.lexsort((np.arange(len(counts)), -counts))
+    place = np.empty(len(order), np.uint64)
+    place[order] = np.arange(len(order), dtype=np.uint64)
+    gid = place * np.uint64(buckets) + np.uint64(requests.column("bucket")[0].as_py())
+    every, seen = list(number), order[counts[order] > 0]
+    table = pack(np.frombuffer(pack_words([every[i] for i in seen.tolist()]), np.uint8), counts[seen])
+    mine = [(block, pack(counts[at], gid[at])) for at, (block, _) in zip(asked, parts, strict=True) if block != MODEL]
+    return _answers(requests, 1, [b for b, _ in mine], [a for _, a in mine], table, [int(counts.sum()), int((counts > 0).sum()), *_tally(counts)], fitted)
+
+
+def count_grams(requests: pa.Table, order: int, lower: Callable[[np.ndarray, np.ndarray], np.ndarray], fitted: bool) -> pa.Table:
+    """Counts of the n-grams of a bucket; of each history the mass of what was seen after it by the order below, and how many words were seen 1 to K times, and how often the others.
+
+    lower: probabilities by the order below, of counts and totals. Where a model is given, only its table is counted.
+    """
+    parts = [(block, unpack(x["grams"])) for block, x in _parts(requests, "grams")]
+    k = order - 1
+    column = lambda i: np.concatenate([x[i] for _, x in parts])
+    words = [column(i) for i in range(k)]
+    by = np.lexsort(words[::-1])
+    new = np.ones(len(by), bool)
+    new[1:] = np.any([w[by][1:] != w[by][:-1] for w in words], axis=0)
+    history = np.empty(len(by), np.int64)
+    history[by] = np.cumsum(new) - 1
+    first, m = by[new], int(new.sum())
+    below = column(k + 1)[first]
+    h, w = np.repeat(history, column(k)), column(k + 2)
+    by = np.lexsort((w, h))
+    new = np.ones(len(by), bool)
+    new[1:] = (h[by][1:] != h[by][:-1]) | (w[by][1:] != w[by][:-1])
+    type_of = np.empty(len(by), np.int64)
+    type_of[by] = np.cumsum(new) - 1
+    counted = np.concatenate([x[k + 4].astype(np.int64) * (not fitted or block == MODEL) for block, x in parts])
+    count = np.zeros(int(new.sum()), np.int64)
+    np.add.at(count, type_of, counted)
+    th, tw, suffix = h[by][new], w[by][new], column(k + 3)[by][new]
+    seen = count > 0
+    mass = np.bincount(th[seen], lower(suffix[seen], below[th[seen]]), m)
+    many = [np.bincount(th[count == r], minlength=m) for r in range(1, K + 1)] + [np.bincount(th[count > K], count[count > K], m).astype(np.int64)]
+    blocks, answers, at, h_at = [], [], 0, 0
+    for block, x in parts:
+        n, h_n = len(x[k + 2]), len(x[0])
+        if block != MODEL:
+            own = history[h_at : h_at + h_n]
+            blocks.append(block)
+            answers.append(pack(count[type_of[at : at + n]].astype(np.uint32), mass[own], *[a[own].astype(np.uint32 if a.max(initial=0) < 1 << 32 else np.int64) for a in many]))
+        at, h_at = at + n, h_at + h_n
+    kept = np.unique(th[seen])
+    n_kept = np.bincount(th[seen], minlength=m)[kept]
+    table = b"" if fitted else pack(*[w[first][kept] for w in words], n_kept.astype(np.uint32), below[kept], tw[seen], suffix[seen], count[seen])
+    return _answers(requests, order, blocks, answers, table, _tally(count), fitted)
+
+
+@dataclass(frozen=True)
+class Model:
+    """Discounts from order 2 on, and a stored table for each order; buckets: of all tables."""
+
+    buckets: int
+    unigrams: Unigrams
+    discounts: tuple[np.ndarray, ...] = ()
+    tables: tuple[DataFrame, ...] = ()
+
+    def bare(self) -> Model:
+        """Without its tables, to be sent to tasks: a few numbers."""
+        return replace(self, tables=())
+
+    def lower(self) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        """Probabilities of seen n-grams of the highest order so far."""
+        if not self.discounts:
+            return lambda count, total: self.unigrams.probability(count)
+        return lambda count, total: _direct(count, total, self.discounts[-1])
+
+    def score(self, docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+        """As fit_score(), for any texts, by the tables of this model; held_out is true."""
+        blocks = stored(to_blocks(docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.lit(True).alias("flag")), self.buckets, True, True), "katz-blocks")
+        found, _ = _rounds(blocks, self, len(self.tables))
+        return _rated(blocks, found, self).withColumnRenamed("id", id)
+
+
+def _asking(order: int, so_far: Model) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """What makes a block's requests for n-grams, from its answers for shorter ones."""
 
     def ask(row: pa.Table, found: pa.Table) -> pa.Table:
-        out: dict[str, list] = {k: [] for k, _ in _REQUEST_TYPES}
-        if row.num_rows:
-            counts, gid, _ = _words_of(row, found)
-            p = Pairs(row, counts, gid, unigrams.tokens, buckets)
-            trained = np.bincount(p.where[np.repeat(p.held == 0, p.n_words)], minlength=len(p.key))[p.asked]
-            h, w = p.h[p.asked], p.w[p.asked]
-            for b, at, h_at in _by_bucket(p.to, p.h_to, buckets):
-                hs, n = np.unique(h[at], return_counts=True)
-                values = (b, row.column("block")[0].as_py(), pack(gid[hs], n.astype(np.uint32), gid[w[at]], counts[w[at]].astype(np.uint32), trained[at].astype(np.uint32), gid[p.h_all[h_at]]))
-                for k, v in zip(out, values, strict=True):
-                    out[k].append(v)
-        return _table(out, _REQUEST_TYPES)
-
-    def count_pairs(requests: pa.Table) -> pa.Table:
-        parts = [unpack(x) for x in requests.column("pairs").to_pylist()]
-        h, w, cw, c = (np.concatenate([x[i] if i else np.repeat(x[0], x[1]) for x in parts]) for i in (0, 2, 3, 4))
-        order = np.lexsort((w, h))
-        new = np.ones(len(order), bool)
-        new[1:] = (h[order][1:] != h[order][:-1]) | (w[order][1:] != w[order][:-1])
-        type_of = np.empty(len(order), np.int64)
-        type_of[order] = np.cumsum(new) - 1
-        count = np.zeros(int(new.sum()), np.int64)
-        np.add.at(count, type_of, c.astype(np.int64))
-        th, tw = h[order][new], cw[order][new]
-        hs, start = np.unique(th, return_index=True)
-        seen = count > 0
-        mass = np.add.reduceat(unigrams.probability(tw) * seen, start) if len(hs) else np.empty(0)
-        many = [np.add.reduceat((count == r).astype(np.int64), start) if len(hs) else np.empty(0, np.int64) for r in range(1, K + 1)]
-        many.append(np.add.reduceat(np.where(count > K, count, 0), start) if len(hs) else np.empty(0, np.int64))
-        answers, at = [], 0
-        for x in parts:
-            n = len(x[2])
-            mine = np.minimum(np.searchsorted(hs, x[5]), max(len(hs) - 1, 0))
-            here = hs[mine] == x[5] if len(hs) else np.zeros(len(x[5]), bool)
-            pick = [np.where(here, a[mine] if len(hs) else 0, 0) for a in (mass, *many)]
-            answers.append(pack(count[type_of[at : at + n]].astype(np.uint32), pick[0].astype(np.float64), *[a.astype(np.uint32) for a in pick[1:]]))
-            at += n
-        b = requests.column("bucket")[0].as_py()
-        sums = [*np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1 : K + 2].tolist()]
-        out = {"block": requests.column("block").to_pylist(), "bucket": [b] * len(parts), "kind": [1] * len(parts), "answer": answers, "sums": [None] * len(parts)}
-        out["sums"][0] = sums
-        return _table(out, _ANSWER_TYPES)
-
-    requests = with_answers(blocks, words, ask, "bucket int, block long, pairs binary")
-    pairs = stored(requests.groupBy("bucket").applyInArrow(count_pairs, ANSWERS), "katz-pairs")
-    d = discounts([0, *_sums(pairs, K + 1)])
+        rows = [(b, row.column("block")[0].as_py(), x) for b, x in Grams(row, found, so_far).requests(order)] if row.num_rows else []
+        return _table(dict(zip((k for k, _ in _REQUEST_TYPES), zip(*rows, strict=True) if rows else [[]] * 3, strict=True)), _REQUEST_TYPES)
+
+    return ask
+
+
+def _counting(order: int, so_far: Model, fitted: bool) -> Callable[[pa.Table], pa.Table]:
+    return lambda requests: count_grams(requests, order, so_far.lower(), fitted)
+
+
+def _rounds(blocks: DataFrame, model: Model, order: int) -> tuple[DataFrame, Model]:
+    """Answers for all blocks, order after order, and the model: the given one if it has tables, else one fitted on the way."""
+    fitted, buckets = bool(model.tables), model.buckets
+    asked = word_requests(blocks)
+    if fitted:
+        asked = asked.unionByName(model.tables[0].select("block", "bucket", F.lit(0).cast("long").alias("stamp"), "words", "tokens"))
+    at = stored(asked.groupBy("bucket").applyInArrow(lambda x: count_words(x, buckets, fitted), ANSWERS), "katz-1")
+    tables = [at.filter(F.col("block") == MODEL)]
+    if not fitted:
+        total = _sums(tables[0], K + 3)
+        model = replace(model, unigrams=Unigrams.of(total[0], total[1], [0, *total[2:]]))
+    found = at.filter(F.col("block") != MODEL)
+    so_far = replace(model.bare(), discounts=())
+    for n in range(2, order + 1):
+        asked = with_answers(blocks, found, _asking(n, so_far), "bucket int, block long, grams binary")
+        if fitted:
+            asked = asked.unionByName(model.tables[n - 1].select("bucket", "block", F.col("answer").alias("grams")))
+        at = stored(asked.groupBy("bucket").applyInArrow(_counting(n, so_far, fitted), ANSWERS), f"katz-{n}")
+        tables.append(at.filter(F.col("block") == MODEL))
+        found = found.unionByName(at.filter(F.col("block") != MODEL))
+        d = model.discounts[n - 2] if fitted else discounts([0, *_sums(tables[-1], K + 1)])
+        so_far = replace(so_far, discounts=(*so_far.discounts, d))
+    return found, model if fitted else replace(so_far, tables=tuple(tables))
+
+
+def _rated(blocks: DataFrame, found: DataFrame, model: Model) -> DataFrame:
+    bare = model.bare()
 
     def rate(row: pa.Table, found: pa.Table) -> pa.Table:
         if not row.num_rows:
             return _table({k: [] for k, _ in _SCORE_TYPES}, _SCORE_TYPES)
-        counts, gid, answers = _words_of(row, found)
-        p = Pairs(row, counts, gid, unigrams.tokens, buckets)
-        count = np.zeros(len(p.key), np.int64)
-        n = len(counts)
-        mass, used = np.zeros(n), np.zeros(n)
-        for b, at, h_at in _by_bucket(p.to, p.h_to, buckets):
-            c, s, *many = answers[b]
-            count[p.asked[at]] = c
-            hs = p.h_all[h_at]
-            np.add.at(mass, hs, s)
-            np.add.at(used, hs, sum(d[r] * r * many[r - 1].astype(float) for r in range(1, K + 1)) + many[K].astype(float))
-        single = unigrams.probability(counts)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            # a history whose words are all frequent frees nothing: one count is set aside for it
-            held_by = counts + np.where(used >= counts, 1.0, 0.0)
-            weight = np.where(counts > 0, (1 - used / np.maximum(held_by, 1)) / np.maximum(1 - mass, unigrams.unseen), 1.0)
-            direct = np.where(count <= K, d[np.minimum(count, K)], 1.0) * count / np.maximum(held_by[p.h], 1)
-            log_p = np.log10(np.where(count > 0, direct, weight[p.h] * single[p.w]))
-        base = np.log10((counts + 0.5) / (unigrams.tokens + 0.5 * (unigrams.types + 1)))
-        add = lambda x: np.add.reduceat(x, p.firsts)  # noqa: E731  every document has a token
-        size = len(p.id)
-        return pa.table(
-            {
-                "id": pa.array(p.id, mask=p.known == 0),
-                "held_out": pa.array(p.held == 1),
-                "n_tokens": pa.array(p.n_words.astype(np.int64)),
-                "n_known": pa.array(add((counts[p.tokens] > 0).astype(np.int64))),
-                "train_tokens": pa.array(np.full(size, unigrams.tokens, np.int64)),
-                "base_score": pa.array(add(base[p.tokens])),
-                "score": pa.array(add(log_p[p.where])),
-            }
-        )
-
-    found = words.select("block", "bucket", "kind", "answer").unionByName(pairs.select("block", "bucket", "kind", "answer"))
-    return with_answers(blocks, found, rate, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").withColumnRenamed("id", id)
-
-
-_REQUEST_TYPES = [("bucket", pa.int32()), ("block", pa.int64()), ("pairs", pa.binary())]
-_SCORE_TYPES = [("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
+        g = Grams(row, found, bare)
+        u = bare.unigrams
+        base = np.log10((g.counts + 0.5) / (u.tokens + 0.5 * (u.types + 1)))
+        add = lambda x: np.add.reduceat(x, g.firsts)  # noqa: E731  every document has a token
+        out = (pa.array(g.id, mask=g.known == 0), g.held == 1, g.n_words.astype(np.int64), add((g.counts[g.tokens] > 0).astype(np.int64)), np.full(len(g.id), u.tokens, np.int64), add(base[g.tokens]), add(g.log_p()))
+        return _table(dict(zip((k for k, _ in _SCORE_TYPES), out, strict=True)), _SCORE_TYPES)
+
+    return with_answers(blocks, found, rate, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def _fit(docs: DataFrame, held: Column | None, id: str, text: str, order: int) -> tuple[DataFrame, DataFrame, Model]:
+    held = held_out(id) if held is None else held
+    blocks = stored_blocks(docs.select(F.col(id).alias("id"), F.col(text).alias("text"), held.alias("flag")), "katz-blocks", fold=True, end=True)
+    found, model = _rounds(blocks, Model(n_buckets(docs.sparkSession), Unigrams.of(0, 0, [])), order)
+    return blocks, found, model
+
+
+def fit(docs: DataFrame, held: Column | None = None, id: str = "doc_id", text: str = "text", order: int = ORDER) -> Model:
+    """A model of n-grams up to `order` from the texts for which `held` is false; its tables are in the shared folder."""
+    blocks, found, model = _fit(docs, held, id, text, order)
+    first = model.tables[0]
+    split = F.udf(_word_table, "struct<words: binary, tokens: binary>")
+    words = stored(first.select("block", "bucket", split("answer").alias("x")).select("block", "bucket", "x.*"), "katz-words")
+    return replace(model, tables=(words, *model.tables[1:]))
+
+
+def _word_table(packed: bytes) -> tuple[bytes, bytes]:
+    """A bucket's words as a request for them: words, counts, none held out."""
+    words, counts = unpack(packed)
+    return words.tobytes(), pack(counts, np.zeros(len(counts), np.uint32))
+
+
+def fit_score(docs: DataFrame, held: Column | None = None, id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
+    """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document; `held` is true where a text is not learned from."""
+    return _rated(*_fit(docs, held, id, text, order)).withColumnRenamed("id", id)
 
 
 def _by_bucket(to: np.ndarray, h_to: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

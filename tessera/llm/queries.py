@@ -30,7 +30,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.score(documents(spark, sf_dir))
+    return katz.fit_score(documents(spark, sf_dir))
 
 
 def op4_hyper_lang(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,53 +80,69 @@ def test_rule_learning():
     assert (held == bad).mean() > 0.97
 
 
-def katz_by_rule(rows):
+def katz_by_rule(rows, order, new=()):
+    """Plain model: counts by n-gram, probabilities by recursion. rows are learned from unless held out; rows and new ones are scored."""
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
     tokens = lambda s: re.findall(rb"[^\x20\x09-\x0D]+", (s or "").encode().lower()) + [b""]
-    u, b, after = collections.Counter(), collections.Counter(), collections.defaultdict(dict)
-    for i, s in rows:
-        if not held(i):
-            w = tokens(s)
-            u.update(w)
-            b.update(zip([b"", *w[:-1]], w))
-    for (h, w), c in b.items():
-        after[h][w] = c
-    n, v = sum(u.values()), len(u)
-    of = lambda counts: [sum(c == r for c in counts.values()) for r in range(katz.K + 2)]
-    du, db = katz.discounts(of(u)), katz.discounts(of(b))
-    d = lambda t, c: t[c] if c <= katz.K else 1.0
-    unseen = 1 - sum(d(du, c) * c for c in u.values()) / n
-    single = lambda w: d(du, u[w]) * u[w] / n if u[w] else unseen
+    grams = lambda w, n: list(zip(*[([b""] * (n - 1) + w)[i:] for i in range(n)]))
+    c = {n: collections.Counter(g for i, s in rows if not held(i) for g in grams(tokens(s), n)) for n in range(1, order + 1)}
+    u = {g[0]: x for g, x in c[1].items()}
+    total, v = sum(u.values()), len(u)
+    d = {n: katz.discounts([sum(x == r for x in c[n].values()) for r in range(katz.K + 2)]) for n in c}
+    less = lambda n, x: d[n][x] * x if x <= katz.K else x
+    unseen = 1 - sum(less(1, x) for x in u.values()) / total
+    after = collections.defaultdict(dict)
+    for n in range(2, order + 1):
+        for g, x in c[n].items():
+            after[g[:-1]][g[-1]] = x
     cache = {}
 
-    def pair(h, w):
-        if not u[h]:
-            return single(w)
+    def p(h, w):
+        if not h:
+            return less(1, u[w]) / total if w in u else unseen
+        if h not in after:
+            return p(h[1:], w)
+        n = len(h) + 1
         if h not in cache:
-            used = sum(d(db, c) * c for c in after[h].values())
-            total = u[h] + (used >= u[h] - 1e-9)
-            cache[h] = (1 - used / total) / (1 - sum(map(single, after[h]))), total
-        c = after[h].get(w, 0)
-        return d(db, c) * c / cache[h][1] if c else cache[h][0] * single(w)
-
-    for h in [b"", tokens(rows[0][1])[0]]:
-        assert abs(sum(pair(h, w) for w in u) + pair(h, b"\0") - 1) < 1e-9
+            seen, used = sum(after[h].values()), sum(less(n, x) for x in after[h].values())
+            whole = seen + (used >= seen - 1e-9)
+            cache[h] = (1 - used / whole) / (1 - sum(p(h[1:], x) for x in after[h])), whole
+        x = after[h].get(w, 0)
+        return less(n, x) / cache[h][1] if x else cache[h][0] * p(h[1:], w)
+
+    for h in [(b"",) * (order - 1), *list(after)[:: 1 + len(after) // 20]]:
+        assert abs(sum(p(h, w) for w in u) + p(h, b"\0") - 1) < 1e-9
     out = []
-    for i, s in rows:
+    for i, s in [*rows, *new]:
         w = tokens(s)
-        out.append((i, held(i), len(w), sum(u[x] > 0 for x in w), n, sum(math.log10((u[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), sum(math.log10(pair(h, x)) for h, x in zip([b"", *w[:-1]], w))))
+        out.append((i, held(i), len(w), sum(x in u for x in w), total, sum(math.log10((u.get(x, 0) + 0.5) / (total + 0.5 * (v + 1))) for x in w), sum(math.log10(p(g[:-1], g[-1])) for g in grams(w, order))))
     return out
 
 
-def test_katz(spark, monkeypatch):
-    monkeypatch.setattr(_blocks, "BLOCK", 1500)
-    rows = prose(2, 120) + [(r[0], r[1]) for r in ODD] + [(9100, "Only here " * 3)]
-    got = sorted(map(tuple, katz.score(docs_of(spark, rows)).collect()), key=repr)
-    want = sorted(katz_by_rule(rows), key=repr)
+def same_scores(got, want):
+    got, want = sorted(map(tuple, got), key=repr), sorted(want, key=repr)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     for g, w in zip(got, want, strict=True):
         assert g[5:] == pytest.approx(w[5:], rel=1e-9)
-    assert katz.score(docs_of(spark, rows).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_katz(spark, monkeypatch, order):
+    monkeypatch.setattr(_blocks, "BLOCK", 1500)
+    rows = prose(2, 120) + [(r[0], r[1]) for r in ODD] + [(9100, "Only here " * 3)]
+    same_scores(katz.fit_score(docs_of(spark, rows), order=order).collect(), katz_by_rule(rows, order))
+
+
+def test_katz_model_scores_other_texts(spark, monkeypatch):
+    monkeypatch.setattr(_blocks, "BLOCK", 1500)
+    rows = prose(2, 90) + [(r[0], r[1]) for r in ODD]
+    new = [(20_000 + i, t) for i, t in prose(3, 30)] + [(20_100, rows[5][1]), (20_101, None), (20_102, "never seen " + rows[7][1]), (None, "")]
+    model = katz.fit(docs_of(spark, rows))
+    got = model.score(docs_of(spark, new)).collect()
+    assert all(r.held_out for r in got)
+    same_scores(got, [(w[0], True, *w[2:]) for w in katz_by_rule(rows, katz.ORDER, new)[len(rows) :]])
+    assert katz.fit_score(docs_of(spark, rows).limit(0)).count() == 0
+    assert [r.score for r in katz.fit(docs_of(spark, rows).limit(0)).score(docs_of(spark, [(1, "a b")])).collect()] == [0.0]
 
 
 def test_discounts_stay_in_range():
