@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import gather, n_buckets, pack, pack_words, stored_blocks, to_blocks, unpack, unpack_words, with_answers, word_requests
 from ._shared import stored
-from ._words import mix
+from ._words import mix, release
 
 #: Counts above this are not discounted.
 K = 5
@@ -99,8 +99,8 @@ class Level:
     history: total, weight, and the least that words unseen after it share.
     """
 
-    words: np.ndarray
-    where: np.ndarray
+    words: np.ndarray | None
+    where: np.ndarray | None
     history: np.ndarray
     suffix: np.ndarray
     count: np.ndarray
@@ -114,19 +114,19 @@ class Grams:
 
     def __init__(self, row: pa.Table, found: pa.Table, model: Model):
         self.id, self.known, self.held, self.n_words, tokens, bucket = unpack(row.column("tokens")[0].as_py())
-        self.tokens, self.model = tokens.astype(np.int64), model
+        self.tokens, self.model = tokens, model
         self.ends = np.cumsum(self.n_words.astype(np.int64))
         self.firsts = self.ends - self.n_words
         self.end = int(self.tokens[-1])
-        self.answers: dict[int, dict[int, list[np.ndarray]]] = {}
+        self.answers: dict[int, dict[int, bytes]] = {}
         for b, order, x in zip(*(found.column(c).to_pylist() for c in ("bucket", "kind", "answer")), strict=True):
-            self.answers.setdefault(order, {})[b] = unpack(x)
-        words = self.answers[1]
+            self.answers.setdefault(order, {})[b] = x
+        words = {b: unpack(x) for b, x in self.answers.pop(1).items()}
         self.counts = gather(bucket, {b: x[0] for b, x in words.items()}, np.int64)
         self.gid = gather(bucket, {b: x[1] for b, x in words.items()}, np.uint64)
         n = len(self.counts)
         none = np.empty(0)
-        self.levels = [Level(np.arange(n)[:, None], self.tokens, none, none, self.counts, none, none, np.full(1, model.unigrams.unseen))]
+        self.levels = [Level(np.arange(n, dtype=np.int32)[:, None], self.tokens, none, none, self.counts, none, none, np.full(1, model.unigrams.unseen))]
         for order in range(2, len(model.discounts) + 2):
             self._learn(order, model.discounts[order - 2])
 
@@ -136,16 +136,16 @@ class Grams:
         history = np.empty(len(self.tokens), np.int64)
         history[1:] = low.where[:-1]
         history[self.firsts] = len(low.words)  # ends alone
-        key, self.where = np.unique(history * n + self.tokens, return_inverse=True)
-        self.h, self.w = key // n, key % n
-        self.suffix = np.empty(len(key), np.int64)
+        key, where = np.unique(history * n + self.tokens, return_inverse=True)
+        self.where, self.h, self.w = (x.astype(np.int32) for x in (where, key // n, key % n))
+        self.suffix = np.empty(len(key), np.int32)
         self.suffix[self.where] = low.where
-        self.h_words = np.vstack([low.words, np.full((1, order - 1), self.end)])
+        self.h_words = np.vstack([low.words, np.full((1, order - 1), self.end, np.int32)])
         self.h_count = np.append(low.count, self.counts[self.end])
         if order == 2:
-            self.h_low = np.zeros(n + 1, np.int64)
+            self.h_low = np.zeros(n + 1, np.int32)
         else:
-            self.h_low = np.append(low.suffix, len(self.levels[-2].words))
+            self.h_low = np.append(low.suffix, np.int32(len(self.levels[-2].count)))
         gid, model = self.gid, self.model
         hashed = np.zeros(len(self.h_words), np.uint64)
         for column in self.h_words.T:
@@ -175,12 +175,12 @@ class Grams:
     def _learn(self, order: int, d: np.ndarray) -> None:
         """The next level, from the answers of its buckets."""
         self.lay(order)
-        low, answers = self.levels[-1], self.answers.get(order, {})
+        low, answers = self.levels[-1], self.answers.pop(order, {})
         count = np.zeros(len(self.h), np.int64)
         m = len(self.h_words)
         mass, used, seen = np.zeros(m), np.zeros(m), np.zeros(m, np.int64)
         for b, at, h_at in _by_bucket(self.to, self.h_to, self.model.buckets):
-            c, s, *many = answers[b]
+            c, s, *many = unpack(answers.pop(b))
             count[self.asked[at]] = c
             mine = self.h_all[h_at]  # each once in a bucket
             mass[mine] += s
@@ -190,6 +190,7 @@ class Grams:
         least = low.least[self.h_low]
         weight = np.where(seen > 0, (1 - used / np.maximum(total, 1)) / np.maximum(1 - mass, least), 1.0)
         words = np.column_stack([self.h_words[self.h], self.w])
+        self.levels[-1] = replace(low, words=None, where=None)  # only the highest level's are read again
         self.levels.append(Level(words, self.where, self.h, self.suffix, count, total, weight, weight * least))
 
     def log_p(self) -> np.ndarray:
@@ -344,7 +345,12 @@ def _asking(order: int, so_far: Model) -> Callable[[pa.Table, pa.Table], pa.Tabl
 
 
 def _counting(order: int, so_far: Model, fitted: bool) -> Callable[[pa.Table], pa.Table]:
-    return lambda requests: count_grams(requests, order, so_far.lower(), fitted)
+    def count(requests: pa.Table) -> pa.Table:
+        out = count_grams(requests, order, so_far.lower(), fitted)
+        release()
+        return out
+
+    return count
 
 
 def _rounds(blocks: DataFrame, model: Model, order: int) -> tuple[DataFrame, Model]:
