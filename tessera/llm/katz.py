@@ -96,7 +96,7 @@ class Level:
 
     words: columns of each n-gram's words. where: each token's n-gram. history, suffix: of
     each n-gram, without its last and first word. count: in training texts. For each
-    history: total, weight, and the least that words unseen after it share.
+    history: total, and its weight where an n-gram of the block may need it, else NaN.
     """
 
     words: np.ndarray | None
@@ -106,7 +106,6 @@ class Level:
     count: np.ndarray
     total: np.ndarray
     weight: np.ndarray
-    least: np.ndarray
 
 
 class Grams:
@@ -126,7 +125,7 @@ class Grams:
         self.gid = gather(bucket, {b: x[1] for b, x in words.items()}, np.uint64)
         n = len(self.counts)
         none = np.empty(0)
-        self.levels = [Level(np.arange(n, dtype=np.int32)[:, None], self.tokens, none, none, self.counts, none, none, np.full(1, model.unigrams.unseen))]
+        self.levels = [Level(np.arange(n, dtype=np.int32)[:, None], self.tokens, none, none, self.counts, none, none)]
         for order in range(2, len(model.discounts) + 2):
             self._learn(order, model.discounts[order - 2])
 
@@ -147,6 +146,9 @@ class Grams:
         else:
             self.h_low = np.append(low.suffix, np.int32(len(self.levels[-2].count)))
         gid, model = self.gid, self.model
+        self.trained = np.bincount(self.where[np.repeat(self.held == 0, self.n_words)], minlength=len(key))
+        self.open = np.zeros(len(self.h_words), bool)
+        self.open[self.h[self.trained == 0]] = True  # all others' n-grams were seen, so no weight is used
         hashed = np.zeros(len(self.h_words), np.uint64)
         for column in self.h_words.T:
             hashed = mix(hashed * np.uint64(0x9E3779B97F4A7C15) + gid[column])
@@ -161,16 +163,16 @@ class Grams:
         self.h_to = (hashed[self.h_all] + step.astype(np.uint64)) % np.uint64(model.buckets)
 
     def requests(self, order: int) -> Iterator[tuple[int, bytes]]:
-        """(bucket, request): the history's words, how many n-grams are asked for, the total of the history below; of each n-gram its word, the count of its suffix, its count here."""
+        """(bucket, request): the history's words, how many n-grams are asked for, the total of the history below, whether its weight may be used; of each n-gram its word, the count of its suffix, its count here."""
         self.lay(order)
         low = self.levels[-1]
-        trained = np.bincount(self.where[np.repeat(self.held == 0, self.n_words)], minlength=len(self.h))[self.asked]
+        trained = self.trained[self.asked]
         h, w, suffix = self.h[self.asked], self.w[self.asked], self.suffix[self.asked]
         for b, at, h_at in _by_bucket(self.to, self.h_to, self.model.buckets):
             mine = self.h_all[h_at]
             n = np.bincount(np.searchsorted(mine, h[at]), minlength=len(mine))
             total = low.total[self.h_low[mine]] if order > 2 else np.zeros(len(mine), np.int64)
-            yield b, pack(*self.gid[self.h_words[mine]].T, n.astype(np.uint32), total, self.gid[w[at]], low.count[suffix[at]], trained[at].astype(np.uint32))
+            yield b, pack(*self.gid[self.h_words[mine]].T, n.astype(np.uint32), total, self.open[mine].astype(np.uint8), self.gid[w[at]], low.count[suffix[at]], trained[at].astype(np.uint32))
 
     def _learn(self, order: int, d: np.ndarray) -> None:
         """The next level, from the answers of its buckets."""
@@ -178,20 +180,22 @@ class Grams:
         low, answers = self.levels[-1], self.answers.pop(order, {})
         count = np.zeros(len(self.h), np.int64)
         m = len(self.h_words)
-        mass, used, seen = np.zeros(m), np.zeros(m), np.zeros(m, np.int64)
+        mass, used, seen, rare = np.zeros(m), np.zeros(m), np.zeros(m, np.int64), np.zeros(m, bool)
         for b, at, h_at in _by_bucket(self.to, self.h_to, self.model.buckets):
-            c, s, *many = unpack(answers.pop(b))
+            c, n, few, part, *many = unpack(answers.pop(b))
             count[self.asked[at]] = c
             mine = self.h_all[h_at]  # each once in a bucket
-            mass[mine] += s
+            seen[mine] += n.astype(np.int64)
+            rare[mine] |= few.astype(bool)
+            mine = mine[self.open[mine]]
+            mass[mine] += part
             used[mine] += sum(d[r] * r * many[r - 1].astype(float) for r in range(1, K + 1)) + many[K].astype(float)
-            seen[mine] += sum(r * many[r - 1].astype(np.int64) for r in range(1, K + 1)) + many[K].astype(np.int64)
-        total = _total(seen, used)
-        least = low.least[self.h_low]
-        weight = np.where(seen > 0, (1 - used / np.maximum(total, 1)) / np.maximum(1 - mass, least), 1.0)
+        total = seen + ~rare  # where words are all frequent and free nothing, one count is set aside
+        weight = np.where(seen > 0, (1 - used / total.clip(1)) / np.maximum(1 - mass, TINY), 1.0)
+        weight[~self.open] = np.nan
         words = np.column_stack([self.h_words[self.h], self.w])
         self.levels[-1] = replace(low, words=None, where=None)  # only the highest level's are read again
-        self.levels.append(Level(words, self.where, self.h, self.suffix, count, total, weight, weight * least))
+        self.levels.append(Level(words, self.where, self.h, self.suffix, count, total, weight))
 
     def log_p(self) -> np.ndarray:
         """log10 probability of each token, by recursion from single words up."""
@@ -201,11 +205,6 @@ class Grams:
         return np.log10(p)[self.levels[-1].where]
 
 
-def _total(seen: np.ndarray, used: np.ndarray) -> np.ndarray:
-    """Counts of a history; where its words are all frequent and free nothing, one count is set aside."""
-    return seen + (used >= seen - 1e-9)
-
-
 def _direct(count: np.ndarray, total: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.where(count <= K, d[np.minimum(count, K)], 1.0) * count / np.maximum(total, 1)
 
@@ -220,6 +219,8 @@ _ANSWER_TYPES = [("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int3
 _REQUEST_TYPES = [("bucket", pa.int32()), ("block", pa.int64()), ("grams", pa.binary())]
 _SCORE_TYPES = [("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
 MODEL = -1
+#: Rounding of a mass near one must not make the rest zero.
+TINY = 1e-12
 #: The longest n-grams of the production query.
 ORDER = 3
 
@@ -231,6 +232,10 @@ def _answers(requests: pa.Table, order: int, blocks: list[int], answers: list[by
     return _table(dict(zip((k for k, _ in _ANSWER_TYPES), zip(*rows, strict=True) if rows else [[]] * 5, strict=True)), _ANSWER_TYPES)
 
 
+def _narrow(a: np.ndarray) -> np.ndarray:
+    return a.astype(np.uint32) if a.max(initial=0) < 1 << 32 else a
+
+
 def _tally(count: np.ndarray) -> list[int]:
     """How many types were seen 1 to K + 1 times."""
     return np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1 : K + 2].tolist()
@@ -266,7 +271,7 @@ def count_words(requests: pa.Table, buckets: int, fitted: bool) -> pa.Table:
 
 
 def count_grams(requests: pa.Table, order: int, lower: Callable[[np.ndarray, np.ndarray], np.ndarray], fitted: bool) -> pa.Table:
-    """Counts of the n-grams of a bucket; of each history the mass of what was seen after it by the order below, and how many words were seen 1 to K times, and how often the others.
+    """Counts of the n-grams of a bucket; of each history its total and whether a word was seen up to K times after it; where its weight may be used, the mass of what was seen by the order below, how many words were seen 1 to K times, and how often the others.
 
     lower: probabilities by the order below, of counts and totals. Where a model is given, only its table is counted.
     """
@@ -281,30 +286,32 @@ def count_grams(requests: pa.Table, order: int, lower: Callable[[np.ndarray, np.
     history[by] = np.cumsum(new) - 1
     first, m = by[new], int(new.sum())
     below = column(k + 1)[first]
-    h, w = np.repeat(history, column(k)), column(k + 2)
+    h, w = np.repeat(history, column(k)), column(k + 3)
     by = np.lexsort((w, h))
     new = np.ones(len(by), bool)
     new[1:] = (h[by][1:] != h[by][:-1]) | (w[by][1:] != w[by][:-1])
     type_of = np.empty(len(by), np.int64)
     type_of[by] = np.cumsum(new) - 1
-    counted = np.concatenate([x[k + 4].astype(np.int64) * (not fitted or block == MODEL) for block, x in parts])
+    counted = np.concatenate([x[k + 5].astype(np.int64) * (not fitted or block == MODEL) for block, x in parts])
     count = np.zeros(int(new.sum()), np.int64)
     np.add.at(count, type_of, counted)
-    th, tw, suffix = h[by][new], w[by][new], column(k + 3)[by][new]
+    th, tw, suffix = h[by][new], w[by][new], column(k + 4)[by][new]
     seen = count > 0
     mass = np.bincount(th[seen], lower(suffix[seen], below[th[seen]]), m)
     many = [np.bincount(th[count == r], minlength=m) for r in range(1, K + 1)] + [np.bincount(th[count > K], count[count > K], m).astype(np.int64)]
+    total, rare = np.bincount(th, count, m).astype(np.int64), np.any([a > 0 for a in many[:K]], axis=0)
     blocks, answers, at, h_at = [], [], 0, 0
     for block, x in parts:
-        n, h_n = len(x[k + 2]), len(x[0])
+        n, h_n = len(x[k + 3]), len(x[0])
         if block != MODEL:
             own = history[h_at : h_at + h_n]
             blocks.append(block)
-            answers.append(pack(count[type_of[at : at + n]].astype(np.uint32), mass[own], *[a[own].astype(np.uint32 if a.max(initial=0) < 1 << 32 else np.int64) for a in many]))
+            some = own[x[k + 2] == 1]
+            answers.append(pack(_narrow(count[type_of[at : at + n]]), _narrow(total[own]), rare[own].astype(np.uint8), mass[some], *[_narrow(a[some]) for a in many]))
         at, h_at = at + n, h_at + h_n
     kept = np.unique(th[seen])
     n_kept = np.bincount(th[seen], minlength=m)[kept]
-    table = b"" if fitted else pack(*[w[first][kept] for w in words], n_kept.astype(np.uint32), below[kept], tw[seen], suffix[seen], count[seen])
+    table = b"" if fitted else pack(*[w[first][kept] for w in words], n_kept.astype(np.uint32), below[kept], np.zeros(len(kept), np.uint8), tw[seen], suffix[seen], count[seen])
     return _answers(requests, order, blocks, answers, table, _tally(count), fitted)
 
 
@@ -405,7 +412,7 @@ def fit(docs: DataFrame, held: Column | None = None, id: str = "doc_id", text: s
     """A model of n-grams up to `order` from the texts for which `held` is false; its tables are in the shared folder."""
     blocks, found, model = _fit(docs, held, id, text, order)
     first = model.tables[0]
-    split = F.udf(_word_table, "struct<words: binary, tokens: binary>")
+    split = F.udf(_word_table, "struct<words: binary, tokens: binary>", useArrow=False)
     words = stored(first.select("block", "bucket", split("answer").alias("x")).select("block", "bucket", "x.*"), "katz-words")
     return replace(model, tables=(words, *model.tables[1:]))
 
