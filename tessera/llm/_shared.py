@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +76,18 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Python tasks of the tables stored within get batches of about `size` bytes, however many rows these hold."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    had = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, had)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """name, with underscores before it until df has no such column; case doesn't tell columns apart."""
     taken = {c.lower() for c in df.columns}

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import n_buckets, pack, unpack
 from ._graph import components
-from ._shared import discard, few, small, stored
+from ._shared import arrow_batches, discard, few, small, stored
 from ._words import Batch, chunks, mix, release
 
 U64 = np.uint64
@@ -53,7 +53,11 @@ PAYS = 0.02
 #: What can't be in a link is taken out of these before the rest is joined: again while a step takes out so large a part, but not more often than that.
 WORTH, STEPS = 0.1, 3
 #: Bytes and documents in a block.
-BLOCK, BLOCK_DOCS = 6 << 20, 1 << 16
+BLOCK, BLOCK_DOCS = 3 << 20, 1 << 16
+#: Shingles for each bucket of keys: a bucket is one task's group, so there are more of them where there is more text.
+BUCKET_SHINGLES = 500_000
+#: Bytes of texts or sets that a Python task gets at once.
+BATCH = 8 << 20
 #: Ids that may be broadcast; beyond that, documents are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 
@@ -305,6 +309,8 @@ def match_keys(rows: DataFrame) -> DataFrame:
                 for kind, mine in ((2, at[own[at]]), (3, at[~own[at]])):
                     who, where = np.unique(code[mine], return_inverse=True)
                     found.append((kind, who, np.full(len(who), -1), np.bincount(where, 1 + two[mine], len(who)).astype(np.int64)))
+        del parts, key, entry, code
+        release()
         cols = [np.concatenate([np.full(len(x[1]), x[0], np.int32) for x in found]), *(np.concatenate([x[i] for x in found]) for i in (1, 2, 3))] if found else [np.empty(0, np.int64)] * 4
         return pa.table({"kind": pa.array(cols[0], pa.int32()), "a": pa.array(cols[1], pa.int64()), "b": pa.array(cols[2], pa.int64()), "n": pa.array(cols[3], pa.int64())})
 
@@ -360,6 +366,7 @@ def similar(members: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFra
                 same = len(x) + len(y) - len(np.union1d(x, y))
                 good.append(den * same >= num * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+        release()
 
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
@@ -600,14 +607,19 @@ def lean_links(docs: DataFrame, links: DataFrame, width: int, num: int, den: int
 
 def link_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4) -> DataFrame:
     """id, n_shingles, component_id, set_id (smallest id with an equal set) of every row; linked: Jaccard similarity num/den or more."""
+    with arrow_batches(docs.sparkSession, BATCH):
+        return _link_documents(docs, id, text, width, num, den)
+
+
+def _link_documents(docs: DataFrame, id: str, text: str, width: int, num: int, den: int) -> DataFrame:
     docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    buckets = n_buckets(docs.sparkSession)
     signed = stored(signatures(docs, width), "signatures")
     real = signed.filter("n_shingles > 0 and id is not null")
     every = signed.count()
     classes = stored(few(real.groupBy("n_shingles", "d1", "d2").agg(F.min("id").alias("set_id"), F.count("*").alias("rows")), every), "sets")
-    largest, repeated = classes.agg(F.max("n_shingles"), F.count_if(F.col("rows") > 1)).first()
+    largest, repeated, shingles = classes.agg(F.max("n_shingles"), F.count_if(F.col("rows") > 1), F.sum("n_shingles")).first()
     largest = largest or 0
+    buckets = max(n_buckets(docs.sparkSession), -(-(shingles or 0) // BUCKET_SHINGLES))
     several = small(classes.filter("rows > 1"), repeated)
     copies = stored(real.join(several, ["n_shingles", "d1", "d2"]).filter("id <> set_id").select("id"), "copies")
     distinct = _some(docs.filter("id is not null"), copies, "left_anti")

@@ -221,6 +221,20 @@ def test_word_bpe(spark, monkeypatch):
     assert [r.decoded for r in word_bpe.decode(odd, path).collect()] == [t.decode([1, 2], skip_special_tokens=False), "", ""]
 
 
+def test_shingle_join_groups_and_batches_are_bounded(spark, monkeypatch):
+    """More shingles get more buckets, and Python tasks get batches by bytes; the session's own bound comes back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    had, seen = spark.conf.get(name), []
+    index, compare = shingle_join.index_keys, shingle_join.similar
+    monkeypatch.setattr(shingle_join, "BUCKET_SHINGLES", 40)
+    monkeypatch.setattr(shingle_join, "index_keys", lambda docs, plan, width, buckets: seen.append(buckets) or index(docs, plan, width, buckets))
+    monkeypatch.setattr(shingle_join, "similar", lambda *a: seen.append(spark.conf.get(name)) or compare(*a))
+    rows = [(k, " ".join(f"w{k // 2}_{i}" for i in range(60)) + f" end{k}") for k in range(40)]
+    got = {g.doc_id: (g.n_shingles, g.component_id) for g in shingle_join.link_documents(docs_of(spark, rows)).collect()}
+    assert got == {k: (57, k // 2 * 2) for k in range(40)}
+    assert seen[0] == 40 * 57 // 40 and set(seen[1:]) == {str(shingle_join.BATCH)} and spark.conf.get(name) == had
+
+
 def shingles(text):
     w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in words(text)]
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
