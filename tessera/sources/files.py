@@ -50,11 +50,12 @@ def read_texts(spark: SparkSession, path: str, glob: str = "*", skip_dir: str =
 
 
 def read_targets(lines: DataFrame, value: str = "value") -> DataFrame:
-    """name, url of target lists: `name | url` or `url`; blank and # lines are left out."""
+    """name, url of target lists: `name | url` or `url`; blank and # lines are left out. What else the lines have comes first."""
     s = S.strip(F.col(value))
-    t = lines.select(s.alias("line")).filter((F.col("line") != "") & ~F.col("line").startswith("#"))
+    more = [c for c in lines.columns if c != value]
+    t = lines.select(*more, s.alias("line")).filter((F.col("line") != "") & ~F.col("line").startswith("#"))
     two = F.split("line", r"\|", 2)
-    return t.select(F.when(F.size(two) == 2, S.strip(two[0])).alias("name"), S.strip(F.element_at(two, -1)).alias("url"))
+    return t.select(*more, F.when(F.size(two) == 2, S.strip(two[0])).alias("name"), S.strip(F.element_at(two, -1)).alias("url"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
