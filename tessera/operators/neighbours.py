@@ -17,10 +17,12 @@ An empty store or no queries give no rows; fewer than k rows give all of them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,13 +33,16 @@ BLOCK = 2048
 SAMPLE, LISTS, TRIALS = 50_000, 4096, 200
 #: Bytes of queries, counted first, that are sent to all tasks; more are dealt by shuffling.
 BROADCAST_BYTES = 32 << 20
+#: Queries that are compared with a block at a time where every distance is given out.
+SCORED = 16
 
 
 def _packed(df: DataFrame, id: str, vector: str, by: list[str], prefix: str) -> DataFrame:
     """by, <prefix>ids, <prefix>vectors: blocks of the rows of each key."""
     rows = df.select(*by, F.col(id).alias("_i"), F.col(vector).cast("array<float>").alias("_v")).filter("_i is not null and _v is not null")
     counts = rows.groupBy(*by).agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("_blocks"))
-    rows = rows.join(F.broadcast(counts), by) if by else rows.crossJoin(F.broadcast(counts))  # one row for each list, or one in all
+    counts = F.broadcast(counts.withColumnsRenamed({b: f"_{b}" for b in by}))  # one row for each list, or one in all
+    rows = rows.join(counts, reduce(lambda x, y: x & y, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])) if by else rows.crossJoin(counts)
     rows = rows.withColumn("_block", F.pmod(F.xxhash64("_i"), F.greatest("_blocks", F.lit(1))))
     return rows.groupBy(*by, "_block").agg(F.collect_list("_i").alias(f"{prefix}ids"), F.collect_list("_v").alias(f"{prefix}vectors")).drop("_block")
 
@@ -65,30 +70,37 @@ def _first(q: np.ndarray, ids: np.ndarray, distance: np.ndarray, k: int) -> tupl
     return q[keep], ids[keep], distance[keep]
 
 
-def _met(pairs: DataFrame, k: int, kinds: tuple[str, str]) -> DataFrame:
-    """query_id, id, distance: the best k of each query in every task, from pairs of blocks (ids, vectors, q_ids, q_vectors)."""
+def _met(pairs: DataFrame, k: int, kinds: tuple[str, str], by: list[str] | None = None) -> DataFrame:
+    """query_id, by, id, distance: the best k of each query and by in every task, from pairs of blocks (by, ids, vectors, q_ids, q_vectors)."""
+    by = by or []
+    of = {b: pairs.schema[b].dataType.simpleString() for b in by}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
+        rows = 0
         for f in frames:
-            for ids, vectors, q_ids, q_vectors in zip(f["ids"], f["vectors"], f["q_ids"], f["q_vectors"], strict=True):
+            for ids, vectors, q_ids, q_vectors, *key in zip(f["ids"], f["vectors"], f["q_ids"], f["q_vectors"], *(f[b] for b in by), strict=True):
                 q, found, distance = best(np.array(ids), _matrix(vectors), _matrix(q_vectors), k)
-                held.append(pd.DataFrame({"query_id": np.array(q_ids)[q], "id": found, "distance": distance}))
-            if sum(map(len, held)) > 1_000_000:
-                held = [_fewer(held, k)]
+                held.append(pd.DataFrame({"query_id": np.array(q_ids)[q], **dict(zip(by, key, strict=True)), "id": found, "distance": distance}))
+                rows += len(q)
+            if rows > 1_000_000:
+                held = [_fewer(held, k, by)]
+                rows = 0
         if held:
-            yield _fewer(held, k)
+            yield _fewer(held, k, by)
 
-    return pairs.select("ids", "vectors", "q_ids", "q_vectors").mapInPandas(run, f"query_id {kinds[1]}, id {kinds[0]}, distance double")
+    named = "".join(f"{b} {x}, " for b, x in of.items())
+    return pairs.select("ids", "vectors", "q_ids", "q_vectors", *by).mapInPandas(run, f"query_id {kinds[1]}, {named}id {kinds[0]}, distance double")
 
 
-def _fewer(held: list[pd.DataFrame], k: int) -> pd.DataFrame:
-    return pd.concat(held).sort_values(["query_id", "distance", "id"]).groupby("query_id").head(k)
+def _fewer(held: list[pd.DataFrame], k: int, by: list[str]) -> pd.DataFrame:
+    return pd.concat(held).sort_values(["query_id", "distance", "id"]).groupby(["query_id", *by], dropna=False).head(k)
 
 
-def _ranked(found: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy("distance", "id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "id", "distance", "rank")
+def _ranked(found: DataFrame, k: int, by: list[str] | None = None) -> DataFrame:
+    by = by or []
+    w = Window.partitionBy("query_id", *by).orderBy("distance", "id")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", *by, "id", "distance", "rank")
 
 
 def _bytes(queries: DataFrame, vector: str) -> int:
@@ -99,17 +111,46 @@ def _kinds(store: DataFrame, id: str, queries: DataFrame, query_id: str) -> tupl
     return store.schema[id].dataType.simpleString(), queries.schema[query_id].dataType.simpleString()
 
 
-def nearest_to_each(store: DataFrame, queries: DataFrame, k: int = 3, vector: str = "embedding", id: str = "id", query_id: str = "query_id") -> DataFrame:
-    """query_id, id, distance (squared), rank: the k nearest rows of the store for each of a stated set of queries, exactly."""
-    s = _packed(store, id, vector, [], "")
+def _pairs(s: DataFrame, q: DataFrame, size: int) -> DataFrame:
+    """Every block of the store with every block of queries, which have `size` bytes."""
+    if size <= BROADCAST_BYTES:
+        return s.crossJoin(F.broadcast(q))
+    # Each block of queries gets a number, and each block of the store goes to every number.
+    q = stored(q.withColumn("n", F.monotonically_increasing_id()), "query-blocks")
+    return s.crossJoin(F.broadcast(q.select("n"))).join(q.hint("shuffle_hash"), "n")
+
+
+def nearest_to_each(store: DataFrame, queries: DataFrame, k: int = 3, vector: str = "embedding", id: str = "id", query_id: str = "query_id", by: str | None = None) -> DataFrame:
+    """query_id, id, distance (squared), rank: the k nearest rows of the store for each of a stated set of queries, exactly. by: the k nearest of each value of that column, beside query_id."""
+    keys = [by] if by else []
+    s = _packed(store, id, vector, keys, "")
     q = _packed(queries, query_id, vector, [], "q_")
-    if _bytes(queries, vector) <= BROADCAST_BYTES:
-        pairs = s.crossJoin(F.broadcast(q))
-    else:
-        # Each block of queries gets a number, and each block of the store goes to every number.
-        q = stored(q.withColumn("n", F.monotonically_increasing_id()), "query-blocks")
-        pairs = s.crossJoin(F.broadcast(q.select("n"))).join(q.hint("shuffle_hash"), "n")
-    return _ranked(_met(pairs, k, _kinds(store, id, queries, query_id)), k)
+    found = _met(_pairs(s, q, _bytes(queries, vector)), k, _kinds(store, id, queries, query_id), keys)
+    return _ranked(found, k, keys)
+
+
+def scored(store: DataFrame, queries: DataFrame, score: Callable[[np.ndarray], np.ndarray], into: str = "score", vector: str = "embedding", id: str = "id", query_id: str = "query_id") -> DataFrame:
+    """query_id, id, `into`: score(squared distance) for every query and row of the store; score works on arrays. Squares are added place by place, as SQL adds them."""
+    pairs = _pairs(_packed(store, id, vector, [], ""), _packed(queries, query_id, vector, [], "q_"), _bytes(queries, vector))
+    kinds = _kinds(store, id, queries, query_id)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat = lambda x: x.values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(x), -1).T.copy()
+        for batch in batches:
+            for ids, vectors, q_ids, q_vectors in zip(*(batch.column(i) for i in range(4)), strict=True):
+                rows, asked, ids, q_ids = flat(vectors), flat(q_vectors), ids.values, q_ids.values
+                for at in range(0, len(q_ids), SCORED):
+                    some = asked[:, at : at + SCORED]
+                    total = np.zeros((some.shape[1], len(ids)))
+                    gap = np.empty_like(total)
+                    for x, y in zip(rows, some, strict=True):
+                        np.subtract(x[None, :], y[:, None], out=gap)
+                        np.multiply(gap, gap, out=gap)
+                        total += gap
+                    who = q_ids.take(pa.array(np.repeat(np.arange(at, at + len(total)), len(ids))))
+                    yield pa.RecordBatch.from_arrays([who, ids.take(pa.array(np.tile(np.arange(len(ids)), len(total)))), pa.array(score(total.ravel()))], ["query_id", "id", into])
+
+    return pairs.select("ids", "vectors", "q_ids", "q_vectors").mapInArrow(run, f"query_id {kinds[1]}, id {kinds[0]}, {into} double")
 
 
 # --- inverted lists --------------------------------------------------------------------------
