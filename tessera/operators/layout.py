@@ -49,6 +49,10 @@ def _placed(b: DataFrame, image: str, reach: float) -> DataFrame:
     return b.withColumn("cx", span("x")).withColumn("cy", span("y"))
 
 
+#: Boxes for each task in which boxes meet.
+TASK_BOXES = 100_000
+
+
 def _with_height(b: DataFrame, image: str) -> DataFrame:
     """Boxes with all bounds, and h; others are near nothing."""
     b = b.dropna(subset=[f"{k}_{e}" for k in GAPS for e in ("min", "max")])
@@ -58,7 +62,10 @@ def _with_height(b: DataFrame, image: str) -> DataFrame:
 def _met(b: DataFrame, image: str, box: str) -> DataFrame:
     """Near pairs with their bounds, each once. b has h."""
     side = lambda s: _placed(b, image, 0.5).select(image, "h", "cx", "cy", F.col(box).alias(s), *[F.col(f"{k}_{e}").alias(f"{s}_{k}_{e}") for k in GAPS for e in ("min", "max")])
-    p = side("a").join(side("b").drop("h"), [image, "cx", "cy"]).filter("a < b")
+    # Dealt by count: the tasks of a join may otherwise be as many for any number of boxes, and sort all the more.
+    tasks = -(-b.count() // TASK_BOXES) or 1
+    dealt = lambda s: side(s).repartition(tasks, image, "cx", "cy")
+    p = dealt("a").join(dealt("b").drop("h"), [image, "cx", "cy"]).filter("a < b")
     first = lambda axis: _cell(F.greatest(f"a_{axis}_min", f"b_{axis}_min") - 0.5 * GAPS[axis] * F.col("h"), axis)
     return p.filter((first("x") == F.col("cx")) & (first("y") == F.col("cy")) & (_gap("y") <= GAPS["y"] * F.col("h")) & (_gap("x") <= GAPS["x"] * F.col("h")))
 

@@ -79,3 +79,13 @@ def test_components_of_chains_and_stars(spark):
     for _, a, b in pairs[:50]:
         want |= {("c", a): min(a, b), ("c", b): min(a, b)}
     assert got == want
+
+
+def test_boxes_meet_in_as_many_tasks_as_they_need(spark, monkeypatch):
+    rows = [(k // 20, k, float(k * 37 % 300), float(k * 37 % 300 + 30), float(k * 53 % 200), float(k * 53 % 200 + 9)) for k in range(200)]
+    b = spark.createDataFrame(rows, "image_id long, box_id long, x_min double, x_max double, y_min double, y_max double")
+    want = {(i, x[1], y[1]) for i in range(10) for x in rows for y in rows if x[0] == y[0] == i and x[1] < y[1] and max(0, max(x[2], y[2]) - min(x[3], y[3])) <= 27 and max(0, max(x[4], y[4]) - min(x[5], y[5])) <= 18}
+    monkeypatch.setattr(L, "TASK_BOXES", 30)
+    pairs = L.near_pairs(b)
+    assert sorted(map(tuple, pairs.collect())) == sorted(want)
+    assert pairs.rdd.getNumPartitions() == 7
