@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from .strings import blank, strip
 TEXTS = "array<string>"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def string_or_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
@@ -25,21 +32,18 @@ def parse_keys(raw: Column) -> Column:
 
 def entries_of(raw: Column) -> Column:
     """The entries of a lorebook as JSON texts, whatever its shape: a list, entries as list or object, digit keys, or an object of objects. Order stays."""
-    s = strip(raw)
-    whole = F.from_json(s, "map<string,string>")
-    inner = whole["entries"]
     listed = lambda x: F.from_json(x, TEXTS)
     values = lambda x: F.map_values(F.from_json(x, "map<string,string>"))
-    digits = F.forall(F.map_keys(whole), lambda k: k.rlike("^[0-9]+$")) & (F.size(whole) > 0)
     looks = lambda v: v.startswith("{") & v.rlike(r'"(?:key|content|name)"\s*:')
-    objects = F.filter(F.map_values(whole), looks)
-    found = (
-        F.when(s.startswith("["), listed(s))
-        .when(strip(inner).startswith("{"), values(inner))
-        .when(strip(inner).startswith("["), listed(inner))
-        .when(digits, F.map_values(whole))
-        .otherwise(objects)
-    )
+
+    def keyed(whole: Column) -> Column:
+        inner = strip(whole["entries"])
+        digits = F.forall(F.map_keys(whole), lambda k: k.rlike("^[0-9]+$")) & (F.size(whole) > 0)
+        other = F.when(digits, F.map_values(whole)).otherwise(F.filter(F.map_values(whole), looks))
+        return let(inner, lambda i: F.when(i.startswith("{"), values(whole["entries"])).when(i.startswith("["), listed(whole["entries"])).otherwise(other))
+
+    # Bound, so that a file is put together, stripped and parsed once, not for each use.
+    found = let(strip(raw), lambda s: F.when(s.startswith("["), listed(s)).otherwise(let(F.from_json(s, "map<string,string>"), keyed)))
     return F.coalesce(found, F.array().cast(TEXTS))
 
 

@@ -129,3 +129,7 @@ def test_sections(spark):
     df = spark.createDataFrame([("a", "lost\n# Poison\nP.\n# Blind\nB.\n#NoSpace\n# Poison\nagain"), ("b", "---\ntype: x\n---\n# Silence\nS\n# *?\nlost\n## Stun\nT"), ("c", "---\nopen\n# H\nx"), ("d", "")], "path string, content string")
     got = {(r.path, r.filename): r.content for r in C.markdown_sections(df).collect()}
     assert got == {("a", "Poison.md"): "# Poison\nagain", ("a", "Blind.md"): "# Blind\nB.\n#NoSpace", ("b", "Silence.md"): "---\ntype: x\n---\n# Silence\nS", ("b", "Stun.md"): "---\ntype: x\n---\n## Stun\nT", ("c", "H.md"): "# H\nx"}
+
+
+def test_entries_of_names_its_file_once(spark):
+    assert str(R.entries_of(F.col("whole_file"))).count("whole_file") == 1
