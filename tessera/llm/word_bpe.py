@@ -14,6 +14,7 @@ import hashlib
 import json
 import os
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +26,12 @@ from pyspark.sql import types as T
 from ._blocks import gather, n_buckets, pack, same_block, to_blocks, unpack, unpack_words, with_answers, word_requests
 
 #: Ids in a batch of results.
-OUT_IDS = 2_000_000
+OUT_IDS = 500_000
 
 
+@lru_cache(maxsize=1)
 def _tokenizer(definition: str):
+    """Made once for all buckets that a worker gets: to make and drop it for each leaves memory behind, and takes longer than a bucket's words."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 

@@ -4,15 +4,18 @@ import collections
 import hashlib
 import itertools
 import math
+import pathlib
 import random
 import re
+import tempfile
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import _blocks, _trees, exact_index, hyper_lang, katz, line_dedup, mixing, private_data, quality_rules, secret_scan, shingle_join, word_bpe
+from tessera.llm import _blocks, _shared, _trees, exact_index, hyper_lang, katz, line_dedup, mixing, private_data, quality_rules, secret_scan, shingle_join, word_bpe
 from tessera.llm._cores import stars
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, n_words long, a long"
@@ -145,6 +148,14 @@ def test_katz_model_scores_other_texts(spark, monkeypatch):
     assert [r.score for r in katz.fit(docs_of(spark, rows).limit(0)).score(docs_of(spark, [(1, "a b")])).collect()] == [0.0]
 
 
+def test_word_bpe_makes_its_tokenizer_once():
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    assert word_bpe._tokenizer(definition) is word_bpe._tokenizer(definition)
+
+
 def test_discounts_stay_in_range():
     for n in ([0, 5, 3, 2, 1, 1, 1], [0, 0, 0, 0, 0, 0, 0], [0, 7, 0, 0, 0, 0, 0], [0, 1, 9, 1, 9, 1, 9]):
         assert all(0 < x < 1 for x in katz.discounts(n)[1:])
