@@ -270,8 +270,11 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _with_classes(t: DataFrame, classes: DataFrame, rows: int) -> DataFrame:
     """t with the class (node, component) of a line, the line itself if none; only of keys that have several classes."""
     t = t.join(small(classes.withColumnRenamed("node", "line"), rows), "line", "left").withColumn("class", F.coalesce("component", "line")).drop("component")
+    t = stored(t, "line-classed")  # its keys are made once, not for the groups and again for the join
     several = t.groupBy("key").agg(F.min("class").alias("p"), F.max("class").alias("q")).filter("p < q").select("key")
-    return stored(t.join(several, "key"), "line-open")
+    out = stored(t.join(several, "key"), "line-open")
+    discard(t)
+    return out
 
 
 def near_lines(docs: DataFrame, lines: DataFrame, text: str) -> DataFrame:

@@ -156,6 +156,19 @@ def test_word_bpe_makes_its_tokenizer_once():
     assert word_bpe._tokenizer(definition) is word_bpe._tokenizer(definition)
 
 
+def test_line_keys_with_classes_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def key(i):
+        made.add(1)
+        return i % 3
+
+    t = spark.range(30).select(F.col("id").alias("line"), F.udf(key, "long")("id").alias("key"))
+    classes = spark.createDataFrame([(i, 0) for i in range(0, 30, 3)], "node long, component long")
+    got = line_dedup._with_classes(t, classes, 10)
+    assert sorted(r.line for r in got.collect()) == [i for i in range(30) if i % 3] and made.value == 30
+
+
 def test_discounts_stay_in_range():
     for n in ([0, 5, 3, 2, 1, 1, 1], [0, 0, 0, 0, 0, 0, 0], [0, 7, 0, 0, 0, 0, 0], [0, 1, 9, 1, 9, 1, 9]):
         assert all(0 < x < 1 for x in katz.discounts(n)[1:])
