@@ -44,7 +44,8 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     writer = df.write
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    with shuffles_removed(spark):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     if _gathered is not None:
@@ -52,6 +53,18 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run within go when it has ended, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    had = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, had)
+
+
 def gather(into: list[DataFrame] | None) -> None:
     """From now on stored() notes its tables in `into`; None: no more."""
     global _gathered

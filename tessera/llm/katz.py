@@ -162,13 +162,15 @@ class Grams:
         step = np.arange(len(self.h_all)) - np.repeat(np.cumsum(s) - s, s)
         self.h_to = (hashed[self.h_all] + step.astype(np.uint64)) % np.uint64(model.buckets)
 
-    def requests(self, order: int) -> Iterator[tuple[int, bytes]]:
-        """(bucket, request): the history's words, how many n-grams are asked for, the total of the history below, whether its weight may be used; of each n-gram its word, the count of its suffix, its count here."""
+    def requests(self, order: int, part: int, parts: int) -> Iterator[tuple[int, bytes]]:
+        """(bucket, request) for the buckets of one of the parts: the history's words, how many n-grams are asked for, the total of the history below, whether its weight may be used; of each n-gram its word, the count of its suffix, its count here."""
         self.lay(order)
         low = self.levels[-1]
         trained = self.trained[self.asked]
         h, w, suffix = self.h[self.asked], self.w[self.asked], self.suffix[self.asked]
         for b, at, h_at in _by_bucket(self.to, self.h_to, self.model.buckets):
+            if b % parts != part:
+                continue
             mine = self.h_all[h_at]
             n = np.bincount(np.searchsorted(mine, h[at]), minlength=len(mine))
             total = low.total[self.h_low[mine]] if order > 2 else np.zeros(len(mine), np.int64)
@@ -223,10 +225,12 @@ MODEL = -1
 TINY = 1e-12
 #: The longest n-grams of the production query.
 ORDER = 3
+#: Passes over the buckets for n-grams of more than two words, so that not all requests for these are on disk at once.
+PARTS = 2
 
 
 def _answers(requests: pa.Table, order: int, blocks: list[int], answers: list[bytes], table: bytes, sums: list[int], fitted: bool) -> pa.Table:
-    """Rows for all blocks that asked, and while fitting one for the model."""
+    """Rows for all blocks that asked, and while fitting one for the model: its sums, and its table if that is kept."""
     b = requests.column("bucket")[0].as_py()
     rows = [(x, b, order, a, None) for x, a in zip(blocks, answers, strict=True)] + ([] if fitted else [(MODEL, b, order, table, sums)])
     return _table(dict(zip((k for k, _ in _ANSWER_TYPES), zip(*rows, strict=True) if rows else [[]] * 5, strict=True)), _ANSWER_TYPES)
@@ -246,7 +250,7 @@ def _parts(requests: pa.Table, column: str) -> list[tuple[int, dict]]:
     return sorted(zip(requests.column("block").to_pylist(), requests.select([column] if column == "grams" else ["words", "tokens"]).to_pylist(), strict=True), key=lambda x: x[0])
 
 
-def count_words(requests: pa.Table, buckets: int, fitted: bool) -> pa.Table:
+def count_words(requests: pa.Table, buckets: int, fitted: bool, keep: bool = True) -> pa.Table:
     """Counts and global numbers of the words of a bucket. Where a model is given, only its table is counted."""
     number: dict[bytes, int] = {}
     asked, parts = [], _parts(requests, "words")
@@ -265,12 +269,12 @@ def count_words(requests: pa.Table, buckets: int, fitted: bool) -> pa.Table:
     place[order] = np.arange(len(order), dtype=np.uint64)
     gid = place * np.uint64(buckets) + np.uint64(requests.column("bucket")[0].as_py())
     every, seen = list(number), order[counts[order] > 0]
-    table = pack(np.frombuffer(pack_words([every[i] for i in seen.tolist()]), np.uint8), counts[seen])
+    table = pack(np.frombuffer(pack_words([every[i] for i in seen.tolist()]), np.uint8), counts[seen]) if keep else b""
     mine = [(block, pack(counts[at], gid[at])) for at, (block, _) in zip(asked, parts, strict=True) if block != MODEL]
     return _answers(requests, 1, [b for b, _ in mine], [a for _, a in mine], table, [int(counts.sum()), int((counts > 0).sum()), *_tally(counts)], fitted)
 
 
-def count_grams(requests: pa.Table, order: int, lower: Callable[[np.ndarray, np.ndarray], np.ndarray], fitted: bool) -> pa.Table:
+def count_grams(requests: pa.Table, order: int, lower: Callable[[np.ndarray, np.ndarray], np.ndarray], fitted: bool, keep: bool = True) -> pa.Table:
     """Counts of the n-grams of a bucket; of each history its total and whether a word was seen up to K times after it; where its weight may be used, the mass of what was seen by the order below, how many words were seen 1 to K times, and how often the others.
 
     lower: probabilities by the order below, of counts and totals. Where a model is given, only its table is counted.
@@ -311,7 +315,7 @@ def count_grams(requests: pa.Table, order: int, lower: Callable[[np.ndarray, np.
         at, h_at = at + n, h_at + h_n
     kept = np.unique(th[seen])
     n_kept = np.bincount(th[seen], minlength=m)[kept]
-    table = b"" if fitted else pack(*[w[first][kept] for w in words], n_kept.astype(np.uint32), below[kept], np.zeros(len(kept), np.uint8), tw[seen], suffix[seen], count[seen])
+    table = b"" if fitted or not keep else pack(*[w[first][kept] for w in words], n_kept.astype(np.uint32), below[kept], np.zeros(len(kept), np.uint8), tw[seen], suffix[seen], count[seen])
     return _answers(requests, order, blocks, answers, table, _tally(count), fitted)
 
 
@@ -341,32 +345,32 @@ class Model:
         return _rated(blocks, found, self).withColumnRenamed("id", id)
 
 
-def _asking(order: int, so_far: Model) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """What makes a block's requests for n-grams, from its answers for shorter ones."""
+def _asking(order: int, so_far: Model, part: int, parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """What makes a block's requests for n-grams to the buckets of a part, from its answers for shorter ones."""
 
     def ask(row: pa.Table, found: pa.Table) -> pa.Table:
-        rows = [(b, row.column("block")[0].as_py(), x) for b, x in Grams(row, found, so_far).requests(order)] if row.num_rows else []
+        rows = [(b, row.column("block")[0].as_py(), x) for b, x in Grams(row, found, so_far).requests(order, part, parts)] if row.num_rows else []
         return _table(dict(zip((k for k, _ in _REQUEST_TYPES), zip(*rows, strict=True) if rows else [[]] * 3, strict=True)), _REQUEST_TYPES)
 
     return ask
 
 
-def _counting(order: int, so_far: Model, fitted: bool) -> Callable[[pa.Table], pa.Table]:
+def _counting(order: int, so_far: Model, fitted: bool, keep: bool) -> Callable[[pa.Table], pa.Table]:
     def count(requests: pa.Table) -> pa.Table:
-        out = count_grams(requests, order, so_far.lower(), fitted)
+        out = count_grams(requests, order, so_far.lower(), fitted, keep)
         release()
         return out
 
     return count
 
 
-def _rounds(blocks: DataFrame, model: Model, order: int) -> tuple[DataFrame, Model]:
-    """Answers for all blocks, order after order, and the model: the given one if it has tables, else one fitted on the way."""
+def _rounds(blocks: DataFrame, model: Model, order: int, keep: bool = True) -> tuple[DataFrame, Model]:
+    """Answers for all blocks, order after order, and the model: the given one if it has tables, else one fitted on the way; its tables are for other texts, and only written if `keep` is true."""
     fitted, buckets = bool(model.tables), model.buckets
     asked = word_requests(blocks)
     if fitted:
         asked = asked.unionByName(model.tables[0].select("block", "bucket", F.lit(0).cast("long").alias("stamp"), "words", "tokens"))
-    at = stored(asked.groupBy("bucket").applyInArrow(lambda x: count_words(x, buckets, fitted), ANSWERS), "katz-1")
+    at = stored(asked.groupBy("bucket").applyInArrow(lambda x: count_words(x, buckets, fitted, keep), ANSWERS), "katz-1")
     tables = [at.filter(F.col("block") == MODEL)]
     if not fitted:
         total = _sums(tables[0], K + 3)
@@ -374,15 +378,18 @@ def _rounds(blocks: DataFrame, model: Model, order: int) -> tuple[DataFrame, Mod
     found = at.filter(F.col("block") != MODEL)
     so_far = replace(model.bare(), discounts=())
     for n in range(2, order + 1):
-        asked = with_answers(blocks, found, _asking(n, so_far), "bucket int, block long, grams binary")
-        if fitted:
-            asked = asked.unionByName(model.tables[n - 1].select("bucket", "block", F.col("answer").alias("grams")))
-        at = stored(asked.groupBy("bucket").applyInArrow(_counting(n, so_far, fitted), ANSWERS), f"katz-{n}")
+        parts, at = 1 if n == 2 else PARTS, None
+        for part in range(parts):
+            asked = with_answers(blocks, found, _asking(n, so_far, part, parts), "bucket int, block long, grams binary")
+            if fitted:
+                asked = asked.unionByName(model.tables[n - 1].filter(F.col("bucket") % parts == part).select("bucket", "block", F.col("answer").alias("grams")))
+            mine = stored(asked.groupBy("bucket").applyInArrow(_counting(n, so_far, fitted, keep), ANSWERS), f"katz-{n}")
+            at = mine if at is None else at.unionByName(mine)
         tables.append(at.filter(F.col("block") == MODEL))
         found = found.unionByName(at.filter(F.col("block") != MODEL))
         d = model.discounts[n - 2] if fitted else discounts([0, *_sums(tables[-1], K + 1)])
         so_far = replace(so_far, discounts=(*so_far.discounts, d))
-    return found, model if fitted else replace(so_far, tables=tuple(tables))
+    return found, model if fitted else replace(so_far, tables=tuple(tables) if keep else ())
 
 
 def _rated(blocks: DataFrame, found: DataFrame, model: Model) -> DataFrame:
@@ -401,16 +408,16 @@ def _rated(blocks: DataFrame, found: DataFrame, model: Model) -> DataFrame:
     return with_answers(blocks, found, rate, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _fit(docs: DataFrame, held: Column | None, id: str, text: str, order: int) -> tuple[DataFrame, DataFrame, Model]:
+def _fit(docs: DataFrame, held: Column | None, id: str, text: str, order: int, keep: bool) -> tuple[DataFrame, DataFrame, Model]:
     held = held_out(id) if held is None else held
     blocks = stored_blocks(docs.select(F.col(id).alias("id"), F.col(text).alias("text"), held.alias("flag")), "katz-blocks", fold=True, end=True)
-    found, model = _rounds(blocks, Model(n_buckets(docs.sparkSession), Unigrams.of(0, 0, [])), order)
+    found, model = _rounds(blocks, Model(n_buckets(docs.sparkSession), Unigrams.of(0, 0, [])), order, keep)
     return blocks, found, model
 
 
 def fit(docs: DataFrame, held: Column | None = None, id: str = "doc_id", text: str = "text", order: int = ORDER) -> Model:
     """A model of n-grams up to `order` from the texts for which `held` is false; its tables are in the shared folder."""
-    blocks, found, model = _fit(docs, held, id, text, order)
+    blocks, found, model = _fit(docs, held, id, text, order, keep=True)
     first = model.tables[0]
     split = F.udf(_word_table, "struct<words: binary, tokens: binary>", useArrow=False)
     words = stored(first.select("block", "bucket", split("answer").alias("x")).select("block", "bucket", "x.*"), "katz-words")
@@ -425,7 +432,7 @@ def _word_table(packed: bytes) -> tuple[bytes, bytes]:
 
 def fit_score(docs: DataFrame, held: Column | None = None, id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document; `held` is true where a text is not learned from."""
-    return _rated(*_fit(docs, held, id, text, order)).withColumnRenamed("id", id)
+    return _rated(*_fit(docs, held, id, text, order, keep=False)).withColumnRenamed("id", id)
 
 
 def _by_bucket(to: np.ndarray, h_to: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

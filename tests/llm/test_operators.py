@@ -148,6 +148,36 @@ def test_katz_model_scores_other_texts(spark, monkeypatch):
     assert [r.score for r in katz.fit(docs_of(spark, rows).limit(0)).score(docs_of(spark, [(1, "a b")])).collect()] == [0.0]
 
 
+def test_katz_scores_without_tables_of_a_model(spark, monkeypatch):
+    tables = {}
+
+    def stored(df, name):
+        tables[name] = _shared.stored(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(katz, "stored", stored)
+    katz.fit_score(docs_of(spark, prose(2, 30))).count()
+    assert sorted(tables) == ["katz-1", "katz-2", "katz-3"]
+    for x in tables.values():
+        assert x.filter("block < 0").count() and not x.filter("block < 0 and length(answer) > 0").count()
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    name, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    had = spark.conf.get(name)
+    with _shared.shuffles_removed(spark):
+        seen.append(spark.conf.get(name))
+    assert seen == ["true"] and spark.conf.get(name) == had
+    files = lambda: sum(1 for x in pathlib.Path(tempfile.gettempdir()).glob("**/blockmgr-*/**/shuffle_*.data"))
+    before = files()
+    _shared.stored(spark.range(1000).repartition(3, "id"), "few")  # counting it would make a shuffle of its own
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+
+
 def test_word_bpe_makes_its_tokenizer_once():
     import public_tokenizers
 
