@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._shared import partitions, stored
-from ._words import release
+from ._words import by_number, release
 
 #: Bytes of text in a block, unless one text is longer.
 BLOCK = 16 << 20
@@ -102,7 +102,7 @@ class Block:
             yield number, -1, stamp, None, pack(ids, known, flags.astype(np.uint8), lengths, tokens, bucket)
         if only == "documents":
             return
-        by = np.argsort(bucket, kind="stable")
+        by = by_number(bucket, self.n_buckets)
         cuts = np.searchsorted(bucket[by], np.arange(self.n_buckets + 1))
         for b in range(self.n_buckets):
             at = by[cuts[b] : cuts[b + 1]]

@@ -35,6 +35,43 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows of columns of whole numbers from zero on: each row's number among the distinct rows, which are in ascending order, and one row of each of these.
+
+    Where a row and its place fit 64 bits together, such numbers are sorted themselves, which takes a third of the time of sorting places by them.
+    """
+    n, size = len(columns[0]), 1
+    key = np.zeros(n, np.uint64)
+    for c in columns:
+        size *= (top := int(c.max(initial=0)) + 1)
+        if size <= 1 << 64:
+            key *= U64(top % (1 << 64))
+            key += c.astype(np.uint64)
+    new, bits = np.ones(n, bool), n.bit_length()
+    if size <= 1 << (64 - bits):
+        key <<= U64(bits)
+        key |= np.arange(n, dtype=np.uint64)
+        key.sort()
+        at = (key & U64((1 << bits) - 1)).astype(np.int32 if n < 1 << 31 else np.int64)
+        key >>= U64(bits)
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+    elif size <= 1 << 64:
+        at = np.argsort(key)
+        key = key[at]
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+    else:
+        at = np.lexsort(columns[::-1])
+        new[1:] = np.any([c[at][1:] != c[at][:-1] for c in columns], axis=0)
+    number = np.empty(n, at.dtype)
+    number[at] = np.cumsum(new, dtype=at.dtype) - 1
+    return number, at[new]
+
+
+def by_number(a: np.ndarray, top: int) -> np.ndarray:
+    """Places of numbers below `top` in ascending order, equal ones in their order; in time by their count where numbers have 16 bits."""
+    return np.argsort(a.astype(np.uint16) if top <= 1 << 16 else a, kind="stable")
+
+
 def powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, n or more of each."""
     have = _powers.get(base)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ._blocks import gather, n_buckets, pack, pack_words, stored_blocks, to_blocks, unpack, unpack_words, with_answers, word_requests
 from ._shared import stored
-from ._words import mix, release
+from ._words import by_number, distinct, mix, release
 
 #: Counts above this are not discounted.
 K = 5
@@ -132,12 +132,12 @@ class Grams:
     def lay(self, order: int) -> None:
         """The distinct n-grams of an order, and the buckets of those that may have been seen."""
         low, n = self.levels[-1], len(self.counts)
-        history = np.empty(len(self.tokens), np.int64)
+        history = np.empty(len(self.tokens), np.int32)
         history[1:] = low.where[:-1]
         history[self.firsts] = len(low.words)  # ends alone
-        key, where = np.unique(history * n + self.tokens, return_inverse=True)
-        self.where, self.h, self.w = (x.astype(np.int32) for x in (where, key // n, key % n))
-        self.suffix = np.empty(len(key), np.int32)
+        self.where, first = distinct(history, self.tokens)
+        self.h, self.w = history[first], self.tokens[first]
+        self.suffix = np.empty(len(first), np.int32)
         self.suffix[self.where] = low.where
         self.h_words = np.vstack([low.words, np.full((1, order - 1), self.end, np.int32)])
         self.h_count = np.append(low.count, self.counts[self.end])
@@ -146,7 +146,7 @@ class Grams:
         else:
             self.h_low = np.append(low.suffix, np.int32(len(self.levels[-2].count)))
         gid, model = self.gid, self.model
-        self.trained = np.bincount(self.where[np.repeat(self.held == 0, self.n_words)], minlength=len(key))
+        self.trained = np.bincount(self.where[np.repeat(self.held == 0, self.n_words)], minlength=len(first))
         self.open = np.zeros(len(self.h_words), bool)
         self.open[self.h[self.trained == 0]] = True  # all others' n-grams were seen, so no weight is used
         hashed = np.zeros(len(self.h_words), np.uint64)
@@ -156,7 +156,9 @@ class Grams:
         self.asked = np.flatnonzero((self.h_count[self.h] > 0) & (low.count[self.suffix] > 0))
         h, w = self.h[self.asked], self.w[self.asked]
         self.to = (hashed[h] + mix(gid[w]) % spread[h].astype(np.uint64)) % np.uint64(model.buckets)
-        histories = np.unique(self.h[self.h_count[self.h] > 0])  # those before unknown words too
+        used = np.zeros(len(self.h_words), bool)
+        used[self.h] = True
+        histories = np.flatnonzero(used & (self.h_count > 0))  # those before unknown words too
         s = spread[histories]
         self.h_all = np.repeat(histories, s)
         step = np.arange(len(self.h_all)) - np.repeat(np.cumsum(s) - s, s)
@@ -283,23 +285,15 @@ def count_grams(requests: pa.Table, order: int, lower: Callable[[np.ndarray, np.
     k = order - 1
     column = lambda i: np.concatenate([x[i] for _, x in parts])
     words = [column(i) for i in range(k)]
-    by = np.lexsort(words[::-1])
-    new = np.ones(len(by), bool)
-    new[1:] = np.any([w[by][1:] != w[by][:-1] for w in words], axis=0)
-    history = np.empty(len(by), np.int64)
-    history[by] = np.cumsum(new) - 1
-    first, m = by[new], int(new.sum())
+    history, first = distinct(*words)
+    m = len(first)
     below = column(k + 1)[first]
     h, w = np.repeat(history, column(k)), column(k + 3)
-    by = np.lexsort((w, h))
-    new = np.ones(len(by), bool)
-    new[1:] = (h[by][1:] != h[by][:-1]) | (w[by][1:] != w[by][:-1])
-    type_of = np.empty(len(by), np.int64)
-    type_of[by] = np.cumsum(new) - 1
+    type_of, a_type = distinct(h, w)
     counted = np.concatenate([x[k + 5].astype(np.int64) * (not fitted or block == MODEL) for block, x in parts])
-    count = np.zeros(int(new.sum()), np.int64)
+    count = np.zeros(len(a_type), np.int64)
     np.add.at(count, type_of, counted)
-    th, tw, suffix = h[by][new], w[by][new], column(k + 4)[by][new]
+    th, tw, suffix = h[a_type], w[a_type], column(k + 4)[a_type]
     seen = count > 0
     mass = np.bincount(th[seen], lower(suffix[seen], below[th[seen]]), m)
     many = [np.bincount(th[count == r], minlength=m) for r in range(1, K + 1)] + [np.bincount(th[count > K], count[count > K], m).astype(np.int64)]
@@ -313,8 +307,9 @@ def count_grams(requests: pa.Table, order: int, lower: Callable[[np.ndarray, np.
             some = own[x[k + 2] == 1]
             answers.append(pack(_narrow(count[type_of[at : at + n]]), _narrow(total[own]), rare[own].astype(np.uint8), mass[some], *[_narrow(a[some]) for a in many]))
         at, h_at = at + n, h_at + h_n
-    kept = np.unique(th[seen])
-    n_kept = np.bincount(th[seen], minlength=m)[kept]
+    n_kept = np.bincount(th[seen], minlength=m)
+    kept = np.flatnonzero(n_kept)
+    n_kept = n_kept[kept]
     table = b"" if fitted or not keep else pack(*[w[first][kept] for w in words], n_kept.astype(np.uint32), below[kept], np.zeros(len(kept), np.uint8), tw[seen], suffix[seen], count[seen])
     return _answers(requests, order, blocks, answers, table, _tally(count), fitted)
 
@@ -438,7 +433,7 @@ def fit_score(docs: DataFrame, held: Column | None = None, id: str = "doc_id", t
 def _by_bucket(to: np.ndarray, h_to: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(bucket, places of its pairs, places of its histories) for buckets that get any; pairs stay in their order, by history."""
     edges = np.arange(buckets + 1, dtype=np.uint64)
-    by, h_by = np.argsort(to, kind="stable"), np.argsort(h_to, kind="stable")
+    by, h_by = by_number(to, buckets), by_number(h_to, buckets)
     cut, h_cut = np.searchsorted(to[by], edges), np.searchsorted(h_to[h_by], edges)
     for b in range(buckets):
         if cut[b + 1] > cut[b] or h_cut[b + 1] > h_cut[b]:

@@ -12,10 +12,12 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import _blocks, _shared, _trees, exact_index, hyper_lang, katz, line_dedup, mixing, private_data, quality_rules, secret_scan, shingle_join, word_bpe
+from tessera.llm import _blocks, _shared, _trees, _words, exact_index, hyper_lang, katz, line_dedup, mixing, private_data, quality_rules, secret_scan, shingle_join, word_bpe
 from tessera.llm._cores import stars
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, n_words long, a long"
@@ -148,6 +150,31 @@ def test_katz_model_scores_other_texts(spark, monkeypatch):
     assert [r.score for r in katz.fit(docs_of(spark, rows).limit(0)).score(docs_of(spark, [(1, "a b")])).collect()] == [0.0]
 
 
+def test_katz_numbers_ngrams_without_sorting_places(monkeypatch):
+    r = np.random.default_rng(3)
+    for tops in ([5], [7, 300_000], [1 << 20, 1 << 28], [1 << 40, 1 << 24], [1 << 40, 1 << 30], [1 << 63, 3, 9]):
+        rows = [np.concatenate([x := r.integers(0, t, 500).astype(np.uint64), x]) for t in tops]
+        number, first = _words.distinct(*rows)
+        want, inverse = np.unique(np.column_stack(rows), axis=0, return_inverse=True)
+        assert (np.column_stack(rows)[first] == want).all() and (number == inverse.reshape(-1)).all()
+        assert [len(x) for x in _words.distinct(*[x[:0] for x in rows])] == [0, 0]
+    slow = lambda *a, **k: pytest.fail("sorts places")
+    block = _blocks.Block(8, True, True)
+    for i, t in prose(5, 40):
+        block.add(i, t.encode(), i % 5 == 1)
+    row, *asked = [dict(zip(("block", "bucket", "stamp", "words", "tokens"), x, strict=True)) for x in block.rows(0)]
+    counted = [katz.count_words(pa.Table.from_pylist([x]), 8, False) for x in asked]
+    found = pa.concat_tables([x.filter(pc.not_equal(x["block"], katz.MODEL)) for x in counted])
+    model = katz.Model(8, katz.Unigrams.of(500, 60, [0, 9, 5, 3, 2, 1, 1]))
+    with monkeypatch.context() as m:
+        m.setattr(np, "lexsort", slow)
+        m.setattr(np, "unique", slow)
+        requests = katz._asking(2, model, 0, 1)(pa.Table.from_pylist([row]), found)
+        for b in range(requests.num_rows):
+            katz.count_grams(requests.slice(b, 1), 2, model.lower(), False)
+    assert requests.num_rows
+
+
 def test_katz_scores_without_tables_of_a_model(spark, monkeypatch):
     tables = {}
 
