@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,43 +80,61 @@ def running_totals(events: DataFrame) -> DataFrame:
     return events.select("user_id", "value").groupBy("user_id").applyInPandasWithState(step, "user_id long, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout)
 
 
+#: Groups of users that share state, and rows that a group gathers before it joins them to its visits.
+USER_GROUPS, GATHERED = 1024, 200_000
+_HELD = ("known", "user", "first", "last", "n", "total")
+
+
+def merged_visits(rows: pd.DataFrame, width: int) -> pd.DataFrame:
+    """rows (known, user, first, last, n, total), those of a user less than `width` apart as one; by user and time."""
+    by = np.lexsort((rows["total"], rows["n"], rows["last"], rows["first"], rows["user"], rows["known"]))
+    known, user, first, last, n, total = (rows[c].to_numpy()[by] for c in _HELD)
+    if not len(by):
+        return rows
+    new_user = np.append(True, (user[1:] != user[:-1]) | (known[1:] != known[:-1]))
+    reached = pd.Series(last).groupby(np.cumsum(new_user)).cummax().to_numpy()
+    at = np.flatnonzero(new_user | np.append(True, first[1:] >= reached[:-1] + width))
+    ends = np.append(at[1:], len(by)) - 1
+    return pd.DataFrame({"known": known[at], "user": user[at], "first": first[at], "last": reached[ends], "n": np.add.reduceat(n, at), "total": np.add.reduceat(total, at)})
+
+
 def visits(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
     """user_id, session_start, last_event, n, total of each visit of a user, given out once event time has passed its end; events later than `late` don't count.
 
-    Visits end when a user's events pause for `gap`. State is the user's open visits, each of
-    which merges with another when an event closes the gap between them, so events within
-    `late` may come in any order.
+    Visits end when a user's events pause for `gap`. Users share state by the hash of their id,
+    USER_GROUPS groups in all whatever the session, as a checkpoint keeps them: a call costs far
+    more than a row. State is a group's open visits, each of which merges with another when an
+    event closes the gap between them, so events within `late` may come in any order.
     """
     width = int(pd.Timedelta(gap).total_seconds() * 1_000_000)
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        open_visits = [list(x) for x in zip(*state.get, strict=True)] if state.exists else []
+        kinds = dict(zip(_HELD, ("bool", "int64", "int64", "int64", "int64", "float64"), strict=True))
+        visits = pd.DataFrame({c: np.array(x, kinds[c]) for c, x in zip(_HELD, state.get if state.exists else [[]] * 6, strict=True)})
+        more, size = [], 0
         for f in frames:
-            open_visits += [[t, t, 1, v] for t, v in zip(f["at"].tolist(), f["value"].tolist(), strict=True)]
-        open_visits.sort()
-        merged: list[list] = []
-        for first, last, n, total in open_visits:
-            if merged and first < merged[-1][1] + width:
-                merged[-1] = [merged[-1][0], max(last, merged[-1][1]), merged[-1][2] + n, merged[-1][3] + total]
-            else:
-                merged.append([first, last, n, total])
+            more.append(pd.DataFrame({"known": f["known"], "user": f["user"], "first": f["at"], "last": f["at"], "n": 1, "total": f["value"]}).astype(kinds))  # a call for time alone brings an empty frame of no kinds
+            size += len(f)
+            if size >= max(GATHERED, len(visits)):  # visits grow by half at least, or shrink
+                visits, more, size = merged_visits(pd.concat([visits, *more]), width), [], 0
+        visits = merged_visits(pd.concat([visits, *more]) if more else visits, width)
         past = state.getCurrentWatermarkMs() * 1000
-        ended = [v for v in merged if v[1] + width <= past]
-        still = [v for v in merged if v[1] + width > past]
-        if still:
-            state.update(tuple(list(x) for x in zip(*still, strict=True)))
-            state.setTimeoutTimestamp(-(-(min(v[1] for v in still) + width) // 1000))
+        over = visits["last"] + width <= past
+        ended, still = visits[over], visits[~over]
+        if len(still):
+            state.update(tuple(still[c].tolist() for c in _HELD))
+            state.setTimeoutTimestamp(-(-(int(still["last"].min()) + width) // 1000))
         elif state.exists:
             state.remove()
-        if ended:
-            first, last, n, total = zip(*ended, strict=True)
-            yield pd.DataFrame({"user_id": key[0], "first": list(first), "last": list(last), "n": list(n), "total": list(total)})
-
-    out = "user_id long, first long, last long, n long, total double"
-    held = "first array<long>, last array<long>, n array<long>, total array<double>"
-    rows = events.select("user_id", "ts", F.unix_micros("ts").alias("at"), "value").withWatermark("ts", late)
-    done = rows.groupBy("user_id").applyInPandasWithState(step, out, held, "append", GroupStateTimeout.EventTimeTimeout)
-    return done.select("user_id", F.timestamp_micros("first").alias("session_start"), F.timestamp_micros("last").alias("last_event"), "n", "total")
+        if len(ended):
+            yield ended
+
+    out = "known boolean, user long, first long, last long, n long, total double"
+    held = "known array<boolean>, user array<long>, first array<long>, last array<long>, n array<long>, total array<double>"
+    user = F.col("user_id").cast("long")
+    rows = events.select(F.pmod(F.hash(user), F.lit(USER_GROUPS)).alias("users"), user.isNotNull().alias("known"), F.coalesce(user, F.lit(0)).alias("user"), "ts", F.unix_micros("ts").alias("at"), "value").withWatermark("ts", late)
+    done = rows.groupBy("users").applyInPandasWithState(step, out, held, "append", GroupStateTimeout.EventTimeTimeout)
+    return done.select(F.when(F.col("known"), F.col("user")).alias("user_id"), F.timestamp_micros("first").alias("session_start"), F.timestamp_micros("last").alias("last_event"), "n", "total")
 
 
 def dropped_late(query: StreamingQuery) -> int:

@@ -1,7 +1,10 @@
 import datetime
 import json
 import os
+import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -463,3 +466,42 @@ def test_lorebook_union_spreads_entries_of_one_file(spark):
     got = {(r.system, r.uid): json.loads(r.entry)["name"] for r in u.collect()}
     assert got == {("s", 1): "first", ("t", 1): "x"} | {("s", k + 2): f"n{i}" for k, i in enumerate(i for i in range(300) if i % 3)}
     assert u.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def visits_by_rule(rows, width):
+    out = []
+    for known, user, first, last, n, total in sorted(rows):
+        if out and out[-1][:2] == [known, user] and first < out[-1][3] + width:
+            out[-1] = [known, user, out[-1][2], max(last, out[-1][3]), out[-1][4] + n, out[-1][5] + total]
+        else:
+            out.append([known, user, first, last, n, total])
+    return out
+
+
+def test_merged_visits():
+    r = random.Random(7)
+    for n in (0, 1, 300):
+        rows = [(r.random() < 0.9, r.choice([0, 3, (1 << 62) + 1, (1 << 62) + 2]), at := r.randrange(5000), at + r.choice([0, 0, 40]), r.randint(1, 3), float(r.randint(0, 9))) for _ in range(n)]
+        frame = pd.DataFrame({c: np.array([x[i] for x in rows], k) for i, (c, k) in enumerate(zip(("known", "user", "first", "last", "n", "total"), ("bool", "int64", "int64", "int64", "int64", "float64")))})
+        assert H.merged_visits(frame, 10).values.tolist() == pd.DataFrame(visits_by_rule(rows, 10), columns=frame.columns).values.tolist()
+        assert H.merged_visits(frame, 10)["user"].tolist() == [x[1] for x in visits_by_rule(rows, 10)]
+
+
+def test_visits_of_many_users_in_few_calls(spark, tmp_path, monkeypatch):
+    """State is held by groups of users, not by user; users with the same group, and events of nobody, keep apart."""
+    monkeypatch.setattr(H, "USER_GROUPS", 3)
+    monkeypatch.setattr(H, "GATHERED", 5)
+    begin, minute = datetime.datetime(2024, 1, 1), datetime.timedelta(minutes=1)
+    r = random.Random(11)
+    events = [(r.choice([None, *range(40)]), begin + r.randrange(600) * minute, float(r.randint(0, 9))) for _ in range(500)]
+    schema, src = "user_id long, ts timestamp, value double", str(tmp_path / "in")
+    days = datetime.timedelta(days=2)
+    for part in ([e for e in events if e[1] < begin + 300 * minute], [e for e in events if e[1] >= begin + 300 * minute], [(-1, begin + days, 0.0)]):
+        spark.createDataFrame(part, schema).coalesce(2).write.mode("append").parquet(src)
+        run = H.visits(spark.readStream.schema(schema).parquet(src)).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start()
+        run.awaitTermination()
+        assert run.recentProgress[-1].stateOperators[0].numRowsTotal <= 3
+    us = lambda t: int((t - begin) / datetime.timedelta(microseconds=1))
+    want = [[u if k else None, begin + datetime.timedelta(microseconds=a), begin + datetime.timedelta(microseconds=b), n, v] for k, u, a, b, n, v in visits_by_rule([(e[0] is not None, e[0] or 0, us(e[1]), us(e[1]), 1, e[2]) for e in events], us(begin + 30 * minute))]
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(map(str, map(list, got))) == sorted(map(str, want))
