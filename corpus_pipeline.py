@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import line_dedup, mixing, quality_rules, shingle_join, word_bpe
-from tessera.llm._shared import discard, gather, stored
+from tessera.llm._shared import arrow_batches, discard, gather, stored
 from tessera.llm.queries import table, tokenizer_path
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _left: list[DataFrame] = []
+#: Bytes of text in a batch and in a block of the last stage: by then the executors' own memory has grown, so its Python tasks get little at once.
+BATCH, BLOCK = 2 << 20, 4 << 20
 
 
 def stage(work: Stage) -> Stage:
@@ -67,8 +69,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document, and the digests of ids and decoded text."""
-    return word_bpe.digests(docs, tokenizer_path())
+    """Ids of each document, and the digests of ids and decoded text; a stored table, which stays, as it is the result."""
+    with arrow_batches(spark, BATCH):
+        out = stored(word_bpe.digests(docs, tokenizer_path(), block=BLOCK), "encoded")
+    _left[:] = [x for x in _left if x is not out]
+    return out
 
 
 STAGES = [("quality rules", rules), ("line dedup", lines), ("n-gram Jaccard join", near), ("mixing", mix), ("BPE encoding", encode)]

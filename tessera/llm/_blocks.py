@@ -110,8 +110,14 @@ class Block:
                 yield number, b, stamp, pack_words([words[i] for i in at.tolist()]), pack(counts[order[at]].astype(np.uint32), flagged[at])
 
 
-def to_blocks(docs: DataFrame, n_buckets: int, fold: bool, end: bool, only: str = "") -> DataFrame:
-    """docs: columns id, text, flag. only: "words" or "documents" rows, all if empty. Rows of bucket -1 hold a block's documents; the others its words of a bucket, with their counts in all and in flagged documents."""
+#: Rows of a batch that are Python objects at once.
+SLICE = 256
+
+
+def to_blocks(docs: DataFrame, n_buckets: int, fold: bool, end: bool, only: str = "", size: int | None = None) -> DataFrame:
+    """docs: columns id, text, flag. size: bytes of text in a block, BLOCK if none. only: "words" or "documents" rows, all if empty. Rows of bucket -1 hold a block's documents; the others its words of a bucket, with their counts in all and in flagged documents."""
+
+    size = BLOCK if size is None else size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, block = TaskContext.get().partitionId() << 24, Block(n_buckets, fold, end)
@@ -120,10 +126,10 @@ def to_blocks(docs: DataFrame, n_buckets: int, fold: bool, end: bool, only: str
             cols = list(zip(*block.rows(number, only), strict=True)) or [()] * 5
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["block", "bucket", "stamp", "words", "tokens"])
 
-        for batch in batches:
-            for doc_id, text, flag in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        for part in (batch.slice(at, SLICE) for batch in batches for at in range(0, batch.num_rows, SLICE)):
+            for doc_id, text, flag in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                 block.add(doc_id, text or b"", bool(flag))
-                if block.size >= BLOCK:
+                if block.size >= size:
                     yield out()
                     release()
                     number, block = number + 1, Block(n_buckets, fold, end)

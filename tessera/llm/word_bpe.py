@@ -27,6 +27,8 @@ from ._blocks import gather, n_buckets, pack, same_block, to_blocks, unpack, unp
 
 #: Ids in a batch of results.
 OUT_IDS = 500_000
+#: Words that are encoded at once: each is some objects of the tokenizer until its ids are read.
+WORDS = 5_000
 
 
 @lru_cache(maxsize=1)
@@ -50,8 +52,11 @@ def encode(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str =
     return _encoded(docs, tokenizer_path, id, text, lambda batch: batch, [("id", pa.int64()), ("ids", pa.list_(pa.int32()))], "id long, ids array<int>")
 
 
-def digests(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256 of the decimal ids with a space between two, decoded_sha256 of the decoded text: encode() and decode() in one pass."""
+def digests(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str = "text", block: int | None = None) -> DataFrame:
+    """id, n_tokens, ids_sha256 of the decimal ids with a space between two, decoded_sha256 of the decoded text: encode() and decode() in one pass.
+
+    block: bytes of text that a task works on; fewer take less memory and more requests.
+    """
     table = docs.sparkSession.sparkContext.broadcast(pieces(tokenizer_path))  # of fixed size
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -67,15 +72,15 @@ def digests(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str
         return pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     fields = [("id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    return _encoded(docs, tokenizer_path, id, text, finish, fields, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _encoded(docs, tokenizer_path, id, text, finish, fields, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string", block)
 
 
-def _encoded(docs: DataFrame, tokenizer_path: str, id: str, text: str, finish: Callable[[pa.RecordBatch], pa.RecordBatch], fields: list, schema: str) -> DataFrame:
+def _encoded(docs: DataFrame, tokenizer_path: str, id: str, text: str, finish: Callable[[pa.RecordBatch], pa.RecordBatch], fields: list, schema: str, block: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(f.read())  # a file of fixed size
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.lit(False).alias("flag"))
-    blocks = lambda only: to_blocks(docs, n_buckets(spark), fold=False, end=False, only=only)
+    blocks = lambda only: to_blocks(docs, n_buckets(spark), fold=False, end=False, only=only, size=block)
 
     def encode_words(requests: pa.Table) -> pa.Table:
         asked = [unpack_words(x) for x in requests.column("words").to_pylist()]
@@ -85,8 +90,8 @@ def _encoded(docs: DataFrame, tokenizer_path: str, id: str, text: str, finish: C
                 place.setdefault(w, len(place))
         t = _tokenizer(definition.value)
         distinct, lengths, parts = list(place), [], []
-        for at in range(0, len(distinct), 20_000):
-            found = [e.ids for e in t.encode_batch([w.decode("utf-8", "replace") for w in distinct[at : at + 20_000]], add_special_tokens=False)]
+        for at in range(0, len(distinct), WORDS):
+            found = [e.ids for e in t.encode_batch([w.decode("utf-8", "replace") for w in distinct[at : at + WORDS]], add_special_tokens=False)]
             lengths += map(len, found)
             parts.append(np.fromiter((i for ids in found for i in ids), np.int32))
         ids, lengths = np.concatenate(parts), np.array(lengths, np.int64)

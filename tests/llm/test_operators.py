@@ -714,6 +714,25 @@ def test_apportionment(spark):
         assert {x.i: x.quota for x in got if x.g == g} == have
 
 
+def test_pipeline_encodes_in_small_blocks(spark, monkeypatch):
+    """The last stage's batches and blocks are small, with the same digests, and its table outlasts the next run's first stage."""
+    import corpus_pipeline
+    import public_tokenizers
+
+    docs = spark.createDataFrame([*prose(9, 300), *ODD], "doc_id long, text string").coalesce(1)
+    assert corpus_pipeline.BATCH <= corpus_pipeline.BLOCK < _blocks.BLOCK
+    want = sorted(map(str, word_bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json")).collect()))
+    monkeypatch.setattr(corpus_pipeline, "BLOCK", 5000)
+    cut = []
+    to_blocks = _blocks.to_blocks
+    monkeypatch.setattr(word_bpe, "to_blocks", lambda *a, **k: cut.append((k["size"], spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))) or to_blocks(*a, **k))
+    got = corpus_pipeline.encode(spark, docs, "")
+    assert cut == [(5000, str(corpus_pipeline.BATCH))] * 2
+    assert _blocks.block_documents(to_blocks(docs.selectExpr("doc_id AS id", "text", "false AS flag"), 8, False, False, "documents", 5000)).count() > 5
+    corpus_pipeline.stage(lambda spark, docs, sf_dir: docs)(spark, docs, "")
+    assert sorted(map(str, got.collect())) == want
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
