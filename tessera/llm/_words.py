@@ -154,7 +154,8 @@ def chunks(texts: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, list[bytes
     """(index of the first, texts as bytes, null as empty) in groups of about `size` bytes, whole texts always."""
     out: list[bytes] = []
     first = total = 0
-    for i, value in enumerate(texts.cast(pa.large_binary()).to_pylist()):
+    few = (texts.slice(at, 256) for at in range(0, len(texts), 256))  # not all of a batch as Python objects beside the batch
+    for i, value in enumerate(value for part in few for value in part.cast(pa.large_binary()).to_pylist()):
         value = value or b""
         if out and total + len(value) > size:
             yield first, out

@@ -714,6 +714,18 @@ def test_apportionment(spark):
         assert {x.i: x.quota for x in got if x.g == g} == have
 
 
+def test_chunks_make_few_objects_at_once():
+    import tracemalloc
+
+    texts = pa.array([f"{i} " + "x" * 2000 if i % 7 else None for i in range(5000)], pa.string())
+    tracemalloc.start()
+    got = [(first, len(some), some[0]) for first, some in _words.chunks(texts, 64 << 10)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 << 20 and sum(n for _, n, _ in got) == 5000
+    assert [(f, s) for f, _, s in got] == [(f, (texts[f].as_py() or "").encode()) for f, _, _ in got]
+
+
 def test_pipeline_encodes_in_small_blocks(spark, monkeypatch):
     """The last stage's batches and blocks are small, with the same digests, and its table outlasts the next run's first stage."""
     import corpus_pipeline
