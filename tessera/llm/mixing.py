@@ -116,6 +116,7 @@ def sample(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str
     times = F.floor(share).cast("int") + (draw < share - F.floor(share)).cast("int")
     t = stored(t.filter("_size > 0").select("_id", times.alias("_times")), "mixing-times")
     own, often, copy = (fresh(docs, c) for c in ("_id", "_times", "_copy"))
-    out = docs.join(t.toDF(own, often), F.col(id) == F.col(own), "left")
+    # One shuffle, whatever the size: no size changes the plan, and the driver gathers nothing.
+    out = docs.join(t.toDF(own, often).hint("merge"), F.col(id) == F.col(own), "left")
     n = F.when(F.col(id).isNull(), 1).otherwise(F.coalesce(often, F.lit(0)))
     return out.filter(n > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), n))).select(*docs.columns)

@@ -477,17 +477,17 @@ def _common(n, m, num: int, den: int):
     return F.ceil((n + m) * num / F.lit(num + den))
 
 
-def _reachable(shared: DataFrame, documents: DataFrame, rows: int, num: int, den: int, alike: bool = True) -> tuple[DataFrame, DataFrame]:
+def _reachable(shared: DataFrame, documents: DataFrame, rows: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(documents, shared) without what can't be in a link between two components.
 
-    documents: id, n, h, component; h shingles at most are shared with any partner in another component, so a
-    partner's size is at most `reach`. A key counts for a document if it lies in several components and its smallest
-    document is within reach; what doesn't count lowers h, and the smallest documents of what counts give `least`,
-    the size that a partner has at least. alike: a partner has num / den of the size or more.
-    Steps repeat while that pays; whatever is left is right to keep.
+    documents: id, n, high, h, component. What a row stands for (itself, or all documents of a component) has n to `high`
+    shingles; h at most are shared with any partner in another component, so a partner's size is at most `reach`.
+    A key counts for a document if it lies in several components and its smallest document is within reach; what doesn't
+    count lowers h, and the smallest documents of what counts give `least`, the size that a partner has at least: num / den
+    of n to begin with. Steps repeat while that pays; whatever is left is right to keep.
     """
     before, keys_before = rows, shared.count()
-    documents = documents.withColumn("least", F.ceil(F.col("n") * num / F.lit(den)) if alike else F.lit(1).cast("long"))
+    documents = documents.withColumn("least", F.ceil(F.col("n") * num / F.lit(den)))
     for _ in range(STEPS):
         reach = F.floor(F.col("h") * (num + den) / F.lit(num)) - F.col("n")
         documents = documents.withColumn("reach", reach).filter((F.col("h") >= _common(F.col("n"), F.col("least"), num, den)) & (F.col("reach") >= F.col("least")))
@@ -497,8 +497,8 @@ def _reachable(shared: DataFrame, documents: DataFrame, rows: int, num: int, den
         shared = stored(shared.join(keys, "k").filter("m <= reach").select("id", "k", "df", "m"), "lean-counting")
         keys_before = shared.count()
         held = few(shared.groupBy("id").agg(F.count("*").alias("h"), F.min("m").alias("m")), keys_before)
-        documents = held.join(small(documents.select("id", "n", "component", "least"), before), "id")
-        documents = stored(documents.select("id", "n", "component", "h", F.greatest("least", "m").alias("least")), "lean-documents")
+        documents = held.join(small(documents.select("id", "n", "high", "component", "least"), before), "id")
+        documents = stored(documents.select("id", "n", "high", "component", "h", F.greatest("least", "m").alias("least")), "lean-documents")
         after = documents.count()
         if before - after <= WORTH * before:
             break
@@ -506,24 +506,29 @@ def _reachable(shared: DataFrame, documents: DataFrame, rows: int, num: int, den
     return documents, shared
 
 
-def _rarest(documents: DataFrame, shared: DataFrame, rows: int, num: int, den: int, alike: bool = True) -> DataFrame:
+def _rarest(documents: DataFrame, shared: DataFrame, rows: int, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of different components that have one of either's rarest keys in common.
 
     Of a document's h keys a linked one has _common() in common. So one of the first h - _common() + 1 is shared, in
-    any order that is the same for all.
+    any order that is the same for all. The first key that two documents share has all others after it, so what either
+    has from there on must suffice.
     """
     mine = Window.partitionBy("id").orderBy("df", "k")
-    t = shared.select("id", "k", "df").withColumn("place", F.row_number().over(mine))
-    t = few(t, shared.count()).join(small(documents, rows), "id").filter(F.col("place") <= F.col("h") - _common(F.col("n"), F.col("least"), num, den) + 1)
-    side = lambda s: t.select("k", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "h", "component")])
-    return side("a").join(side("b"), "k").filter((F.col("a_id") < F.col("b_id")) & _may_link(num, den, alike)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    t = shared.select("id", "k", "df").withColumn("before", F.row_number().over(mine) - 1)
+    t = few(t, shared.count()).join(small(documents, rows), "id").filter(F.col("before") <= F.col("h") - _common(F.col("n"), F.col("least"), num, den))
+    t = t.withColumn("h", F.col("h") - F.col("before"))
+    side = lambda s: t.select("k", *[F.col(c).alias(f"{s}_{c}") for c in ("id", *_SIDE)])
+    return side("a").join(side("b"), "k").filter((F.col("a_id") < F.col("b_id")) & _may_link(num, den)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
-def _may_link(num: int, den: int, alike: bool):
-    """By component, size n and at most h common shingles of two sides."""
+_SIDE = ["n", "high", "h", "component"]
+
+
+def _may_link(num: int, den: int):
+    """By component, least and largest size (n, high) and at most h common shingles of two sides."""
     sizes = (F.col("a_n") + F.col("b_n")) * num <= F.least("a_h", "b_h") * (num + den)
-    sizes = sizes & (F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num) if alike else sizes
-    return (F.col("a_component") != F.col("b_component")) & sizes
+    alike = (F.col("a_high") * den >= F.col("b_n") * num) & (F.col("b_high") * den >= F.col("a_n") * num)
+    return (F.col("a_component") != F.col("b_component")) & sizes & alike
 
 
 def common(members: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -546,19 +551,19 @@ def _across(members: DataFrame, shared: DataFrame, labelled: DataFrame, rows: in
     leaders have all of it, so they have as many in common as two documents of these sizes need. The first are joined by
     such shingles, the second by pairs of leaders, with the components' smallest sizes for theirs.
     """
-    left, counting = _reachable(shared, labelled.select("id", "n", "h", "component"), rows, num, den)
+    left, counting = _reachable(shared, labelled.select("id", "n", F.col("n").alias("high"), "h", "component"), rows, num, den)
     first = labelled.groupBy("component").agg(F.max(F.struct((F.col("heat") / F.col("n")).alias("rank"), "id")).alias("x")).select("component", F.col("x.id").alias("leader"))
-    leaders = stored(few(first, rows).join(small(few(left.groupBy("component").agg(F.min("n").alias("n")), rows), rows), "component").select(F.col("leader").alias("id"), "n", "component"), "lean-leaders")
+    leaders = stored(few(first, rows).join(small(few(left.groupBy("component").agg(F.min("n").alias("n"), F.max("n").alias("high")), rows), rows), "component").select(F.col("leader").alias("id"), "n", "high", "component"), "lean-leaders")
     frame = stored(shared.select("id", "k").join(small(leaders.select("id", "component"), rows), "id"), "lean-frames")
 
-    t = counting.select("id", "k").join(small(left.select("id", "n", "h", "component"), rows), "id").join(frame.select("component", "k", F.lit(True).alias("framed")), ["component", "k"], "left")
+    t = counting.select("id", "k").join(small(left.select("id", *_SIDE), rows), "id").join(frame.select("component", "k", F.lit(True).alias("framed")), ["component", "k"], "left")
     t = stored(t, "lean-framed")
-    side = lambda t, s: t.select("k", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "h", "component")])
-    beyond = side(t.filter("framed is null"), "a").join(side(t, "b"), "k").filter(_may_link(num, den, True)).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
+    side = lambda t, s: t.select("k", *[F.col(c).alias(f"{s}_{c}") for c in ("id", *_SIDE)])
+    beyond = side(t.filter("framed is null"), "a").join(side(t, "b"), "k").filter(_may_link(num, den)).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
 
     held = few(frame.groupBy("id").agg(F.count("*").alias("h")), rows)
-    some, keys = _reachable(frame.select("id", "k"), held.join(small(leaders, rows), "id"), rows, num, den, alike=False)
-    meet = stored(_rarest(some, keys, rows, num, den, alike=False), "lean-meet")
+    some, keys = _reachable(frame.select("id", "k"), held.join(small(leaders, rows), "id"), rows, num, den)
+    meet = stored(_rarest(some, keys, rows, num, den), "lean-meet")
     meet = stored(common(members, meet), "lean-common")
     of = lambda s: small(leaders.select(F.col("id").alias(s), F.col("component").alias(f"{s}_component")), rows)
     mine = lambda s: left.select(F.col("component").alias(f"{s}_component"), F.col("n").alias(f"{s}_n"), F.col("id").alias(f"{s}_id"))

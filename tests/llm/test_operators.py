@@ -365,6 +365,23 @@ def test_shingle_join(spark, monkeypatch, few):
     assert shingle_join.link_documents(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_rarest_keys_need_enough_after_them(spark):
+    """Documents meet by the first key that they share only if both have enough keys from there on; all that may link do."""
+    sets = {1: range(1, 11), 2: [3, *range(11, 20)], 3: range(30, 40), 4: range(30, 40), 5: range(31, 41)}
+    shared = spark.createDataFrame([(i, k, 2) for i, ks in sets.items() for k in ks], "id long, k long, df long")
+    documents = spark.createDataFrame([(i, 10, 10, i, 10, 8) for i in sets], "id long, n long, high long, component long, h long, least long")
+    got = {(x.a, x.b) for x in shingle_join._rarest(documents, shared, len(sets), 3, 4).collect()}
+    assert got == {(3, 4), (3, 5), (4, 5)}
+
+
+def test_texts_join_alike_at_every_size(spark):
+    """What texts are joined with doesn't go through the driver, however little it is."""
+    df = docs_of(spark, [(k, f"line {k} of some words\nthe same line in all of them") for k in range(20)])
+    for out in (line_dedup.dedup(df), mixing.sample(df)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_partition_plan_holds():
     """Any two sets of the wanted similarity share a key of a part."""
     r = np.random.Generator(np.random.PCG64(7))
