@@ -168,8 +168,8 @@ def validated(df: DataFrame, schema: str, answer: str = "answer", thoughts: bool
 
 
 def harvest(sources: DataFrame, provider: Provider, prompt: str, schema: str, text: str = "text", limit: int = 8000, overlap: int = 1, clean: bool = True) -> DataFrame:
-    """Text to chunks to answers to validated entries; bad answers stay, with ok false, for the quarantine."""
-    chunks = sources.select(*[c for c in sources.columns if c != text], F.posexplode(C.paragraph_chunks(F.col(text), limit, overlap)).alias("chunk_no", "chunk")).withColumn("chunk_no", F.col("chunk_no") + 1)
+    """Whole texts to chunks to answers to validated entries; bad answers stay, with ok false, for the quarantine."""
+    chunks = sources.select(*[c for c in sources.columns if c != text], F.posexplode(C.paragraph_chunks(F.col(text), limit, overlap, whole=True)).alias("chunk_no", "chunk")).withColumn("chunk_no", F.col("chunk_no") + 1)
     return validated(generate(chunks, provider, prompt, "chunk"), schema, thoughts=clean)
 
 

@@ -19,15 +19,16 @@ def _joined_length(xs: Column, gap: int) -> Column:
     return F.aggregate(xs, F.lit(0), lambda a, x: a + F.length(x)) + gap * F.greatest(F.size(xs) - 1, F.lit(0))
 
 
-def paragraph_chunks(text: Column, limit: int = 8000, overlap: int = 1, delimiter: str = "\n\n") -> Column:
+def paragraph_chunks(text: Column, limit: int = 8000, overlap: int = 1, delimiter: str = "\n\n", whole: bool = False) -> Column:
     """Paragraphs packed into chunks of at most `limit` characters, separators counted.
 
-    A paragraph is trimmed and clamped to the limit; empty ones go. A full chunk is
-    sealed, and the next begins with as many of its last `overlap` paragraphs as fit
-    before the new one.
+    A paragraph is trimmed and clamped to the limit, or goes on in further pieces of it if
+    `whole`; empty ones go. A full chunk is sealed, and the next begins with as many of its
+    last `overlap` paragraphs as fit before the new one.
     """
     gap = len(delimiter)
-    parts = F.transform(F.filter(F.transform(F.split(text, _literal(delimiter)), S.strip), lambda p: p != ""), lambda p: F.substring(p, 1, limit))
+    parts = F.filter(F.transform(F.split(text, _literal(delimiter)), S.strip), lambda p: p != "")
+    parts = _pieces(parts, limit) if whole else F.transform(parts, lambda p: F.substring(p, 1, limit))
     start = F.struct(_empty().alias("done"), _empty().alias("cur"), F.lit(0).alias("n"))
 
     def add(s: Column, p: Column) -> Column:
@@ -45,6 +46,13 @@ def paragraph_chunks(text: Column, limit: int = 8000, overlap: int = 1, delimite
     return F.aggregate(parts, start, add, finish)
 
 
+def _pieces(parts: Column, limit: int) -> Column:
+    """Each part in pieces of `limit` characters, the last one shorter; blank ones go. A piece of `limit` fills a chunk, so pieces of one part never meet in one."""
+    # Possessive: a text is gone through once, without a call for each change between characters of one and two UTF-16 units.
+    cut = lambda p: F.regexp_extract_all(p, F.lit(f"(?s).{{1,{limit}}}+"), F.lit(0))
+    return F.filter(F.flatten(F.transform(parts, cut)), lambda p: p.rlike(r"(?U)\S"))
+
+
 def _literal(text: str) -> str:
     return "\\Q" + text + "\\E"
 
